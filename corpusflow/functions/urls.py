@@ -116,7 +116,7 @@ def url_join(base, href) -> Column:
     hpath = F.regexp_extract(h, r"^([^?#]*)", 1)
     needs_py = hpath.rlike(_DOT_SEGMENT) | bpath.rlike(_DOT_SEGMENT) | (auth == F.lit(""))
     native = (
-        F.when(h == F.lit(""), no_frag)
+        F.when(h == F.lit(""), b)
         .when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), h)
         .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
         .when(h.startswith("/"), F.concat(origin, h))
