@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from corpusflow.functions.text import slugify, strip_chars
 
@@ -89,43 +88,59 @@ def state_name(slug) -> Column:
     return F.concat(F.lit(STATE_PREFIX), _c(slug), F.lit(STATE_SUFFIX))
 
 
-_DOT_SEGMENT = r"(^|/)\.\.?(/|$)"
-
-
-def _py_urljoin(base, href):
-    import pandas as pd
-    from urllib.parse import urljoin
-
-    return pd.Series([None if b is None or h is None else urljoin(b, h) for b, h in zip(base, href)], dtype=object)
-
-
-_urljoin_udf = F.pandas_udf(_py_urljoin, T.StringType())
+def _resolve_segments(segs: Column) -> Column:
+    """urljoin's segment walk: '..' pops (ignored when empty), '.' is skipped; a trailing
+    '.' or '..' leaves a trailing '/'. Empty result -> '/'."""
+    walked = F.aggregate(
+        segs,
+        F.array().cast("array<string>"),
+        lambda acc, s: F.when(s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
+        .when(s == ".", acc)
+        .otherwise(F.array_append(acc, s)),
+    )
+    walked = F.when(F.element_at(segs, -1).isin(".", ".."), F.array_append(walked, F.lit(""))).otherwise(walked)
+    joined = F.array_join(walked, "/")
+    # urlunparse puts a '/' in front of a path that lost its root
+    return F.when(joined.startswith("/"), joined).otherwise(F.concat(F.lit("/"), joined))
 
 
 def url_join(base, href) -> Column:
-    """``urljoin(base, href)``. Native for absolute, ``//``, ``/``, ``?``, ``#`` and plain
-    relative hrefs; hrefs or bases with dot segments go through an Arrow-batched UDF."""
-    b, h = _c(base), _c(href)
-    scheme = F.regexp_extract(b, URL_SPLIT, 1)
+    """``urljoin(base, href)`` for hierarchical (http-like) bases, fully JVM-side:
+    empty href -> base; another scheme -> href; ``//host`` -> base scheme + href;
+    otherwise the path is merged with the base directory (absolute paths replace it) and
+    dot segments are resolved with urljoin's stack walk. ``;params`` stay in the path."""
+    b, h0 = _c(base), _c(href)
+    bscheme = F.regexp_extract(b, URL_SPLIT, 1)
+    hscheme = F.regexp_extract(h0, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
+    same_scheme = (hscheme != "") & (F.lower(hscheme) == F.lower(bscheme))
+    after = F.regexp_replace(h0, r"^[^:]*:", "")
+    # 'http:rel' against an http base is the relative reference 'rel'
+    h = F.when(same_scheme & ~after.startswith("//"), after).otherwise(h0)
     auth = url_authority(b)
     bpath = F.regexp_extract(b, URL_SPLIT, 3)
-    origin = F.concat(scheme, F.lit("://"), auth)
-    no_frag = F.regexp_replace(b, "#.*$", "")
-    no_query = F.regexp_replace(no_frag, r"\?.*$", "")
-    base_dir = F.concat(origin, F.regexp_replace(bpath, "[^/]*$", ""))
+    bquery = F.regexp_extract(b, r"^[^?#]*(\?[^#]*)", 1)
+    origin = F.concat(bscheme, F.lit("://"), auth)
     hpath = F.regexp_extract(h, r"^([^?#]*)", 1)
-    needs_py = hpath.rlike(_DOT_SEGMENT) | bpath.rlike(_DOT_SEGMENT) | (auth == F.lit(""))
-    native = (
-        F.when(h == F.lit(""), b)
-        .when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), h)
-        .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
-        .when(h.startswith("/"), F.concat(origin, h))
-        .when(h.startswith("?"), F.concat(no_query, h))
-        .when(h.startswith("#"), F.concat(no_frag, h))
-        .when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), h)
-        .otherwise(F.concat(F.when(bpath == F.lit(""), F.concat(origin, F.lit("/"))).otherwise(base_dir), h))
+    htail = F.regexp_extract(h, r"^[^?#]*(.*)$", 1)
+    hquery = F.regexp_extract(h, r"^[^?#]*(\?[^#]*)", 1)
+    # merge: base directory segments + href segments, empty middle segments dropped
+    bparts = F.split(bpath, "/")
+    bdir = F.when(F.element_at(bparts, -1) != "", F.slice(bparts, 1, F.size(bparts) - 1)).otherwise(bparts)
+    merged = F.concat(bdir, F.split(hpath, "/"))
+    n = F.size(merged)
+    middle = F.filter(F.slice(merged, 2, F.greatest(n - 2, F.lit(0))), lambda x: x != "")
+    merged = F.when(n <= 2, merged).otherwise(F.concat(F.slice(merged, 1, 1), middle, F.slice(merged, -1, 1)))
+    segs = F.when(hpath.startswith("/"), F.split(hpath, "/")).otherwise(merged)
+    resolved = F.concat(origin, _resolve_segments(segs), htail)
+    # no path: base path, and the base query unless the href has one
+    no_path = F.concat(origin, bpath, F.when(hquery != "", F.lit("")).otherwise(bquery), htail)
+    other_scheme = (hscheme != "") & ~same_scheme
+    return (
+        F.when(b.isNull() | h0.isNull(), F.lit(None).cast("string"))
+        .when(h0 == "", b)
+        .when(b == "", h0)
+        .when(other_scheme | (same_scheme & after.startswith("//")), h0)
+        .when(h.startswith("//"), F.concat(bscheme, F.lit(":"), h))
+        .when(hpath == "", no_path)
+        .otherwise(resolved)
     )
-    # Python UDFs are evaluated for every row regardless of CASE branches, so only
-    # rows that need stdlib urljoin pass real values; the rest send nulls.
-    py = _urljoin_udf(F.when(needs_py, b), F.when(needs_py, h))
-    return F.when(b.isNull() | h.isNull(), F.lit(None).cast("string")).when(needs_py, py).otherwise(native)

@@ -96,3 +96,17 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     otherwise return it unchanged so the planner uses a shuffle join."""
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Parallelism floor for CPU-heavy per-row work (regex over whole texts, hashing).
+
+    A scan yields one task per file split; a few large single-row-group files would leave
+    the cluster idle during the projection. Only then are rows spread round-robin over
+    ``min_partitions`` (default: the cluster's default parallelism); an input that is
+    already split at least that wide is returned unchanged, so no shuffle is added at
+    scale."""
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    have = df.rdd.getNumPartitions()
+    return df.repartition(want) if have < want else df

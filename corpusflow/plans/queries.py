@@ -20,6 +20,7 @@ from corpusflow.operators import enrich as EN
 from corpusflow.operators import quality as Q
 from corpusflow.operators import resolve as RS
 from corpusflow.operators import state as ST
+from corpusflow.operators.ranking import ensure_parallelism
 from corpusflow.plans import inputs as IN
 from corpusflow.schemas import STATE_COLUMNS
 from corpusflow.sources import catalogue as SC
@@ -39,11 +40,14 @@ def query(key: str):
 
 
 def _docs(spark, sf, *cols):
-    return IN.table(spark, sf, "documents").select("doc_id", *cols)
+    """Documents with the given columns; whole texts get a parallelism floor."""
+    d = IN.table(spark, sf, "documents").select("doc_id", *cols)
+    return ensure_parallelism(d) if "text" in cols else d
 
 
 def _pages(spark, sf, *cols):
-    return IN.table(spark, sf, "pages").select("page_id", *cols)
+    p = IN.table(spark, sf, "pages").select("page_id", *cols)
+    return ensure_parallelism(p) if "html" in cols else p
 
 
 # --- flagship --------------------------------------------------------------------------------

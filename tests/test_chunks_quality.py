@@ -87,3 +87,19 @@ def test_metadata_union_keeps_same_file_name_in_two_parts(spark):
     assert u.filter("doc = 'd1' and file_name = 'page_2.json'").count() == 2
     ranks = sorted((r.part, r.file_name, r.file_rank) for r in Q.sort_metadata(u.filter("doc='d1'"), "doc", "file_name", tie=["part"]).collect())
     assert ranks == [(1, "page_1.json", 1), (1, "page_2.json", 2), (2, "page_2.json", 3)]
+
+
+def test_write_merged_bytes_equal_ordered_merge(spark, tmp_path):
+    import glob
+    import os
+
+    from corpusflow.sinks.text import write_merged
+
+    df = spark.createDataFrame([(1, 2, "second\nline"), (1, 1, "first"), (2, 1, "only"), (1, 3, "")], "doc int, part int, t string")
+    out = str(tmp_path / "md")
+    write_merged(df, "doc", "part", "t", out)
+    expected = {r.doc: r.merged_text for r in CH.ordered_merge(df, "doc", "part", "t").collect()}
+    for doc, text in expected.items():
+        files = [f for f in glob.glob(os.path.join(out, f"doc={doc}", "part-*")) if os.path.getsize(f) > 0]
+        assert len(files) == 1
+        assert open(files[0], encoding="utf-8").read() == text

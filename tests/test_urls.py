@@ -66,12 +66,17 @@ def test_url_quote(spark):
     assert col_values(spark, vals, U.url_quote("x")) == [quote(v) for v in vals]
 
 
+BASES = ["https://host.example.com/dir/page.php?x=1#frag", "https://host", "http://h/a/b/", "http://h/a/b/c", "https://u:p@h:8080/x/y;p?q=1"]
+HREFS = ["/abs", "rel/x.pdf", "//other.org/p", "?q=2", "#top", "", "https://z.org/a", "../up/file", "./same", "/a/./b/../c",
+         "mailto:x@y", "..", ".", "../../../../g", "g/", "g/.", "g/..", "/..", "//g/../x", "a//b/../c", "?y#s", "http:rel",
+         "https:rel", "g;x?y#s", "/the,", "/für", "x/./y/../../z/"]
+
+
 def test_url_join(spark):
-    base = "https://host.example.com/dir/page.php?x=1#frag"
-    hrefs = ["/abs", "rel/x.pdf", "//other.org/p", "?q=2", "#top", "", "https://z.org/a", "../up/file", "./same", "/a/./b/../c", "mailto:x@y"]
-    df = spark.createDataFrame([(i, base, h) for i, h in enumerate(hrefs)], "i int, b string, h string")
+    rows = [(i, b, h) for i, (b, h) in enumerate((b, h) for b in BASES for h in HREFS)]
+    df = spark.createDataFrame(rows, "i int, b string, h string")
     got = [r[0] for r in df.orderBy("i").select(U.url_join("b", "h")).collect()]
-    assert got == [urljoin(base, h) for h in hrefs]
+    assert got == [urljoin(b, h) for _, b, h in rows]
 
 
 def test_state_name(spark):
