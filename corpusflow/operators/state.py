@@ -176,14 +176,16 @@ def stage_transition(state: DataFrame, outcomes: DataFrame, keys: list[str] = KE
     Evaluated left to right: download failure -> failed (stop); OCR failure -> failed
     (stop); conversion outcome only sets its stage; the book is completed iff the md copy
     and the docx copy both succeed (the raw copy is ignored; without a converted docx
-    there is nothing to copy, so the status stays). Completed stages are not redone."""
-    j = state.join(outcomes, keys, "left")
-    todo = not_equal_null_safe("status", COMPLETED)
+    there is nothing to copy, so the status stays). Completed stages are not redone; rows
+    without an outcome row (not processed in this pass) are unchanged."""
+    j = state.join(outcomes.withColumn("_has_outcome", F.lit(True)), keys, "left")
+    # rows without an outcome were not processed in this pass and stay untouched
+    todo = F.coalesce(F.col("_has_outcome"), F.lit(False)) & not_equal_null_safe("status", COMPLETED)
     dl_todo = not_equal_null_safe("download_status", COMPLETED)
     ocr_todo = not_equal_null_safe("ocr_status", COMPLETED)
     dx_todo = not_equal_null_safe("docx_conversion_status", COMPLETED)
     ok = lambda c: F.coalesce(F.col(c), F.lit(False))
-    dl_fail = dl_todo & ~ok("download_ok")
+    dl_fail = todo & dl_todo & ~ok("download_ok")
     ocr_fail = ~dl_fail & ocr_todo & ~ok("ocr_ok")
     reached = ~dl_fail & ~ocr_fail
     new_dl = F.when(todo & dl_todo & ok("download_ok"), F.lit(COMPLETED)).otherwise(F.col("download_status"))

@@ -1,0 +1,84 @@
+"""The reference's full run and reset, composed from the operators.
+
+A run is a handful of lazy DataFrames; the only writes are the new state version (and
+the enrichment cache when a provider is used):
+
+    config -> enabled pages -> inline books (J1/X2 resolve, P6 paths)
+                            -> list pages (S3 DOM items, S3c ids, F4, J3/X1 slugs, P6b)
+           -> J2 upsert into state -> M3 resume plan (F2, W2, W3, F7)
+           -> M1 stage transition for the planned rows -> K1 new state version
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from corpusflow.functions.text import slugify
+from corpusflow.functions.urls import url_join
+from corpusflow.operators import catalogue as CAT
+from corpusflow.operators import state as ST
+from corpusflow.operators.resolve import HandlerRegistry
+from corpusflow.schemas import STATE_COLUMNS
+from corpusflow.sources import catalogue as SC
+from corpusflow.sources import config as CFG
+from corpusflow.sources import state as SS
+
+
+def inline_catalogue(pages: DataFrame, handlers: list[tuple[str, str]], registry: HandlerRegistry | None) -> DataFrame:
+    """State rows for inline books of enabled pages without a URL (URL resolution first)."""
+    books = CFG.inline_books(pages.filter(F.col("page_url").isNull()))
+    if registry is not None:
+        books = registry.dispatch(books, "pdf_url", handlers).withColumn("pdf_url", F.col("resolved_url")).drop("resolved_url", "handler")
+    rows = CAT.inline_book_rows(books, "title_slug_in", "author_slug_in")
+    return rows.withColumn("language", F.col("page_language"))
+
+
+def scraped_catalogue(pages: DataFrame, list_pages: DataFrame) -> DataFrame:
+    """State rows for enabled pages with a URL, from their fetched HTML (``page_url, html``).
+    Slugs are computed directly (the reference's default for non-'kannada' pages);
+    ``operators.enrich`` provides the cached provider path."""
+    with_html = pages.filter(F.col("page_url").isNotNull()).join(list_pages, "page_url")
+    items = SC.dom_items(with_html.select("page_slug", "page_url", "page_language", "html"), "html")
+    items = items.withColumn("id", SC.catalogue_id("title_href", "pdf_href"))
+    ok = items.filter(SC.complete_items(items))
+    rows = CAT.scraped_book_rows(ok, slugify("title_original"), slugify(F.coalesce("author_original", F.lit(""))))
+    return rows.withColumn("pdf_url", url_join("page_url", "pdf_href")).withColumn("language", F.col("page_language"))
+
+
+def run_once(
+    spark: SparkSession,
+    config_path: str,
+    state_root: str,
+    outcomes: DataFrame | None = None,
+    list_pages: DataFrame | None = None,
+    registry: HandlerRegistry | None = None,
+) -> dict:
+    """One pass of the pipeline; returns the new state version and the plan size."""
+    cfg = CFG.read_config(spark, config_path)
+    handlers = [(h.pattern, h.module) for h in cfg.select(F.explode("handlers").alias("h")).select("h.*").collect()]
+    pages = CFG.enabled_pages(CFG.config_pages(cfg, keep=["config_path"]))
+    parts = [inline_catalogue(pages, handlers, registry)]
+    if list_pages is not None:
+        parts.append(scraped_catalogue(pages, list_pages))
+    catalogue = parts[0]
+    for p in parts[1:]:
+        catalogue = catalogue.unionByName(p, allowMissingColumns=True)
+    cols = [c for c in STATE_COLUMNS if c in catalogue.columns]
+    state = SS.load_state(spark, state_root)
+    merged = ST.state_upsert(state, catalogue.select(*cols))
+    limits = pages.select("page_slug", F.col("page_limit").alias("limit"))
+    plan = ST.resume_plan(merged, limits)
+    if outcomes is not None:
+        planned = outcomes.join(plan.select("page_slug", "id"), ["page_slug", "id"], "left_semi")
+        merged = ST.stage_transition(merged, planned)
+    version = SS.save_state(merged, state_root)
+    return {"version": version, "planned": plan.count()}
+
+
+def reset(spark: SparkSession, state_root: str, target_page: str | None = None) -> dict:
+    """Reset failed / in-progress rows (optionally one page) into a new version."""
+    state = SS.load_state(spark, state_root)
+    counts = {r.page_slug: r.n_reset for r in ST.reset_counts(state, target_page).collect()}
+    version = SS.save_state(ST.reset_statuses(state, target_page), state_root)
+    return {"version": version, "reset": counts}
