@@ -26,7 +26,7 @@ def py_page_slug_admin(url):
 
 
 URLS = [
-    "https://adhyatmaprakasha.org/php/kannada_books.php",
+    "https://books.example.org/php/kannada_books.php",
     "https://example.org/php/english_books.php?x=1",
     "http://user:pw@host.example.com:8080/a/b;params?q#f",
     "https://archive.org/details/Some Item/page/n10/mode/1up?hl=en",
