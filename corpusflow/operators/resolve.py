@@ -37,31 +37,50 @@ def match_handler_col(url, handlers_col) -> Column:
 
 
 Resolver = Callable[[DataFrame, str], DataFrame]
+ColumnResolver = Callable[[Column], Column]
 
 
 class HandlerRegistry:
-    """Resolvers by module name. A resolver maps a DataFrame with a URL column to the
-    same rows plus ``resolved_url`` (null = no answer). Unknown modules, resolvers that
-    give null, and rows without a handler keep the original URL."""
+    """Resolvers by module name, chosen per row by J1.
+
+    * column resolvers (``register_column``) map the URL Column to a resolved URL Column
+      (null = no answer); all of them compile into one CASE projection — one pass, no
+      shuffle;
+    * DataFrame resolvers (``register``) map the rows of their handler to the same rows plus
+      ``resolved_url`` — for resolvers that need a join (e.g. a metadata table); each adds
+      one filtered branch to a union.
+
+    Unknown modules, resolvers that give null and rows without a handler keep the
+    original URL."""
 
     def __init__(self):
-        self._resolvers: dict[str, Resolver] = {}
+        self._frames: dict[str, Resolver] = {}
+        self._columns: dict[str, ColumnResolver] = {}
 
     def register(self, module: str, resolver: Resolver) -> "HandlerRegistry":
-        self._resolvers[module] = resolver
+        self._frames[module] = resolver
+        return self
+
+    def register_column(self, module: str, resolver: ColumnResolver) -> "HandlerRegistry":
+        self._columns[module] = resolver
         return self
 
     def dispatch(self, df: DataFrame, url_col: str, handlers: list[tuple[str, str]]) -> DataFrame:
         tagged = df.withColumn("handler", match_handler(url_col, handlers))
-        known = list(self._resolvers)
-        parts = []
-        for name in known:
+        url = F.col(url_col)
+        expr = None
+        for name, fn in self._columns.items():
+            cond = F.col("handler") == F.lit(name)
+            expr = F.when(cond, fn(url)) if expr is None else expr.when(cond, fn(url))
+        col_answer = expr if expr is not None else F.lit(None).cast("string")
+        frames = list(self._frames)
+        rest = tagged.filter(F.col("handler").isNull() | ~F.col("handler").isin(frames)) if frames else tagged
+        parts = [rest.withColumn("resolved_url", col_answer)]
+        for name in frames:
             sub = tagged.filter(F.col("handler") == F.lit(name))
-            parts.append(self._resolvers[name](sub, url_col).select(*tagged.columns, "resolved_url"))
-        rest = tagged.filter(F.col("handler").isNull() | ~F.col("handler").isin(known)) if known else tagged
-        parts.append(rest.withColumn("resolved_url", F.lit(None).cast("string")))
+            parts.append(self._frames[name](sub, url_col).select(*tagged.columns, "resolved_url"))
         out = reduce(lambda a, b: a.unionByName(b), parts)
-        return out.withColumn("resolved_url", F.coalesce(F.col("resolved_url"), F.col(url_col)))
+        return out.withColumn("resolved_url", F.coalesce(F.col("resolved_url"), url))
 
 
 # --- W1 / J5 -------------------------------------------------------------------------

@@ -567,17 +567,16 @@ def q_resolve_handler(spark, sf):
     return _pages(spark, sf, "url").select("page_id", RS.match_handler("url", IN.HANDLERS).alias("handler"))
 
 
-def _archive_resolver(df, url_col):
-    ident = U.item_identifier(url_col, IN.LANG_SEGMENT)
-    out = F.when(ident.isNotNull(), F.concat(F.lit("https://"), U.url_authority(url_col), F.lit("/download/"), ident))
-    return df.withColumn("resolved_url", out)
+def _archive_resolver(url):
+    ident = U.item_identifier(url, IN.LANG_SEGMENT)
+    return F.when(ident.isNotNull(), F.concat(F.lit("https://"), U.url_authority(url), F.lit("/download/"), ident))
 
 
-def _blog_resolver(df, url_col):
-    return df.withColumn("resolved_url", F.regexp_replace(F.col(url_col), "^http:", "https:"))
+def _blog_resolver(url):
+    return F.regexp_replace(url, "^http:", "https:")
 
 
-REGISTRY = RS.HandlerRegistry().register("archive_handler", _archive_resolver).register("blog_handler", _blog_resolver)
+REGISTRY = RS.HandlerRegistry().register_column("archive_handler", _archive_resolver).register_column("blog_handler", _blog_resolver)
 
 
 @query("register_handler")

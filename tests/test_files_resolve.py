@@ -97,3 +97,15 @@ def test_handler_first_match_in_config_order(spark):
     out = {r.u: r.resolved_url for r in reg.dispatch(df, "u", handlers).collect()}
     assert out["https://www.archive.org/x"] == "https://www.archive.org/x"  # null answer -> original
     assert out["https://x.org/y"] == "https://x.org/y"  # unregistered module -> original
+    both = (
+        RS.HandlerRegistry()
+        .register_column("generic", lambda u: F.concat(u, F.lit("?resolved")))
+        .register("archive_utils", lambda d, c: d.withColumn("resolved_url", F.regexp_replace(F.col(c), "/x$", "/y")))
+    )
+    out2 = {r.u: (r.handler, r.resolved_url) for r in both.dispatch(df, "u", handlers).collect()}
+    assert out2 == {
+        "https://www.archive.org/x": ("archive_utils", "https://www.archive.org/y"),
+        "https://x.org/y": ("generic", "https://x.org/y?resolved"),
+        "https://x.com/y": (None, "https://x.com/y"),
+        "https://u:p@archive.org:8080/z": ("archive_utils", "https://u:p@archive.org:8080/z"),
+    }
