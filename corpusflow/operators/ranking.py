@@ -107,6 +107,9 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     already split at least that wide is returned unchanged, so no shuffle is added at
     scale."""
     spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
+    try:
+        want = min_partitions or spark.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view of the plan (e.g. Spark Connect): leave it to the scan
+        return df
     return df.repartition(want) if have < want else df

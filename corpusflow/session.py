@@ -26,23 +26,30 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str
     )
     spark.sparkContext.setLogLevel("ERROR")
     work_dir(spark)
+    ship_package(spark)
     return spark
 
 
 def work_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and written tables: the cluster's
-    ``spark.checkpoint.dir``. Only when it is unset (local tests) a fresh local
-    folder is created and registered."""
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+    ``spark.checkpoint.dir``. Only when it is unset on a local master (tests) a fresh
+    local folder is created and registered."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a SparkContext handle (e.g. Spark Connect)
+        sc = None
+    d = sc.getCheckpointDir() if sc is not None else None
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
         if not d:
-            if not sc.master.startswith("local"):
+            master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+            if not master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a shared folder")
             d = tempfile.mkdtemp(prefix="corpusflow-ckpt-", dir="/tmp")
-        sc.setCheckpointDir(d)
-        d = sc.getCheckpointDir() or d
+            spark.conf.set("spark.checkpoint.dir", d)
+        if sc is not None:
+            sc.setCheckpointDir(d)
+            d = sc.getCheckpointDir() or d
     return d.removeprefix("file:")
 
 
@@ -51,3 +58,32 @@ def scratch(spark: SparkSession, name: str) -> str:
     import uuid
 
     return os.path.join(work_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``corpusflow`` importable in the Python workers (``mapInPandas`` and UDFs
+    unpickle functions by module name): zip the installed package once per driver and
+    hand it to ``SparkContext.addPyFile``, which distributes it to every executor."""
+    import zipfile
+
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no SparkContext handle: the package must come with the environment
+        return
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    fd, path = tempfile.mkstemp(prefix="corpusflow-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(path)
+    _SHIPPED.add(key)
