@@ -65,7 +65,8 @@ def enrich_cached(
     out: str = "slug",
 ) -> DataFrame:
     """Map each *distinct* text through ``provider`` once and slugify the answer.
-    Empty text -> ''; no provider, a failed call or an empty answer -> ascii fold.
+    Empty text -> ''; no provider, a failed call or a missing (null) answer -> ascii fold;
+    an empty answer -> ''.
 
     distinct -> left_anti against the cache -> repartition -> mapInPandas(provider)
     -> written to ``cache_out`` (answers are not deterministic and tasks retry, so the
@@ -81,8 +82,9 @@ def enrich_cached(
         answered = texts.repartition(n, "text").mapInPandas(
             _provider_udf(provider), "text string, answer string, provider_ok boolean"
         )
-        good = F.col("provider_ok") & (F.coalesce(F.col("answer"), F.lit("")) != "")
-        fresh = answered.select("text", F.when(good, slugify(F.trim("answer"))).otherwise(ascii_fold("text")).alias(out))
+        # a missing answer (or a failed call) falls back; an empty answer slugifies to ''
+        good = F.col("provider_ok") & F.col("answer").isNotNull()
+        fresh = answered.select("text", F.when(good, slugify("answer")).otherwise(ascii_fold("text")).alias(out))
         path = cache_out or scratch(spark, "enrich-cache")
         fresh.write.mode("append").parquet(path)
         fresh = spark.read.parquet(path)

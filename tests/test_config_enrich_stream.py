@@ -56,15 +56,16 @@ def test_enrich_cached_provider_and_fallback(spark, tmp_path):
 
     def provider(texts):
         calls.append(len(texts))
-        return texts.map(lambda t: None if t.startswith("fail") else "Romanized " + t)
+        return texts.map(lambda t: None if t.startswith("fail") else ("" if t.startswith("blank") else "Romanized " + t))
 
-    df = spark.createDataFrame([(1, "ಕನ್ನಡ abc"), (2, "ಕನ್ನಡ abc"), (3, "fail ಕ x"), (4, ""), (5, None)], "k int, t string")
+    df = spark.createDataFrame([(1, "ಕನ್ನಡ abc"), (2, "ಕನ್ನಡ abc"), (3, "fail ಕ x"), (4, ""), (5, None), (6, "blank x")], "k int, t string")
     out = {r.k: r.slug for r in EN.enrich_cached(df, "t", provider=provider, cache_out=str(tmp_path / "cache")).collect()}
     assert out[1] == out[2] == "romanized-ಕನನಡ-abc"
-    assert out[3] == "fail-x"  # empty answer -> ascii fold
+    assert out[3] == "fail-x"  # missing answer -> ascii fold
+    assert out[6] == ""  # empty answer -> empty slug
     assert out[4] == "" and out[5] == ""  # empty or missing text -> ""
     cache = spark.read.parquet(str(tmp_path / "cache"))
-    assert cache.count() == 3  # distinct non-null texts, each asked once
+    assert cache.count() == 4  # distinct non-null texts, each asked once
     again = EN.enrich_cached(df, "t", provider=lambda s: (_ for _ in ()).throw(RuntimeError("must not be called")), cache=cache, cache_out=str(tmp_path / "cache2"))
     assert {r.k: r.slug for r in again.collect()} == out
 
