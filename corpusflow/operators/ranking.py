@@ -98,18 +98,22 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Parallelism floor for CPU-heavy per-row work (regex over whole texts, hashing).
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None, by: list[str] | None = None) -> DataFrame:
+    """Parallelism floor for CPU-heavy per-row work (regex over whole texts, hashing,
+    building nested documents).
 
     A scan yields one task per file split; a few large single-row-group files would leave
-    the cluster idle during the projection. Only then are rows spread round-robin over
-    ``min_partitions`` (default: the cluster's default parallelism); an input that is
-    already split at least that wide is returned unchanged, so no shuffle is added at
-    scale."""
+    the cluster idle. Only then are rows spread over ``min_partitions`` (default: the
+    cluster's default parallelism) — round-robin, or hashed on ``by`` when a grouping on
+    those columns follows (the grouping then reuses this partitioning, no extra exchange).
+    An input that is already split at least that wide is returned unchanged, so no
+    shuffle is added at scale."""
     spark = df.sparkSession
     try:
         want = min_partitions or spark.sparkContext.defaultParallelism
         have = df.rdd.getNumPartitions()
     except Exception:  # no RDD view of the plan (e.g. Spark Connect): leave it to the scan
         return df
-    return df.repartition(want) if have < want else df
+    if have >= want:
+        return df
+    return df.repartition(want, *by) if by else df.repartition(want)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions.html import unescape
 from corpusflow.functions.text import slugify
+from corpusflow.operators.ranking import ensure_parallelism
 
 # --- fixed values of the bindings -----------------------------------------------------------
 NAV_LINK = r'<li><a href="([^"]*)">([^<]*)</a></li>'
@@ -50,8 +51,9 @@ def listing_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when((F.col("l_tax") == 0.08) & (F.col("l_linestatus") == "O"), F.lit("abc"))
         .otherwise(F.col("l_quantity").cast("int").cast("string"))
     )
-    files = F.array_sort(F.collect_list(F.struct(*_LINE_ORDER, name.alias("name"), size.alias("size"))))
-    g = li.groupBy(F.col("l_orderkey").alias("item_id")).agg(files.alias("_f"))
+    rows = li.select(F.col("l_orderkey").alias("item_id"), F.struct(*_LINE_ORDER, name.alias("name"), size.alias("size")).alias("_e"))
+    rows = ensure_parallelism(rows, by=["item_id"])
+    g = rows.groupBy("item_id").agg(F.array_sort(F.collect_list("_e")).alias("_f"))
     return g.select("item_id", F.to_json(F.struct(F.transform("_f", lambda x: F.struct(x["name"].alias("name"), x["size"].alias("size"))).alias("files"))).alias("metadata"))
 
 
@@ -72,11 +74,14 @@ def metadata_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_returnflag") != "N", F.col("l_quantity") / 50).alias("confidence"),
         F.concat(F.col("l_returnflag"), F.col("l_linestatus")).alias("text"),
     )
-    g = li.groupBy(
+    rows = li.select(
         F.col("l_orderkey").alias("doc_id"),
         (F.col("l_suppkey") % 3).cast("int").alias("part"),
         F.col("l_linenumber").alias("page"),
-    ).agg(F.array_sort(F.collect_list(block)).alias("_b"))
+        block.alias("_e"),
+    )
+    rows = ensure_parallelism(rows, by=["doc_id", "part", "page"])
+    g = rows.groupBy("doc_id", "part", "page").agg(F.array_sort(F.collect_list("_e")).alias("_b"))
     blocks = F.transform("_b", lambda b: F.struct(b["block_id"].alias("block_id"), b["confidence"].alias("confidence"), b["text"].alias("text")))
     doc = F.struct(F.when(F.col("page") <= 4, F.col("page")).alias("page_num"), blocks.alias("blocks"))
     return g.select(
