@@ -115,7 +115,7 @@ class _CatalogueParser(HTMLParser):
         if not self.stack:
             return
         if self.span is not None and self.span.get("a_depth") == depth and tag == "a":
-            self.span["a_text"] = "".join(self.span["a_parts"])
+            self.span["a_text"] = _text(self.span["a_parts"])
             self.span["a_depth"] = -1
         if self.span is not None and self.span["depth"] == depth and tag == "span":
             self.cur["spans"].append(self.span)
@@ -136,6 +136,7 @@ class _CatalogueParser(HTMLParser):
 
 
 def _text(parts) -> str:
+    """BeautifulSoup ``get_text(strip=True)``: every text node stripped, then joined."""
     return "".join(s.strip() for s in parts)
 
 
@@ -150,7 +151,7 @@ def _fields(item: dict) -> dict:
     if i is not None:
         s = spans[i]
         if s["a_href"] is not None or s["a_text"] is not None:
-            out["title_original"] = (s["a_text"] or "").strip()
+            out["title_original"] = s["a_text"] or ""
             out["title_href"] = s["a_href"] or ""
         else:
             out["title_original"] = _text(s["text"])
@@ -158,7 +159,7 @@ def _fields(item: dict) -> dict:
     if i is not None:
         s = spans[i]
         if s["a_text"] is not None:
-            out["author_original"] = s["a_text"].strip()
+            out["author_original"] = s["a_text"]
         else:
             out["author_original"] = _text(s["text"]).replace(AUTHOR_DASH, "").strip()
             if not out["author_original"]:

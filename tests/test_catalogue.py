@@ -10,7 +10,7 @@ HTML = """
 <div class="books_from_db">
   <ul>
     <li id="li_id10">
-      <span class="titlespan"><a href="toc.php?book_id=123A"> Title &amp; One </a></span>
+      <span class="titlespan"><a href="toc.php?book_id=123A"> Title &amp; <b>One</b> </a></span>
       <span class="authorspan"><a href="a.php">Author One</a></span>
       <span class="downloadpdf"><a href="/pdfs/0123/index.pdf">pdf</a></span>
     </li>
@@ -33,7 +33,8 @@ HTML = """
 
 def test_parse_catalogue_html_rules():
     items = SC.parse_catalogue_html(HTML)
-    assert [i["title_original"] for i in items] == ["Title & One", "Plain Title", "No Id"]
+    # get_text(strip=True): each text node stripped, then joined
+    assert [i["title_original"] for i in items] == ["Title &One", "Plain Title", "No Id"]
     assert items[0]["author_original"] == "Author One"
     assert items[0]["title_href"] == "toc.php?book_id=123A"
     assert items[1]["author_original"] == "Next Author"
