@@ -31,14 +31,15 @@ def not_equal_null_safe(c, value: str) -> Column:
 
 
 def dedupe_batch(incoming: DataFrame, keys: list[str], seq_col: str) -> tuple[DataFrame, DataFrame]:
-    """Within one incoming batch the last row per key (by ``seq_col``) wins; the
-    others are returned as rejects. Partial aggregation keeps a hot key map-side."""
+    """Within one incoming batch the last row per key (by ``seq_col``; ties broken by
+    the row's other values, so the choice is deterministic) wins; every other row is a
+    reject — nothing is dropped. Partial aggregation keeps a hot key map-side."""
     cols = [c for c in incoming.columns if c not in keys]
-    last = incoming.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.col(seq_col)).alias("_r"))
-    winners = last.select(*keys, "_r.*")
-    rejects = incoming.join(winners.select(*keys, F.col(seq_col).alias("_win")), keys, "left").filter(
-        F.col(seq_col) != F.col("_win")
-    ).drop("_win")
+    rest = [c for c in cols if c != seq_col]
+    order = F.struct(F.col(seq_col), *[F.col(c) for c in rest])
+    last = incoming.groupBy(*keys).agg(F.max_by(F.struct(*cols), order).alias("_r"))
+    winners = last.select(*keys, "_r.*").select(*incoming.columns)
+    rejects = incoming.exceptAll(winners)
     return winners, rejects
 
 

@@ -31,7 +31,7 @@ def inline_catalogue(pages: DataFrame, handlers: list[tuple[str, str]], registry
     if registry is not None:
         books = registry.dispatch(books, "pdf_url", handlers).withColumn("pdf_url", F.col("resolved_url")).drop("resolved_url", "handler")
     rows = CAT.inline_book_rows(books, "title_slug_in", "author_slug_in")
-    return rows.withColumn("language", F.col("page_language"))
+    return rows.withColumn("language", F.col("page_language")).withColumn("_seq", F.struct("page_pos", "book_pos"))
 
 
 def scraped_catalogue(pages: DataFrame, list_pages: DataFrame) -> DataFrame:
@@ -39,11 +39,15 @@ def scraped_catalogue(pages: DataFrame, list_pages: DataFrame) -> DataFrame:
     Slugs are computed directly (the reference's default for non-'kannada' pages);
     ``operators.enrich`` provides the cached provider path."""
     with_html = pages.filter(F.col("page_url").isNotNull()).join(list_pages, "page_url")
-    items = SC.dom_items(with_html.select("page_slug", "page_url", "page_language", "html"), "html")
+    items = SC.dom_items(with_html.select("page_pos", "page_slug", "page_url", "page_language", "html"), "html")
     items = items.withColumn("id", SC.catalogue_id("title_href", "pdf_href"))
     ok = items.filter(SC.complete_items(items))
     rows = CAT.scraped_book_rows(ok, slugify("title_original"), slugify(F.coalesce("author_original", F.lit(""))))
-    return rows.withColumn("pdf_url", url_join("page_url", "pdf_href")).withColumn("language", F.col("page_language"))
+    return (
+        rows.withColumn("pdf_url", url_join("page_url", "pdf_href"))
+        .withColumn("language", F.col("page_language"))
+        .withColumn("_seq", F.struct("page_pos", "item_pos"))
+    )
 
 
 def run_once(
@@ -65,8 +69,10 @@ def run_once(
     for p in parts[1:]:
         catalogue = catalogue.unionByName(p, allowMissingColumns=True)
     cols = [c for c in STATE_COLUMNS if c in catalogue.columns]
+    # An id listed twice in one pass -> the later listing wins, the rest are rejects
+    batch, _rejects = ST.dedupe_batch(catalogue.select(*cols, "_seq"), ST.KEYS, "_seq")
     state = SS.load_state(spark, state_root)
-    merged = ST.state_upsert(state, catalogue.select(*cols))
+    merged = ST.state_upsert(state, batch.select(*cols))
     limits = pages.select("page_slug", F.col("page_limit").alias("limit"))
     plan = ST.resume_plan(merged, limits)
     if outcomes is not None:

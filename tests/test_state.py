@@ -39,6 +39,10 @@ def test_dedupe_batch_last_wins(spark):
     win, rej = ST.dedupe_batch(b, ["page_slug", "id"], "seq")
     assert {(r.id, r.pdf_url) for r in win.collect()} == {("1", "b"), ("2", "c")}
     assert [(r.id, r.pdf_url) for r in rej.collect()] == [("1", "a")]
+    tie = spark.createDataFrame([("p", "1", "a", 1), ("p", "1", "b", 1), ("p", "1", "b", 1)], "page_slug string, id string, pdf_url string, seq int")
+    win, rej = ST.dedupe_batch(tie, ["page_slug", "id"], "seq")
+    assert [(r.id, r.pdf_url) for r in win.collect()] == [("1", "b")]
+    assert sorted((r.id, r.pdf_url) for r in rej.collect()) == [("1", "a"), ("1", "b")]
 
 
 def test_pending_keeps_null_status(spark):
