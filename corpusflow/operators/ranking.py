@@ -50,20 +50,10 @@ def number_within(
     ordering = [F.col(k).asc_nulls_first() for k in keys] + [
         (F.col(o) if isinstance(o, str) else o) for o in order
     ]
-    ranged = df.repartitionByRange(n, *ordering).sortWithinPartitions(*ordering)
-    # monotonically_increasing_id = (partition << 33) + position in partition, so the
-    # 0-based position of a row inside its (sorted) range partition is exact.
-    # Range bounds come from sampling and are not guaranteed to repeat between two
-    # evaluations, so the tagged rows are written once (checkpoint in the shared
-    # spark.checkpoint.dir) and both the counts and the numbering read that copy.
-    # This also cuts the lineage before the join.
-    work_dir(spark)
-    tagged = (
-        ranged.withColumn("_rp", F.spark_partition_id())
-        .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_rp").cast("bigint"), 33))
-        .checkpoint(eager=True)
-    )
+    tagged = range_tagged(df, ordering, n)
     # Only counts feed the offsets, so they do not depend on row order in this branch.
+    # The table has at most one row per (range partition, key); with no keys its windows
+    # run in one partition over at most ``n`` rows.
     stats = tagged.groupBy("_rp", *keys).agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.unboundedPreceding
     key_order = [F.col(k).asc_nulls_first() for k in keys]
@@ -91,6 +81,23 @@ def number_within(
     return joined.select(*outcols)
 
 
+def range_tagged(df: DataFrame, ordering: list, n: int) -> DataFrame:
+    """Rows range-partitioned and sorted on ``ordering``, tagged with their range partition
+    ``_rp`` and 0-based position ``_pos`` inside it, materialised once.
+
+    monotonically_increasing_id = (partition << 33) + position in partition, so ``_pos``
+    is exact. Range bounds come from sampling and are not guaranteed to repeat between two
+    evaluations, so the tagged rows are written once (checkpoint in the shared
+    spark.checkpoint.dir) and every consumer reads that copy; this also cuts the lineage."""
+    work_dir(df.sparkSession)
+    ranged = df.repartitionByRange(n, *ordering).sortWithinPartitions(*ordering)
+    return (
+        ranged.withColumn("_rp", F.spark_partition_id())
+        .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_rp").cast("bigint"), 33))
+        .checkpoint(eager=True)
+    )
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Broadcast ``df`` only when a bounded count proves it has at most ``max_rows`` rows;
     otherwise return it unchanged so the planner uses a shuffle join."""
