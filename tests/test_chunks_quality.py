@@ -103,3 +103,12 @@ def test_write_merged_bytes_equal_ordered_merge(spark, tmp_path):
         files = [f for f in glob.glob(os.path.join(out, f"doc={doc}", "part-*")) if os.path.getsize(f) > 0]
         assert len(files) == 1
         assert open(files[0], encoding="utf-8").read() == text
+
+
+def test_skipped_placeholder_and_fetch_hash(spark):
+    from corpusflow.operators.state import hash_after_fetch
+
+    ph = spark.createDataFrame([("x.pdf",)], "f string").select(CH.skipped_placeholder("f", "the")).collect()[0][0]
+    assert ph == "# OCR Skipped for x.pdf\n\nThis is a placeholder Markdown file as the OCR was disabled for testing purposes."
+    df = spark.createDataFrame([("new", "old"), (None, "old")], "n string, o string")
+    assert [r[0] for r in df.select(hash_after_fetch("n", "o")).collect()] == ["new", "old"]

@@ -109,3 +109,11 @@ def test_handler_first_match_in_config_order(spark):
         "https://x.com/y": (None, "https://x.com/y"),
         "https://u:p@archive.org:8080/z": ("archive_utils", "https://u:p@archive.org:8080/z"),
     }
+
+
+def test_handler_from_config_column(spark):
+    df = spark.createDataFrame(
+        [("https://www.archive.org/x", [("archive.org", "a"), ("org", "b")]), ("https://x.org/y", [("archive.org", "a"), ("org", "b")]), ("https://x.com/y", [("org", "b")])],
+        "u string, h array<struct<pattern:string,module:string>>",
+    )
+    assert [r[0] for r in df.select(RS.match_handler_col("u", "h")).collect()] == ["a", "b", None]
