@@ -32,6 +32,14 @@ def _names(xs) -> list[str]:
     return out
 
 
+MAX_GROUP_CONF = "corpusflow.numbering.maxGroupRows"
+DEFAULT_MAX_GROUP_ROWS = 2_000_000
+SKEW_FACTOR_CONF = "corpusflow.numbering.skewFactor"
+DEFAULT_SKEW_FACTOR = 2.0
+SMALL_GROUP_CONF = "corpusflow.numbering.smallGroupRows"
+DEFAULT_SMALL_GROUP_ROWS = 100_000
+
+
 def number_within(
     df: DataFrame,
     keys: list[str],
@@ -39,17 +47,42 @@ def number_within(
     out: str = "rn",
     total: str | None = None,
     partitions: int | None = None,
+    max_group_rows: int | None = None,
 ) -> DataFrame:
     """Add ``out`` = 1-based position of each row within its ``keys`` group by ``order``
     (and optionally ``total`` = group size). ``order`` must be a total order within a
     group (append a unique tie-break) for the numbering to be deterministic.
-    ``keys`` may be empty (one global numbering)."""
+    ``keys`` may be empty (one global numbering).
+
+    Adaptive: one partial aggregate measures the largest group and the row count. A plain
+    ``row_number()`` window (one task per group) is used only when the largest group is no
+    bigger than ``skewFactor`` (2) times an average task's share of rows — or below a small
+    floor (100,000) — and below the cap ``max_group_rows`` (default 2,000,000); otherwise a
+    hot key would be a straggler, so the range-split path below is used. Settings:
+    ``corpusflow.numbering.{maxGroupRows,skewFactor,smallGroupRows}``;
+    ``max_group_rows=0`` forces the split path."""
     spark = df.sparkSession
     keys = _names(keys)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordering = [F.col(k).asc_nulls_first() for k in keys] + [
-        (F.col(o) if isinstance(o, str) else o) for o in order
-    ]
+    order_cols = [(F.col(o) if isinstance(o, str) else o) for o in order]
+    limit = max_group_rows if max_group_rows is not None else int(spark.conf.get(MAX_GROUP_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
+    if keys and limit > 0:
+        stats = df.groupBy(*keys).count().agg(F.max("count"), F.sum("count")).collect()[0]
+        biggest, rows = stats[0] or 0, stats[1] or 0
+        factor = float(spark.conf.get(SKEW_FACTOR_CONF, str(DEFAULT_SKEW_FACTOR)))
+        floor = int(spark.conf.get(SMALL_GROUP_CONF, str(DEFAULT_SMALL_GROUP_ROWS)))
+        fair = max(floor, factor * rows / n)
+        if biggest <= min(limit, fair):
+            res = df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order_cols)).cast("bigint"))
+            if total:
+                res = res.withColumn(total, F.count(F.lit(1)).over(Window.partitionBy(*keys)).cast("bigint"))
+            return res
+    return _number_split(df, keys, order_cols, out, total, n)
+
+
+def _number_split(df: DataFrame, keys: list[str], order_cols: list, out: str, total: str | None, n: int) -> DataFrame:
+    """The skew-safe path: range split of every group, count-based offsets."""
+    ordering = [F.col(k).asc_nulls_first() for k in keys] + order_cols
     tagged = range_tagged(df, ordering, n)
     # Only counts feed the offsets, so they do not depend on row order in this branch.
     # The table has at most one row per (range partition, key); with no keys its windows

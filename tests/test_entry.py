@@ -19,10 +19,14 @@ def test_number_within_hot_key(spark):
     from corpusflow.operators.ranking import number_within
 
     df = spark.range(0, 30000).withColumn("k", F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 7 == 0, F.lit(None)).otherwise((F.col("id") % 50).cast("string"))).withColumn("o", (F.col("id") * 7919) % 30000)
-    a = number_within(df, ["k"], ["o"], out="rn", total="n")
+    a = number_within(df, ["k"], ["o"], out="rn", total="n", max_group_rows=0)
     b = df.withColumn("rn2", F.row_number().over(Window.partitionBy("k").orderBy("o"))).withColumn("n2", F.count("*").over(Window.partitionBy("k")))
     assert a.join(b, "id").filter("rn != rn2 or n != n2").count() == 0
     assert a.count() == 30000
+    # the adaptive choice: with a bound above the largest group the plain window is used
+    small = number_within(df, ["k"], ["o"], out="rn", total="n", max_group_rows=10**6)
+    assert "Window" in small._jdf.queryExecution().executedPlan().toString()
+    assert small.join(b, "id").filter("rn != rn2 or n != n2").count() == 0
 
 
 def test_hot_key_is_split_across_tasks(spark):
