@@ -33,7 +33,7 @@ def _names(xs) -> list[str]:
 
 
 MAX_GROUP_CONF = "corpusflow.numbering.maxGroupRows"
-DEFAULT_MAX_GROUP_ROWS = 2_000_000
+DEFAULT_MAX_GROUP_ROWS = 0  # 0 = always the skew-safe split path
 SKEW_FACTOR_CONF = "corpusflow.numbering.skewFactor"
 DEFAULT_SKEW_FACTOR = 2.0
 SMALL_GROUP_CONF = "corpusflow.numbering.smallGroupRows"
@@ -54,13 +54,13 @@ def number_within(
     group (append a unique tie-break) for the numbering to be deterministic.
     ``keys`` may be empty (one global numbering).
 
-    Adaptive: one partial aggregate measures the largest group and the row count. A plain
-    ``row_number()`` window (one task per group) is used only when the largest group is no
-    bigger than ``skewFactor`` (2) times an average task's share of rows — or below a small
-    floor (100,000) — and below the cap ``max_group_rows`` (default 2,000,000); otherwise a
-    hot key would be a straggler, so the range-split path below is used. Settings:
-    ``corpusflow.numbering.{maxGroupRows,skewFactor,smallGroupRows}``;
-    ``max_group_rows=0`` forces the split path."""
+    By default every group goes through the skew-safe split path below. Opt-in adaptive
+    mode (``max_group_rows`` > 0, or session conf ``corpusflow.numbering.maxGroupRows``):
+    one partial aggregate measures the largest group and the row count, and a plain
+    ``row_number()`` window (one task per group) is used only when the largest group is
+    at most ``skewFactor`` (2) times an average task's share — or below a small floor
+    (100,000) — and at most ``max_group_rows``. The measuring pass recomputes the input,
+    so it pays off only for inputs that are cheap to recompute (a table scan)."""
     spark = df.sparkSession
     keys = _names(keys)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
