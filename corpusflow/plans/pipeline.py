@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from corpusflow.functions.text import slugify
 from corpusflow.functions.urls import url_join
 from corpusflow.operators import catalogue as CAT
+from corpusflow.operators import enrich as EN
 from corpusflow.operators import state as ST
 from corpusflow.operators.resolve import HandlerRegistry
 from corpusflow.schemas import STATE_COLUMNS
@@ -31,18 +32,47 @@ def inline_catalogue(pages: DataFrame, handlers: list[tuple[str, str]], registry
     if registry is not None:
         books = registry.dispatch(books, "pdf_url", handlers).withColumn("pdf_url", F.col("resolved_url")).drop("resolved_url", "handler")
     rows = CAT.inline_book_rows(books, "title_slug_in", "author_slug_in")
-    return rows.withColumn("language", F.col("page_language")).withColumn("_seq", F.struct("page_pos", "book_pos"))
+    # The book's own language when given, else the page's (OCR keeps the page language)
+    lang = F.coalesce(F.col("book_language"), F.col("page_language"))
+    return rows.withColumn("language", lang).withColumn("_seq", F.struct("page_pos", "book_pos"))
 
 
-def scraped_catalogue(pages: DataFrame, list_pages: DataFrame) -> DataFrame:
+def scraped_catalogue(
+    pages: DataFrame,
+    list_pages: DataFrame,
+    state: DataFrame | None = None,
+    enrich_languages: set[str] | None = None,
+    provider=None,
+) -> DataFrame:
     """State rows for enabled pages with a URL, from their fetched HTML (``page_url, html``).
-    Slugs are computed directly (the reference's default for non-'kannada' pages);
-    ``operators.enrich`` provides the cached provider path."""
+
+    D1: pages whose language prefix (``kn`` of ``kn-IN``) is in ``enrich_languages`` get
+    their slugs from the cached provider (X1), reusing both slugs of an existing state row
+    when both are non-empty (J3); every other page slugifies title and author directly."""
     with_html = pages.filter(F.col("page_url").isNotNull()).join(list_pages, "page_url")
     items = SC.dom_items(with_html.select("page_pos", "page_slug", "page_url", "page_language", "html"), "html")
     items = items.withColumn("id", SC.catalogue_id("title_href", "pdf_href"))
-    ok = items.filter(SC.complete_items(items))
-    rows = CAT.scraped_book_rows(ok, slugify("title_original"), slugify(F.coalesce("author_original", F.lit(""))))
+    ok = items.filter(SC.complete_items(items)).withColumn("author_original", F.coalesce("author_original", F.lit("")))
+    langs = sorted(enrich_languages or [])
+    prefix = F.substring_index(F.col("page_language"), "-", 1)
+    enrich = prefix.isin(langs) if langs else F.lit(False)
+    plain = ok.filter(~enrich)
+    rows = CAT.scraped_book_rows(plain, slugify("title_original"), slugify("author_original"))
+    if langs:
+        todo = ok.filter(enrich)
+        if state is not None:
+            cache = state.select("page_slug", "id", "title_english_slug", "author_english_slug")
+            todo = todo.join(cache, ["page_slug", "id"], "left")
+            use = (F.coalesce("title_english_slug", F.lit("")) != "") & (F.coalesce("author_english_slug", F.lit("")) != "")
+        else:
+            todo = todo.withColumn("title_english_slug", F.lit(None).cast("string")).withColumn("author_english_slug", F.lit(None).cast("string"))
+            use = F.lit(False)
+        cached = todo.filter(use)
+        fresh = todo.filter(~use).drop("title_english_slug", "author_english_slug")
+        fresh = EN.enrich_cached(fresh, "title_original", provider=provider, out="_t")
+        fresh = EN.enrich_cached(fresh, "author_original", provider=provider, out="_a")
+        rows = rows.unionByName(CAT.scraped_book_rows(fresh, F.col("_t"), F.col("_a")).drop("_t", "_a"))
+        rows = rows.unionByName(CAT.scraped_book_rows(cached, F.col("title_english_slug"), F.col("author_english_slug")))
     return (
         rows.withColumn("pdf_url", url_join("page_url", "pdf_href"))
         .withColumn("language", F.col("page_language"))
@@ -57,21 +87,23 @@ def run_once(
     outcomes: DataFrame | None = None,
     list_pages: DataFrame | None = None,
     registry: HandlerRegistry | None = None,
+    enrich_languages: set[str] | None = None,
+    provider=None,
 ) -> dict:
     """One pass of the pipeline; returns the new state version and the plan size."""
     cfg = CFG.read_config(spark, config_path)
     handlers = [(h.pattern, h.module) for h in cfg.select(F.explode("handlers").alias("h")).select("h.*").collect()]
     pages = CFG.enabled_pages(CFG.config_pages(cfg, keep=["config_path"]))
+    state = SS.load_state(spark, state_root)
     parts = [inline_catalogue(pages, handlers, registry)]
     if list_pages is not None:
-        parts.append(scraped_catalogue(pages, list_pages))
+        parts.append(scraped_catalogue(pages, list_pages, state, enrich_languages, provider))
     catalogue = parts[0]
     for p in parts[1:]:
         catalogue = catalogue.unionByName(p, allowMissingColumns=True)
     cols = [c for c in STATE_COLUMNS if c in catalogue.columns]
     # An id listed twice in one pass -> the later listing wins, the rest are rejects
     batch, _rejects = ST.dedupe_batch(catalogue.select(*cols, "_seq"), ST.KEYS, "_seq")
-    state = SS.load_state(spark, state_root)
     merged = ST.state_upsert(state, batch.select(*cols))
     limits = pages.select("page_slug", F.col("page_limit").alias("limit"))
     plan = ST.resume_plan(merged, limits)
