@@ -120,3 +120,47 @@ def reset(spark: SparkSession, state_root: str, target_page: str | None = None)
     counts = {r.page_slug: r.n_reset for r in ST.reset_counts(state, target_page).collect()}
     version = SS.save_state(ST.reset_statuses(state, target_page), state_root)
     return {"version": version, "reset": counts}
+
+
+# --- E2: OCR results -> documents ------------------------------------------------------
+
+# fixed value: result archives are named ``<doc>__<part>.zip`` (part 0 = whole document)
+ARCHIVE_NAME = r"([^/]+)__(\d+)\.zip$"
+
+
+def ocr_results(spark: SparkSession, archives_dir: str, plan: DataFrame) -> DataFrame:
+    """E2 after the external OCR jobs: per planned document (``plan``: doc, part — part 0
+    or null for a whole document) whether OCR succeeded (every chunk has both its markdown
+    and its metadata), the merged markdown of successful documents, and the confidence
+    metrics over all of its chunks' page metadata.
+
+    S6 unpack -> J6 chunk outputs -> A2 all-or-nothing -> A3 ordered merge; S7 blocks ->
+    U2 (keyed by doc, part, page) -> A1 metrics."""
+    from corpusflow.operators import chunks as CH
+    from corpusflow.operators import quality as Q
+    from corpusflow.sources import files as FS
+
+    entries = FS.archive_entries(spark, archives_dir).filter(F.col("error").isNull())
+    docs, meta = FS.ocr_outputs(entries)
+    key = lambda c: F.regexp_extract(F.col("archive_path"), ARCHIVE_NAME, c)
+    docs = docs.withColumn("doc", key(1)).withColumn("part", key(2).cast("bigint"))
+    meta = meta.withColumn("doc", key(1)).withColumn("part", key(2).cast("bigint"))
+    chunks = plan.select("doc", F.coalesce(F.col("part").cast("bigint"), F.lit(0).cast("bigint")).alias("part"))
+    texts = docs.filter(F.col("markdown").isNotNull())
+    outputs = CH.chunk_outputs(chunks, texts.select("doc", "part"), meta.select("doc", "part"), ["doc", "part"])
+    success = CH.document_success(outputs, "doc")
+    good = success.filter("success").select("doc")
+    # a document that was not split keeps its markdown as is; chunks get the separator
+    pieces = texts.withColumn(
+        "piece", F.when(F.col("part") == 0, F.col("markdown")).otherwise(F.concat(F.col("markdown"), F.lit(CH.CHUNK_SEPARATOR)))
+    )
+    merged = CH.ordered_merge(pieces.join(good, "doc", "left_semi"), "doc", "part", "piece", sep="")
+    blocks = FS.block_rows(
+        meta.join(good, "doc", "left_semi").withColumnRenamed("content", "metadata"), "metadata", "file_name", ["doc", "part"]
+    )
+    metrics = Q.confidence_metrics(blocks, good, "doc")
+    return (
+        success.select("doc", F.col("success").alias("ocr_ok"), "n_chunks")
+        .join(merged.select("doc", "merged_text"), "doc", "left")
+        .join(metrics, "doc", "left")
+    )
