@@ -25,10 +25,6 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def url_scheme(x) -> Column:
-    return F.lower(F.regexp_extract(_c(x), URL_SPLIT, 1))
-
-
 def url_authority(x) -> Column:
     """``urlparse(u).netloc`` (userinfo and port included)."""
     return F.regexp_extract(_c(x), URL_SPLIT, 2)

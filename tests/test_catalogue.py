@@ -1,6 +1,5 @@
 """Catalogue extraction: DOM mode follows the reference's field rules; regex mode on flat items."""
 
-from pyspark.sql import functions as F
 
 from corpusflow.sources import catalogue as SC
 

@@ -3,8 +3,6 @@
 import json
 import os
 
-from pyspark.sql import functions as F
-
 from corpusflow.operators import enrich as EN
 from corpusflow.sources import config as CFG
 
@@ -78,7 +76,6 @@ def test_ingest_results(spark):
 
 
 def test_incremental_upsert_rerun_is_noop(spark, tmp_path):
-    from corpusflow.operators.state import state_upsert
     from corpusflow.streaming.incremental import drain_drops, upsert_from_log
 
     drops, log, ckpt = (str(tmp_path / x) for x in ("drops", "log", "ckpt"))

@@ -1,6 +1,5 @@
 """State operators: upsert, checksum verdicts, resets, limits, the stage machine, versions."""
 
-from pyspark.sql import functions as F
 
 from corpusflow.operators import state as ST
 from corpusflow.schemas import BOOK_STATE, STATE_COLUMNS
