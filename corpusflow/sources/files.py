@@ -29,8 +29,17 @@ def file_listing(items: DataFrame, json_col: str, keep: list[str]) -> DataFrame:
 
 
 def binary_digests(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """S5 scan: ``path, sha256`` of every file under ``path`` (binaryFile reader)."""
-    raw = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
+    """S5 scan: ``path, sha256`` of every readable file under ``path`` (binaryFile reader).
+    Unreadable or vanished files are skipped (Spark logs them), so the expected-list join
+    gives them a null digest instead of failing the job."""
+    raw = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", glob)
+        .option("recursiveFileLookup", "true")
+        .option("ignoreCorruptFiles", "true")
+        .option("ignoreMissingFiles", "true")
+        .load(path)
+    )
     return raw.select("path", "length", F.sha2(F.col("content"), 256).alias("sha256"))
 
 
