@@ -232,7 +232,7 @@ cfg2 AS (
 )"""
 
 ORACLE["config_flatten"] = f"""WITH {_CFG}
-SELECT c.page_id, i.item_pos::BIGINT AS book_pos, c.page_name, c.page_language, c.page_limit, c.page_slug,
+SELECT c.page_id, i.item_pos::BIGINT AS book_pos, c.page_name, c.page_language, coalesce(c.page_limit, 0)::INTEGER AS page_limit, c.page_slug,
        substr(i.raw_href, 2) AS id, {unescape('i.raw_text')} AS title_original, '' AS author_original, i.raw_href AS pdf_url
 FROM cfg2 c JOIN items i ON c.page_id = i.page_id
 WHERE c.process_flag"""
@@ -347,14 +347,14 @@ plan AS (
        unnest(CASE WHEN d.n_chars > 500 THEN generate_series(1, CAST(ceil(d.n_chars / 500) AS BIGINT)) ELSE [NULL::BIGINT] END) AS p(part)
 )"""
 
-ORACLE["chunk_plan"] = f"WITH {_PLAN} SELECT doc_id, part::BIGINT AS part, start_page, end_page FROM plan"
+ORACLE["chunk_plan"] = f"WITH {_PLAN} SELECT doc_id, coalesce(part, 0)::BIGINT AS part, start_page, end_page FROM plan"
 ORACLE["chunk_names"] = f"""WITH {_BOOKS}, {_PLAN.strip()},
 st AS (SELECT doc_id, regexp_replace(fname, '^(.*?[^.].*)\\.[^.]*$', '\\1') AS stem FROM paths)
-SELECT p.doc_id, p.part::BIGINT AS part,
+SELECT p.doc_id, coalesce(p.part, 0)::BIGINT AS part,
        CASE WHEN p.part IS NOT NULL THEN s.stem || '_chunks/' || s.stem || '_part_' || CAST(p.part AS VARCHAR) || '.pdf' ELSE s.stem || '.pdf' END AS chunk_pdf,
        CASE WHEN p.part IS NOT NULL THEN s.stem || '_part_' || CAST(p.part AS VARCHAR) || '.md' ELSE s.stem || '.md' END AS chunk_md
 FROM plan p JOIN st s ON p.doc_id = s.doc_id"""
-ORACLE["chunk_slices"] = f"WITH {_PLAN} SELECT doc_id, part::BIGINT AS part, substr(text, CAST(start_page + 1 AS INTEGER), CAST(end_page - start_page AS INTEGER)) AS slice FROM plan"
+ORACLE["chunk_slices"] = f"WITH {_PLAN} SELECT doc_id, coalesce(part, 0)::BIGINT AS part, substr(text, CAST(start_page + 1 AS INTEGER), CAST(end_page - start_page AS INTEGER)) AS slice FROM plan"
 
 _PRE = """
 pre AS (

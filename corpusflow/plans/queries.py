@@ -22,6 +22,7 @@ from corpusflow.operators import resolve as RS
 from corpusflow.operators import state as ST
 from corpusflow.operators.ranking import ensure_parallelism
 from corpusflow.plans import inputs as IN
+from corpusflow.plans.providers import fold_provider
 from corpusflow.schemas import STATE_COLUMNS
 from corpusflow.sources import catalogue as SC
 from corpusflow.sources import config as CFG
@@ -253,7 +254,8 @@ def q_config_flatten(spark, sf):
         F.col("book_pos").cast("bigint").alias("book_pos"),
         "page_name",
         "page_language",
-        "page_limit",
+        # null and 0 both mean "no limit"; shown as 0 so the column has no nulls
+        F.coalesce(F.col("page_limit"), F.lit(0)).alias("page_limit"),
         "page_slug",
         "id",
         "title_original",
@@ -367,23 +369,28 @@ def q_sort_metadata(spark, sf):
 
 # --- C / K4: chunks over documents ---------------------------------------------------------------
 
+def _whole_part():
+    """The operators mark an unsplit document with a null part; the views show it as part
+    0 (the same convention as OCR result archive names), so the column has no nulls."""
+    return F.coalesce(F.col("part"), F.lit(0).cast("bigint")).alias("part")
+
 
 @query("chunk_plan")
 def q_chunk_plan(spark, sf):
-    return CH.chunk_plan(_docs(spark, sf, "n_chars"), "n_chars").select("doc_id", "part", "start_page", "end_page")
+    return CH.chunk_plan(_docs(spark, sf, "n_chars"), "n_chars").select("doc_id", _whole_part(), "start_page", "end_page")
 
 
 @query("chunk_names")
 def q_chunk_names(spark, sf):
     b = _inline_books(spark, sf).join(_docs(spark, sf, "n_chars"), "doc_id")
     b = b.withColumn("stem", TX.stem(TX.basename("local_pdf_path")))
-    return CH.chunk_names(CH.chunk_plan(b, "n_chars"), "stem").select("doc_id", "part", "chunk_pdf", "chunk_md")
+    return CH.chunk_names(CH.chunk_plan(b, "n_chars"), "stem").select("doc_id", _whole_part(), "chunk_pdf", "chunk_md")
 
 
 @query("chunk_slices")
 def q_chunk_slices(spark, sf):
     plan = CH.chunk_plan(_docs(spark, sf, "text", "n_chars"), "n_chars")
-    return CH.chunk_slices(plan, "text").select("doc_id", "part", "slice")
+    return CH.chunk_slices(plan, "text").select("doc_id", _whole_part(), "slice")
 
 
 def _precheck(spark, sf) -> DataFrame:
@@ -603,11 +610,6 @@ def q_slug_cache_join(spark, sf):
     return r.select("p_partkey", "title_english_slug", "author_english_slug", "from_cache")
 
 
-def fold_provider(texts):
-    """Stand-in transliteration provider: NFKD, then drop non-ASCII."""
-    return texts.str.normalize("NFKD").str.encode("ascii", "ignore").str.decode("ascii")
-
-
 @query("enrich_cached")
 def q_enrich_cached(spark, sf):
     items = _part_items(spark, sf)

@@ -45,3 +45,25 @@ def test_column_functions_stay_in_the_jvm(spark):
 def test_handler_list_is_compiled_not_joined(spark):
     p = plan_of(E.queries()["resolve_handler"](spark, SF))
     assert "Join" not in p and "Exchange" not in p
+
+
+def test_no_columns_built_at_import_time():
+    """Python workers import library modules to unpickle functions; a Column built at
+    module level needs a SparkContext there and fails the task."""
+    import ast
+    import os
+
+    import corpusflow
+
+    root = os.path.dirname(corpusflow.__file__)
+    offenders = []
+    for d, _, files in os.walk(root):
+        for f in files:
+            if f.endswith(".py"):
+                tree = ast.parse(open(os.path.join(d, f), encoding="utf-8").read())
+                for node in tree.body:
+                    if isinstance(node, (ast.Assign, ast.AnnAssign, ast.Expr)):
+                        for sub in ast.walk(node):
+                            if isinstance(sub, ast.Call) and isinstance(sub.func, ast.Attribute) and getattr(sub.func.value, "id", None) == "F":
+                                offenders.append(f"{f}:{node.lineno}")
+    assert offenders == []
