@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusflow.functions.text import zfill_id
@@ -151,16 +151,40 @@ def limit_per_page(pending: DataFrame, limits: DataFrame, page_col: str = "page_
     """W2 + W3: in zfill-id order, the first ``limit`` rows of each page (null or 0 ->
     no limit), with ``ordinal`` (1-based) and ``total`` (rows kept on the page).
 
-    The per-page limits table is broadcast only after a bounded count; the numbering is
-    skew-safe (a page holding a third of all rows is split over many tasks)."""
+    Limited pages: ``row_number() <= literal max limit`` lets Catalyst insert a partial
+    ``WindowGroupLimit`` before the shuffle, so every map partition ships at most that many
+    rows per page — a hot page costs no more than a small one — and each page's own
+    limit is applied after. Unlimited pages (and limits above
+    ``spark.sql.optimizer.windowGroupLimitThreshold``) go through the skew-safe numbering.
+    The per-page limits table is broadcast only after a bounded count; its distinct limit
+    values are config-sized."""
+    spark = pending.sparkSession
     lim = broadcast_if_small(limits.select(F.col(page_col).alias("_lp"), F.col("limit").alias("_limit")))
     z = pending.withColumn("_zid", zfill_id("id"))
-    ranked = number_within(z, [page_col], ["_zid", "id"], out="ordinal", total="_n")
-    j = ranked.join(lim, ranked[page_col] == lim["_lp"], "left")
-    unlimited = F.coalesce(F.col("_limit"), F.lit(0)) == F.lit(0)
-    kept = j.filter(unlimited | (F.col("ordinal") <= F.col("_limit")))
-    total = F.when(unlimited, F.col("_n")).otherwise(F.least(F.col("_n"), F.col("_limit").cast("bigint")))
-    return kept.withColumn("total", total).drop("_lp", "_limit", "_n", "_zid")
+    j = z.join(lim, z[page_col] == lim["_lp"], "left").drop("_lp")
+    positive = [r[0] for r in limits.select("limit").where(F.col("limit") > 0).distinct().collect()]
+    threshold = int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    limited = F.coalesce(F.col("_limit"), F.lit(0)) > 0
+    parts = []
+    if positive and max(positive) <= threshold:
+        top = max(positive)
+        lj = j.filter(limited)
+        w = Window.partitionBy(page_col).orderBy("_zid", "id")
+        head = lj.withColumn("ordinal", F.row_number().over(w).cast("bigint")).filter(F.col("ordinal") <= F.lit(top))
+        head = head.filter(F.col("ordinal") <= F.col("_limit"))
+        sizes = lj.groupBy(F.col(page_col).alias("_sp")).agg(F.count(F.lit(1)).alias("_n"))
+        head = head.join(sizes, head[page_col] == sizes["_sp"], "left").drop("_sp")
+        head = head.withColumn("total", F.least(F.col("_n"), F.col("_limit").cast("bigint")))
+        parts.append(head)
+        rest = j.filter(~limited)
+    else:
+        rest = j
+    ranked = number_within(rest, [page_col], ["_zid", "id"], out="ordinal", total="_n")
+    keep = ~limited | (F.col("ordinal") <= F.col("_limit"))
+    total = F.when(~limited, F.col("_n")).otherwise(F.least(F.col("_n"), F.col("_limit").cast("bigint")))
+    parts.append(ranked.filter(keep).withColumn("total", total))
+    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return out.drop("_limit", "_n", "_zid")
 
 
 def pending_counts(limited: DataFrame, page_col: str = "page_slug") -> DataFrame:

@@ -67,3 +67,10 @@ def test_no_columns_built_at_import_time():
                             if isinstance(sub, ast.Call) and isinstance(sub.func, ast.Attribute) and getattr(sub.func.value, "id", None) == "F":
                                 offenders.append(f"{f}:{node.lineno}")
     assert offenders == []
+
+
+def test_page_limit_is_applied_before_the_shuffle(spark):
+    df = E.queries()["limit_per_page"](spark, SF)
+    df.collect()
+    p = plan_of(df)
+    assert "WindowGroupLimit" in p and "Partial" in p
