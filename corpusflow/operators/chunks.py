@@ -24,14 +24,17 @@ def _c(x) -> Column:
 
 def chunk_plan(df: DataFrame, pages_col: str, limit: int = PAGE_LIMIT) -> DataFrame:
     """More than ``limit`` pages -> parts of at most ``limit`` pages (part 1-based,
-    start 0-based, end exclusive); otherwise one whole-document row with a null part."""
+    start 0-based, end exclusive); otherwise one whole-document row with a null part.
+    ``n_parts`` is the chunk count of the document (W3's total for chunks), computed per row
+    without an aggregation."""
     n = F.col(pages_col).cast("bigint")
     nparts = F.ceil(n / F.lit(limit)).cast("bigint")
     parts = F.when(n > limit, F.sequence(F.lit(1).cast("bigint"), nparts)).otherwise(F.array(F.lit(None).cast("bigint")))
     ex = df.withColumn("part", F.explode(parts))
     start = F.when(F.col("part").isNull(), F.lit(0).cast("bigint")).otherwise((F.col("part") - 1) * limit)
     end = F.when(F.col("part").isNull(), n).otherwise(F.least(F.col("part") * limit, n))
-    return ex.withColumn("start_page", start).withColumn("end_page", end)
+    n_parts = F.when(n > limit, nparts).otherwise(F.lit(1).cast("bigint"))
+    return ex.withColumn("start_page", start).withColumn("end_page", end).withColumn("n_parts", n_parts)
 
 
 def chunk_names(plan: DataFrame, stem_col: str) -> DataFrame:

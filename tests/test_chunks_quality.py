@@ -13,6 +13,7 @@ def test_chunk_plan_edges(spark):
     df = spark.createDataFrame([(1, 0), (2, 500), (3, 501), (4, 1500), (5, 1501)], "doc int, n int")
     rows = CH.chunk_plan(df, "n").orderBy("doc", "part").collect()
     got = [(r.doc, r.part, r.start_page, r.end_page) for r in rows]
+    assert [r.n_parts for r in rows] == [1, 1, 2, 2, 3, 3, 3, 4, 4, 4, 4]
     assert got == [
         (1, None, 0, 0), (2, None, 0, 500),
         (3, 1, 0, 500), (3, 2, 500, 501),
