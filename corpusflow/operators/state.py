@@ -13,10 +13,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusflow.functions.text import zfill_id
-from corpusflow.operators.ranking import broadcast_if_small, number_within
+from corpusflow.operators.ranking import number_within
 from corpusflow.schemas import COMPLETED, FAILED, IN_PROGRESS, PENDING, STAGE_NAMES, STAGES
 
 KEYS = ["page_slug", "id"]
+# page-config tables up to this many rows are broadcast (checked by a bounded read)
+LIMITS_BROADCAST_ROWS = 100_000
 # Columns a re-scan overwrites on a matched row (the rest keep their old values).
 OVERWRITE_ON_MATCH = ["pdf_url", "local_pdf_path", "local_md_path", "local_docx_path"]
 
@@ -159,10 +161,17 @@ def limit_per_page(pending: DataFrame, limits: DataFrame, page_col: str = "page_
     The per-page limits table is broadcast only after a bounded count; its distinct limit
     values are config-sized."""
     spark = pending.sparkSession
-    lim = broadcast_if_small(limits.select(F.col(page_col).alias("_lp"), F.col("limit").alias("_limit")))
+    table = limits.select(F.col(page_col).alias("_lp"), F.col("limit").alias("_limit"))
+    # one bounded read of the page-config table: its size check and its limit values
+    head = table.limit(LIMITS_BROADCAST_ROWS + 1).collect()
+    small = len(head) <= LIMITS_BROADCAST_ROWS
+    lim = F.broadcast(table) if small else table
+    if small:
+        positive = sorted({r._limit for r in head if r._limit is not None and r._limit > 0})
+    else:
+        positive = [r[0] for r in table.select("_limit").where(F.col("_limit") > 0).distinct().collect()]
     z = pending.withColumn("_zid", zfill_id("id"))
     j = z.join(lim, z[page_col] == lim["_lp"], "left").drop("_lp")
-    positive = [r[0] for r in limits.select("limit").where(F.col("limit") > 0).distinct().collect()]
     threshold = int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     limited = F.coalesce(F.col("_limit"), F.lit(0)) > 0
     parts = []
