@@ -19,18 +19,26 @@ def _fs(spark: SparkSession, root: str):
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path, jvm
 
 
-def committed_versions(spark: SparkSession, root: str) -> list[int]:
+def _versions(spark: SparkSession, root: str, committed_only: bool) -> list[int]:
     fs, path, jvm = _fs(spark, root)
     if not fs.exists(path):
         return []
     out = []
     for st in fs.listStatus(path):
         name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[2:]))
+        if not (name.startswith("v=") and name[2:].isdigit()):
+            continue
+        if committed_only and not fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            continue
+        out.append(int(name[2:]))
     return sorted(out)
 
 
+def committed_versions(spark: SparkSession, root: str) -> list[int]:
+    """Versions whose write finished (``_SUCCESS`` present); only these are read."""
+    return _versions(spark, root, committed_only=True)
+
+
 def conform(df: DataFrame) -> DataFrame:
     """Project onto the state schema; missing optional keys become null."""
     return df.select(
@@ -63,7 +71,9 @@ def save_state(df: DataFrame, root: str, partition_by_page: bool = True) -> int:
 
     Partitioned by ``page_slug`` so per-page resets and plans prune to one page."""
     spark = df.sparkSession
-    vs = committed_versions(spark, root)
+    # number past every folder, committed or not: a write that died midway leaves a folder
+    # without _SUCCESS, which is never read and never reused
+    vs = _versions(spark, root, committed_only=False)
     v = (vs[-1] + 1) if vs else 1
     w = conform(df).write.mode("errorifexists")
     if partition_by_page:

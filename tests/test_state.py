@@ -125,6 +125,13 @@ def test_save_and_load_versions(spark, tmp_path):
     assert SS.committed_versions(spark, root) == [1, 2]
     back = SS.load_state(spark, root).collect()
     assert [(r.page_slug, r.id, r.status) for r in back] == [("p", "1", "pending")]
+    # a write that died midway: folder without _SUCCESS is skipped on read and not reused
+    import os
+
+    os.makedirs(os.path.join(root, "v=3"))
+    assert SS.committed_versions(spark, root) == [1, 2]
+    assert SS.save_state(s2, root) == 4
+    assert SS.committed_versions(spark, root) == [1, 2, 4]
 
 
 def test_load_reference_json_layout(spark, tmp_path):
