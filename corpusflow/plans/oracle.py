@@ -568,3 +568,10 @@ ORACLE["state_fold"] = """
 SELECT user_id, event_type AS last_status FROM (
   SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rk FROM events
 ) WHERE rk = 1"""
+
+# --- written and read back ---------------------------------------------------------------------------------------------------
+
+ORACLE["state_roundtrip"] = f"WITH {_STATE} SELECT page_slug, id, status, download_status, ocr_status, docx_conversion_status, pdf_url, error_message FROM st"
+ORACLE["merged_text_sink"] = """
+SELECT conv_id, string_agg(text || chr(10) || chr(10) || '---' || chr(10) || chr(10), '' ORDER BY turn) AS merged_text
+FROM conversations GROUP BY conv_id"""

@@ -634,3 +634,31 @@ def q_state_fold(spark, sf):
 
     ev = IN.table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type")
     return state_fold(ev, ["user_id"], "event_type", ["ts", "event_id"], out="last_status")
+
+
+# --- K1 / S2 / K3 on driver data: written, then read back ------------------------------------------
+
+
+@query("state_roundtrip")
+def q_state_roundtrip(spark, sf):
+    """K1 + S2: the orders-derived state written as a committed version, then loaded."""
+    from corpusflow.session import scratch
+    from corpusflow.sources import state as SS
+
+    root = scratch(spark, "state")
+    SS.save_state(_state(spark, sf), root)
+    return SS.load_state(spark, root).select("page_slug", "id", "status", "download_status", "ocr_status", "docx_conversion_status", "pdf_url", "error_message")
+
+
+@query("merged_text_sink")
+def q_merged_text_sink(spark, sf):
+    """K3: every conversation written as one markdown file (turns in order, each followed
+    by the chunk separator), read back whole."""
+    from corpusflow.session import scratch
+    from corpusflow.sinks.text import write_merged
+
+    out = scratch(spark, "merged")
+    c = IN.table(spark, sf, "conversations").select("conv_id", "turn", "text")
+    write_merged(c, "conv_id", "turn", "text", out)
+    files = spark.read.text(out, wholetext=True)
+    return files.select(F.col("conv_id").cast("bigint").alias("conv_id"), F.col("value").alias("merged_text"))
