@@ -210,3 +210,38 @@ def catalogue_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def prior_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """State before the re-scan: finished or open orders (status F, O)."""
     return book_state(spark, sf_dir).filter(F.col("o_orderstatus").isin("F", "O"))
+
+
+# --- conversations -> OCR result archives -------------------------------------------------------
+
+
+def _zip_conversation(pdf):
+    """One archive per conversation, entries in turn order: assistant turns are markdown
+    outputs ``turn_{k}.md``, user turns page metadata ``metadata/page_{k}.json`` (one block,
+    confidence = text length % 100 / 100), other turns ``notes/turn_{k}.txt``."""
+    import io
+    import json
+    import zipfile
+
+    import pandas as pd
+
+    pdf = pdf.sort_values("turn")
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for turn, role, text in zip(pdf["turn"], pdf["role"], pdf["text"]):
+            if role == "assistant":
+                z.writestr(f"turn_{turn}.md", text)
+            elif role == "user":
+                block = {"block_id": f"t{turn}", "confidence": (len(text) % 100) / 100, "text": text}
+                z.writestr(f"metadata/page_{turn}.json", json.dumps({"page_num": int(turn), "blocks": [block]}))
+            else:
+                z.writestr(f"notes/turn_{turn}.txt", text)
+    conv = int(pdf["conv_id"].iloc[0])
+    return pd.DataFrame({"path": [f"conv_{conv}.zip"], "content": [buf.getvalue()]})
+
+
+def ocr_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OCR result archives (``path, content`` like the binaryFile reader), one per
+    conversation; an archive is one object, so its size is the conversation's."""
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return c.groupBy("conv_id").applyInPandas(_zip_conversation, "path string, content binary")

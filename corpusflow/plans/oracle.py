@@ -575,3 +575,10 @@ ORACLE["state_roundtrip"] = f"WITH {_STATE} SELECT page_slug, id, status, downlo
 ORACLE["merged_text_sink"] = """
 SELECT conv_id, string_agg(text || chr(10) || chr(10) || '---' || chr(10) || chr(10), '' ORDER BY turn) AS merged_text
 FROM conversations GROUP BY conv_id"""
+
+ORACLE["ocr_output_unpack"] = """
+SELECT conv_id,
+       arg_min(text, turn) FILTER (WHERE role = 'assistant') AS markdown,
+       arg_min('turn_' || CAST(turn AS VARCHAR) || '.md', turn) FILTER (WHERE role = 'assistant') AS markdown_entry,
+       count(*) FILTER (WHERE role = 'user')::BIGINT AS n_metadata
+FROM conversations GROUP BY conv_id"""

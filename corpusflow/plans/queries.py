@@ -662,3 +662,19 @@ def q_merged_text_sink(spark, sf):
     write_merged(c, "conv_id", "turn", "text", out)
     files = spark.read.text(out, wholetext=True)
     return files.select(F.col("conv_id").cast("bigint").alias("conv_id"), F.col("value").alias("merged_text"))
+
+
+@query("ocr_output_unpack")
+def q_ocr_output_unpack(spark, sf):
+    """S6 + W4: per archive the first markdown entry (archive order) and the number of
+    metadata JSON entries; archives without markdown have a null markdown (failed)."""
+    entries = FS.unpack_archives(IN.ocr_archives(spark, sf))
+    docs, meta = FS.ocr_outputs(entries)
+    n_meta = meta.groupBy("archive_path").agg(F.count(F.lit(1)).cast("bigint").alias("n_metadata"))
+    out = docs.join(n_meta, "archive_path", "left")
+    return out.select(
+        F.regexp_extract("archive_path", r"conv_(\d+)\.zip", 1).cast("bigint").alias("conv_id"),
+        "markdown",
+        "markdown_entry",
+        F.coalesce(F.col("n_metadata"), F.lit(0).cast("bigint")).alias("n_metadata"),
+    )

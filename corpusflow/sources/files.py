@@ -63,14 +63,20 @@ def _unpack(batches):
         yield pd.DataFrame(rows, columns=["archive_path", "entry_pos", "entry_name", "content", "error"])
 
 
-def archive_entries(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFrame:
-    """S6 scan: every entry of every result archive as a row (Arrow-batched stdlib zipfile)."""
-    raw = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
-    return raw.select("path", "content").mapInPandas(
+def unpack_archives(archives: DataFrame) -> DataFrame:
+    """Every entry of every archive in a ``path, content`` DataFrame (the binaryFile
+    layout) as a row, in archive order (Arrow-batched stdlib zipfile)."""
+    return archives.select("path", "content").mapInPandas(
         _unpack, "archive_path string, entry_pos int, entry_name string, content string, error string"
     )
 
 
+def archive_entries(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFrame:
+    """S6 scan: every entry of every result archive under ``path``."""
+    raw = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
+    return unpack_archives(raw)
+
+
 def ocr_outputs(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Per archive the first ``.md`` entry in archive order, plus all ``metadata/*.json``
     entries. Archives without a markdown entry come back with a null ``markdown`` (failed)."""
