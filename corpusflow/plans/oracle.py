@@ -582,3 +582,20 @@ SELECT conv_id,
        arg_min('turn_' || CAST(turn AS VARCHAR) || '.md', turn) FILTER (WHERE role = 'assistant') AS markdown_entry,
        count(*) FILTER (WHERE role = 'user')::BIGINT AS n_metadata
 FROM conversations GROUP BY conv_id"""
+
+ORACLE["ocr_document_outputs"] = """
+WITH c AS (
+  SELECT conv_id,
+         bool_or(role = 'assistant') AND bool_or(role = 'user') AS ok,
+         arg_min(text, turn) FILTER (WHERE role = 'assistant') AS md,
+         avg((length(text) % 100) / 100.0) FILTER (WHERE role = 'user') AS a,
+         count(*) FILTER (WHERE role = 'user' AND (length(text) % 100) / 100.0 < 0.7) AS n,
+         array_to_string(list_sort(list_distinct(list(turn) FILTER (WHERE role = 'user' AND (length(text) % 100) / 100.0 < 0.7))), ',') AS pages
+  FROM conversations GROUP BY conv_id
+)
+SELECT conv_id, ok AS ocr_ok, 1::BIGINT AS n_chunks,
+       CASE WHEN ok THEN md END AS merged_text,
+       CASE WHEN ok THEN round(a, 6) END AS avg_page_confidence,
+       (CASE WHEN ok THEN n ELSE 0 END)::BIGINT AS low_confidence_blocks_count,
+       CASE WHEN ok THEN coalesce(pages, '') ELSE '' END AS pages_with_low_confidence_blocks
+FROM c"""

@@ -128,7 +128,7 @@ def reset(spark: SparkSession, state_root: str, target_page: str | None = None)
 ARCHIVE_NAME = r"([^/]+)__(\d+)\.zip$"
 
 
-def ocr_results(spark: SparkSession, archives_dir: str, plan: DataFrame) -> DataFrame:
+def ocr_results(spark: SparkSession, archives, plan: DataFrame) -> DataFrame:
     """E2 after the external OCR jobs: per planned document (``plan``: doc, part — part 0
     or null for a whole document) whether OCR succeeded (every chunk has both its markdown
     and its metadata), the merged markdown of successful documents, and the confidence
@@ -140,7 +140,9 @@ def ocr_results(spark: SparkSession, archives_dir: str, plan: DataFrame) -> Data
     from corpusflow.operators import quality as Q
     from corpusflow.sources import files as FS
 
-    entries = FS.archive_entries(spark, archives_dir).filter(F.col("error").isNull())
+    # archives: a folder of result archives, or a DataFrame in the binaryFile layout
+    raw = FS.archive_entries(spark, archives) if isinstance(archives, str) else FS.unpack_archives(archives)
+    entries = raw.filter(F.col("error").isNull())
     docs, meta = FS.ocr_outputs(entries)
     key = lambda c: F.regexp_extract(F.col("archive_path"), ARCHIVE_NAME, c)
     docs = docs.withColumn("doc", key(1)).withColumn("part", key(2).cast("bigint"))

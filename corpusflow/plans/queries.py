@@ -678,3 +678,24 @@ def q_ocr_output_unpack(spark, sf):
         "markdown_entry",
         F.coalesce(F.col("n_metadata"), F.lit(0).cast("bigint")).alias("n_metadata"),
     )
+
+
+@query("ocr_document_outputs")
+def q_ocr_document_outputs(spark, sf):
+    """E2 over the per-conversation result archives (one unsplit chunk each): OCR success
+    (markdown and metadata both present), the document's markdown, and its confidence
+    metrics (A1) over the metadata blocks."""
+    from corpusflow.plans.pipeline import ocr_results
+
+    archives = IN.ocr_archives(spark, sf).withColumn("path", F.regexp_replace("path", r"^conv_(\d+)\.zip$", "$1__0.zip"))
+    plan = IN.table(spark, sf, "conversations").select(F.col("conv_id").cast("string").alias("doc")).distinct().withColumn("part", F.lit(None).cast("bigint"))
+    r = ocr_results(spark, archives, plan)
+    return r.select(
+        F.col("doc").cast("bigint").alias("conv_id"),
+        "ocr_ok",
+        "n_chunks",
+        "merged_text",
+        F.round("avg_page_confidence", 6).alias("avg_page_confidence"),
+        F.coalesce("low_confidence_blocks_count", F.lit(0).cast("bigint")).alias("low_confidence_blocks_count"),
+        F.coalesce(F.array_join(F.col("pages_with_low_confidence_blocks").cast("array<string>"), ","), F.lit("")).alias("pages_with_low_confidence_blocks"),
+    )
