@@ -599,3 +599,4 @@ SELECT conv_id, ok AS ocr_ok, 1::BIGINT AS n_chunks,
        (CASE WHEN ok THEN n ELSE 0 END)::BIGINT AS low_confidence_blocks_count,
        CASE WHEN ok THEN coalesce(pages, '') ELSE '' END AS pages_with_low_confidence_blocks
 FROM c"""
+ORACLE["reset_tool"] = ORACLE["reset_statuses"]

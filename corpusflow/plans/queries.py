@@ -699,3 +699,18 @@ def q_ocr_document_outputs(spark, sf):
         F.coalesce("low_confidence_blocks_count", F.lit(0).cast("bigint")).alias("low_confidence_blocks_count"),
         F.coalesce(F.array_join(F.col("pages_with_low_confidence_blocks").cast("array<string>"), ","), F.lit("")).alias("pages_with_low_confidence_blocks"),
     )
+
+
+@query("reset_tool")
+def q_reset_tool(spark, sf):
+    """The reset tool over a written state — version 1 written, reset into version 2,
+    version 2 read back."""
+    from corpusflow.plans.pipeline import reset
+    from corpusflow.session import scratch
+    from corpusflow.sources import state as SS
+
+    root = scratch(spark, "reset")
+    SS.save_state(_state(spark, sf), root)
+    reset(spark, root)
+    r = SS.load_state(spark, root)
+    return r.select("page_slug", "id", "status", "download_status", "ocr_status", "docx_conversion_status", "error_message")
