@@ -45,24 +45,36 @@ def dedupe_batch(incoming: DataFrame, keys: list[str], seq_col: str) -> tuple[Da
     return winners, rejects
 
 
+UPSERT_BROADCAST_CONF = "corpusflow.upsert.broadcastRows"
+DEFAULT_UPSERT_BROADCAST_ROWS = 1_000_000
+
+
 def state_upsert(
     state: DataFrame,
     incoming: DataFrame,
     keys: list[str] = KEYS,
     overwrite: list[str] = OVERWRITE_ON_MATCH,
     insert_status: str = PENDING,
+    broadcast_rows: int | None = None,
 ) -> DataFrame:
-    """Merge a catalogue batch into state.
+    """Merge a catalogue batch (one row per key) into state.
 
     matched -> only ``overwrite`` columns take the new values, everything else (titles,
     slugs, statuses, hash) keeps the old value, nulls included; not matched by source
     -> kept; new -> inserted whole with status ``insert_status`` when it has none.
-    One shuffle on the keys (full outer join)."""
+
+    Physical plan: when a bounded count proves the batch has at most ``broadcast_rows``
+    rows (session conf ``corpusflow.upsert.broadcastRows``, default 1,000,000), the state
+    streams through a broadcast hash join and the matched keys come from a broadcast semi
+    join — the state is never shuffled; a larger batch uses one full outer join (one
+    shuffle of both sides on the keys)."""
+    spark = state.sparkSession
     cols = list(dict.fromkeys(list(state.columns) + [c for c in incoming.columns if c not in state.columns]))
+    ocols = [f"o_{c}" for c in state.columns]
+    ncols = [f"n_{c}" for c in incoming.columns]
     o = state.select(*[F.col(c).alias(f"o_{c}") for c in state.columns], F.lit(True).alias("_o"))
     n = incoming.select(*[F.col(c).alias(f"n_{c}") for c in incoming.columns], F.lit(True).alias("_n"))
     cond = reduce(lambda a, b: a & b, [o[f"o_{k}"] == n[f"n_{k}"] for k in keys])
-    j = o.join(n, cond, "full_outer")
     has_o = F.coalesce(F.col("_o"), F.lit(False))
     has_n = F.coalesce(F.col("_n"), F.lit(False))
 
@@ -77,7 +89,17 @@ def state_upsert(
             return F.when(has_o, oc).otherwise(F.coalesce(nc, F.lit(insert_status)))
         return F.when(has_o, oc).otherwise(nc)
 
-    return j.select(*[pick(c).alias(c) for c in cols])
+    out = [pick(c).alias(c) for c in cols]
+    limit = broadcast_rows if broadcast_rows is not None else int(spark.conf.get(UPSERT_BROADCAST_CONF, str(DEFAULT_UPSERT_BROADCAST_ROWS)))
+    if limit > 0 and incoming.limit(limit + 1).count() <= limit:
+        kept = o.join(F.broadcast(n), cond, "left").select(*out)
+        matched = state.select(*keys).join(F.broadcast(incoming.select(*keys)), keys, "left_semi")
+        m = matched.select(*[F.col(k).alias(f"_m_{k}") for k in keys])
+        mcond = reduce(lambda a, b: a & b, [n[f"n_{k}"] == m[f"_m_{k}"] for k in keys])
+        inserts = n.join(F.broadcast(m), mcond, "left_anti")
+        inserts = inserts.select(*[F.lit(None).cast(state.schema[c[2:]].dataType).alias(c) for c in ocols], *ncols, F.lit(None).cast("boolean").alias("_o"), "_n")
+        return kept.unionByName(inserts.select(*out))
+    return o.join(n, cond, "full_outer").select(*out)
 
 
 def new_books(state: DataFrame, incoming: DataFrame, keys: list[str] = KEYS) -> DataFrame:

@@ -145,3 +145,14 @@ def test_load_reference_json_layout(spark, tmp_path):
     rows = {r.id: r for r in df.collect()}
     assert rows["A001"].status == "completed" and rows["A002"].error_message == "x" and rows["A002"].status is None
     assert df.columns == STATE_COLUMNS
+
+
+def test_upsert_paths_agree(spark):
+    """The broadcast path (small batch) and the full outer join give the same state."""
+    old = _state(spark, [{"page_slug": "p", "id": str(i), "pdf_url": f"u{i}", "status": "completed" if i % 2 else None} for i in range(50)])
+    new = spark.createDataFrame([("p", str(i), f"n{i}") for i in range(40, 70)], "page_slug string, id string, pdf_url string")
+    a = sorted(map(tuple, ST.state_upsert(old, new, broadcast_rows=10**6).collect()), key=str)
+    b = sorted(map(tuple, ST.state_upsert(old, new, broadcast_rows=0).collect()), key=str)
+    assert a == b and len(a) == 70
+    plan = ST.state_upsert(old, new, broadcast_rows=10**6)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "FullOuter" not in plan
