@@ -13,12 +13,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusflow.functions.text import zfill_id
-from corpusflow.operators.ranking import number_within
+from corpusflow.operators.ranking import broadcast_if_small, number_within
 from corpusflow.schemas import COMPLETED, FAILED, IN_PROGRESS, PENDING, STAGE_NAMES, STAGES
 
 KEYS = ["page_slug", "id"]
 # page-config tables up to this many rows are broadcast (checked by a bounded read)
 LIMITS_BROADCAST_ROWS = 100_000
+OUTCOMES_BROADCAST_ROWS = 1_000_000
 # Columns a re-scan overwrites on a matched row (the rest keep their old values).
 OVERWRITE_ON_MATCH = ["pdf_url", "local_pdf_path", "local_md_path", "local_docx_path"]
 
@@ -234,7 +235,10 @@ def stage_transition(state: DataFrame, outcomes: DataFrame, keys: list[str] = KE
     and the docx copy both succeed (the raw copy is ignored; without a converted docx
     there is nothing to copy, so the status stays). Completed stages are not redone; rows
     without an outcome row (not processed in this pass) are unchanged."""
-    j = state.join(outcomes.withColumn("_has_outcome", F.lit(True)), keys, "left")
+    # outcomes cover one pass (bounded by the page limits): broadcast after a bounded
+    # count so the state streams through without a shuffle; a larger table is shuffled
+    outs = broadcast_if_small(outcomes.withColumn("_has_outcome", F.lit(True)), OUTCOMES_BROADCAST_ROWS)
+    j = state.join(outs, keys, "left")
     # rows without an outcome were not processed in this pass and stay untouched
     todo = F.coalesce(F.col("_has_outcome"), F.lit(False)) & not_equal_null_safe("status", COMPLETED)
     dl_todo = not_equal_null_safe("download_status", COMPLETED)
