@@ -99,7 +99,7 @@ def nav_links(html_col: str = "html"):
     )
 
 
-def config_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+def config_json(spark: SparkSession, sf_dir: str, unique_names: bool = False) -> DataFrame:
     """One config document per page (legacy list layout: ``[page]``): name = h1, no url,
     language = ``<html lang>``, enabled unless German, no limit for English else 3,
     inline books = the nav links (id = href without '/', title = link text)."""
@@ -115,8 +115,11 @@ def config_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
     )
     lang = F.nullif(html_lang("html"), F.lit(""))
+    name = F.nullif(tag_text("html", "h1"), F.lit(""))
+    if unique_names:  # '<h1> page <id>': one page slug per page
+        name = F.concat_ws(" ", name, F.lit("page"), F.col("page_id").cast("string"))
     page = F.struct(
-        F.nullif(tag_text("html", "h1"), F.lit("")).alias("name"),
+        name.alias("name"),
         lang.alias("language"),
         (F.coalesce(lang, F.lit("")) != "de").alias("process_flag"),
         F.when(lang != "en", F.lit(3)).alias("limit"),

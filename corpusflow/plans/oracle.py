@@ -600,3 +600,29 @@ SELECT conv_id, ok AS ocr_ok, 1::BIGINT AS n_chunks,
        CASE WHEN ok THEN coalesce(pages, '') ELSE '' END AS pages_with_low_confidence_blocks
 FROM c"""
 ORACLE["reset_tool"] = ORACLE["reset_statuses"]
+
+ORACLE["pipeline_run"] = f"""WITH {_NAV},
+cfg AS (
+  SELECT p.page_id,
+         concat_ws(' ', nullif({strip_ws(unescape("regexp_extract(p.html, '(?s)<h1(?:\\s[^>]*)?>([^<]*)</h1>', 1)"))}, ''), 'page', CAST(p.page_id AS VARCHAR)) AS page_name,
+         nullif(regexp_extract(p.html, '<html[^>]*\\slang="([^"]*)"', 1), '') AS raw_lang
+  FROM pages p
+),
+books AS (
+  SELECT {slug('c.page_name')} AS page_slug, i.item_pos AS book_pos, substr(i.raw_href, 2) AS id,
+         {unescape('i.raw_text')} AS title_original, i.raw_href AS pdf_url, coalesce(c.raw_lang, 'kn-IN') AS language
+  FROM cfg c JOIN items i ON c.page_id = i.page_id
+  WHERE coalesce(c.raw_lang, '') <> 'de'
+),
+dedup AS (
+  SELECT * FROM books QUALIFY row_number() OVER (PARTITION BY page_slug, id ORDER BY book_pos DESC) = 1
+),
+named AS (
+  SELECT *, id || '_' || {combined(slug('title_original'), slug("''"))} || '.pdf' AS fname FROM dedup
+)
+SELECT page_slug, id, title_original, pdf_url,
+       {apath('raw_pdf', 'page_slug', 'id', 'fname')} AS local_pdf_path,
+       {apath('processed_docs', 'page_slug', 'id', "replace(fname, '.pdf', '.md')")} AS local_md_path,
+       {apath('processed_docs', 'page_slug', 'id', "replace(fname, '.pdf', '.docx')")} AS local_docx_path,
+       'pending' AS status, language
+FROM named"""

@@ -89,9 +89,10 @@ def run_once(
     registry: HandlerRegistry | None = None,
     enrich_languages: set[str] | None = None,
     provider=None,
+    config_lines: bool = False,
 ) -> dict:
     """One pass of the pipeline; returns the new state version and the plan size."""
-    cfg = CFG.read_config(spark, config_path)
+    cfg = CFG.read_config(spark, config_path, lines=config_lines)
     handlers = [(h.pattern, h.module) for h in cfg.select(F.explode("handlers").alias("h")).select("h.*").collect()]
     pages = CFG.enabled_pages(CFG.config_pages(cfg, keep=["config_path"]))
     state = SS.load_state(spark, state_root)

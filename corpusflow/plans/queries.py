@@ -714,3 +714,19 @@ def q_reset_tool(spark, sf):
     reset(spark, root)
     r = SS.load_state(spark, root)
     return r.select("page_slug", "id", "status", "download_status", "ocr_status", "docx_conversion_status", "error_message")
+
+
+@query("pipeline_run")
+def q_pipeline_run(spark, sf):
+    """One pass of the full run from a config of all pages (one JSON document per line,
+    each page's nav links as inline books) into an empty state; the new state version is
+    read back. A book listed twice on a page: the later listing wins (D9)."""
+    from corpusflow.plans.pipeline import run_once
+    from corpusflow.session import scratch
+    from corpusflow.sources import state as SS
+
+    root = scratch(spark, "run")
+    IN.config_json(spark, sf, unique_names=True).select("config").write.text(f"{root}/config")
+    run_once(spark, f"{root}/config", f"{root}/state", config_lines=True)
+    r = SS.load_state(spark, f"{root}/state")
+    return r.select("page_slug", "id", "title_original", "pdf_url", "local_pdf_path", "local_md_path", "local_docx_path", "status", "language")

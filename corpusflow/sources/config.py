@@ -35,9 +35,12 @@ def parse_handlers(text) -> Column:
     return F.transform(entries, lambda e: F.struct(e["key"].alias("pattern"), e["value"].alias("module")))
 
 
-def read_config(spark: SparkSession, path: str) -> DataFrame:
-    """One row per config file: ``config_path, pages, handlers``."""
-    raw = spark.read.text(path, wholetext=True).withColumn("config_path", F.input_file_name())
+def read_config(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """One row per config document: ``config_path, pages, handlers``. A config file holds
+    one document; with ``lines=True`` every line is a document (JSON Lines)."""
+    raw = (spark.read.text(path) if lines else spark.read.text(path, wholetext=True)).withColumn(
+        "config_path", F.input_file_name()
+    )
     return raw.select("config_path", parse_pages("value").alias("pages"), parse_handlers("value").alias("handlers"))
 
 
