@@ -47,7 +47,7 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = _session(args.local)
     from corpusflow.operators import state as ST
-    from corpusflow.plans import pipeline as P
+    from corpusflow.plans import workflow as P
     from corpusflow.sources import config as CFG
     from corpusflow.sources import state as SS
 

@@ -601,7 +601,7 @@ SELECT conv_id, ok AS ocr_ok, 1::BIGINT AS n_chunks,
 FROM c"""
 ORACLE["reset_tool"] = ORACLE["reset_statuses"]
 
-ORACLE["pipeline_run"] = f"""WITH {_NAV},
+ORACLE["full_run"] = f"""WITH {_NAV},
 cfg AS (
   SELECT p.page_id,
          concat_ws(' ', nullif({strip_ws(unescape("regexp_extract(p.html, '(?s)<h1(?:\\s[^>]*)?>([^<]*)</h1>', 1)"))}, ''), 'page', CAST(p.page_id AS VARCHAR)) AS page_name,

@@ -685,7 +685,7 @@ def q_ocr_document_outputs(spark, sf):
     """E2 over the per-conversation result archives (one unsplit chunk each): OCR success
     (markdown and metadata both present), the document's markdown, and its confidence
     metrics (A1) over the metadata blocks."""
-    from corpusflow.plans.pipeline import ocr_results
+    from corpusflow.plans.workflow import ocr_results
 
     archives = IN.ocr_archives(spark, sf).withColumn("path", F.regexp_replace("path", r"^conv_(\d+)\.zip$", "$1__0.zip"))
     plan = IN.table(spark, sf, "conversations").select(F.col("conv_id").cast("string").alias("doc")).distinct().withColumn("part", F.lit(None).cast("bigint"))
@@ -705,7 +705,7 @@ def q_ocr_document_outputs(spark, sf):
 def q_reset_tool(spark, sf):
     """The reset tool over a written state — version 1 written, reset into version 2,
     version 2 read back."""
-    from corpusflow.plans.pipeline import reset
+    from corpusflow.plans.workflow import reset
     from corpusflow.session import scratch
     from corpusflow.sources import state as SS
 
@@ -716,12 +716,12 @@ def q_reset_tool(spark, sf):
     return r.select("page_slug", "id", "status", "download_status", "ocr_status", "docx_conversion_status", "error_message")
 
 
-@query("pipeline_run")
-def q_pipeline_run(spark, sf):
+@query("full_run")
+def q_full_run(spark, sf):
     """One pass of the full run from a config of all pages (one JSON document per line,
     each page's nav links as inline books) into an empty state; the new state version is
     read back. A book listed twice on a page: the later listing wins (D9)."""
-    from corpusflow.plans.pipeline import run_once
+    from corpusflow.plans.workflow import run_once
     from corpusflow.session import scratch
     from corpusflow.sources import state as SS
 

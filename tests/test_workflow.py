@@ -5,7 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from corpusflow.operators.resolve import HandlerRegistry
-from corpusflow.plans import pipeline as P
+from corpusflow.plans import workflow as P
 from corpusflow.sources import state as SS
 
 CONFIG = {
@@ -30,7 +30,7 @@ LIST_HTML = """<div class="books_from_db"><ul>
 </ul></div>"""
 
 
-def test_pipeline_run_and_reset(spark, tmp_path):
+def test_full_run_and_reset(spark, tmp_path):
     cfg = tmp_path / "config.json"
     cfg.write_text(json.dumps(CONFIG, ensure_ascii=False), encoding="utf-8")
     root = str(tmp_path / "state")
