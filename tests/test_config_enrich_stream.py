@@ -106,3 +106,15 @@ def test_streaming_fold_matches_batch(spark, tmp_path):
     q.stop()
     got = {r.k: r.v for r in spark.sql("select * from fold_out").collect()}
     assert got == {r.k: r.v for r in state_fold(ev, ["k"], "v", ["ts", "eid"]).collect()} == {1: "b", 2: "c"}
+
+
+def test_read_config_json_lines(spark, tmp_path):
+    """One config document per line (each a legacy page list or a full config)."""
+    p = tmp_path / "configs.jsonl"
+    docs = [CONFIG["pages"][:1], {"domain_handlers": {"x.org": "m"}, "pages": CONFIG["pages"][1:2]}]
+    p.write_text("\n".join(json.dumps(d, ensure_ascii=False) for d in docs) + "\n", encoding="utf-8")
+    cfg = CFG.read_config(spark, str(p), lines=True)
+    assert cfg.count() == 2
+    pages = CFG.config_pages(cfg, keep=["config_path"]).collect()
+    assert sorted(r.page_slug for r in pages) == ["assorted-books", "kannada_books"]
+    assert sorted(len(r.handlers) for r in cfg.collect()) == [0, 1]
