@@ -26,6 +26,21 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_MADE: dict[str, object] = {}
+
+
+def once(key: str, make):
+    """``make()`` once for ``key`` in a worker process; a new key replaces what was kept before."""
+    if key not in _MADE:
+        _MADE.clear()
+        _MADE[key] = make()
+    return _MADE[key]
+
+
+def new_key() -> str:
+    return uuid.uuid4().hex
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new place below ``spark.checkpoint.dir``, as a full URI."""
     work_dir(spark)
@@ -36,7 +51,7 @@ def shared_path(spark: SparkSession, name: str) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: a lineage cut that every executor can read."""
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -27,12 +27,45 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_counts import token_counts
+
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import license_scan
+
+    return license_scan(table(spark, sf_dir, "documents")).drop("detections")
+
+
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .pii import personal_data
+
+    found = personal_data(table(spark, sf_dir, "documents"))
+    return found.withColumn("base", F.sha2("base", 256)).withColumnRenamed("base", "base_sha256")
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import quality
+
+    return quality(table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import contamination
 
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
 
 
+def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .passages import repeated_passages
+
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_files import token_files
 
@@ -40,5 +73,5 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_simhash_near_dedup, op3_mixing, op8_decontamination, op10_token_files)
+    f.__name__: f for f in (op1_toxicity, op2_simhash_near_dedup, op3_mixing, op4_token_counts, op5_licenses, op6_personal_data, op7_quality, op8_decontamination, op9_passages, op10_token_files)
 }

@@ -79,17 +79,18 @@ def hex16(fp: Column) -> Column:
 
 
 def split_radius(distances: np.ndarray, max_bits: int) -> int | None:
-    """The radius that makes the larger branch (far with its overlap) smallest; None if no
-    radius makes both branches smaller than the node."""
+    """The radius that makes the larger branch (far with its overlap) smallest. None if a split
+    wouldn't pay: a branch would keep over 4/5 of the points, or both together over 3/2 of them
+    (a tight cluster, in which direct comparison is cheaper than ever more overlap)."""
     counts = np.bincount(distances, minlength=66)
     below = np.cumsum(counts)
     n = len(distances)
-    best, radius = n, None
+    best, radius = 0.8 * n, None
     for r in range(65):
         near, far = int(below[r]), n - int(below[r - max_bits] if r >= max_bits else 0)
-        if max(near, far) < best:
+        if max(near, far) < best and near + far <= 1.5 * n:
             best, radius = max(near, far), r
-    return radius if best <= 0.95 * n else None
+    return radius
 
 
 def build_tree(sample: np.ndarray, rows_each: float, max_bits: int, shard_rows: int = SHARD_ROWS) -> list[tuple[int, int, int, int]]:

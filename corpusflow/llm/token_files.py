@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import prepare, shared_path, stored
+from .common import new_key, once, prepare, shared_path, stored
 
 # Fixed values of the zstandard seekable format.
 SKIPPABLE_IDS, SKIPPABLE_SEEK, SEEK_FOOTER = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
@@ -183,6 +183,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str | None =
     spark = prepare(docs.sparkSession)
     vocabulary = spark.sparkContext.broadcast(tokenizer_json(tokenizer_path))
     end = struct.pack("<I", end_id)
+    key = new_key()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -193,7 +194,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str | None =
             if not batch.num_rows:
                 continue
             if writer is None:
-                encoder = Encoder(vocabulary.value)
+                encoder = once(key, lambda: Encoder(vocabulary.value))
                 fs, base = file_system(folder)
                 part = TaskContext.get().partitionId()
                 name = f"tokens-{part:06d}-{uuid.uuid4().hex}.zst"

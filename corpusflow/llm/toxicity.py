@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare
+from .common import new_key, once, prepare
 
 
 @dataclass(frozen=True)
@@ -60,11 +60,14 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def windows_of(words: list[bytes], everyday: frozenset, width: int) -> list[bytes]:
-    """Half-overlapping windows over the words that aren't everyday ones."""
+    """Half-overlapping windows over the words that aren't everyday ones; fewer bytes than a window
+    are repeated to fill one (zstandard stores very short input as it is)."""
     rest = b" ".join([w for w in words if w not in everyday])
     if not rest:
         return []
     rest = b" " + rest + b" "
+    if len(rest) < width:
+        rest *= -(-width // len(rest))
     step = width // 2
     return [rest[at : at + width] for at in range(0, max(1, len(rest) - step), step)]
 
@@ -197,10 +200,11 @@ def score_column(docs: DataFrame, model: Model, text: str = "text") -> Column:
     """The score (0 to 1) of a text column under ``model``, broadcast to the workers (bounded by
     ``FitBounds``)."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
+    key = new_key()
 
     @F.pandas_udf("double")
     def scores(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        scorer = Scorer(sent.value)
+        scorer = once(key, lambda: Scorer(sent.value))
         for part in parts:
             yield pd.Series([scorer.score(t) for t in part], dtype="float64")
 
