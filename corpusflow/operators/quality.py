@@ -5,11 +5,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusflow.operators.ranking import number_within
-
 # --- fixed values ------------------------------------------------------------------------
 CONFIDENCE_THRESHOLD = 0.7
 # -------------------------------------------------------------------------------------------
@@ -58,5 +56,13 @@ def distinct_low_pages(blocks: DataFrame, doc_col: str, page_col: str = "page_nu
 
 def sort_metadata(pages: DataFrame, doc_col: str, name_col: str = "file_name", tie: list[str] | None = None) -> DataFrame:
     """O2: position of each metadata file in lexicographic name order per document
-    ('page_10' before 'page_2'); skew-safe numbering."""
-    return number_within(pages, [doc_col], [name_col, *(tie or [])], out="file_rank")
+    ('page_10' before 'page_2'). A group is one document's files, so a plain window does."""
+    order = Window.partitionBy(doc_col).orderBy(name_col, *(tie or []))
+    return pages.withColumn("file_rank", F.row_number().over(order).cast("bigint"))
+
+
+def low_confidence_details(blocks: DataFrame, doc_col: str, threshold: float = CONFIDENCE_THRESHOLD) -> DataFrame:
+    """A1's detail list as flat rows: every low-confidence block with its text and its
+    position (``detail_pos``, 1-based) in file, part and block order of the document."""
+    order = Window.partitionBy(doc_col).orderBy("file_name", "part", "block_pos")
+    return low_confidence_blocks(blocks, threshold).withColumn("detail_pos", F.row_number().over(order).cast("bigint"))

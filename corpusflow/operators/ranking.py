@@ -1,4 +1,4 @@
-"""Skew-safe ranking and size-checked broadcast.
+"""Skew-safe ranking and a parallelism floor.
 
 ``row_number() OVER (PARTITION BY key ORDER BY ...)`` puts a whole key group in
 one task; when one key holds a third of all rows that task holds a third of the
@@ -32,52 +32,14 @@ def _names(xs) -> list[str]:
     return out
 
 
-MAX_GROUP_CONF = "corpusflow.numbering.maxGroupRows"
-DEFAULT_MAX_GROUP_ROWS = 0  # 0 = always the skew-safe split path
-SKEW_FACTOR_CONF = "corpusflow.numbering.skewFactor"
-DEFAULT_SKEW_FACTOR = 2.0
-SMALL_GROUP_CONF = "corpusflow.numbering.smallGroupRows"
-DEFAULT_SMALL_GROUP_ROWS = 100_000
-
-
-def number_within(
-    df: DataFrame,
-    keys: list[str],
-    order: list,
-    out: str = "rn",
-    total: str | None = None,
-    partitions: int | None = None,
-    max_group_rows: int | None = None,
-) -> DataFrame:
+def number_within(df: DataFrame, keys: list[str], order: list, out: str = "rn", total: str | None = None, partitions: int | None = None) -> DataFrame:
     """Add ``out`` = 1-based position of each row within its ``keys`` group by ``order``
     (and optionally ``total`` = group size). ``order`` must be a total order within a
     group (append a unique tie-break) for the numbering to be deterministic.
-    ``keys`` may be empty (one global numbering).
-
-    By default every group goes through the skew-safe split path below. Opt-in adaptive
-    mode (``max_group_rows`` > 0, or session conf ``corpusflow.numbering.maxGroupRows``):
-    one partial aggregate measures the largest group and the row count, and a plain
-    ``row_number()`` window (one task per group) is used only when the largest group is
-    at most ``skewFactor`` (2) times an average task's share — or below a small floor
-    (100,000) — and at most ``max_group_rows``. The measuring pass recomputes the input,
-    so it pays off only for inputs that are cheap to recompute (a table scan)."""
-    spark = df.sparkSession
-    keys = _names(keys)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ``keys`` may be empty (one global numbering)."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order_cols = [(F.col(o) if isinstance(o, str) else o) for o in order]
-    limit = max_group_rows if max_group_rows is not None else int(spark.conf.get(MAX_GROUP_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
-    if keys and limit > 0:
-        stats = df.groupBy(*keys).count().agg(F.max("count"), F.sum("count")).collect()[0]
-        biggest, rows = stats[0] or 0, stats[1] or 0
-        factor = float(spark.conf.get(SKEW_FACTOR_CONF, str(DEFAULT_SKEW_FACTOR)))
-        floor = int(spark.conf.get(SMALL_GROUP_CONF, str(DEFAULT_SMALL_GROUP_ROWS)))
-        fair = max(floor, factor * rows / n)
-        if biggest <= min(limit, fair):
-            res = df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order_cols)).cast("bigint"))
-            if total:
-                res = res.withColumn(total, F.count(F.lit(1)).over(Window.partitionBy(*keys)).cast("bigint"))
-            return res
-    return _number_split(df, keys, order_cols, out, total, n)
+    return _number_split(df, _names(keys), order_cols, out, total, n)
 
 
 def _number_split(df: DataFrame, keys: list[str], order_cols: list, out: str, total: str | None, n: int) -> DataFrame:
@@ -131,13 +93,6 @@ def range_tagged(df: DataFrame, ordering: list, n: int) -> DataFrame:
     )
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast ``df`` only when a bounded count proves it has at most ``max_rows`` rows;
-    otherwise return it unchanged so the planner uses a shuffle join."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def ensure_parallelism(df: DataFrame, min_partitions: int | None = None, by: list[str] | None = None) -> DataFrame:
     """Parallelism floor for CPU-heavy per-row work (regex over whole texts, hashing,
     building nested documents).

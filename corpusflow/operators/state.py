@@ -9,17 +9,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.functions.text import zfill_id
-from corpusflow.operators.ranking import broadcast_if_small, number_within
+from corpusflow.operators.ranking import number_within
 from corpusflow.schemas import COMPLETED, FAILED, IN_PROGRESS, PENDING, STAGE_NAMES, STAGES
 
 KEYS = ["page_slug", "id"]
-# page-config tables up to this many rows are broadcast (checked by a bounded read)
-LIMITS_BROADCAST_ROWS = 100_000
-OUTCOMES_BROADCAST_ROWS = 1_000_000
 # Columns a re-scan overwrites on a matched row (the rest keep their old values).
 OVERWRITE_ON_MATCH = ["pdf_url", "local_pdf_path", "local_md_path", "local_docx_path"]
 
@@ -46,17 +43,12 @@ def dedupe_batch(incoming: DataFrame, keys: list[str], seq_col: str) -> tuple[Da
     return winners, rejects
 
 
-UPSERT_BROADCAST_CONF = "corpusflow.upsert.broadcastRows"
-DEFAULT_UPSERT_BROADCAST_ROWS = 1_000_000
-
-
 def state_upsert(
     state: DataFrame,
     incoming: DataFrame,
     keys: list[str] = KEYS,
     overwrite: list[str] = OVERWRITE_ON_MATCH,
     insert_status: str = PENDING,
-    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Merge a catalogue batch (one row per key) into state.
 
@@ -64,15 +56,9 @@ def state_upsert(
     slugs, statuses, hash) keeps the old value, nulls included; not matched by source
     -> kept; new -> inserted whole with status ``insert_status`` when it has none.
 
-    Physical plan: when a bounded count proves the batch has at most ``broadcast_rows``
-    rows (session conf ``corpusflow.upsert.broadcastRows``, default 1,000,000), the state
-    streams through a broadcast hash join and the matched keys come from a broadcast semi
-    join — the state is never shuffled; a larger batch uses one full outer join (one
-    shuffle of both sides on the keys)."""
-    spark = state.sparkSession
+    One full outer join on the keys: either side is read once and shuffled once (not at all
+    when both are bucketed on the keys)."""
     cols = list(dict.fromkeys(list(state.columns) + [c for c in incoming.columns if c not in state.columns]))
-    ocols = [f"o_{c}" for c in state.columns]
-    ncols = [f"n_{c}" for c in incoming.columns]
     o = state.select(*[F.col(c).alias(f"o_{c}") for c in state.columns], F.lit(True).alias("_o"))
     n = incoming.select(*[F.col(c).alias(f"n_{c}") for c in incoming.columns], F.lit(True).alias("_n"))
     cond = reduce(lambda a, b: a & b, [o[f"o_{k}"] == n[f"n_{k}"] for k in keys])
@@ -90,17 +76,7 @@ def state_upsert(
             return F.when(has_o, oc).otherwise(F.coalesce(nc, F.lit(insert_status)))
         return F.when(has_o, oc).otherwise(nc)
 
-    out = [pick(c).alias(c) for c in cols]
-    limit = broadcast_rows if broadcast_rows is not None else int(spark.conf.get(UPSERT_BROADCAST_CONF, str(DEFAULT_UPSERT_BROADCAST_ROWS)))
-    if limit > 0 and incoming.limit(limit + 1).count() <= limit:
-        kept = o.join(F.broadcast(n), cond, "left").select(*out)
-        matched = state.select(*keys).join(F.broadcast(incoming.select(*keys)), keys, "left_semi")
-        m = matched.select(*[F.col(k).alias(f"_m_{k}") for k in keys])
-        mcond = reduce(lambda a, b: a & b, [n[f"n_{k}"] == m[f"_m_{k}"] for k in keys])
-        inserts = n.join(F.broadcast(m), mcond, "left_anti")
-        inserts = inserts.select(*[F.lit(None).cast(state.schema[c[2:]].dataType).alias(c) for c in ocols], *ncols, F.lit(None).cast("boolean").alias("_o"), "_n")
-        return kept.unionByName(inserts.select(*out))
-    return o.join(n, cond, "full_outer").select(*out)
+    return o.join(n, cond, "full_outer").select(*[pick(c).alias(c) for c in cols])
 
 
 def new_books(state: DataFrame, incoming: DataFrame, keys: list[str] = KEYS) -> DataFrame:
@@ -130,10 +106,11 @@ def checksum_verdict(present, current_hash, recorded_hash) -> Column:
 
 def hash_after_check(verdict, current_hash, recorded_hash) -> Column:
     """Hash kept in state after the check: the file's hash when verified/adopted; a
-    refetch/missing row keeps nothing until the fetch stores the new hash."""
+    refetch/missing row keeps the recorded one until a download replaces it."""
     v = F.col(verdict) if isinstance(verdict, str) else verdict
     cur = F.col(current_hash) if isinstance(current_hash, str) else current_hash
-    return F.when(v.isin(VERIFIED, ADOPTED), cur)
+    rec = F.col(recorded_hash) if isinstance(recorded_hash, str) else recorded_hash
+    return F.when(v.isin(VERIFIED, ADOPTED), cur).otherwise(rec)
 
 
 def hash_after_fetch(fetched_hash, old_hash) -> Column:
@@ -172,51 +149,32 @@ def sort_books(state: DataFrame, keys: list[str] = ["page_slug"], out: str = "so
     return number_within(z, keys, ["_zid", "id"], out=out).drop("_zid")
 
 
-def limit_per_page(pending: DataFrame, limits: DataFrame, page_col: str = "page_slug") -> DataFrame:
+def page_limits(limits: DataFrame, page_col: str = "page_slug", order: list[str] | None = None) -> DataFrame:
+    """One limit per page slug: two config pages with one slug share a state, and the first
+    in ``order`` (config order) gives the limit; without an order the least positive limit
+    does, "no limit" (null or 0) counting as the largest."""
+    if order:
+        least = F.min(F.struct(*order, F.col("limit")))
+    else:
+        size = F.when(F.coalesce(F.col("limit"), F.lit(0)) > 0, F.col("limit")).otherwise(F.lit((1 << 31) - 1))
+        least = F.min(F.struct(size.alias("_s"), F.col("limit")))
+    return limits.groupBy(page_col).agg(least.alias("_l")).select(page_col, F.col("_l.limit").alias("limit"))
+
+
+def limit_per_page(pending: DataFrame, limits: DataFrame, page_col: str = "page_slug", order: list[str] | None = None) -> DataFrame:
     """W2 + W3: in zfill-id order, the first ``limit`` rows of each page (null or 0 ->
     no limit), with ``ordinal`` (1-based) and ``total`` (rows kept on the page).
 
-    Limited pages: ``row_number() <= literal max limit`` lets Catalyst insert a partial
-    ``WindowGroupLimit`` before the shuffle, so every map partition ships at most that many
-    rows per page — a hot page costs no more than a small one — and each page's own
-    limit is applied after. Unlimited pages (and limits above
-    ``spark.sql.optimizer.windowGroupLimitThreshold``) go through the skew-safe numbering.
-    The per-page limits table is broadcast only after a bounded count; its distinct limit
-    values are config-sized."""
-    spark = pending.sparkSession
-    table = limits.select(F.col(page_col).alias("_lp"), F.col("limit").alias("_limit"))
-    # one bounded read of the page-config table: its size check and its limit values
-    head = table.limit(LIMITS_BROADCAST_ROWS + 1).collect()
-    small = len(head) <= LIMITS_BROADCAST_ROWS
-    lim = F.broadcast(table) if small else table
-    if small:
-        positive = sorted({r._limit for r in head if r._limit is not None and r._limit > 0})
-    else:
-        positive = [r[0] for r in table.select("_limit").where(F.col("_limit") > 0).distinct().collect()]
+    Limits are reduced to one row per slug first (``page_limits``), so the join never
+    repeats a pending row. Every page is numbered by the skew-safe numbering, whatever its
+    limit: a hot page spans many tasks."""
+    table = page_limits(limits, page_col, order).select(F.col(page_col).alias("_lp"), F.col("limit").alias("_limit"))
     z = pending.withColumn("_zid", zfill_id("id"))
-    j = z.join(lim, z[page_col] == lim["_lp"], "left").drop("_lp")
-    threshold = int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    ranked = number_within(z, [page_col], ["_zid", "id"], out="ordinal", total="_n")
+    j = ranked.join(table, ranked[page_col] == table["_lp"], "left").drop("_lp")
     limited = F.coalesce(F.col("_limit"), F.lit(0)) > 0
-    parts = []
-    if positive and max(positive) <= threshold:
-        top = max(positive)
-        lj = j.filter(limited)
-        w = Window.partitionBy(page_col).orderBy("_zid", "id")
-        head = lj.withColumn("ordinal", F.row_number().over(w).cast("bigint")).filter(F.col("ordinal") <= F.lit(top))
-        head = head.filter(F.col("ordinal") <= F.col("_limit"))
-        sizes = lj.groupBy(F.col(page_col).alias("_sp")).agg(F.count(F.lit(1)).alias("_n"))
-        head = head.join(sizes, head[page_col] == sizes["_sp"], "left").drop("_sp")
-        head = head.withColumn("total", F.least(F.col("_n"), F.col("_limit").cast("bigint")))
-        parts.append(head)
-        rest = j.filter(~limited)
-    else:
-        rest = j
-    ranked = number_within(rest, [page_col], ["_zid", "id"], out="ordinal", total="_n")
-    keep = ~limited | (F.col("ordinal") <= F.col("_limit"))
     total = F.when(~limited, F.col("_n")).otherwise(F.least(F.col("_n"), F.col("_limit").cast("bigint")))
-    parts.append(ranked.filter(keep).withColumn("total", total))
-    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return out.drop("_limit", "_n", "_zid")
+    return j.filter(~limited | (F.col("ordinal") <= F.col("_limit"))).withColumn("total", total).drop("_limit", "_n", "_zid")
 
 
 def pending_counts(limited: DataFrame, page_col: str = "page_slug") -> DataFrame:
@@ -234,10 +192,10 @@ def stage_transition(state: DataFrame, outcomes: DataFrame, keys: list[str] = KE
     (stop); conversion outcome only sets its stage; the book is completed iff the md copy
     and the docx copy both succeed (the raw copy is ignored; without a converted docx
     there is nothing to copy, so the status stays). Completed stages are not redone; rows
-    without an outcome row (not processed in this pass) are unchanged."""
-    # outcomes cover one pass (bounded by the page limits): broadcast after a bounded
-    # count so the state streams through without a shuffle; a larger table is shuffled
-    outs = broadcast_if_small(outcomes.withColumn("_has_outcome", F.lit(True)), OUTCOMES_BROADCAST_ROWS)
+    without an outcome row (not processed in this pass) are unchanged. Several outcome rows
+    of one key count as one pass: a stage succeeded only if none of them reports a failure."""
+    steps = [c for c in outcomes.columns if c not in keys]
+    outs = outcomes.groupBy(*keys).agg(*[F.bool_and(F.coalesce(F.col(c), F.lit(False))).alias(c) for c in steps]).withColumn("_has_outcome", F.lit(True))
     j = state.join(outs, keys, "left")
     # rows without an outcome were not processed in this pass and stay untouched
     todo = F.coalesce(F.col("_has_outcome"), F.lit(False)) & not_equal_null_safe("status", COMPLETED)
@@ -279,8 +237,8 @@ def reset_counts(state: DataFrame, target_page: str | None = None) -> DataFrame:
     return state.groupBy("page_slug").agg(F.count_if(resettable(state, target_page)).cast("bigint").alias("n_reset"))
 
 
-def resume_plan(state: DataFrame, limits: DataFrame) -> DataFrame:
+def resume_plan(state: DataFrame, limits: DataFrame, order: list[str] | None = None) -> DataFrame:
     """M3: per book still to process (after the page limit): ordinal, total and the
     remaining stages in order."""
-    limited = limit_per_page(pending_books(state), limits)
+    limited = limit_per_page(pending_books(state), limits, order=order)
     return limited.withColumn("remaining", remaining_stages(limited))

@@ -31,7 +31,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The shared folder for lineage cuts and written tables: the cluster's
+    """The shared folder (a full URI) for lineage cuts and written tables: the cluster's
     ``spark.checkpoint.dir``. Only when it is unset on a local master (tests) a fresh
     local folder is created and registered."""
     try:
@@ -50,14 +50,14 @@ def work_dir(spark: SparkSession) -> str:
         if sc is not None:
             sc.setCheckpointDir(d)
             d = sc.getCheckpointDir() or d
-    return d.removeprefix("file:")
+    return d
 
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new sub-folder of the work folder for one job's written tables."""
     import uuid
 
-    return os.path.join(work_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    return f"{work_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 _SHIPPED: set[str] = set()

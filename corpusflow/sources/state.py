@@ -66,32 +66,19 @@ def load_state_json(spark: SparkSession, path: str, page_slug: str | None = None
     return conform(rows)
 
 
-# fixed value: above this many pages a version is one sorted table instead of page folders
-MAX_PAGE_DIRS = 256
-
-
-def save_state(df: DataFrame, root: str, partition_by_page: bool | None = None) -> int:
+def save_state(df: DataFrame, root: str) -> int:
     """K1: write a new committed version and return its number.
 
-    Rows are range-clustered on (page_slug, id) and sorted, so each task writes a few
-    contiguous pages (a page with a third of all rows still spans several tasks). With at
-    most ``MAX_PAGE_DIRS`` pages (checked by a bounded distinct count; or forced by
-    ``partition_by_page``) the version has one folder per page and page filters prune
-    folders; with more, tiny pages would mean thousands of tiny files, so the version is
-    one table whose Parquet min/max statistics on page_slug still let page filters skip
-    row groups."""
+    One layout whatever the number of pages: a table with ``page_slug`` as a data column
+    (an empty slug stays an empty slug), range-clustered and sorted on (page_slug, id). Each
+    task writes a few contiguous pages, a page with a third of all rows spans several tasks,
+    and Parquet's min/max statistics on page_slug let page filters skip files and row groups."""
     spark = df.sparkSession
     # number past every folder, committed or not: a write that died midway leaves a folder
     # without _SUCCESS, which is never read and never reused
     vs = _versions(spark, root, committed_only=False)
     v = (vs[-1] + 1) if vs else 1
-    rows = conform(df)
-    if partition_by_page is None:
-        partition_by_page = rows.select("page_slug").distinct().limit(MAX_PAGE_DIRS + 1).count() <= MAX_PAGE_DIRS
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartitionByRange(n, "page_slug", "id").sortWithinPartitions("page_slug", "id")
-    w = rows.write.mode("errorifexists")
-    if partition_by_page:
-        w = w.partitionBy("page_slug")
-    w.parquet(f"{root}/v={v}")
+    rows = conform(df).repartitionByRange(n, "page_slug", "id").sortWithinPartitions("page_slug", "id")
+    rows.write.mode("errorifexists").parquet(f"{root}/v={v}")
     return v
