@@ -63,122 +63,117 @@ def complete_items(items: DataFrame) -> Column:
     return ok("title_original") & ok("pdf_href") & ok("id")
 
 
+def reject_reason() -> Column:
+    """which of title, pdf href and id an incomplete item lacks (null: complete)."""
+    lacks = [F.when(F.coalesce(F.col(c), F.lit("")) == F.lit(""), F.lit(n)) for c, n in (("title_original", "title"), ("pdf_href", "pdf url"), ("id", "id"))]
+    missing = F.concat_ws(", ", *lacks)
+    return F.when(missing != "", F.concat(F.lit("no "), missing))
+
+
 # --- DOM mode ----------------------------------------------------------------
 
 
-class _CatalogueParser(HTMLParser):
-    """Collects items of the first ``div.books_from_db`` with the reference's field rules."""
+# elements that never have content
+VOID_TAGS = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.stack: list[dict] = []
-        self.container_depth = None
-        self.container_done = False
-        self.items: list[dict] = []
-        self.cur = None
-        self.span = None  # (class, depth, text parts, first-a text, first-a href, a_depth)
 
-    def _classes(self, attrs):
-        return (dict(attrs).get("class") or "").split()
+class _Node:
+    __slots__ = ("tag", "attrs", "parent", "children")
 
-    def handle_starttag(self, tag, attrs):
-        a = dict(attrs)
-        self.stack.append({"tag": tag})
-        depth = len(self.stack)
-        if self.container_depth is None and not self.container_done:
-            if tag == "div" and CONTAINER_CLASS in self._classes(attrs):
-                self.container_depth = depth
-            return
-        if self.container_depth is None:
-            return
-        if tag == "li" and self.cur is None and re.search(ITEM_ID_PATTERN, a.get("id") or ""):
-            self.cur = {"depth": depth, "spans": []}
-            return
-        if self.cur is None:
-            return
-        if tag == "span" and self.span is None:
-            self.span = {"cls": self._classes(attrs), "depth": depth, "text": [], "a_text": None, "a_href": None, "a_depth": None}
-            return
-        if tag == "a" and self.span is not None and self.span["a_depth"] is None and self.span["a_text"] is None:
-            self.span["a_depth"] = depth
-            self.span["a_href"] = a.get("href")
-            self.span["a_parts"] = []
+    def __init__(self, tag: str, attrs: dict[str, str], parent: _Node | None):
+        self.tag, self.attrs, self.parent, self.children = tag, attrs, parent, []
 
-    def handle_endtag(self, tag):
-        if not self.stack:
-            return
-        depth = len(self.stack)
-        # pop to the matching tag (tolerates unclosed children)
-        while self.stack and self.stack[-1]["tag"] != tag:
-            self.stack.pop()
-            depth = len(self.stack)
-        if not self.stack:
-            return
-        if self.span is not None and self.span.get("a_depth") == depth and tag == "a":
-            self.span["a_text"] = _text(self.span["a_parts"])
-            self.span["a_depth"] = -1
-        if self.span is not None and self.span["depth"] == depth and tag == "span":
-            self.cur["spans"].append(self.span)
-            self.span = None
-        if self.cur is not None and self.cur["depth"] == depth and tag == "li":
-            self.items.append(self.cur)
-            self.cur = None
-        if self.container_depth == depth and tag == "div":
-            self.container_depth = None
-            self.container_done = True
-        self.stack.pop()
+    def walk(self):
+        """Descendants (elements and text) in document order, without recursion."""
+        todo = self.children[::-1]
+        while todo:
+            x = todo.pop()
+            yield x
+            if isinstance(x, _Node):
+                todo += x.children[::-1]
 
-    def handle_data(self, data):
-        if self.span is not None:
-            self.span["text"].append(data)
-            if self.span.get("a_depth") not in (None, -1):
-                self.span["a_parts"].append(data)
+    def find(self, tag: str, cls: str | None = None) -> _Node | None:
+        return next((x for x in self.walk() if isinstance(x, _Node) and x.is_(tag, cls)), None)
+
+    def is_(self, tag: str, cls: str | None) -> bool:
+        return self.tag == tag and (cls is None or cls in self.attrs.get("class", "").split())
+
+    def text(self) -> str:
+        """Every piece of text stripped, then joined."""
+        return "".join(x.strip() for x in self.walk() if isinstance(x, str))
+
+    def next_sibling(self, tag: str, cls: str) -> _Node | None:
+        own = self.parent.children
+        after = own[next(i for i, x in enumerate(own) if x is self) + 1 :]
+        return next((x for x in after if isinstance(x, _Node) and x.is_(tag, cls)), None)
 
 
-def _text(parts) -> str:
-    """BeautifulSoup ``get_text(strip=True)``: every text node stripped, then joined."""
-    return "".join(s.strip() for s in parts)
+class _TreeParser(HTMLParser):
+    """A lenient tree: an end tag closes the nearest open element of its name and all within it;
+    one that matches no open element is ignored; what stays open ends with its parent."""
 
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.root = self.at = _Node("", {}, None)
+
+    def handle_starttag(self, tag, attrs):
+        node = _Node(tag, {k: v or "" for k, v in attrs}, self.at)
+        self.at.children.append(node)
+        if tag not in VOID_TAGS:
+            self.at = node
+
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+        self.handle_endtag(tag)
 
-def _fields(item: dict) -> dict:
-    spans = item["spans"]
+    def handle_endtag(self, tag):
+        node = self.at
+        while node is not None and node.tag != tag:
+            node = node.parent
+        if node is not None and node.parent is not None:
+            self.at = node.parent
+
+    def handle_data(self, data):
+        if self.at.tag not in ("script", "style"):
+            self.at.children.append(data)
 
-    def first(cls):
-        return next((i for i, s in enumerate(spans) if cls in s["cls"]), None)
 
+def _fields(item: _Node) -> dict:
     out = {"title_original": "", "author_original": "", "title_href": "", "pdf_href": ""}
-    i = first(TITLE_CLASS)
-    if i is not None:
-        s = spans[i]
-        if s["a_href"] is not None or s["a_text"] is not None:
-            out["title_original"] = s["a_text"] or ""
-            out["title_href"] = s["a_href"] or ""
+    title = item.find("span", TITLE_CLASS)
+    if title is not None:
+        link = title.find("a")
+        out["title_original"] = (link or title).text()
+        out["title_href"] = link.attrs.get("href", "") if link else ""
+    author = item.find("span", AUTHOR_CLASS)
+    if author is not None:
+        link = author.find("a")
+        if link is not None:
+            out["author_original"] = link.text()
         else:
-            out["title_original"] = _text(s["text"])
-    i = first(AUTHOR_CLASS)
-    if i is not None:
-        s = spans[i]
-        if s["a_text"] is not None:
-            out["author_original"] = s["a_text"]
-        else:
-            out["author_original"] = _text(s["text"]).replace(AUTHOR_DASH, "").strip()
-            if not out["author_original"]:
-                nxt = next((t for t in spans[i + 1 :] if AUTHOR_CLASS in t["cls"]), None)
-                if nxt is not None:
-                    out["author_original"] = _text(nxt["text"])
-    i = first(DOWNLOAD_CLASS)
-    if i is not None and spans[i]["a_href"] is not None:
-        out["pdf_href"] = spans[i]["a_href"]
+            out["author_original"] = author.text().replace(AUTHOR_DASH, "").strip()
+            other = author.next_sibling("span", AUTHOR_CLASS)
+            if not out["author_original"] and other is not None:
+                out["author_original"] = other.text()
+    download = item.find("span", DOWNLOAD_CLASS)
+    link = download.find("a") if download is not None else None
+    if link is not None:
+        out["pdf_href"] = link.attrs.get("href", "")
     return out
 
 
 def parse_catalogue_html(html: str | None) -> list[dict]:
+    """The items of the first ``div.books_from_db``, at any depth."""
     if not html:
         return []
-    p = _CatalogueParser()
+    p = _TreeParser()
     p.feed(html)
     p.close()
-    return [dict(item_pos=k, **_fields(it)) for k, it in enumerate(p.items)]
+    container = p.root.find("div", CONTAINER_CLASS)
+    if container is None:
+        return []
+    items = [x for x in container.walk() if isinstance(x, _Node) and x.tag == "li" and re.search(ITEM_ID_PATTERN, x.attrs.get("id", ""))]
+    return [dict(item_pos=k, **_fields(x)) for k, x in enumerate(items)]
 
 
 def dom_items(pages: DataFrame, html_col: str = "html") -> DataFrame:

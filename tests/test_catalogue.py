@@ -56,3 +56,13 @@ def test_regex_items_positions_and_entities(spark):
     pages = spark.createDataFrame([(1, html)], "page_id int, html string")
     rows = SC.regex_items(pages, "html", r'<li><a href="([^"]*)">([^<]*)</a></li>', {"href": 1, "text": 2}).collect()
     assert [(r.item_pos, r.href, r.text) for r in rows] == [(0, "/a", "A & B"), (1, "/b,", "b")]
+
+
+def test_real_markup():
+    """Stray and unclosed tags, nested spans, entities beyond the flat list."""
+    li = '<li id="li_id{0}"><span><span class="titlespan x"><a href="t?book_id={0}">T&eacute;{0}</a></span></span>{1}<span class="downloadpdf"><a href="/p{0}">pdf</a></span>'
+    html = '<div class="a books_from_db"><ul>' + li.format(1, "") + "</li>" + li.format(2, "</b>") + "</li>" + li.format(3, "<br><img src=x>") + li.format(4, "") + "</ul></div></div><li id='li_id9'>no</li>"
+    items = SC.parse_catalogue_html(html)
+    assert [(i["title_original"], i["title_href"], i["pdf_href"]) for i in items] == [(f"Té{k}", f"t?book_id={k}", f"/p{k}") for k in (1, 2, 3, 4)]
+    deep = SC.parse_catalogue_html('<div class="books_from_db">' + "".join(li.format(k, "") for k in range(3000)))
+    assert len(deep) == 3000 and deep[-1]["pdf_href"] == "/p2999"
