@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusflow.functions.text import WS
 from corpusflow.functions.urls import item_identifier, url_authority, url_quote
 
 # --- fixed values ----------------------------------------------------------------
@@ -53,7 +54,9 @@ class HandlerRegistry:
     Unknown modules, resolvers that give null and rows without a handler keep the
     original URL."""
 
-    def __init__(self):
+    def __init__(self, default: Resolver | None = None):
+        """``default`` resolves the rows of every handler without a resolver of its own."""
+        self._default = default
         self._frames: dict[str, Resolver] = {}
         self._columns: dict[str, ColumnResolver] = {}
 
@@ -65,8 +68,10 @@ class HandlerRegistry:
         self._columns[module] = resolver
         return self
 
-    def dispatch(self, df: DataFrame, url_col: str, handlers: list[tuple[str, str]]) -> DataFrame:
-        tagged = df.withColumn("handler", match_handler(url_col, handlers))
+    def dispatch(self, df: DataFrame, url_col: str, handlers: list[tuple[str, str]] | str) -> DataFrame:
+        """``handlers``: the ordered list, or the name of a column that holds each row's own."""
+        match = match_handler_col if isinstance(handlers, str) else match_handler
+        tagged = df.withColumn("handler", match(url_col, handlers))
         url = F.col(url_col)
         expr = None
         for name, fn in self._columns.items():
@@ -75,7 +80,14 @@ class HandlerRegistry:
         col_answer = expr if expr is not None else F.lit(None).cast("string")
         frames = list(self._frames)
         rest = tagged.filter(F.col("handler").isNull() | ~F.col("handler").isin(frames)) if frames else tagged
-        parts = [rest.withColumn("resolved_url", col_answer)]
+        parts = []
+        if self._default is not None:
+            known = [*self._columns]
+            others = F.col("handler").isNotNull() & (~F.col("handler").isin(known) if known else F.lit(True))
+            others = F.coalesce(others, F.lit(False))
+            parts.append(self._default(rest.filter(others), url_col).select(*tagged.columns, "resolved_url"))
+            rest = rest.filter(~others)
+        parts.insert(0, rest.withColumn("resolved_url", col_answer))
         for name in frames:
             sub = tagged.filter(F.col("handler") == F.lit(name))
             parts.append(self._frames[name](sub, url_col).select(*tagged.columns, "resolved_url"))
@@ -86,16 +98,34 @@ class HandlerRegistry:
 # --- W1 / J5 -------------------------------------------------------------------------
 
 
+def _size(listing: DataFrame) -> Column:
+    """A file's size as Python's int() reads it: no such key -> 0; a number is cut; a text must be
+    an integer (single underscores between digits); anything else -> null (an error)."""
+    text = F.trim(F.regexp_replace(F.col("size"), f"^[{WS}]+|[{WS}]+$", ""))
+    whole = F.when(text.rlike("^[+-]?[0-9]+(?:_[0-9]+)*$"), F.replace(text, F.lit("_"), F.lit("")).try_cast("bigint"))
+    if "size_json" not in listing.columns:
+        return F.when(F.col("size").isNull(), F.lit(0).cast("bigint")).otherwise(whole)
+    raw = F.col("size_json")
+    number = raw.try_cast("double")
+    cut = F.coalesce(raw.try_cast("bigint"), F.when(number >= 0, F.floor(number)).otherwise(F.ceil(number)).try_cast("bigint"))
+    return (
+        F.when(raw.isNull(), F.lit(0).cast("bigint"))
+        .when(raw.startswith('"'), whole)
+        .when(raw == "true", F.lit(1).cast("bigint"))
+        .when(raw == "false", F.lit(0).cast("bigint"))
+        .when(raw.rlike("^-?[0-9]"), cut)
+    )
+
+
 def best_file(listing: DataFrame, item_col: str = "item_id") -> DataFrame:
     """One PDF per item. Prefer names without '_text.pdf'; among the ranked set the
-    largest int(size) (missing -> 0), ties -> earliest in the listing. A non-integer size
-    in the ranked set makes the item an error. One partial aggregation, no sort."""
+    largest int(size) (missing -> 0), ties -> earliest in the listing. A size in the ranked
+    set that int() wouldn't read makes the item an error. One partial aggregation."""
     lname = F.lower(F.col("name"))
     is_pdf = lname.endswith(PDF_SUFFIX)
     is_text = lname.contains(TEXT_PDF_MARK)
-    size_txt = F.regexp_replace(F.col("size"), "_", "")
-    size = F.when(F.col("size").isNull(), F.lit(0)).otherwise(F.trim(size_txt).try_cast("bigint"))
-    bad = F.col("size").isNotNull() & size.isNull()
+    size = _size(listing)
+    bad = size.isNull()
     pdf = listing.filter(is_pdf).select(
         item_col, "pos", "name", is_text.alias("_t"), F.coalesce(size, F.lit(0)).alias("_sz"), bad.alias("_bad")
     )
@@ -122,19 +152,36 @@ def resolved_urls(
     item_col: str,
     download_base: str,
     segment: str = "details",
+    errors: DataFrame | None = None,
 ) -> DataFrame:
     """Catalogue URL -> direct file URL. Chosen PDF -> ``{base}/{id}/{quote(name)}``;
-    metadata error -> ``{base}/{id}/{id}.pdf``; no identifier or no PDF -> original URL."""
+    metadata error (an unreadable size, or an item of ``errors``: its metadata couldn't be
+    fetched or read) -> ``{base}/{id}/{id}.pdf``; no identifier or no PDF -> original URL."""
     ident = item_identifier(url_col, segment)
     c = catalogue.withColumn("_ident", ident)
     j = c.join(best, c["_ident"] == best[item_col], "left")
+    failed = F.coalesce(F.col("size_error"), F.lit(False))
+    if errors is not None:
+        lost = errors.select(F.col(item_col).alias("_lost")).distinct()
+        j = j.join(lost, F.col("_ident") == F.col("_lost"), "left")
+        failed = failed | F.col("_lost").isNotNull()
     chosen = F.concat(F.lit(download_base), F.lit("/"), F.col("_ident"), F.lit("/"), url_quote(F.col("best_name")))
     fallback = F.concat(F.lit(download_base), F.lit("/"), F.col("_ident"), F.lit("/"), F.col("_ident"), F.lit(PDF_SUFFIX))
     resolved = (
         F.when(F.col("_ident").isNull(), F.col(url_col))
-        .when(F.coalesce(F.col("size_error"), F.lit(False)), fallback)
+        .when(failed, fallback)
         .when(F.col("best_name").isNotNull(), chosen)
         .otherwise(F.col(url_col))
     )
-    drop = [x for x in best.columns if x not in catalogue.columns] + ["_ident"]
+    drop = [x for x in best.columns if x not in catalogue.columns] + ["_ident", "_lost"]
     return j.withColumn("resolved_url", resolved).drop(*drop)
+
+
+def metadata_resolver(items: DataFrame, download_base: str, segment: str = "details") -> Resolver:
+    """A resolver over fetched item metadata (``item_id, metadata``: JSON text, null where the
+    fetch failed): S4 listing -> W1 best file -> J5 URL, with J5's fallback for failed items."""
+    from corpusflow.sources.files import file_listing, metadata_errors
+
+    best = best_file(file_listing(items, "metadata", ["item_id"]))
+    errors = metadata_errors(items, "metadata", ["item_id"])
+    return lambda df, url_col: resolved_urls(df, url_col, best, "item_id", download_base, segment, errors)

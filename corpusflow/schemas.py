@@ -21,7 +21,7 @@ PAGE = T.StructType(
         T.StructField("name", S),
         T.StructField("url", S),
         T.StructField("language", S),
-        T.StructField("process_flag", T.BooleanType()),
+        T.StructField("process_flag", T.VariantType()),  # any JSON value, read by its truth
         T.StructField("limit", T.IntegerType()),
         T.StructField("books", T.ArrayType(CONFIG_BOOK)),
     ]
@@ -55,7 +55,8 @@ STATE_COLUMNS = [
 ]
 BOOK_STATE = T.StructType([T.StructField(c, S) for c in STATE_COLUMNS])
 
-FILE_ENTRY = T.StructType([T.StructField("name", S), T.StructField("size", S)])
+# the size's JSON type decides how it is read: a number is cut, a text must be an integer
+FILE_ENTRY = T.StructType([T.StructField("name", S), T.StructField("size", T.VariantType())])
 FILE_LISTING = T.StructType([T.StructField("files", T.ArrayType(FILE_ENTRY))])
 
 BLOCK = T.StructType(
@@ -67,7 +68,7 @@ BLOCK = T.StructType(
 )
 PAGE_METADATA = T.StructType(
     [
-        T.StructField("page_num", T.IntegerType()),
+        T.StructField("page_num", S),
         T.StructField("blocks", T.ArrayType(BLOCK)),
     ]
 )

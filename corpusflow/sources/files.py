@@ -8,6 +8,7 @@ import zipfile
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusflow.functions.text import basename
 from corpusflow.schemas import FILE_LISTING, PAGE_METADATA
@@ -17,15 +18,39 @@ MARKDOWN_SUFFIX = ".md"
 METADATA_PREFIX = "metadata/"
 METADATA_SUFFIX = ".json"
 PAGE_FILE_PREFIX = "page_"
+# the parser's column for documents that don't fit
+CORRUPT = "_malformed"
 # -------------------------------------------------------------------------------
 
 
+def _malformed(parsed: Column) -> Column:
+    """Whether a document parsed with ``CORRUPT`` in its schema is no such document."""
+    return parsed.isNull() | parsed[CORRUPT].isNotNull()
+
+
+def _parse(text: Column, schema: T.StructType) -> Column:
+    return F.from_json(text, T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]), {"columnNameOfCorruptRecord": CORRUPT})
+
+
 def file_listing(items: DataFrame, json_col: str, keep: list[str]) -> DataFrame:
-    """Item metadata JSON -> one row per file (``pos`` 0-based, listing order).
-    Items without ``files`` give no rows; a file without ``name`` gets ''."""
-    parsed = items.select(*keep, F.from_json(F.col(json_col), FILE_LISTING).getField("files").alias("_files"))
+    """Item metadata JSON -> one row per file (``pos`` 0-based, listing order): name,
+    size as text, and ``size_json``, the size as it stands in the document (null: no such
+    key). Items without ``files`` and malformed metadata give no rows (see
+    :func:`metadata_errors`); a file without ``name`` gets ''."""
+    parsed = items.select(*keep, _parse(F.col(json_col), FILE_LISTING).getField("files").alias("_files"))
     ex = parsed.select(*keep, F.posexplode("_files").alias("pos", "_f"))
-    return ex.select(*keep, "pos", F.coalesce(F.col("_f.name"), F.lit("")).alias("name"), F.col("_f.size").alias("size"))
+    size = F.col("_f.size")
+    return ex.select(
+        *keep, "pos", F.coalesce(F.col("_f.name"), F.lit("")).alias("name"),
+        F.try_variant_get(size, "$", "string").alias("size"), F.to_json(size).alias("size_json"),
+    )
+
+
+def metadata_errors(items: DataFrame, json_col: str, keep: list[str]) -> DataFrame:
+    """Items whose metadata couldn't be fetched (null) or isn't such a document, with a reason."""
+    c = F.col(json_col)
+    reason = F.when(c.isNull(), F.lit("metadata is missing")).otherwise(F.lit("metadata is malformed"))
+    return items.where(c.isNull() | _malformed(_parse(c, FILE_LISTING))).select(*keep, reason.alias("reason"))
 
 
 def binary_digests(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
@@ -50,22 +75,27 @@ def expected_digests(expected: DataFrame, path_col: str, scan: DataFrame) -> Dat
 
 
 def _unpack(batches):
+    """One frame per archive, so that a task holds one archive's texts at a time."""
+    columns = ["archive_path", "entry_pos", "entry_name", "content", "error"]
     for pdf in batches:
-        rows = []
         for path, content in zip(pdf["path"], pdf["content"]):
+            rows = []
             try:
                 with zipfile.ZipFile(io.BytesIO(content)) as z:
                     for pos, info in enumerate(z.infolist()):
-                        data = z.read(info.filename)
-                        rows.append((path, pos, info.filename, data.decode("utf-8", errors="replace"), None))
-            except Exception as e:  # unreadable archive -> one error row
-                rows.append((path, -1, None, None, f"{type(e).__name__}: {e}"))
-        yield pd.DataFrame(rows, columns=["archive_path", "entry_pos", "entry_name", "content", "error"])
+                        name = info.filename
+                        if name.endswith(MARKDOWN_SUFFIX) or (name.startswith(METADATA_PREFIX) and name.endswith(METADATA_SUFFIX)):
+                            rows.append((path, pos, name, z.read(info).decode("utf-8"), None))
+            except Exception as e:  # a damaged archive gives one error row and nothing else
+                rows = [(path, -1, None, None, f"{type(e).__name__}: {e}")]
+            yield pd.DataFrame(rows, columns=columns)
 
 
 def unpack_archives(archives: DataFrame) -> DataFrame:
-    """Every entry of every archive in a ``path, content`` DataFrame (the binaryFile
-    layout) as a row, in archive order (Arrow-batched stdlib zipfile)."""
+    """The markdown and page-metadata entries of every archive in a ``path, content``
+    DataFrame (the binaryFile layout), in archive order; other entries aren't read. All or
+    nothing: an archive of which a needed entry can't be read, or isn't UTF-8, gives one row
+    with its ``error``. An archive without such entries gives no row."""
     return archives.select("path", "content").mapInPandas(
         _unpack, "archive_path string, entry_pos int, entry_name string, content string, error string"
     )
@@ -99,12 +129,13 @@ def page_num_from_name(file_name) -> Column:
 
 def block_rows(pages: DataFrame, json_col: str, file_name_col: str, keep: list[str]) -> DataFrame:
     """Page metadata JSON -> one row per block that has a confidence.
-    page_num from the document, else from the file name (``page_`` and ``.json`` removed)."""
-    parsed = pages.select(*keep, file_name_col, F.from_json(F.col(json_col), PAGE_METADATA).alias("_p"))
+    page_num from the document (a number or its text), else from the file name (``page_`` and
+    ``.json`` removed). Malformed pages give no rows (see :func:`block_rejects`)."""
+    parsed = pages.select(*keep, file_name_col, _parse(F.col(json_col), PAGE_METADATA).alias("_p"))
     with_page = parsed.select(
         *keep,
         file_name_col,
-        F.coalesce(F.col("_p.page_num"), page_num_from_name(F.col(file_name_col))).alias("page_num"),
+        F.coalesce(F.col("_p.page_num").try_cast("int"), page_num_from_name(F.col(file_name_col))).alias("page_num"),
         F.col("_p.blocks").alias("_blocks"),
     )
     ex = with_page.select(*keep, file_name_col, "page_num", F.posexplode("_blocks").alias("block_pos", "_b"))
@@ -117,3 +148,10 @@ def block_rows(pages: DataFrame, json_col: str, file_name_col: str, keep: list[s
         F.col("_b.confidence").alias("confidence"),
         F.coalesce(F.col("_b.text"), F.lit("")).alias("text"),
     )
+
+
+def block_rejects(pages: DataFrame, json_col: str, file_name_col: str, keep: list[str]) -> DataFrame:
+    """Page metadata documents that are missing or malformed, with a reason."""
+    c = F.col(json_col)
+    reason = F.when(c.isNull(), F.lit("page metadata is missing")).otherwise(F.lit("page metadata is malformed"))
+    return pages.where(c.isNull() | _malformed(_parse(c, PAGE_METADATA))).select(*keep, file_name_col, reason.alias("reason"))

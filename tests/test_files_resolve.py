@@ -43,6 +43,7 @@ def test_ocr_archive_unpack(spark, tmp_path):
     docs, meta = FS.ocr_outputs(entries.filter(F.col("error").isNull()))
     md = {r.archive_path.rsplit("/", 1)[-1]: r.markdown for r in docs.collect()}
     assert md == {"job1.zip": "# first", "job2.zip": None}
+    assert {r.entry_name for r in entries.collect()} == {None, "doc.md", "other.md", "metadata/page_1.json", "metadata/page_2.json"}
     assert sorted((r.archive_path.rsplit("/", 1)[-1], r.file_name) for r in meta.collect()) == [("job1.zip", "page_1.json"), ("job2.zip", "page_2.json")]
     assert entries.filter(F.col("error").isNotNull()).count() == 1
 
@@ -76,44 +77,84 @@ def test_resolved_url_fallbacks(spark):
     items = {"good": [{"name": "Book One.pdf", "size": "2"}], "err": [{"name": "e.pdf", "size": "x1"}], "nopdf": [{"name": "a.txt"}]}
     best = RS.best_file(_listing(spark, items))
     cat = spark.createDataFrame(
-        [("https://archive.org/details/good/page/n1",), ("https://archive.org/details/err",), ("https://archive.org/details/nopdf",), ("https://archive.org/download/z/z.pdf",)],
+        [("https://shelf.test/details/good/page/n1",), ("https://shelf.test/details/err",), ("https://shelf.test/details/nopdf",), ("https://shelf.test/download/z/z.pdf",)],
         "url string",
     )
-    got = {r.url: r.resolved_url for r in RS.resolved_urls(cat, "url", best, "item_id", "https://archive.org/download").collect()}
+    got = {r.url: r.resolved_url for r in RS.resolved_urls(cat, "url", best, "item_id", "https://shelf.test/download").collect()}
     assert got == {
-        "https://archive.org/details/good/page/n1": "https://archive.org/download/good/Book%20One.pdf",
-        "https://archive.org/details/err": "https://archive.org/download/err/err.pdf",
-        "https://archive.org/details/nopdf": "https://archive.org/details/nopdf",
-        "https://archive.org/download/z/z.pdf": "https://archive.org/download/z/z.pdf",
+        "https://shelf.test/details/good/page/n1": "https://shelf.test/download/good/Book%20One.pdf",
+        "https://shelf.test/details/err": "https://shelf.test/download/err/err.pdf",
+        "https://shelf.test/details/nopdf": "https://shelf.test/details/nopdf",
+        "https://shelf.test/download/z/z.pdf": "https://shelf.test/download/z/z.pdf",
     }
 
 
 def test_handler_first_match_in_config_order(spark):
-    handlers = [("archive.org", "archive_utils"), ("org", "generic")]
-    df = spark.createDataFrame([("https://www.archive.org/x",), ("https://x.org/y",), ("https://x.com/y",), ("https://u:p@archive.org:8080/z",)], "u string")
+    handlers = [("shelf.test", "shelf_handler"), ("org", "generic")]
+    df = spark.createDataFrame([("https://www.shelf.test/x",), ("https://x.org/y",), ("https://x.com/y",), ("https://u:p@shelf.test:8080/z",)], "u string")
     got = [r[0] for r in df.select(RS.match_handler("u", handlers)).collect()]
-    assert got == ["archive_utils", "generic", None, "archive_utils"]
-    reg = RS.HandlerRegistry().register("archive_utils", lambda d, c: d.withColumn("resolved_url", F.lit(None).cast("string")))
+    assert got == ["shelf_handler", "generic", None, "shelf_handler"]
+    reg = RS.HandlerRegistry().register("shelf_handler", lambda d, c: d.withColumn("resolved_url", F.lit(None).cast("string")))
     out = {r.u: r.resolved_url for r in reg.dispatch(df, "u", handlers).collect()}
-    assert out["https://www.archive.org/x"] == "https://www.archive.org/x"  # null answer -> original
+    assert out["https://www.shelf.test/x"] == "https://www.shelf.test/x"  # null answer -> original
     assert out["https://x.org/y"] == "https://x.org/y"  # unregistered module -> original
     both = (
         RS.HandlerRegistry()
         .register_column("generic", lambda u: F.concat(u, F.lit("?resolved")))
-        .register("archive_utils", lambda d, c: d.withColumn("resolved_url", F.regexp_replace(F.col(c), "/x$", "/y")))
+        .register("shelf_handler", lambda d, c: d.withColumn("resolved_url", F.regexp_replace(F.col(c), "/x$", "/y")))
     )
     out2 = {r.u: (r.handler, r.resolved_url) for r in both.dispatch(df, "u", handlers).collect()}
     assert out2 == {
-        "https://www.archive.org/x": ("archive_utils", "https://www.archive.org/y"),
+        "https://www.shelf.test/x": ("shelf_handler", "https://www.shelf.test/y"),
         "https://x.org/y": ("generic", "https://x.org/y?resolved"),
         "https://x.com/y": (None, "https://x.com/y"),
-        "https://u:p@archive.org:8080/z": ("archive_utils", "https://u:p@archive.org:8080/z"),
+        "https://u:p@shelf.test:8080/z": ("shelf_handler", "https://u:p@shelf.test:8080/z"),
     }
 
 
 def test_handler_from_config_column(spark):
     df = spark.createDataFrame(
-        [("https://www.archive.org/x", [("archive.org", "a"), ("org", "b")]), ("https://x.org/y", [("archive.org", "a"), ("org", "b")]), ("https://x.com/y", [("org", "b")])],
+        [("https://www.shelf.test/x", [("shelf.test", "a"), ("org", "b")]), ("https://x.org/y", [("shelf.test", "a"), ("org", "b")]), ("https://x.com/y", [("org", "b")])],
         "u string, h array<struct<pattern:string,module:string>>",
     )
     assert [r[0] for r in df.select(RS.match_handler_col("u", "h")).collect()] == ["a", "b", None]
+
+
+def test_archives_are_all_or_nothing(spark):
+    whole = _zip([("a.md", "# a"), ("metadata/page_1.json", "{}"), ("scan.png", b"\xff\xfe")])
+    broken = bytearray(_zip([("a.md", "# a"), ("metadata/page_1.json", "{}" * 50)]))
+    at = broken.rfind(b"{}{}")
+    broken[at : at + 4] = b"XXXX"
+    latin = _zip([("a.md", "café".encode("latin-1")), ("b.md", "ok")])
+    got = FS.unpack_archives(spark.createDataFrame([("w", whole), ("b", bytes(broken)), ("l", latin)], "path string, content binary")).collect()
+    assert sorted((r.archive_path, r.entry_name, r.error is None) for r in got if r.archive_path == "w") == [("w", "a.md", True), ("w", "metadata/page_1.json", True)]
+    assert [(r.archive_path, r.entry_name) for r in got if r.archive_path != "w"] == [("b", None), ("l", None)]
+
+
+def test_sizes_as_the_json_has_them(spark):
+    def best(a, b):
+        return tuple(RS.best_file(_listing(spark, {"i": [{"name": "a.pdf", **a}, {"name": "b.pdf", **b}]})).select("best_name", "size_error").first())
+
+    assert best({"size": 12.5}, {"size": 12}) == ("a.pdf", False)  # 12.5 is cut to 12, the first stays
+    assert best({"size": " 1_000 "}, {"size": 999}) == ("a.pdf", False)
+    assert best({"size": "1__2"}, {"size": 5}) == (None, True)
+    assert best({"size": "12.5"}, {"size": 5}) == (None, True)
+    assert best({"size": None}, {"size": 5}) == (None, True)
+    assert best({}, {"size": "-1"}) == ("a.pdf", False)
+
+
+def test_metadata_errors_fall_back(spark):
+    items = spark.createDataFrame([("cut", '{"files": [{"name": "a.pdf", '), ("lost", None), ("none", "{}"), ("good", '{"files": [{"name": "g.pdf"}]}')], "item_id string, metadata string")
+    cat = spark.createDataFrame([(f"https://h.test/details/{i}",) for i in ("cut", "lost", "none", "good", "unknown")], "url string")
+    reg = RS.HandlerRegistry(default=RS.metadata_resolver(items, "https://h.test/download"))
+    got = {r.url.rsplit("/", 1)[-1]: r.resolved_url for r in reg.dispatch(cat, "url", [("h.test", "any")]).collect()}
+    assert got == {"cut": "https://h.test/download/cut/cut.pdf", "lost": "https://h.test/download/lost/lost.pdf", "none": "https://h.test/details/none",
+                   "good": "https://h.test/download/good/g.pdf", "unknown": "https://h.test/details/unknown"}
+
+
+def test_page_numbers_and_malformed_pages(spark):
+    rows = [("a", "page_3.json", '{"page_num": "12", "blocks": [{"block_id": "x", "confidence": 0.5}]}'), ("b", "page_3.json", '{"page_num": 7, "blocks": [{"block_id": "y", "confidence": 0.5}]}'),
+            ("c", "page_3.json", '{"blocks": [{"block_id": "z", "confidence": 0.5}]}'), ("d", "page_4.json", '{"blocks": [{'), ("e", "page_5.json", None)]
+    pages = spark.createDataFrame(rows, "d string, f string, j string")
+    assert sorted((r.d, r.page_num) for r in FS.block_rows(pages, "j", "f", ["d"]).collect()) == [("a", 12), ("b", 7), ("c", 3)]
+    assert sorted((r.d, r.reason) for r in FS.block_rejects(pages, "j", "f", ["d"]).collect()) == [("d", "page metadata is malformed"), ("e", "page metadata is missing")]
