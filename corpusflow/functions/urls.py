@@ -42,7 +42,7 @@ def _first_php_segment(path: Column) -> Column:
 
 def page_slug(url, name=None) -> Column:
     """Pipeline page slug: first ``.php`` segment (text before '.php') slugified,
-    else the slugified path with '/' -> '_' and '_' trimmed; null url -> slug of the page name."""
+    else the slugified path with '/' -> '_' and '_' trimmed; null or empty url -> slug of the page name."""
     path = url_path(url)
     php = _first_php_segment(path)
     from_url = F.when(php.isNotNull(), slugify(F.substring_index(php, PHP_MARK, 1))).otherwise(
@@ -50,7 +50,7 @@ def page_slug(url, name=None) -> Column:
     )
     if name is None:
         return from_url
-    return F.when(_c(url).isNull(), slugify(_c(name))).otherwise(from_url)
+    return F.when(F.coalesce(_c(url), F.lit("")) == "", slugify(_c(name))).otherwise(from_url)
 
 
 def page_slug_admin(url, name=None) -> Column:
@@ -64,7 +64,7 @@ def page_slug_admin(url, name=None) -> Column:
         return from_url
     from corpusflow.functions.text import slugify_admin
 
-    return F.when(_c(url).isNull(), slugify_admin(_c(name))).otherwise(from_url)
+    return F.when(F.coalesce(_c(url), F.lit("")) == "", slugify_admin(_c(name))).otherwise(from_url)
 
 
 def item_identifier(url, segment: str = "details") -> Column:

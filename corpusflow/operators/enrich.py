@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import pandas as pd
@@ -40,17 +41,22 @@ def to_enrich(items: DataFrame, cache: DataFrame, key: str) -> DataFrame:
     return items.join(ok.select(key), key, "left_anti")
 
 
+def _single(provider: Provider, text: str) -> str | None:
+    try:
+        return list(provider(pd.Series([text])))[0]
+    except Exception:
+        return None
+
+
 def _provider_udf(provider: Provider):
     def run(batches):
         for pdf in batches:
             texts = pdf["text"]
             try:
-                answer = provider(texts)
-                ok = pd.Series([True] * len(texts), index=texts.index)
-            except Exception:  # whole batch failed: every text falls back
-                answer = pd.Series([None] * len(texts), index=texts.index, dtype=object)
-                ok = pd.Series([False] * len(texts), index=texts.index)
-            yield pd.DataFrame({"text": texts, "answer": answer.astype(object), "provider_ok": ok})
+                answers = list(provider(texts))
+            except Exception:  # one text may have failed the call: ask for each on its own
+                answers = [_single(provider, t) for t in texts]
+            yield pd.DataFrame({"text": texts, "answer": pd.Series(answers, index=texts.index, dtype=object)})
 
     return run
 
@@ -66,30 +72,31 @@ def enrich_cached(
 ) -> DataFrame:
     """Map each *distinct* text through ``provider`` once and slugify the answer.
     Empty text -> ''; no provider, a failed call or a missing (null) answer -> ascii fold;
-    an empty answer -> ''.
+    an empty answer -> ''. Only answers are cached, so a failed text is asked again next time.
 
     distinct -> left_anti against the cache -> repartition -> mapInPandas(provider)
-    -> written to ``cache_out`` (answers are not deterministic and tasks retry, so the
-    new entries are persisted before they are joined back) -> left join."""
+    -> written to a folder of this run below ``cache_out`` (``run=<id>``; answers are not
+    deterministic and tasks retry, so new entries are persisted before they are joined
+    back; ``cache`` may be read from ``cache_out`` itself) -> left join on one row a text."""
     spark = df.sparkSession
     texts = df.select(F.col(text_col).alias("text")).where(F.col("text").isNotNull()).distinct()
     if cache is not None:
+        cache = cache.groupBy("text").agg(F.min(out).alias(out))
         texts = texts.join(cache.select("text"), "text", "left_anti")
-    if provider is None:
-        fresh = texts.select("text", ascii_fold("text").alias(out))
-    else:
+    table = cache
+    if provider is not None:
         n = parallelism or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        answered = texts.repartition(n, "text").mapInPandas(
-            _provider_udf(provider), "text string, answer string, provider_ok boolean"
-        )
-        # a missing answer (or a failed call) falls back; an empty answer slugifies to ''
-        good = F.col("provider_ok") & F.col("answer").isNotNull()
-        fresh = answered.select("text", F.when(good, slugify("answer")).otherwise(ascii_fold("text")).alias(out))
-        path = cache_out or scratch(spark, "enrich-cache")
-        fresh.write.mode("append").parquet(path)
-        fresh = spark.read.parquet(path)
-    table = fresh if cache is None else cache.select("text", F.col(out)).unionByName(fresh)
-    j = df.join(table.withColumnRenamed("text", "_etext"), F.col(text_col) == F.col("_etext"), "left").drop("_etext")
+        answered = texts.repartition(n, "text").mapInPandas(_provider_udf(provider), "text string, answer string")
+        fresh = answered.where(F.col("answer").isNotNull()).select("text", slugify("answer").alias(out))
+        path = f"{cache_out.rstrip('/')}/run={uuid.uuid4().hex}" if cache_out else scratch(spark, "enrich-cache")
+        fresh.write.parquet(path)
+        fresh = spark.read.schema(f"text string, {out} string").parquet(path)
+        table = fresh if cache is None else cache.select("text", out).unionByName(fresh)
+    if table is None:
+        j = df.withColumn(out, ascii_fold(text_col))
+    else:
+        found = table.select(F.col("text").alias("_etext"), F.col(out).alias("_found"))
+        j = df.join(found, F.col(text_col) == F.col("_etext"), "left").withColumn(out, F.coalesce("_found", ascii_fold(text_col))).drop("_etext", "_found")
     return j.withColumn(out, F.when(F.coalesce(F.col(text_col), F.lit("")) == "", F.lit("")).otherwise(F.col(out)))
 
 
@@ -102,5 +109,5 @@ def ingest_results(results: DataFrame, doc_col: str, state_col: str = "job_state
         F.count_if(ok).cast("bigint").alias("n_completed"),
         F.bool_and(ok).alias("accepted"),
     )
-    rejects = results.filter(~ok)
-    return per_doc, rejects
+    reason = F.coalesce(F.concat(F.lit("job state is "), F.col(state_col)), F.lit("job state is missing"))
+    return per_doc, results.filter(~ok).withColumn("reason", reason)

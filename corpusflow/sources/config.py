@@ -17,14 +17,24 @@ from corpusflow.schemas import CONFIG, PAGE
 # --- fixed values: per-page defaults -----------------------------------------
 DEFAULT_PAGE_NAME = "Unknown Page"
 DEFAULT_LANGUAGE = "kn-IN"
+STRICT = {"mode": "FAILFAST"}
+# JSON values that Python counts as false
+FALSE_JSON = ["null", "false", '""', "[]", "{}"]
 # ---------------------------------------------------------------------------
 
 
 def parse_pages(text) -> Column:
-    """array<page> from a config text in either layout (dict with ``pages`` or legacy list)."""
+    """array<page> from a config text in either layout (dict with ``pages`` or legacy list). A
+    text that isn't such JSON fails the job: a truncated config must not pass for an empty one."""
     c = F.col(text) if isinstance(text, str) else text
     is_list = c.rlike(r"^\s*\[")
-    return F.when(is_list, F.from_json(c, T.ArrayType(PAGE))).otherwise(F.from_json(c, CONFIG).getField("pages"))
+    return F.when(is_list, F.from_json(c, T.ArrayType(PAGE), STRICT)).otherwise(F.from_json(c, CONFIG, STRICT).getField("pages"))
+
+
+def truthy(value: Column) -> Column:
+    """Whether Python would take a JSON value (a variant; null: no such key) for true."""
+    text = F.to_json(value)
+    return F.coalesce(~text.isin(FALSE_JSON) & ~text.rlike("^-?0(?:[.]0*)?(?:[eE].*)?$"), F.lit(False))
 
 
 def parse_handlers(text) -> Column:
@@ -53,9 +63,9 @@ def config_pages(cfg: DataFrame, pages_col: str = "pages", keep: list[str] | Non
         *keep,
         "page_pos",
         F.coalesce(p["name"], F.lit(DEFAULT_PAGE_NAME)).alias("page_name"),
-        p["url"].alias("page_url"),
+        F.nullif(p["url"], F.lit("")).alias("page_url"),  # an empty url is no url
         F.coalesce(p["language"], F.lit(DEFAULT_LANGUAGE)).alias("page_language"),
-        F.coalesce(p["process_flag"], F.lit(False)).alias("process_flag"),
+        truthy(p["process_flag"]).alias("process_flag"),
         p["limit"].alias("page_limit"),
         p["books"].alias("books"),
     ).withColumn("page_slug", page_slug(F.col("page_url"), F.col("page_name")))

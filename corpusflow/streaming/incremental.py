@@ -19,10 +19,11 @@ from corpusflow.session import scratch
 
 
 def drain_drops(spark: SparkSession, drops_dir: str, schema, log_dir: str, checkpoint: str) -> None:
-    """Append every not-yet-seen drop file to the log (one availableNow run)."""
-    stream = spark.readStream.schema(schema).parquet(drops_dir).withColumn("_arrival", F.current_timestamp()).withColumn(
-        "_source", F.input_file_name()
-    )
+    """Append every not-yet-seen drop file to the log (one availableNow run). ``_arrival`` is the
+    file's modification time, so the order of drops holds however many a run drains; files of
+    one instant go by path."""
+    files = spark.readStream.schema(schema).parquet(drops_dir)
+    stream = files.withColumn("_arrival", F.col("_metadata.file_modification_time")).withColumn("_source", F.col("_metadata.file_path"))
     q = (
         stream.writeStream.format("parquet")
         .option("path", log_dir)

@@ -8,13 +8,13 @@ from corpusflow.functions import urls as U
 
 
 def py_page_slug(url):
-    from test_text import py_slugify
+    from test_text import expected_slug
 
     path = urlparse(url).path
     for seg in path.split("/"):
         if ".php" in seg:
-            return py_slugify(seg.split(".php")[0])
-    return py_slugify(path.replace("/", "_").strip("_"))
+            return expected_slug(seg.split(".php")[0])
+    return expected_slug(path.replace("/", "_").strip("_"))
 
 
 def py_page_slug_admin(url):
