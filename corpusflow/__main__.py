@@ -10,6 +10,7 @@ Under spark-submit the cluster session is used; ``--local`` starts a local one.
 from __future__ import annotations
 
 import argparse
+import importlib
 import json
 
 from pyspark.sql import SparkSession
@@ -36,6 +37,10 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--state", required=True)
     run.add_argument("--list-pages", help="Parquet with page_url, html of the fetched list pages")
     run.add_argument("--outcomes", help="Parquet with stage outcomes (page_slug, id, download_ok, ...)")
+    run.add_argument("--metadata", help="Parquet with item_id, metadata (JSON; null: not fetched) for the config's domain handlers")
+    run.add_argument("--download-base", default="https://archive.org/download", help="where resolved files are")
+    run.add_argument("--enrich-languages", default="", help="language prefixes whose names go through --provider, comma-separated")
+    run.add_argument("--provider", help="module:function, Series of texts -> Series of answers")
     rst = sub.add_parser("reset", help="failed / in-progress rows back to pending")
     rst.add_argument("--state", required=True)
     rst.add_argument("--page-slug")
@@ -47,6 +52,7 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = _session(args.local)
     from corpusflow.operators import state as ST
+    from corpusflow.operators.resolve import HandlerRegistry, metadata_resolver
     from corpusflow.plans import workflow as P
     from corpusflow.sources import config as CFG
     from corpusflow.sources import state as SS
@@ -54,14 +60,23 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd == "run":
         lists = spark.read.parquet(args.list_pages) if args.list_pages else None
         outcomes = spark.read.parquet(args.outcomes) if args.outcomes else None
-        result = P.run_once(spark, args.config, args.state, outcomes=outcomes, list_pages=lists)
+        registry = None
+        if args.metadata:
+            resolver = metadata_resolver(spark.read.parquet(args.metadata), args.download_base)
+            registry = HandlerRegistry(default=resolver)
+        provider = None
+        if args.provider:
+            module, _, name = args.provider.partition(":")
+            provider = getattr(importlib.import_module(module), name)
+        languages = set(filter(None, args.enrich_languages.split(",")))
+        result = P.run_once(spark, args.config, args.state, outcomes=outcomes, list_pages=lists, registry=registry, enrich_languages=languages, provider=provider)
     elif args.cmd == "reset":
         result = P.reset(spark, args.state, args.page_slug)
     else:
         pages = CFG.enabled_pages(CFG.config_pages(CFG.read_config(spark, args.config), keep=["config_path"]))
-        limits = pages.select("page_slug", F.col("page_limit").alias("limit"))
-        plan = ST.resume_plan(SS.load_state(spark, args.state), limits)
-        plan.withColumn("remaining", F.array_join("remaining", ",")).write.mode("errorifexists").partitionBy("page_slug").parquet(args.out)
+        limits = pages.select("page_slug", "config_path", "page_pos", F.col("page_limit").alias("limit"))
+        plan = ST.resume_plan(SS.load_state(spark, args.state), limits, order=["config_path", "page_pos"])
+        plan.withColumn("remaining", F.array_join("remaining", ",")).write.mode("errorifexists").parquet(args.out)
         result = {"plan": args.out}
     print(json.dumps(result))
     return 0

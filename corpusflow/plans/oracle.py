@@ -6,7 +6,10 @@ binding from scratch rather than reusing the Spark plans.
 
 from __future__ import annotations
 
-from corpusflow.functions.text import WORD, WS
+# Fixed values, typed out here on their own: letters, numbers and underscore; white space as
+# Python's str.isspace sees it.
+WORD = r"\p{L}\p{N}_"
+WS = r"\t\n\x0b\x0c\r\x1c-\x1f\x85\p{Z}"
 
 # --- SQL expression builders ----------------------------------------------------------------
 
@@ -407,7 +410,7 @@ vd AS (
 )"""
 
 ORACLE["file_digest"] = f"WITH {_DIG} SELECT doc_id, sha256 FROM dg"
-ORACLE["checksum_verify"] = f"WITH {_DIG} SELECT doc_id, verdict, CASE WHEN verdict IN ('verified', 'adopted') THEN sha256 END AS pdf_sha256_hash FROM vd"
+ORACLE["checksum_verify"] = f"WITH {_DIG} SELECT doc_id, verdict, CASE WHEN verdict IN ('verified', 'adopted') THEN sha256 ELSE recorded END AS pdf_sha256_hash FROM vd"
 
 # --- state over orders ---------------------------------------------------------------------------------------------
 
@@ -626,3 +629,56 @@ SELECT page_slug, id, title_original, pdf_url,
        {apath('processed_docs', 'page_slug', 'id', "replace(fname, '.pdf', '.docx')")} AS local_docx_path,
        'pending' AS status, language
 FROM named"""
+
+# --- the operators on awkward inputs -----------------------------------------------------------
+
+ORACLE["catalogue_dom_items"] = f"""WITH {_NAV}
+SELECT page_id, item_pos::BIGINT AS item_pos, {_TXT} AS title_original, {authority('url')} AS author_original,
+       'toc.php?book_id=' || CAST(page_id * 100 + item_pos AS VARCHAR) AS title_href, {unescape('raw_href')} AS pdf_href,
+       CAST(page_id * 100 + item_pos AS VARCHAR) AS id
+FROM items"""
+
+ORACLE["catalogue_rejects"] = f"""WITH {_ITEMS_ID}
+SELECT page_id, item_pos::BIGINT AS item_pos,
+       'no ' || concat_ws(', ', CASE WHEN coalesce(title_original, '') = '' THEN 'title' END, CASE WHEN coalesce(pdf_href, '') = '' THEN 'pdf url' END,
+                          CASE WHEN coalesce(id, '') = '' THEN 'id' END) AS reason
+FROM flag WHERE NOT complete"""
+
+ORACLE["job_rejects"] = """
+SELECT event_id, user_id AS doc_id, 'job state is ' || coalesce(event_type, 'missing') AS reason
+FROM events WHERE event_type IS DISTINCT FROM 'purchase'"""
+
+ORACLE["low_confidence_details"] = """
+WITH blk AS (
+  SELECT l_orderkey AS doc_id, l_suppkey % 3 AS part, 'page_' || CAST(l_linenumber AS VARCHAR) || '.json' AS file_name, l_linenumber AS page_num,
+         row_number() OVER (PARTITION BY l_orderkey, l_suppkey % 3, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity, l_shipdate) AS block_pos,
+         'b' || CAST(l_partkey AS VARCHAR) || '_' || CAST(l_suppkey AS VARCHAR) AS block_id,
+         CASE WHEN l_returnflag <> 'N' THEN l_quantity / 50 END AS confidence, l_returnflag || l_linestatus AS text
+  FROM lineitem
+)
+SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY file_name, part, block_pos)::BIGINT AS detail_pos, page_num, block_id, confidence, text
+FROM blk WHERE confidence < 0.7"""
+
+ORACLE["resolved_urls_with_errors"] = f"""WITH {_BEST},
+lost AS (SELECT DISTINCT item_id FROM lst WHERE item_id % 13 = 0 OR item_id % 11 = 0)
+SELECT o.o_orderkey,
+       CASE WHEN l.item_id IS NOT NULL OR coalesce(b.size_error, false) THEN 'https://archive.example.org/download/' || CAST(o.o_orderkey AS VARCHAR) || '/' || CAST(o.o_orderkey AS VARCHAR) || '.pdf'
+            WHEN b.best_name IS NOT NULL THEN 'https://archive.example.org/download/' || CAST(o.o_orderkey AS VARCHAR) || '/' || {quote('b.best_name')}
+            ELSE 'https://archive.example.org/details/' || CAST(o.o_orderkey AS VARCHAR) END AS resolved_url
+FROM orders o LEFT JOIN best b ON o.o_orderkey = b.item_id LEFT JOIN lost l ON o.o_orderkey = l.item_id"""
+
+ORACLE["limit_shared_slug"] = ORACLE["limit_per_page"]
+ORACLE["state_roundtrip_pages"] = f"""WITH {_STATE}
+SELECT CASE WHEN o_orderkey % 400 = 0 THEN '' ELSE page_slug || '-' || CAST(o_orderkey % 400 AS VARCHAR) END AS page_slug, id, status, pdf_url || '?again' AS pdf_url
+FROM st"""
+ORACLE["incremental_order"] = ORACLE["state_upsert"]
+ORACLE["enrich_cached_again"] = ORACLE["enrich_cached"]
+
+ORACLE["ocr_damaged_archives"] = """
+SELECT conv_id, conv_id % 5 <> 0 AND bool_or(role = 'assistant') AND bool_or(role = 'user') AS ocr_ok,
+       CASE WHEN conv_id % 5 <> 0 AND bool_or(role = 'assistant') AND bool_or(role = 'user') THEN arg_min(text, turn) FILTER (WHERE role = 'assistant') END AS merged_text
+FROM conversations GROUP BY conv_id"""
+
+ORACLE["binary_file_digest"] = """
+SELECT conv_id, sha256(string_agg(text || chr(10) || chr(10) || '---' || chr(10) || chr(10), '' ORDER BY turn)) AS sha256
+FROM conversations GROUP BY conv_id"""

@@ -110,10 +110,11 @@ def q_zfill(spark, sf):
     )
 
 
-def _inline_books(spark, sf) -> DataFrame:
-    d = _docs(spark, sf, "text", "lang", "source")
+def _inline_books(spark, sf, *extra) -> DataFrame:
+    d = _docs(spark, sf, "text", "lang", "source", *extra)
     books = d.select(
         "doc_id",
+        *extra,
         TX.slugify("lang").alias("page_slug"),
         F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("id"),
         F.col("text").alias("title_original"),
@@ -350,15 +351,14 @@ def _metadata_page_rows(spark, sf) -> DataFrame:
         "doc_id",
         "part",
         "file_name",
-        F.coalesce(F.col("_p.page_num"), FS.page_num_from_name("file_name")).alias("page_num"),
+        F.coalesce(F.col("_p.page_num").try_cast("int"), FS.page_num_from_name("file_name")).alias("page_num"),
         F.size("_p.blocks").cast("bigint").alias("n_blocks"),
     )
 
 
 @query("merge_metadata")
 def q_merge_metadata(spark, sf):
-    rows = _metadata_page_rows(spark, sf)
-    return Q.merge_metadata([rows.filter(F.col("part") == k) for k in range(3)])
+    return Q.merge_metadata([_metadata_page_rows(spark, sf)])
 
 
 @query("sort_metadata")
@@ -382,7 +382,7 @@ def q_chunk_plan(spark, sf):
 
 @query("chunk_names")
 def q_chunk_names(spark, sf):
-    b = _inline_books(spark, sf).join(_docs(spark, sf, "n_chars"), "doc_id")
+    b = _inline_books(spark, sf, "n_chars")
     b = b.withColumn("stem", TX.stem(TX.basename("local_pdf_path")))
     return CH.chunk_names(CH.chunk_plan(b, "n_chars"), "stem").select("doc_id", _whole_part(), "chunk_pdf", "chunk_md")
 
@@ -393,8 +393,7 @@ def q_chunk_slices(spark, sf):
     return CH.chunk_slices(plan, "text").select("doc_id", _whole_part(), "slice")
 
 
-def _precheck(spark, sf) -> DataFrame:
-    d = _docs(spark, sf, "n_chars")
+def _precheck(d: DataFrame) -> DataFrame:
     k = F.col("doc_id")
     err = CH.precheck_error(k % 4 != 3, F.col("parse_error"), k % 2 == 0)
     return d.withColumn("parse_error", F.when(k % 17 == 0, F.lit("EOF marker not found"))).withColumn("precheck_error", err).withColumn(
@@ -404,14 +403,14 @@ def _precheck(spark, sf) -> DataFrame:
 
 @query("precheck_triage")
 def q_precheck_triage(spark, sf):
-    return _precheck(spark, sf).select("doc_id", "precheck_error", "page_count")
+    return _precheck(_docs(spark, sf, "n_chars")).select("doc_id", "precheck_error", "page_count")
 
 
 @query("precheck_placeholder")
 def q_precheck_placeholder(spark, sf):
-    pc = _precheck(spark, sf).filter(F.col("precheck_error").isNotNull())
-    b = _inline_books(spark, sf).select("doc_id", TX.basename("local_pdf_path").alias("file_name"))
-    return pc.join(b, "doc_id").select("doc_id", CH.failed_placeholder("file_name", "precheck_error").alias("placeholder"))
+    b = _inline_books(spark, sf, "n_chars").withColumn("file_name", TX.basename("local_pdf_path"))
+    pc = _precheck(b).filter(F.col("precheck_error").isNotNull())
+    return pc.select("doc_id", CH.failed_placeholder("file_name", "precheck_error").alias("placeholder"))
 
 
 # --- J6 / A2 / A3: chunk outputs over conversations ----------------------------------------------
@@ -730,3 +729,141 @@ def q_full_run(spark, sf):
     run_once(spark, f"{root}/config", f"{root}/state", config_lines=True)
     r = SS.load_state(spark, f"{root}/state")
     return r.select("page_slug", "id", "title_original", "pdf_url", "local_pdf_path", "local_md_path", "local_docx_path", "status", "language")
+
+
+# --- the operators on awkward inputs ------------------------------------------------------------
+
+
+def _list_pages(spark, sf) -> DataFrame:
+    """List pages in the catalogue's markup, one per page, from its nav links: nested spans, a
+    stray end tag in every third item, every other item unclosed."""
+    links = F.transform(
+        IN.nav_links(),
+        lambda x, k: F.concat(
+            F.lit('<li id="li_id'), k.cast("string"), F.lit('"><span class="wrap"><span class="big titlespan"><a href="toc.php?book_id='),
+            (F.col("page_id") * 100 + k).cast("string"), F.lit('">'), x["text"], F.lit("</a></span></span>"),
+            F.when(k % 3 == 1, F.lit("</b>")).otherwise(F.lit("")),
+            F.lit('<span class="authorspan"> — </span><span class="authorspan">'), U.url_authority("url"),
+            F.lit('</span><span class="downloadpdf"><a href="'), x["href"], F.lit('">pdf</a></span>'),
+            F.when(k % 2 == 0, F.lit("</li>")).otherwise(F.lit("")),
+        ),
+    )
+    html = F.concat(F.lit('<html><div class="x books_from_db"><ul>'), F.array_join(links, "\n"), F.lit("</ul></div><p>end</p></html>"))
+    return _pages(spark, sf, "url", "html").select("page_id", html.alias("html"))
+
+
+@query("catalogue_dom_items")
+def q_catalogue_dom_items(spark, sf):
+    """S3 + S3b + S3c in DOM mode over nested, unclosed and stray markup."""
+    it = SC.dom_items(_list_pages(spark, sf), "html")
+    return it.select("page_id", F.col("item_pos").cast("bigint").alias("item_pos"), "title_original", "author_original", "title_href", "pdf_href", SC.catalogue_id("title_href", "pdf_href").alias("id"))
+
+
+@query("catalogue_rejects")
+def q_catalogue_rejects(spark, sf):
+    """F4's rejects with their reason."""
+    it = _items_with_id(spark, sf).withColumn("reason", SC.reject_reason())
+    return it.filter(F.col("reason").isNotNull()).select("page_id", F.col("item_pos").cast("bigint").alias("item_pos"), "reason")
+
+
+@query("job_rejects")
+def q_job_rejects(spark, sf):
+    """X3's rejected jobs with their reason."""
+    _, rejects = EN.ingest_results(_job_results(spark, sf), "doc_id")
+    return rejects.select("event_id", "doc_id", "reason")
+
+
+@query("low_confidence_details")
+def q_low_confidence_details(spark, sf):
+    """A1's detail list: flat rows in file, part and block order of the document, with the text."""
+    d = Q.low_confidence_details(_blocks(spark, sf), "doc_id")
+    return d.select("doc_id", "detail_pos", "page_num", "block_id", "confidence", "text")
+
+
+@query("resolved_urls_with_errors")
+def q_resolved_urls_with_errors(spark, sf):
+    """S4 -> W1 -> J5 through the registry, with metadata that wasn't fetched (item % 13 = 0) or
+    is cut short (item % 11 = 0)."""
+    k = F.col("item_id")
+    cut = F.expr("substring(metadata, 1, length(metadata) - 2)")
+    items = IN.listing_json(spark, sf).withColumn("metadata", F.when(k % 13 == 0, F.lit(None).cast("string")).when(k % 11 == 0, cut).otherwise(F.col("metadata")))
+    items = items.withColumn("item_id", k.cast("string"))
+    o = IN.table(spark, sf, "orders").select("o_orderkey")
+    cat = o.select("o_orderkey", F.concat(F.lit(IN.ARCHIVE_HOST + "/details/"), F.col("o_orderkey").cast("string")).alias("url"))
+    reg = RS.HandlerRegistry(default=RS.metadata_resolver(items, IN.DOWNLOAD_BASE))
+    return reg.dispatch(cat, "url", [("archive.", "archive_handler")]).select("o_orderkey", "resolved_url")
+
+
+@query("limit_shared_slug")
+def q_limit_shared_slug(spark, sf):
+    """W2 where two config pages share each slug: the first page's limit holds."""
+    first = IN.page_limits(spark, sf)
+    both = first.withColumn("page_pos", F.lit(0)).union(first.select("page_slug", F.lit(1).alias("limit"), F.lit(7).alias("page_pos")))
+    return ST.limit_per_page(ST.pending_books(_state(spark, sf)), both, order=["page_pos"]).select("page_slug", "id", "ordinal")
+
+
+@query("state_roundtrip_pages")
+def q_state_roundtrip_pages(spark, sf):
+    """K1 + S2 with hundreds of pages, one of them with an empty slug; then a re-scan of the same
+    books, which must match every one of them."""
+    from corpusflow.session import scratch
+    from corpusflow.sources import state as SS
+
+    root = scratch(spark, "state")
+    wide = IN.book_state(spark, sf).withColumn("page_slug", F.when(F.col("o_orderkey") % 400 == 0, F.lit("")).otherwise(F.concat_ws("-", F.col("page_slug"), (F.col("o_orderkey") % 400).cast("string"))))
+    SS.save_state(wide.select(*STATE_COLUMNS), root)
+    again = SS.load_state(spark, root).select("page_slug", "id", F.concat("pdf_url", F.lit("?again")).alias("pdf_url"))
+    return ST.state_upsert(SS.load_state(spark, root), again).select("page_slug", "id", "status", "pdf_url")
+
+
+@query("incremental_order")
+def q_incremental_order(spark, sf):
+    """R1 with every key in two drops, the later one in a folder that sorts before the earlier."""
+    from corpusflow.session import scratch
+    from corpusflow.streaming.incremental import drain_drops, upsert_from_log
+
+    root = scratch(spark, "drops")
+    batch = IN.catalogue_batch(spark, sf).drop("drop_year")
+    batch.withColumn("pdf_url", F.concat("pdf_url", F.lit("?old"))).write.parquet(f"{root}/drops/drop=9")
+    batch.write.parquet(f"{root}/drops/drop=10")
+    schema = spark.read.parquet(f"{root}/drops").schema
+    drain_drops(spark, f"{root}/drops", schema, f"{root}/log", f"{root}/checkpoint")
+    state = IN.prior_state(spark, sf).select(*STATE_COLUMNS)
+    log = spark.read.parquet(f"{root}/log").drop("drop")
+    return upsert_from_log(state, log, ["_arrival", "_source"]).select(*UPSERT_COLUMNS)
+
+
+@query("enrich_cached_again")
+def q_enrich_cached_again(spark, sf):
+    """X1 called again with the cache that its first call left in the same folder."""
+    from corpusflow.session import scratch
+
+    items = _part_items(spark, sf)
+    folder = scratch(spark, "enrich")
+    EN.enrich_cached(items.filter(F.col("p_name") < "n"), "p_name", provider=fold_provider, cache_out=folder)
+    cache = spark.read.parquet(folder).select("text", "slug")
+    return EN.enrich_cached(items, "p_name", provider=fold_provider, cache=cache, cache_out=folder).select("p_partkey", "slug")
+
+
+@query("ocr_damaged_archives")
+def q_ocr_damaged_archives(spark, sf):
+    """E2 where every fifth archive is cut short: its document fails, whatever could be read."""
+    from corpusflow.plans.workflow import ocr_results
+
+    a = IN.ocr_archives(spark, sf)
+    conv = F.regexp_extract("path", r"^conv_(\d+)\.zip$", 1)
+    cut = F.expr("substring(content, 1, length(content) - 30)")
+    a = a.select(F.concat(conv, F.lit("__0.zip")).alias("path"), F.when(conv.cast("bigint") % 5 == 0, cut).otherwise(F.col("content")).alias("content"))
+    plan = IN.table(spark, sf, "conversations").select(F.col("conv_id").cast("string").alias("doc")).distinct().withColumn("part", F.lit(None).cast("bigint"))
+    return ocr_results(spark, a, plan).select(F.col("doc").cast("bigint").alias("conv_id"), "ocr_ok", "merged_text")
+
+
+@query("binary_file_digest")
+def q_binary_file_digest(spark, sf):
+    """S5's scan over files: every conversation's merged markdown written, then digested."""
+    from corpusflow.session import scratch
+    from corpusflow.sinks.text import write_merged
+
+    out = scratch(spark, "digests")
+    write_merged(IN.table(spark, sf, "conversations").select("conv_id", "turn", "text"), "conv_id", "turn", "text", out)
+    return FS.binary_digests(spark, out, "*.txt").select(F.regexp_extract("path", r"conv_id=(\d+)/", 1).cast("bigint").alias("conv_id"), "sha256")

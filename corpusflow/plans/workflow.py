@@ -21,20 +21,22 @@ from corpusflow.operators import enrich as EN
 from corpusflow.operators import state as ST
 from corpusflow.operators.resolve import HandlerRegistry
 from corpusflow.schemas import STATE_COLUMNS
+from corpusflow.session import scratch
 from corpusflow.sources import catalogue as SC
 from corpusflow.sources import config as CFG
 from corpusflow.sources import state as SS
 
 
-def inline_catalogue(pages: DataFrame, handlers: list[tuple[str, str]], registry: HandlerRegistry | None) -> DataFrame:
-    """State rows for inline books of enabled pages without a URL (URL resolution first)."""
+def inline_catalogue(pages: DataFrame, registry: HandlerRegistry | None) -> DataFrame:
+    """State rows for inline books of enabled pages without a URL (URL resolution first, by the
+    handlers of the page's own config)."""
     books = CFG.inline_books(pages.filter(F.col("page_url").isNull()))
     if registry is not None:
-        books = registry.dispatch(books, "pdf_url", handlers).withColumn("pdf_url", F.col("resolved_url")).drop("resolved_url", "handler")
+        books = registry.dispatch(books, "pdf_url", "handlers").withColumn("pdf_url", F.col("resolved_url")).drop("resolved_url", "handler")
     rows = CAT.inline_book_rows(books, "title_slug_in", "author_slug_in")
     # The book's own language when given, else the page's (OCR keeps the page language)
     lang = F.coalesce(F.col("book_language"), F.col("page_language"))
-    return rows.withColumn("language", lang).withColumn("_seq", F.struct("page_pos", "book_pos"))
+    return rows.withColumn("language", lang).withColumn("_seq", F.struct("config_path", "page_pos", F.col("book_pos").alias("item_pos")))
 
 
 def scraped_catalogue(
@@ -50,7 +52,7 @@ def scraped_catalogue(
     their slugs from the cached provider (X1), reusing both slugs of an existing state row
     when both are non-empty (J3); every other page slugifies title and author directly."""
     with_html = pages.filter(F.col("page_url").isNotNull()).join(list_pages, "page_url")
-    items = SC.dom_items(with_html.select("page_pos", "page_slug", "page_url", "page_language", "html"), "html")
+    items = SC.dom_items(with_html.select("config_path", "page_pos", "page_slug", "page_url", "page_language", "html"), "html")
     items = items.withColumn("id", SC.catalogue_id("title_href", "pdf_href"))
     ok = items.filter(SC.complete_items(items)).withColumn("author_original", F.coalesce("author_original", F.lit("")))
     langs = sorted(enrich_languages or [])
@@ -76,7 +78,7 @@ def scraped_catalogue(
     return (
         rows.withColumn("pdf_url", url_join("page_url", "pdf_href"))
         .withColumn("language", F.col("page_language"))
-        .withColumn("_seq", F.struct("page_pos", "item_pos"))
+        .withColumn("_seq", F.struct("config_path", "page_pos", "item_pos"))
     )
 
 
@@ -93,10 +95,9 @@ def run_once(
 ) -> dict:
     """One pass of the pipeline; returns the new state version and the plan size."""
     cfg = CFG.read_config(spark, config_path, lines=config_lines)
-    handlers = [(h.pattern, h.module) for h in cfg.select(F.explode("handlers").alias("h")).select("h.*").collect()]
-    pages = CFG.enabled_pages(CFG.config_pages(cfg, keep=["config_path"]))
+    pages = CFG.enabled_pages(CFG.config_pages(cfg, keep=["config_path", "handlers"]))
     state = SS.load_state(spark, state_root)
-    parts = [inline_catalogue(pages, handlers, registry)]
+    parts = [inline_catalogue(pages, registry)]
     if list_pages is not None:
         parts.append(scraped_catalogue(pages, list_pages, state, enrich_languages, provider))
     catalogue = parts[0]
@@ -105,9 +106,13 @@ def run_once(
     cols = [c for c in STATE_COLUMNS if c in catalogue.columns]
     # An id listed twice in one pass -> the later listing wins, the rest are rejects
     batch, _rejects = ST.dedupe_batch(catalogue.select(*cols, "_seq"), ST.KEYS, "_seq")
+    # parsed and resolved once: the merge, the plan and the state's range bounds all read it
+    path = scratch(spark, "catalogue")
+    batch.write.parquet(path)
+    batch = spark.read.schema(batch.schema).parquet(path)
     merged = ST.state_upsert(state, batch.select(*cols))
-    limits = pages.select("page_slug", F.col("page_limit").alias("limit"))
-    plan = ST.resume_plan(merged, limits)
+    limits = pages.select("page_slug", "config_path", "page_pos", F.col("page_limit").alias("limit"))
+    plan = ST.resume_plan(merged, limits, order=["config_path", "page_pos"])
     if outcomes is not None:
         planned = outcomes.join(plan.select("page_slug", "id"), ["page_slug", "id"], "left_semi")
         merged = ST.stage_transition(merged, planned)
@@ -116,11 +121,12 @@ def run_once(
 
 
 def reset(spark: SparkSession, state_root: str, target_page: str | None = None) -> dict:
-    """Reset failed / in-progress rows (optionally one page) into a new version."""
+    """Reset failed / in-progress rows (optionally one page) into a new version; returns it
+    and the number of rows reset (``state.reset_counts`` has them by page, as a DataFrame)."""
     state = SS.load_state(spark, state_root)
-    counts = {r.page_slug: r.n_reset for r in ST.reset_counts(state, target_page).collect()}
+    total = ST.reset_counts(state, target_page).agg(F.coalesce(F.sum("n_reset"), F.lit(0)).alias("n")).first()["n"]
     version = SS.save_state(ST.reset_statuses(state, target_page), state_root)
-    return {"version": version, "reset": counts}
+    return {"version": version, "reset": total}
 
 
 # --- E2: OCR results -> documents ------------------------------------------------------
