@@ -51,7 +51,7 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import quality
 
-    return quality(table(spark, sf_dir, "documents"))
+    return quality(table(spark, sf_dir, "documents")).drop("char_distance", "word_distance")
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
