@@ -9,11 +9,9 @@ from pyspark.sql import functions as F
 
 from corpusflow.session import ship_package, work_dir
 
-# The contracts' white space (\x20 and \x09-\x0D) and non-word ASCII.
-SPACES = " \t\n\x0b\f\r"
+# The contracts' white space (\x20 and \x09-\x0D) and non-word ASCII, as runs.
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 NON_WORD_RUN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Rows handed to a Python worker at once; documents may be long, so a batch stays small.
 ARROW_ROWS = 500
 
@@ -60,8 +58,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ascii_lower(c: Column) -> Column:
-    """A-Z to a-z, nothing else."""
-    return F.translate(c, UPPER, LOWER)
+    """A-Z to a-z, nothing else (``lower`` would change other letters too)."""
+    return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def count_of(c: Column, form: str) -> Column:
+    """Number of characters in runs of a character class (an expression that matches runs)."""
+    return F.length(c) - F.length(F.regexp_replace(c, form, ""))
 
 
 def word_string(c: Column) -> Column:
@@ -75,6 +78,16 @@ def word_array(words: Column) -> Column:
     return F.when(words == "", F.array().cast("array<string>")).otherwise(F.split(words, " "))
 
 
+def word_hashes(words: Column) -> Column:
+    """A 64-bit hash of each word."""
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def shingle_hash(hashes: Column, at: Column, k: int) -> Column:
+    """Hash of the ``k`` words from ``at`` (0-based) on, from their hashes."""
+    return F.xxhash64(*[F.get(hashes, at + j) for j in range(k)])
+
+
 def fixed(df: DataFrame, **cols: Column) -> DataFrame:
     """``df`` with ``cols``, computed once a row: a one-element ``inline`` stops the optimizer from
     pasting a costly expression into every place (and every lambda round) that uses it."""

@@ -130,7 +130,7 @@ GATE = "licen|spdx|permission|redistribut|neither the name|free software|at your
 
 def _spans(text: Column, form: Column) -> Column:
     """Word intervals (start, end) of an expression's matches within the word string."""
-    blanks = lambda s: F.length(s) - F.length(F.translate(s, " ", ""))
+    blanks = lambda s: F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit("")))
     # a lookaround in Java's syntax keeps matches on word limits
     whole = F.concat(F.lit("(?<![^ ])(?:"), form, F.lit(")(?![^ ])"))
     both = F.array(F.struct(F.regexp_extract_all(text, whole, F.lit(0)).alias("m"), F.split(text, whole, -1).alias("p")))
@@ -194,7 +194,7 @@ def license_scan(docs: DataFrame) -> DataFrame:
     rows = fixed(docs.select("doc_id", "text"), words=word_string(F.col("text"))).select("doc_id", "words")
     none = F.expr(f"cast(array() as {DETECTION})")
     rows = fixed(rows, found=F.when(F.col("words").rlike(GATE), detections(F.col("words"))).otherwise(none))
-    rows = rows.select("doc_id", F.when(F.col("words") == "", 0).otherwise(F.length("words") - F.length(F.translate("words", " ", "")) + 1).cast("long").alias("n_words"), "found")
+    rows = rows.select("doc_id", F.when(F.col("words") == "", 0).otherwise(F.length("words") - F.length(F.replace("words", F.lit(" "), F.lit(""))) + 1).cast("long").alias("n_words"), "found")
     rows = fixed(rows, kept=F.when(F.size("found") > 0, surviving(F.col("found"))).otherwise(F.col("found")))
     base = F.filter("kept", lambda d: -d["priority"] == BASE_PRIORITY)
     names = lambda a: F.array_join(F.array_sort(F.array_distinct(F.transform(a, lambda d: d["label"]))), ",")

@@ -36,7 +36,7 @@ ROUNDS = 4
 def word_count(text: Column) -> Column:
     """Number of runs of non-white characters."""
     flat = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), SPACE_RUN, " "))
-    return F.when(flat == "", F.lit(0)).otherwise(F.length(flat) - F.length(F.translate(flat, " ", "")) + 1).cast("long")
+    return F.when(flat == "", F.lit(0)).otherwise(F.length(flat) - F.length(F.replace(flat, F.lit(" "), F.lit(""))) + 1).cast("long")
 
 
 def uniform(*cols: Column) -> Column:

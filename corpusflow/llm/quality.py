@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, SPACE_RUN, SPACES, UPPER, fixed, let, prepare, stored, word_string
+from .common import SPACE_RUN, count_of, fixed, let, prepare, shingle_hash, stored, word_hashes, word_string
 
 # Fixed values of the base rules.
 SYMBOLS = "#*$%&|<>"
@@ -27,13 +27,13 @@ MOST_REPEATED = 30  # of 100 words
 COMMON_LENGTH = 4
 COMMON_SHARE = 0.01
 #: Beyond these distances (0 to 1) a document is dropped; shorter documents aren't judged.
-CHAR_DISTANCE, CHAR_LEAST = 0.35, 200
-WORD_DISTANCE, WORD_LEAST = 0.60, 60
+CHAR_DISTANCE, CHAR_LEAST = 0.30, 200
+WORD_DISTANCE, WORD_LEAST = 0.26, 80
 #: Up to so many languages the references are broadcast (each has at most 1 / COMMON_SHARE words).
 BROADCAST_LANGUAGES = 1_000
 
-#: Character classes, in order; what none of them takes is the last class, "other".
-CLASSES = (("vowel", "aeiou"), ("consonant", "bcdfghjklmnpqrstvwxyz"), ("upper", UPPER), ("digit", "0123456789"), ("blank", SPACES), ("stop", ".,;:'\"-"), ("symbol", "!?()[]{}/\\+=~^`@_" + SYMBOLS))
+#: Character classes, in order, as sets; what none of them takes is the last class, "other".
+CLASSES = (("lower", "a-z"), ("upper", "A-Z"), ("digit", "0-9"), ("blank", r"\x20\x09-\x0D"), ("stop", ".,;:'\"-"), ("symbol", r"!?()\[\]{}/\\+=~^`@_#*$%&|<>"))
 
 
 def class_counts(text: Column) -> Column:
@@ -42,16 +42,15 @@ def class_counts(text: Column) -> Column:
     def taken(rest: Column, classes: tuple) -> Column:
         if not classes:
             return F.array(F.length(rest).cast("long"))
-        left = F.translate(rest, classes[0][1], "")
+        left = F.regexp_replace(rest, f"[{classes[0][1]}]+", "")
         return let(left, lambda x: F.concat(F.array((F.length(rest) - F.length(x)).cast("long")), taken(x, classes[1:])))
 
     return taken(text, CLASSES)
 
 
-def word_list(text: Column) -> Column:
-    """The words ``[^\\x20\\x09-\\x0D]+``."""
-    flat = F.trim(F.regexp_replace(text, SPACE_RUN, " "))
-    return F.when(flat == "", F.expr("cast(array() as array<string>)")).otherwise(F.split(flat, " "))
+def flat_words(text: Column) -> Column:
+    """The words ``[^\\x20\\x09-\\x0D]+`` with one blank between them."""
+    return F.trim(F.regexp_replace(text, SPACE_RUN, " "))
 
 
 def repeated_words(words: Column, window: int = REPEAT_WINDOW) -> Column:
@@ -59,7 +58,7 @@ def repeated_words(words: Column, window: int = REPEAT_WINDOW) -> Column:
 
     Windows are told apart by a 64-bit hash. Only texts with an equal pair are sorted."""
     places = F.when(F.size(words) >= window, F.sequence(F.lit(0), F.size(words) - window)).otherwise(F.expr("cast(array() as array<int>)"))
-    hashes = F.transform(places, lambda i: F.xxhash64(F.slice(words, i + 1, window)))
+    hashes = let(word_hashes(words), lambda h: F.transform(places, lambda i: shingle_hash(h, i, window)))
 
     def cover(h: Column) -> Column:
         pairs = F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
@@ -80,19 +79,20 @@ def repeated_words(words: Column, window: int = REPEAT_WINDOW) -> Column:
 
 
 def _repeat_lines(text: Column) -> Column:
-    lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, SPACES, "")) > 0)
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     return let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x)))
 
 
 def base_columns(docs: DataFrame) -> DataFrame:
     """``docs(doc_id, text, lang, ..)`` to doc_id, lang, words (word string, padded), and the base columns."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "lang")
-    rows = fixed(rows, tokens=word_list(F.col("text")))
+    rows = fixed(rows, flat=flat_words(F.col("text")))
+    rows = fixed(rows, tokens=F.when(F.col("flat") == "", F.expr("cast(array() as array<string>)")).otherwise(F.split("flat", " ")))
     rows = fixed(
         rows,
         n_words=F.size("tokens").cast("long"),
-        word_chars=F.length(F.translate("text", SPACES, "")).cast("long"),
-        n_symbols=(F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long"),
+        word_chars=(F.length("flat") - F.greatest(F.size("tokens") - 1, F.lit(0))).cast("long"),
+        n_symbols=count_of(F.col("text"), f"[{SYMBOLS}]+").cast("long"),
         n_dup_lines=_repeat_lines(F.col("text")).cast("long"),
         n_repeat_words=repeated_words(F.col("tokens")).cast("long"),
         classes=class_counts(F.col("text")),
@@ -100,14 +100,14 @@ def base_columns(docs: DataFrame) -> DataFrame:
         words=F.concat(F.lit(" "), F.replace(word_string(F.col("text")), F.lit(" "), F.lit("  ")), F.lit(" ")),
     )
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    return rows.drop("text", "tokens").withColumn("base_failed", failed)
+    return rows.drop("text", "flat", "tokens").withColumn("base_failed", failed)
 
 
 def _common_words(docs: DataFrame) -> DataFrame:
     """``(lang, word, n, total)`` of each language's common words, counted over all documents."""
     words = docs.select("lang", F.explode(F.split(word_string(F.col("text")), " ")).alias("word")).where("word != ''")
     short = F.when(F.length("word") <= COMMON_LENGTH, F.col("word")).otherwise("")
-    counts = words.groupBy("lang", short.alias("word")).agg(F.count("*").alias("n"))
+    counts = stored(words.groupBy("lang", short.alias("word")).agg(F.count("*").alias("n")), "counts")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     both = counts.where("word != ''").alias("c").join(totals.alias("t"), F.col("c.lang").eqNullSafe(F.col("t.lang")))
     return both.where(F.col("n") >= COMMON_SHARE * F.col("total")).select("c.lang", "word", "n", "total")
@@ -143,7 +143,9 @@ def quality(docs: DataFrame, char_distance: float = CHAR_DISTANCE, word_distance
     refs = refs.withColumnRenamed("lang", "ref_lang")
     rows = base_columns(docs)
     rows = rows.join(F.broadcast(refs) if few else refs, rows["lang"].eqNullSafe(refs["ref_lang"]), "left")
-    rows = fixed(rows, counts=F.transform("common", lambda c: (F.length("words") - F.length(F.replace("words", F.concat(F.lit(" "), c, F.lit(" ")), F.lit("")))) / (F.length(c) + 2)))
+    rows = fixed(rows, short=F.regexp_replace("words", f" [^ ]{{{COMMON_LENGTH + 1},}} ", "")).drop("words")
+    occurs = lambda c: (F.length("short") - F.length(F.replace("short", F.concat(F.lit(" "), c, F.lit(" ")), F.lit("")))) / (F.length(c) + 2)
+    rows = fixed(rows, counts=F.transform("common", occurs))
     own = F.concat(F.col("counts"), F.array(F.greatest(F.lit(0.0), F.col("n_words") - F.aggregate("counts", F.lit(0.0), lambda s, x: s + x))))
     shares = lambda a: let(F.aggregate(a, F.lit(0.0), lambda s, x: s + x), lambda n: F.transform(a, lambda x: x / n))
     chars = F.when(F.col("n_chars") >= CHAR_LEAST, js_distance(shares(F.col("classes")), F.col("class_shares")))
