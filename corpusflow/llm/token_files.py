@@ -17,10 +17,13 @@ documents; a null ``doc_id`` stays null; an empty table gives no file. Other col
 
 from __future__ import annotations
 
+import gc
 import io
 import struct
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -32,8 +35,13 @@ from .common import new_key, once, prepare, shared_path, stored
 # Fixed values of the zstandard seekable format.
 SKIPPABLE_IDS, SKIPPABLE_SEEK, SEEK_FOOTER = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 HAS_CHECKSUMS = 0x80
-#: Chunks whose ids a worker remembers; the memory is emptied when full.
-REMEMBERED = 400_000
+#: Pieces whose ids a worker remembers, twice: when the newer half is full it becomes the older
+#: one, whose pieces come back when they are met again. So frequent pieces stay known.
+REMEMBERED = 600_000
+if sys.byteorder != "little" or array("I").itemsize != 4:
+    raise ImportError("token files are written on little-endian machines")
+#: Marks that may end a piece.
+MARKS = ".,!?;:%$#*&|<>"
 MANIFEST = "part int, path string, documents long, tokens long"
 ENTRIES = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
@@ -63,34 +71,77 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.whole = re.compile("|".join([r" \s", *special]))
+        self.line = re.compile(r" \S+")
+        self.feed = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _bytes(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
-
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        # ids are little-endian 32-bit on every platform that runs this (checked on import)
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _lines(self, pieces: list[str]) -> dict[str, bytes]:
+        """The ids of pieces. Those that are a blank and then no white space go as the lines of one
+        text: a line feed before a blank is a token of its own, so its id parts the lines."""
+        lines = [p for p in pieces if self.line.fullmatch(p)]
+        made: dict[str, bytes] = {}
+        if lines:
+            ids = array("I", self.tokenizer.encode_batch_fast(["\n".join(lines)], add_special_tokens=False)[0].ids)
+            cuts = [i for i, x in enumerate(ids) if x == self.feed]
+            if len(cuts) == len(lines) - 1:
+                data = ids.tobytes()
+                made = {p: data[4 * a : 4 * b] for p, a, b in zip(lines, [0, *(i + 1 for i in cuts)], [*cuts, len(ids)])}
+        rest = [p for p in pieces if p not in made]
+        made.update(zip(rest, self._bytes(rest)))
+        return made
+
+    def _learn(self, new: set[str]) -> None:
+        """Make the ids of pieces known. Marks after a letter are a token run of their own, so a
+        piece that ends in them is its stem's ids and theirs."""
+        known, older = self.known, self.older
+        parts: dict[str, tuple[str, str]] = {}
+        wanted: set[str] = set()
+        for p in new:
+            if (ids := older.get(p)) is not None:
+                known[p] = ids
+                continue
+            stem = p.rstrip(MARKS)
+            if stem is not p and len(stem) < len(p) and stem[-1:].isalpha():
+                parts[p] = stem, p[len(stem) :]
+                wanted.update(parts[p])
+            else:
+                wanted.add(p)
+        known.update(self._lines([p for p in wanted if p not in known]))
+        for p, (stem, marks) in parts.items():
+            known[p] = known[stem] + known[marks]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        pieces: list[list[str] | str] = []
+        if len(self.known) > REMEMBERED:
+            self.known, self.older = {}, self.known
+        look = self.known.get
+        out: list[bytes | None] = []
+        open_: list[tuple[int, list[str], list]] = []
         new: set[str] = set()
-        known = self.known
         for t in texts:
-            if not t or self.whole.search(t):
-                pieces.append(t or "")
-                continue
-            own = t.replace(" ", "\0 ").split("\0") if "\0" not in t else None
-            if own is None:
-                pieces.append(t)
-                continue
-            pieces.append(own)
-            new.update(p for p in own if p not in known)
+            if not t:
+                out.append(b"")
+            elif "\0" in t or self.whole.search(t):
+                out.append(self._bytes([t])[0])
+            else:
+                own = t.replace(" ", "\0 ").split("\0")
+                got = list(map(look, own))
+                if None in got:
+                    new.update(p for p, x in zip(own, got) if x is None)
+                    open_.append((len(out), own, got))
+                    out.append(None)
+                else:
+                    out.append(b"".join(got))
         if new:
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = {p for own in pieces if isinstance(own, list) for p in own}
-            order = list(new)
-            known.update(zip(order, self._bytes(order)))
-        return [b"".join([known[p] for p in own]) if isinstance(own, list) else self._bytes([own])[0] for own in pieces]
+            self._learn(new)
+            known = self.known
+            for k, own, got in open_:
+                out[k] = b"".join([known[p] if x is None else x for p, x in zip(own, got)])
+        return out
 
 
 # ---- one file -----------------------------------------------------------------------------
@@ -195,6 +246,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str | None =
                 continue
             if writer is None:
                 encoder = once(key, lambda: Encoder(vocabulary.value))
+                gc.disable()  # its passes over the many live lists find nothing to free
                 fs, base = file_system(folder)
                 part = TaskContext.get().partitionId()
                 name = f"tokens-{part:06d}-{uuid.uuid4().hex}.zst"
@@ -202,12 +254,13 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str | None =
                 sink = fs.open_output_stream(f"{base}/{name}", compression=None)  # not by the name
                 writer = FileWriter(sink)
             texts = batch.column("text").to_pylist()
-            for at in range(0, len(texts), 64):
-                for k, ids in enumerate(encoder.encode(texts[at : at + 64])):
+            for at in range(0, len(texts), 256):
+                for k, ids in enumerate(encoder.encode(texts[at : at + 256])):
                     ids += end
                     writer.add(batch.column("doc_id")[at + k].as_py(), ids)
                     tokens += len(ids) // 4
                     documents += 1
+        gc.enable()
         if writer is not None:
             writer.close()
             sink.close()
