@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fixed, prepare, stored, word_array, word_string
+from .common import fixed, prepare, shingle_hash, stored, word_array, word_hashes, word_string
 
 WINDOW = 13
 SHINGLE = 5
@@ -28,10 +28,6 @@ MAP_WORDS = 16_384
 BROADCAST_WINDOWS = 100_000
 
 
-def _hash(words: Column, at: Column, k: int) -> Column:
-    return F.xxhash64(F.slice(words, at + 1, k))
-
-
 def windows(benchmark: DataFrame) -> DataFrame:
     """``(window_id, words, len, items)``, a row for each distinct window."""
     items = fixed(benchmark.select("item_id", "text"), words=word_array(word_string(F.col("text")))).where("size(words) > 0")
@@ -46,7 +42,7 @@ def _shingles(wins: DataFrame, ks: list[int]) -> DataFrame:
     parts = None
     for k in ks:
         own = wins.where(F.least("len", F.lit(SHINGLE)) == k)
-        part = own.select("window_id", "words", F.explode(F.sequence(F.lit(0), F.col("len") - k)).alias("off")).select("window_id", "off", _hash(F.col("words"), F.col("off"), k).alias("h"))
+        part = own.select("window_id", "words", F.explode(F.sequence(F.lit(0), F.col("len") - k)).alias("off")).select("window_id", "off", shingle_hash(word_hashes(F.col("words")), F.col("off"), k).alias("h"))
         parts = part if parts is None else parts.union(part)
     return parts
 
@@ -61,15 +57,15 @@ def _bit_map(hashes: DataFrame) -> Column:
     return F.expr("cast(split('" + ",".join(map(str, bits)) + "', ',') as array<bigint>)")
 
 
-def _positions(words: Column, bits: Column, ks: list[int]) -> Column:
-    """Positions whose shingle hash has its bit set: an array of (pos, h)."""
+def _positions(hashes: Column, bits: Column, ks: list[int]) -> Column:
+    """Positions whose shingle hash (from the words' hashes) has its bit set: an array of (pos, h)."""
 
     def slot(x: Column) -> Column:
         return F.shiftright(x["h"], 6).bitwiseAND(F.lit(MAP_WORDS - 1)).cast("int") + 1
 
     def found(k: int) -> Column:
-        places = F.when(F.size(words) >= k, F.sequence(F.lit(0), F.size(words) - k)).otherwise(F.array().cast("array<int>"))
-        hashed = F.transform(places, lambda i: F.struct(i.alias("pos"), _hash(words, i, k).alias("h")))
+        places = F.when(F.size(hashes) >= k, F.sequence(F.lit(0), F.size(hashes) - k)).otherwise(F.array().cast("array<int>"))
+        hashed = F.transform(places, lambda i: F.struct(i.alias("pos"), shingle_hash(hashes, i, k).alias("h")))
         return F.filter(hashed, lambda x: F.getbit(F.element_at(bits, slot(x)), x["h"].bitwiseAND(F.lit(63)).cast("int")) == 1)
 
     return F.concat(*[found(k) for k in ks])
@@ -84,7 +80,7 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     times (rows it stands for), n_words, spans (array of (at, len) of occurring windows), items."""
     prepare(docs.sparkSession)
     base = fixed(docs.select("doc_id", "text"), words=word_array(word_string(F.col("text"))))
-    base = base.select("doc_id", F.coalesce(F.xxhash64("text", F.length("text")), F.lit(0)).alias("text_key"), "words")
+    base = fixed(base, hashes=word_hashes(F.col("words"))).select("doc_id", F.coalesce(F.xxhash64("text", F.length("text")), F.lit(0)).alias("text_key"), "words", "hashes")
     wins = stored(windows(benchmark), "windows")
     lengths = wins.groupBy(F.least("len", F.lit(SHINGLE)).alias("k")).agg(F.count("*").alias("n")).collect()  # at most SHINGLE rows
     ks, few = sorted(r["k"] for r in lengths), sum(r["n"] for r in lengths) <= BROADCAST_WINDOWS
@@ -94,13 +90,13 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             "*", F.expr("cast(array() as array<struct<at:int,len:int>>)").alias("spans"), F.expr("cast(array() as array<string>)").alias("items"))
     shingles = stored(_shingles(wins, ks), "shingles")
     wanted = shingles.select("h").distinct()
-    seen = base.select(F.explode(_positions(F.col("words"), _bit_map(shingles), ks)).alias("x")).select("x.h")
+    seen = base.select(F.explode(_positions(F.col("hashes"), _bit_map(shingles), ks)).alias("x")).select("x.h")
     counts = stored(seen.join(_small(wanted, few), "h").groupBy("h").agg(F.count("*").alias("n")), "counts")
     # the necessary prefix: each window's rarest shingle
     rarest = shingles.join(counts, "h").groupBy("window_id").agg(F.min(F.struct("n", "h", "off")).alias("one"))
     prefix = stored(rarest.select("window_id", "one.h", "one.off").join(wins, "window_id"), "prefix")
     context = lambda x: F.slice(F.col("words"), F.greatest(x["pos"] - (WINDOW - 1), F.lit(0)) + 1, 2 * WINDOW)
-    marked = F.transform(_positions(F.col("words"), _bit_map(prefix), ks), lambda x: F.struct(x["pos"].alias("pos"), x["h"].alias("h"), context(x).alias("context")))
+    marked = F.transform(_positions(F.col("hashes"), _bit_map(prefix), ks), lambda x: F.struct(x["pos"].alias("pos"), x["h"].alias("h"), context(x).alias("context")))
     whole = F.array(F.struct(F.lit(-1).alias("pos"), F.lit(None).cast("long").alias("h"), F.lit(None).cast("array<string>").alias("context")))
     rows = base.select("doc_id", "text_key", F.size("words").cast("long").alias("n_words"), F.inline(F.concat(whole, marked)))
     met = rows.join(_small(prefix.withColumnsRenamed({"words": "window"}), few), "h", "left")
