@@ -148,3 +148,52 @@ judged AS (
   FROM base b JOIN char_distance c ON b.rid = c.rid LEFT JOIN word_distance w ON b.rid = w.rid
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT far AS kept FROM judged"""
+
+
+def _crc32(expr: str) -> str:
+    """Unsigned CRC-32 of an ASCII string, byte by byte and bit by bit."""
+    bits = "list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda v, z: xor(v >> 1, 3988292384::BIGINT * (v & 1)))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({expr}, ''), lambda x: ascii(x)::BIGINT)), lambda c, b: {bits}), 4294967295::BIGINT)"
+
+
+ORACLE["op11_periodic_runs"] = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, {_crc32("doc_id::VARCHAR")} AS h FROM documents),
+planted AS (SELECT *, len(w) AS n, (h // 10) % greatest(1, len(w)) AS a, (h // 10) % 8 + 3 AS most FROM d),
+laid AS (SELECT rid, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // most) END]) ELSE w END AS w FROM planted),
+words AS (SELECT rid, n, i, w[i + 1] AS word FROM (SELECT rid, n, w, unnest(range(n)) AS i FROM laid)),
+equal AS (SELECT x.rid, y.i - x.i AS q, x.i FROM words x JOIN words y ON x.rid = y.rid AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+islands AS (SELECT rid, q, i, i - row_number() OVER (PARTITION BY rid, q ORDER BY i) AS island FROM equal),
+stretches AS (SELECT rid, q, min(i) AS s, max(i) + 1 + q AS e FROM islands GROUP BY rid, q, island HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (SELECT rid, s, e, q FROM stretches r WHERE NOT EXISTS (SELECT 1 FROM stretches o WHERE o.rid = r.rid AND o.q < r.q AND o.s <= r.s AND o.e >= r.e)),
+listed AS (SELECT rid, count(*) AS n_runs, string_agg(s || ',' || (e - s) || ',' || q || chr(10), '' ORDER BY s, q) AS lines FROM runs GROUP BY rid),
+ranked AS (SELECT rid, s, e - s AS length, q, row_number() OVER (PARTITION BY rid ORDER BY (e - s)::DOUBLE / q DESC, s, q) AS rn FROM runs),
+gone AS (SELECT DISTINCT rid, unnest(range(s + q, e)) AS i FROM runs),
+kept AS (SELECT w.rid, string_agg(w.word, ' ' ORDER BY w.i) AS t FROM words w ANTI JOIN gone g ON w.rid = g.rid AND w.i = g.i GROUP BY w.rid)
+SELECT l.doc_id, coalesce(x.n_runs, 0) AS n_runs, r.s AS start, r.length, r.q AS period, 1000 * r.length // r.q AS exponent_milli,
+       sha256(coalesce(x.lines, '')) AS runs_sha256, sha256(coalesce(k.t, '')) AS collapsed_sha256
+FROM laid l LEFT JOIN listed x ON l.rid = x.rid LEFT JOIN ranked r ON l.rid = r.rid AND r.rn = 1 LEFT JOIN kept k ON l.rid = k.rid"""
+
+ORACLE["op12_prefix_trie"] = f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM t),
+convs AS (SELECT conv_id, {_crc32("conv_id::VARCHAR")} % 9 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+laid AS (
+  SELECT c.conv_id, n.pos, n.role, n.text FROM convs c JOIN numbered n ON n.conv_id = c.conv_id - c.conv_id % 5 AND n.pos <= c.h
+  UNION ALL SELECT c.conv_id, n.pos + 8, n.role, n.text FROM convs c JOIN numbered n ON n.conv_id = c.conv_id AND n.pos > c.h
+),
+turns AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY pos) AS depth FROM laid),
+path AS (
+  SELECT conv_id, depth, strlen(text) AS size, sha256(string_agg(strlen(role) || ':' || strlen(text) || ':' || role || text, '') OVER (PARTITION BY conv_id ORDER BY depth)) AS node FROM turns
+  UNION ALL SELECT conv_id, 0, 0, '' FROM convs
+),
+nodes AS (SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(size) AS size FROM path GROUP BY node, depth),
+linked AS (SELECT n.*, p.node AS parent FROM nodes n LEFT JOIN path p ON p.conv_id = n.conv_id AND p.depth = n.depth - 1),
+children AS (SELECT parent, count(*) AS n_children FROM linked WHERE parent IS NOT NULL GROUP BY parent),
+own AS (SELECT l.*, coalesce(c.n_children, 0) AS n_children FROM linked l LEFT JOIN children c ON c.parent = l.node),
+subtree AS (
+  SELECT p.node, count(*) FILTER (WHERE u.n_children = 0) AS n_leaves, sum((u.n_convs - 1) * u.size)::BIGINT AS saved_tokens
+  FROM own u JOIN path p ON p.conv_id = u.conv_id AND p.depth <= u.depth GROUP BY p.node
+),
+ends AS (SELECT node, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids FROM (SELECT conv_id, arg_max(node, depth) AS node FROM path GROUP BY conv_id) GROUP BY node)
+SELECT o.conv_id, o.depth, p.conv_id AS parent_conv_id, o.n_convs, o.n_children, s.n_leaves, s.saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM own o JOIN subtree s ON s.node = o.node LEFT JOIN nodes p ON p.node = o.parent LEFT JOIN ends e ON e.node = o.node"""

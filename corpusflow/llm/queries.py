@@ -72,6 +72,24 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .periodic_runs import periodic_runs, run_summary, with_planted_runs
+
+    return run_summary(periodic_runs(with_planted_runs(table(spark, sf_dir, "documents"))))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .prefix_trie import node_table, prefix_trie, rebuilt
+
+    return node_table(prefix_trie(*rebuilt(table(spark, sf_dir, "conversations"))))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import packed_documents
+
+    return packed_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_simhash_near_dedup, op3_mixing, op4_token_counts, op5_licenses, op6_personal_data, op7_quality, op8_decontamination, op9_passages, op10_token_files)
+    f.__name__: f for f in (op1_toxicity, op2_simhash_near_dedup, op3_mixing, op4_token_counts, op5_licenses, op6_personal_data, op7_quality, op8_decontamination, op9_passages, op10_token_files, op11_periodic_runs, op12_prefix_trie, op13_packing)
 }
