@@ -38,7 +38,7 @@ from .token_files import tokenizer_json
 
 CAPACITY, END_ID = 4096, 1
 #: Parts whose ids a worker remembers, twice: a full memory becomes the older one.
-REMEMBERED = 500_000
+REMEMBERED = 700_000
 #: Marks that the pre-tokenizer cuts off a letter, as a run of their own.
 MARKS = ".,!?;:%$#*&|<>()"
 PIECES = "doc_id long, piece int, start long, ids binary"
@@ -64,11 +64,11 @@ class PartEncoder:
         self.older: dict[bytes, bytes] = {}
 
     def _ids(self, text: str) -> bytes:
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        return array("I", self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
 
     def _letters(self, words: list[str]) -> None:
         """Learn words of letters: each is one pre-token, whose last id alone ends a word, so they go as one text."""
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, np.uint32)
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
         cuts = np.flatnonzero(self.ends[ids]) + 1
         if len(cuts) == len(words) and cuts[-1] == len(ids):
             data = ids.tobytes()
@@ -80,26 +80,26 @@ class PartEncoder:
             self.known.update((w.encode(), self._ids(w)) for w in words)
 
     def _learn(self, new: set[bytes]) -> None:
-        known, older = self.known, self.older
+        known, older, word = self.known, self.older, self.word
+        unknown = new.difference(older)
+        for part in new.difference(unknown):
+            known[part] = older[part]
         words: set[str] = set()
         marked: list[tuple[bytes, bytes, bytes]] = []
-        for part in new:
-            if (ids := older.get(part)) is not None:
-                known[part] = ids
-                continue
+        for part in unknown:
             text = part.decode("utf-8", "replace")
-            if self.word(text):
+            if word(text):
                 words.add(text)
                 continue
             stem = text.rstrip(MARKS)
-            if len(stem) < len(text) and self.word(stem):
-                own, marks = stem.encode(), text[len(stem) :].encode()
+            if len(stem) < len(text) and word(stem):
+                own, marks = stem.encode(), part[len(stem.encode()) :]
                 marked.append((part, own, marks))
                 if marks not in known:
                     known[marks] = self._ids(marks.decode())
                 if own not in known:
-                    if (ids := older.get(own)) is not None:
-                        known[own] = ids
+                    if own in older:
+                        known[own] = older[own]
                     else:
                         words.add(stem)
             else:
@@ -112,15 +112,11 @@ class PartEncoder:
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         if len(self.known) > REMEMBERED:
             self.known, self.older = {}, self.known
-        split = [(t or b"").split() for t in texts]
-        look = self.known.get
-        got = [list(map(look, own)) for own in split]
-        new = {p for own, ids in zip(split, got) if None in ids for p, x in zip(own, ids) if x is None}
-        if new:
-            self._learn(new)
-            known = self.known
-            got = [[known[p] if x is None else x for p, x in zip(own, ids)] if None in ids else ids for own, ids in zip(split, got)]
-        return list(map(b"".join, got))
+        # the tokenizer lowers letters itself; only a special token's string must keep its own
+        split = [(t if b"<|" in t else t.lower()).split() if t else [] for t in texts]
+        self._learn(set().union(*split).difference(self.known))
+        look = self.known.__getitem__
+        return [b"".join(map(look, own)) for own in split]
 
 
 def word_tokenizer_json(path: str | None = None) -> str:
