@@ -81,8 +81,8 @@ def skipped_placeholder(file_name, service: str = "the") -> Column:
 
 
 def chunk_outputs(plan: DataFrame, texts: DataFrame, metas: DataFrame, keys: list[str]) -> DataFrame:
-    """A chunk is good only when both its text and its metadata exist."""
-    t = texts.select(*keys, F.lit(True).alias("has_text"))
+    """A chunk is good only when both its text and its metadata exist; repeated rows count once."""
+    t = texts.select(*keys, F.lit(True).alias("has_text")).distinct()
     m = metas.select(*keys, F.lit(True).alias("has_metadata")).distinct()
     j = plan.join(t, keys, "left").join(m, keys, "left")
     return (

@@ -15,6 +15,7 @@ from corpusflow.functions.urls import item_identifier, url_authority, url_quote
 # --- fixed values ----------------------------------------------------------------
 PDF_SUFFIX = ".pdf"
 TEXT_PDF_MARK = "_text.pdf"
+SIZE = "decimal(38,0)"
 # ----------------------------------------------------------------------------------
 
 
@@ -100,20 +101,23 @@ class HandlerRegistry:
 
 def _size(listing: DataFrame) -> Column:
     """A file's size as Python's int() reads it: no such key -> 0; a number is cut; a text must be
-    an integer (single underscores between digits); anything else -> null (an error)."""
+    an integer (single underscores between digits); anything else -> null (an error). Python's
+    integers have no bound; here 38 digits are kept."""
     text = F.trim(F.regexp_replace(F.col("size"), f"^[{WS}]+|[{WS}]+$", ""))
-    whole = F.when(text.rlike("^[+-]?[0-9]+(?:_[0-9]+)*$"), F.replace(text, F.lit("_"), F.lit("")).try_cast("bigint"))
+    whole = F.when(text.rlike("^[+-]?[0-9]+(?:_[0-9]+)*$"), F.replace(text, F.lit("_"), F.lit("")).try_cast(SIZE))
     if "size_json" not in listing.columns:
-        return F.when(F.col("size").isNull(), F.lit(0).cast("bigint")).otherwise(whole)
+        return F.when(F.col("size").isNull(), F.lit(0).cast(SIZE)).otherwise(whole)
     raw = F.col("size_json")
     number = raw.try_cast("double")
-    cut = F.coalesce(raw.try_cast("bigint"), F.when(number >= 0, F.floor(number)).otherwise(F.ceil(number)).try_cast("bigint"))
+    # a fraction is cut; from 2^53 on a double is a whole number
+    cut = F.when(F.abs(number) < 2**53, F.when(number >= 0, F.floor(number)).otherwise(F.ceil(number)).try_cast(SIZE)).otherwise(number.try_cast(SIZE))
+    integer = F.when(raw.rlike("^-?[0-9]+$"), raw.try_cast(SIZE))
     return (
-        F.when(raw.isNull(), F.lit(0).cast("bigint"))
+        F.when(raw.isNull(), F.lit(0).cast(SIZE))
         .when(raw.startswith('"'), whole)
-        .when(raw == "true", F.lit(1).cast("bigint"))
-        .when(raw == "false", F.lit(0).cast("bigint"))
-        .when(raw.rlike("^-?[0-9]"), cut)
+        .when(raw == "true", F.lit(1).cast(SIZE))
+        .when(raw == "false", F.lit(0).cast(SIZE))
+        .when(raw.rlike("^-?[0-9]"), F.coalesce(integer, cut))
     )
 
 
@@ -127,7 +131,7 @@ def best_file(listing: DataFrame, item_col: str = "item_id") -> DataFrame:
     size = _size(listing)
     bad = size.isNull()
     pdf = listing.filter(is_pdf).select(
-        item_col, "pos", "name", is_text.alias("_t"), F.coalesce(size, F.lit(0)).alias("_sz"), bad.alias("_bad")
+        item_col, "pos", "name", is_text.alias("_t"), F.coalesce(size, F.lit(0).cast(SIZE)).alias("_sz"), bad.alias("_bad")
     )
     agg = pdf.groupBy(item_col).agg(
         F.count(F.lit(1)).cast("bigint").alias("n_pdf"),

@@ -27,6 +27,12 @@ def not_equal_null_safe(c, value: str) -> Column:
     return ~col.eqNullSafe(F.lit(value))
 
 
+def same_keys(a: DataFrame, b: DataFrame, keys: list[str], of_b: str = "") -> Column:
+    """Join condition over ``keys`` (in ``b`` with prefix ``of_b``); a null key equals a null key, as it
+    does in a grouping, so a row without id is matched again and not inserted once more."""
+    return reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[f"{of_b}{k}"]) for k in keys])
+
+
 # --- J2 / U1: keyed upsert ----------------------------------------------------
 
 
@@ -61,7 +67,7 @@ def state_upsert(
     cols = list(dict.fromkeys(list(state.columns) + [c for c in incoming.columns if c not in state.columns]))
     o = state.select(*[F.col(c).alias(f"o_{c}") for c in state.columns], F.lit(True).alias("_o"))
     n = incoming.select(*[F.col(c).alias(f"n_{c}") for c in incoming.columns], F.lit(True).alias("_n"))
-    cond = reduce(lambda a, b: a & b, [o[f"o_{k}"] == n[f"n_{k}"] for k in keys])
+    cond = reduce(lambda a, b: a & b, [o[f"o_{k}"].eqNullSafe(n[f"n_{k}"]) for k in keys])
     has_o = F.coalesce(F.col("_o"), F.lit(False))
     has_n = F.coalesce(F.col("_n"), F.lit(False))
 
@@ -81,7 +87,8 @@ def state_upsert(
 
 def new_books(state: DataFrame, incoming: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     """Incoming rows whose key is not in state (appended by the upsert)."""
-    return incoming.join(state.select(*keys), keys, "left_anti")
+    known = state.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    return incoming.join(known, same_keys(incoming, known, keys, "_"), "left_anti")
 
 
 # --- J4: checksum verdicts -----------------------------------------------------
@@ -195,8 +202,8 @@ def stage_transition(state: DataFrame, outcomes: DataFrame, keys: list[str] = KE
     without an outcome row (not processed in this pass) are unchanged. Several outcome rows
     of one key count as one pass: a stage succeeded only if none of them reports a failure."""
     steps = [c for c in outcomes.columns if c not in keys]
-    outs = outcomes.groupBy(*keys).agg(*[F.bool_and(F.coalesce(F.col(c), F.lit(False))).alias(c) for c in steps]).withColumn("_has_outcome", F.lit(True))
-    j = state.join(outs, keys, "left")
+    outs = outcomes.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(*[F.bool_and(F.coalesce(F.col(c), F.lit(False))).alias(c) for c in steps]).withColumn("_has_outcome", F.lit(True))
+    j = state.join(outs, same_keys(state, outs, keys, "_"), "left")
     # rows without an outcome were not processed in this pass and stay untouched
     todo = F.coalesce(F.col("_has_outcome"), F.lit(False)) & not_equal_null_safe("status", COMPLETED)
     dl_todo = not_equal_null_safe("download_status", COMPLETED)

@@ -589,7 +589,7 @@ FROM conversations GROUP BY conv_id"""
 ORACLE["ocr_document_outputs"] = """
 WITH c AS (
   SELECT conv_id,
-         bool_or(role = 'assistant') AND bool_or(role = 'user') AS ok,
+         bool_or(role = 'assistant') AS ok,
          arg_min(text, turn) FILTER (WHERE role = 'assistant') AS md,
          avg((length(text) % 100) / 100.0) FILTER (WHERE role = 'user') AS a,
          count(*) FILTER (WHERE role = 'user' AND (length(text) % 100) / 100.0 < 0.7) AS n,
@@ -675,10 +675,45 @@ ORACLE["incremental_order"] = ORACLE["state_upsert"]
 ORACLE["enrich_cached_again"] = ORACLE["enrich_cached"]
 
 ORACLE["ocr_damaged_archives"] = """
-SELECT conv_id, conv_id % 5 <> 0 AND bool_or(role = 'assistant') AND bool_or(role = 'user') AS ocr_ok,
-       CASE WHEN conv_id % 5 <> 0 AND bool_or(role = 'assistant') AND bool_or(role = 'user') THEN arg_min(text, turn) FILTER (WHERE role = 'assistant') END AS merged_text
+SELECT conv_id, conv_id % 5 <> 0 AND bool_or(role = 'assistant') AS ocr_ok,
+       CASE WHEN conv_id % 5 <> 0 AND bool_or(role = 'assistant') THEN arg_min(text, turn) FILTER (WHERE role = 'assistant') END AS merged_text
 FROM conversations GROUP BY conv_id"""
 
 ORACLE["binary_file_digest"] = """
 SELECT conv_id, sha256(string_agg(text || chr(10) || chr(10) || '---' || chr(10) || chr(10), '' ORDER BY turn)) AS sha256
 FROM conversations GROUP BY conv_id"""
+
+
+# --- rows that were answered wrongly once ---------------------------------------------------------------
+
+ORACLE["upsert_null_ids"] = f"""WITH {_STATE},
+keyed AS (SELECT *, min(o_orderkey) OVER (PARTITION BY page_slug) = o_orderkey AS first FROM st)
+SELECT page_slug, CASE WHEN NOT first THEN id END AS id, 'https://archive.example.org/details/' || CAST(o_orderkey AS VARCHAR) || '?scan' AS pdf_url,
+       CASE WHEN first THEN 'failed' ELSE 'pending' END AS status, CASE WHEN first THEN 'completed' END AS download_status
+FROM keyed"""
+
+ORACLE["ocr_repeated_archives"] = """
+SELECT conv_id, conv_id % 5 <> 0 AND bool_or(role = 'assistant') AS ocr_ok, 1::BIGINT AS n_chunks,
+       CASE WHEN conv_id % 5 <> 0 AND bool_or(role = 'assistant') THEN arg_min(text, turn) FILTER (WHERE role = 'assistant') END AS merged_text
+FROM conversations GROUP BY conv_id"""
+
+ORACLE["ocr_rejects"] = """
+WITH c AS (SELECT conv_id, bool_or(role = 'assistant') AS md, bool_or(role IN ('assistant', 'user')) AS known FROM conversations GROUP BY conv_id),
+a AS (SELECT *, unnest(CASE WHEN conv_id % 3 = 0 THEN ['dir1', 'dir2'] ELSE ['dir2'] END) AS dir FROM c)
+SELECT dir || '/' || conv_id || '__0.zip' AS archive_path,
+       CASE WHEN conv_id % 3 = 0 AND dir = 'dir2' THEN 'another archive of this chunk was taken'
+            WHEN conv_id % 5 = 0 THEN 'archive is damaged' ELSE 'archive has no markdown' END AS reason
+FROM a WHERE (conv_id % 5 = 0 OR known) AND (conv_id % 3 = 0 AND dir = 'dir2' OR conv_id % 5 = 0 OR NOT md)"""
+
+_AWKWARD = (
+    _BEST.replace(_LISTING, _LISTING + """,
+lst2 AS (SELECT item_id, pos, name, CASE WHEN item_id % 5 = 0 AND pos = 0 THEN '99999999999999999999' ELSE size END AS size FROM lst)""")
+    .replace("FROM lst WHERE", "FROM lst2 WHERE")
+    .replace("AS BIGINT)", "AS HUGEINT)")
+)
+ORACLE["resolved_urls_awkward_listings"] = f"""WITH {_AWKWARD}
+SELECT o.o_orderkey,
+       CASE WHEN l.item_id IS NOT NULL AND (o.o_orderkey % 7 = 0 OR coalesce(b.size_error, false)) THEN 'https://archive.example.org/download/' || CAST(o.o_orderkey AS VARCHAR) || '/' || CAST(o.o_orderkey AS VARCHAR) || '.pdf'
+            WHEN b.best_name IS NOT NULL THEN 'https://archive.example.org/download/' || CAST(o.o_orderkey AS VARCHAR) || '/' || {quote('b.best_name')}
+            ELSE 'https://archive.example.org/details/' || CAST(o.o_orderkey AS VARCHAR) END AS resolved_url
+FROM orders o LEFT JOIN best b ON o.o_orderkey = b.item_id LEFT JOIN (SELECT DISTINCT item_id FROM lst) l ON o.o_orderkey = l.item_id"""

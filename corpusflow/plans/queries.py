@@ -867,3 +867,64 @@ def q_binary_file_digest(spark, sf):
     out = scratch(spark, "digests")
     write_merged(IN.table(spark, sf, "conversations").select("conv_id", "turn", "text"), "conv_id", "turn", "text", out)
     return FS.binary_digests(spark, out, "*.txt").select(F.regexp_extract("path", r"conv_id=(\d+)/", 1).cast("bigint").alias("conv_id"), "sha256")
+
+
+# --- rows that were answered wrongly once ---------------------------------------------------------
+
+
+@query("upsert_null_ids")
+def q_upsert_null_ids(spark, sf):
+    """J2 + M1 where one book a page has no id: a second pass over the same batch matches it again, and the
+    stage outcomes reach it."""
+    null_id = F.when(F.col("o_orderkey") == F.col("_least"), F.lit(None).cast("string")).otherwise(F.col("id"))
+    st = IN.book_state(spark, sf)
+    least = st.groupBy("page_slug").agg(F.min("o_orderkey").alias("_least"))
+    st = st.join(least, "page_slug").withColumn("id", null_id)
+    batch = st.select("page_slug", "id", "title_original", F.concat("pdf_url", F.lit("?scan")).alias("pdf_url"))
+    empty = st.select(*STATE_COLUMNS).limit(0)
+    twice = ST.state_upsert(ST.state_upsert(empty, batch), batch)
+    outcomes = batch.where("id is null").select("page_slug", "id", *[F.lit(x).alias(c) for c, x in (("download_ok", True), ("ocr_ok", False), ("convert_ok", True), ("md_copied", True), ("docx_copied", True))])
+    return ST.stage_transition(twice, outcomes).select("page_slug", "id", "pdf_url", "status", "download_status")
+
+
+@query("resolved_urls_awkward_listings")
+def q_resolved_urls_awkward_listings(spark, sf):
+    """S4 -> W1 -> J5 where an item's listing is null (item % 7 = 0) or its first file's size has 20 digits
+    (item % 5 = 0)."""
+    k = F.col("item_id")
+    huge = F.regexp_replace("metadata", r'^(\{"files":\[\{"name":"[^"]*")[^}]*\}', '$1,"size":"99999999999999999999"}')
+    items = IN.listing_json(spark, sf).withColumn("metadata", F.when(k % 7 == 0, F.lit('{"files": null}')).when(k % 5 == 0, huge).otherwise(F.col("metadata")))
+    items = items.withColumn("item_id", k.cast("string"))
+    cat = IN.table(spark, sf, "orders").select("o_orderkey", F.concat(F.lit(IN.ARCHIVE_HOST + "/details/"), F.col("o_orderkey").cast("string")).alias("url"))
+    reg = RS.HandlerRegistry(default=RS.metadata_resolver(items, IN.DOWNLOAD_BASE))
+    return reg.dispatch(cat, "url", [("archive.", "archive_handler")]).select("o_orderkey", "resolved_url")
+
+
+def _awkward_archives(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """(archives, plan): every third conversation's archive comes twice, every fifth is cut short."""
+    a = IN.ocr_archives(spark, sf)
+    conv = F.regexp_extract("path", r"^conv_(\d+)\.zip$", 1)
+    cut = F.expr("substring(content, 1, length(content) - 30)")
+    a = a.select(conv.alias("c"), F.when(conv.cast("bigint") % 5 == 0, cut).otherwise(F.col("content")).alias("content"))
+    copies = F.when(F.col("c").cast("bigint") % 3 == 0, F.array(F.lit("dir1"), F.lit("dir2"))).otherwise(F.array(F.lit("dir2")))
+    a = a.withColumn("dir", F.explode(copies)).select(F.concat("dir", F.lit("/"), "c", F.lit("__0.zip")).alias("path"), "content")
+    plan = IN.table(spark, sf, "conversations").select(F.col("conv_id").cast("string").alias("doc")).distinct().withColumn("part", F.lit(None).cast("bigint"))
+    return a, plan
+
+
+@query("ocr_repeated_archives")
+def q_ocr_repeated_archives(spark, sf):
+    """E2 where a chunk's archive comes twice: its text counts once."""
+    from corpusflow.plans.workflow import ocr_tables
+
+    documents, _ = ocr_tables(spark, *_awkward_archives(spark, sf))
+    return documents.select(F.col("doc").cast("bigint").alias("conv_id"), "ocr_ok", "n_chunks", "merged_text")
+
+
+@query("ocr_rejects")
+def q_ocr_rejects(spark, sf):
+    """E2's rejects: damaged and repeated archives, archives without markdown, with the reason."""
+    from corpusflow.plans.workflow import ocr_tables
+
+    _, rejects = ocr_tables(spark, *_awkward_archives(spark, sf))
+    return rejects.select("archive_path", F.regexp_replace("reason", "(?s): .*", "").alias("reason"))

@@ -135,41 +135,65 @@ def reset(spark: SparkSession, state_root: str, target_page: str | None = None)
 ARCHIVE_NAME = r"([^/]+)__(\d+)\.zip$"
 
 
-def ocr_results(spark: SparkSession, archives, plan: DataFrame) -> DataFrame:
-    """E2 after the external OCR jobs: per planned document (``plan``: doc, part — part 0
-    or null for a whole document) whether OCR succeeded (every chunk has both its markdown
-    and its metadata), the merged markdown of successful documents, and the confidence
-    metrics over all of its chunks' page metadata.
+def ocr_tables(spark: SparkSession, archives, plan: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """E2 after the external OCR jobs: (documents, rejects).
+
+    Documents, one row for each of ``plan`` (doc, part; part 0 or null: a whole document): whether OCR succeeded (every
+    chunk's archive gave its markdown and no page metadata of the document is malformed), the merged markdown, and
+    the confidence metrics over all chunks' page metadata (an archive without metadata entries succeeds; no block, no
+    average). Rejects are ``archive_path, file_name, reason``: unreadable archives, archives without markdown, archives
+    of a (doc, part) that another archive with a smaller path also has, and malformed pages.
 
-    S6 unpack -> J6 chunk outputs -> A2 all-or-nothing -> A3 ordered merge; S7 blocks ->
-    U2 (keyed by doc, part, page) -> A1 metrics."""
+    S6 unpack -> J6 chunk outputs -> A2 all-or-nothing -> A3 ordered merge; S7 blocks -> U2 (keyed by doc, part,
+    page) -> A1 metrics. Archives are unpacked once, into a written table that all later steps read."""
     from corpusflow.operators import chunks as CH
     from corpusflow.operators import quality as Q
     from corpusflow.sources import files as FS
 
     # archives: a folder of result archives, or a DataFrame in the binaryFile layout
     raw = FS.archive_entries(spark, archives) if isinstance(archives, str) else FS.unpack_archives(archives)
-    entries = raw.filter(F.col("error").isNull())
-    docs, meta = FS.ocr_outputs(entries)
+    path = scratch(spark, "ocr-entries")
+    raw.write.parquet(path)
+    raw = spark.read.schema(raw.schema).parquet(path)
     key = lambda c: F.regexp_extract(F.col("archive_path"), ARCHIVE_NAME, c)
+    raw = raw.withColumn("doc", key(1)).withColumn("part", key(2).cast("bigint"))
+    firsts = raw.groupBy("doc", "part").agg(F.min("archive_path").alias("_first"))
+    raw = raw.join(firsts, ["doc", "part"]).withColumn("_again", F.col("archive_path") != F.col("_first")).drop("_first")
+    entries = raw.filter(F.col("error").isNull() & ~F.col("_again"))
+    docs, meta = FS.ocr_outputs(entries)
     docs = docs.withColumn("doc", key(1)).withColumn("part", key(2).cast("bigint"))
     meta = meta.withColumn("doc", key(1)).withColumn("part", key(2).cast("bigint"))
-    chunks = plan.select("doc", F.coalesce(F.col("part").cast("bigint"), F.lit(0).cast("bigint")).alias("part"))
+    bad = FS.block_rejects(meta, "content", "file_name", ["archive_path", "doc"])
+    chunks = plan.select("doc", F.coalesce(F.col("part").cast("bigint"), F.lit(0).cast("bigint")).alias("part")).distinct()
     texts = docs.filter(F.col("markdown").isNotNull())
-    outputs = CH.chunk_outputs(chunks, texts.select("doc", "part"), meta.select("doc", "part"), ["doc", "part"])
-    success = CH.document_success(outputs, "doc")
+    # an archive that could be read has its metadata folder, be it empty
+    outputs = CH.chunk_outputs(chunks, texts.select("doc", "part"), docs.select("doc", "part"), ["doc", "part"])
+    broken = bad.select("doc").distinct().withColumn("_bad", F.lit(True))
+    success = CH.document_success(outputs, "doc").join(broken, "doc", "left").withColumn("success", F.col("success") & F.col("_bad").isNull()).drop("_bad")
     good = success.filter("success").select("doc")
     # a document that was not split keeps its markdown as is; chunks get the separator
     pieces = texts.withColumn(
         "piece", F.when(F.col("part") == 0, F.col("markdown")).otherwise(F.concat(F.col("markdown"), F.lit(CH.CHUNK_SEPARATOR)))
     )
-    merged = CH.ordered_merge(pieces.join(good, "doc", "left_semi"), "doc", "part", "piece", sep="")
+    planned = chunks.join(good, "doc", "left_semi")
+    merged = CH.ordered_merge(pieces.join(planned, ["doc", "part"], "left_semi"), "doc", "part", "piece", sep="")
     blocks = FS.block_rows(
-        meta.join(good, "doc", "left_semi").withColumnRenamed("content", "metadata"), "metadata", "file_name", ["doc", "part"]
+        meta.join(planned, ["doc", "part"], "left_semi").withColumnRenamed("content", "metadata"), "metadata", "file_name", ["doc", "part"]
     )
     metrics = Q.confidence_metrics(blocks, good, "doc")
-    return (
+    documents = (
         success.select("doc", F.col("success").alias("ocr_ok"), "n_chunks")
         .join(merged.select("doc", "merged_text"), "doc", "left")
         .join(metrics, "doc", "left")
     )
+    none = F.lit(None).cast("string")
+    reason = F.when(F.col("_again"), F.lit("another archive of this chunk was taken")).otherwise(F.concat(F.lit("archive is damaged: "), F.col("error")))
+    lost = raw.where(F.col("error").isNotNull() | F.col("_again")).select("archive_path", none.alias("file_name"), reason.alias("reason")).distinct()
+    textless = docs.where(F.col("markdown").isNull()).select("archive_path", none.alias("file_name"), F.lit("archive has no markdown").alias("reason"))
+    rejects = lost.unionByName(textless).unionByName(bad.select("archive_path", "file_name", "reason"))
+    return documents, rejects
+
+
+def ocr_results(spark: SparkSession, archives, plan: DataFrame) -> DataFrame:
+    """The documents of :func:`ocr_tables`."""
+    return ocr_tables(spark, archives, plan)[0]

@@ -47,10 +47,20 @@ def file_listing(items: DataFrame, json_col: str, keep: list[str]) -> DataFrame:
 
 
 def metadata_errors(items: DataFrame, json_col: str, keep: list[str]) -> DataFrame:
-    """Items whose metadata couldn't be fetched (null) or isn't such a document, with a reason."""
+    """Items whose metadata couldn't be fetched (null), isn't such a document, or has a null where the
+    listing or a file's name should be, with a reason."""
     c = F.col(json_col)
-    reason = F.when(c.isNull(), F.lit("metadata is missing")).otherwise(F.lit("metadata is malformed"))
-    return items.where(c.isNull() | _malformed(_parse(c, FILE_LISTING))).select(*keep, reason.alias("reason"))
+    doc = F.try_parse_json(c)
+    files = F.try_variant_get(doc, "$.files", "variant")
+    is_null = lambda v: F.coalesce(F.to_json(v) == "null", F.lit(False))
+    nameless = F.exists(F.try_variant_get(doc, "$.files", "array<variant>"), lambda f: is_null(F.try_variant_get(f, "$.name", "variant")))
+    reason = (
+        F.when(c.isNull(), F.lit("metadata is missing"))
+        .when(_malformed(_parse(c, FILE_LISTING)), F.lit("metadata is malformed"))
+        .when(is_null(files), F.lit("file listing is null"))
+        .when(F.coalesce(nameless, F.lit(False)), F.lit("file name is null"))
+    )
+    return items.select(*keep, reason.alias("reason")).where(F.col("reason").isNotNull())
 
 
 def binary_digests(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
