@@ -2,11 +2,11 @@
 
 ``row_number() OVER (PARTITION BY key ORDER BY ...)`` puts a whole key group in
 one task; when one key holds a third of all rows that task holds a third of the
-data. ``number_within`` gives the exact same numbers without that: rows are
-range-partitioned on ``(key, order)`` so a hot key is split over many tasks,
-each task numbers its slice, and a tiny per-(task, key) count table supplies
-the offset of every slice. The count table has at most one row per key per
-range partition, so its window is bounded by the partition count.
+data. ``number_within`` gives the exact same numbers without that: rows get the number of the range of
+``(key, order)`` that they fall into, so a hot key is cut into many ranges; a window numbers each (range,
+key) on its own, and a small table of counts by (range, key) supplies the offset of every slice.
+Nothing is written: the ranges' bounds are values that were read once, so every evaluation cuts the
+rows alike.
 """
 
 from __future__ import annotations
@@ -16,7 +16,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusflow.session import work_dir
+#: Sampled rows a range; the bounds are their quantiles.
+SAMPLED = 64
 
 
 def _cols(xs) -> list[Column]:
@@ -33,64 +34,55 @@ def _names(xs) -> list[str]:
 
 
 def number_within(df: DataFrame, keys: list[str], order: list, out: str = "rn", total: str | None = None, partitions: int | None = None) -> DataFrame:
-    """Add ``out`` = 1-based position of each row within its ``keys`` group by ``order``
-    (and optionally ``total`` = group size). ``order`` must be a total order within a
-    group (append a unique tie-break) for the numbering to be deterministic.
+    """Add ``out`` = 1-based position of each row within its ``keys`` group by ``order`` (names or
+    expressions, ascending, nulls first) and optionally ``total`` = group size. ``order`` must be a total order
+    within a group (append a unique tie-break) for the numbering to be deterministic; ``df`` is read three times.
     ``keys`` may be empty (one global numbering)."""
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order_cols = [(F.col(o) if isinstance(o, str) else o) for o in order]
-    return _number_split(df, _names(keys), order_cols, out, total, n)
-
-
-def _number_split(df: DataFrame, keys: list[str], order_cols: list, out: str, total: str | None, n: int) -> DataFrame:
-    """The skew-safe path: range split of every group, count-based offsets."""
-    ordering = [F.col(k).asc_nulls_first() for k in keys] + order_cols
-    tagged = range_tagged(df, ordering, n)
-    # Only counts feed the offsets, so they do not depend on row order in this branch.
-    # The table has at most one row per (range partition, key); with no keys its windows
-    # run in one partition over at most ``n`` rows.
+    keys = _names(keys)
+    tagged = range_tagged(df, [*keys, *order], n)
+    # at most one row per (range, key): a key in one range only, or one of the few that a bound cuts
     stats = tagged.groupBy("_rp", *keys).agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.unboundedPreceding
-    key_order = [F.col(k).asc_nulls_first() for k in keys]
-    # rows of earlier keys in the same partition (where this key's run starts)
-    in_part = Window.partitionBy("_rp").orderBy(*key_order).rowsBetween(before, -1)
-    # rows of the same key in earlier partitions
-    across = Window.partitionBy(*keys).orderBy("_rp").rowsBetween(before, -1)
-    stats = stats.withColumn(
-        "_base",
-        F.coalesce(F.sum("_cnt").over(across), F.lit(0))
-        - (F.coalesce(F.sum("_cnt").over(in_part), F.lit(0)) if keys else F.lit(0))
-        + F.lit(1),
-    )
-    renamed = {k: f"_key{i}" for i, k in enumerate(keys)}
-    sel = [F.col("_rp").alias("_srp")] + [F.col(k).alias(v) for k, v in renamed.items()] + ["_base"]
+    across = Window.partitionBy(*keys).orderBy("_rp").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = [F.coalesce(F.sum("_cnt").over(across), F.lit(0)).alias("_base")]
     if total:
-        stats = stats.withColumn("_tot", F.sum("_cnt").over(Window.partitionBy(*keys)))
-        sel.append("_tot")
-    stats = stats.select(*sel)
+        offsets.append(F.sum("_cnt").over(Window.partitionBy(*keys)).alias("_tot"))
+    renamed = {k: f"_key{i}" for i, k in enumerate(keys)}
+    stats = stats.select(F.col("_rp").alias("_srp"), *[F.col(k).alias(v) for k, v in renamed.items()], *offsets)
+    numbered = tagged.withColumn("_pos", F.row_number().over(Window.partitionBy("_rp", *keys).orderBy(*[c.asc_nulls_first() for c in _cols(order)])))
     cond = [F.col("_rp") == F.col("_srp")] + [F.col(k).eqNullSafe(F.col(v)) for k, v in renamed.items()]
-    joined = tagged.join(stats, reduce(lambda a, b: a & b, cond), "inner")
+    joined = numbered.join(stats, reduce(lambda a, b: a & b, cond), "inner")
     outcols = [F.col(c) for c in df.columns] + [(F.col("_pos") + F.col("_base")).cast("bigint").alias(out)]
     if total:
         outcols.append(F.col("_tot").cast("bigint").alias(total))
     return joined.select(*outcols)
 
 
+def range_bounds(df: DataFrame, ordering: list, n: int) -> list:
+    """At most ``n`` - 1 rows of ``ordering`` values that cut ``df`` into about equal ranges: quantiles of
+    the ``SAMPLED * n`` rows whose values' hashes are least. The sample is the same whatever the partitions,
+    and its size depends on ``n`` alone."""
+    values = df.select(*[c.alias(f"_o{i}") for i, c in enumerate(_cols(ordering))])
+    sample = values.orderBy(F.xxhash64(*values.columns)).limit(SAMPLED * n)
+    rows = sample.orderBy(*[F.col(c).asc_nulls_first() for c in values.columns]).collect()
+    cuts = [rows[i * len(rows) // n] for i in range(1, n)] if rows else []
+    return [r for i, r in enumerate(cuts) if not i or r != cuts[i - 1]]
+
+
 def range_tagged(df: DataFrame, ordering: list, n: int) -> DataFrame:
-    """Rows range-partitioned and sorted on ``ordering``, tagged with their range partition
-    ``_rp`` and 0-based position ``_pos`` inside it, materialised once.
-
-    monotonically_increasing_id = (partition << 33) + position in partition, so ``_pos``
-    is exact. Range bounds come from sampling and are not guaranteed to repeat between two
-    evaluations, so the tagged rows are written once (checkpoint in the shared
-    spark.checkpoint.dir) and every consumer reads that copy; this also cuts the lineage."""
-    work_dir(df.sparkSession)
-    ranged = df.repartitionByRange(n, *ordering).sortWithinPartitions(*ordering)
-    return (
-        ranged.withColumn("_rp", F.spark_partition_id())
-        .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_rp").cast("bigint"), 33))
-        .checkpoint(eager=True)
-    )
+    """``df`` with ``_rp``, the number of the row's range by ``ordering`` (ascending, nulls first), 0 to ``n`` - 1."""
+    cuts = range_bounds(df, ordering, n)
+    if not cuts:
+        return df.withColumn("_rp", F.lit(0))
+    own = F.struct(*[c.alias(f"_o{i}") for i, c in enumerate(_cols(ordering))])
+    types = df.select(own.alias("_o")).schema[0].dataType
+    bounds = F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, types)]) for r in cuts])
+    # two steps over about sqrt(n) bounds each
+    step = max(1, round(len(cuts) ** 0.5))
+    coarse = F.array(*[F.get(bounds, F.lit(i)) for i in range(0, len(cuts), step)])
+    reached = lambda some: F.size(F.filter(some, lambda b: b <= own))
+    block = F.greatest(reached(coarse) - 1, F.lit(0)) * step
+    return df.withColumn("_rp", block).withColumn("_rp", F.col("_rp") + reached(F.slice(bounds, F.col("_rp") + 1, step)))
 
 
 def ensure_parallelism(df: DataFrame, min_partitions: int | None = None, by: list[str] | None = None) -> DataFrame:
