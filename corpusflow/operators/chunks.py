@@ -67,6 +67,43 @@ def precheck_error(present, parse_error, corrupted) -> Column:
     )
 
 
+def pdf_structure(content) -> tuple[Column, Column, Column, Column]:
+    """(text, cross-reference offset, error, page count) of a PDF file's bytes, from its header, trailer and page tree: a header within
+    the first and an end mark within the last 1,024 bytes, a cross-reference offset that points to a table or an
+    object, and ``/Count`` of the page tree's root (a ``/Pages`` object without ``/Parent``), else the number of ``/Page``
+    objects. ``page_count`` is null where objects are compressed, so that no page tree is in sight; such a
+    file passes but needs a reader for its pages. The bytes are read as Latin-1, one character a byte.
+    The later columns refer to the text as ``_t`` and to the offset as ``_offset``."""
+    text = F.decode(_c(content), "ISO-8859-1")
+    tail = F.expr("right(_t, 1024)")
+    offset = F.regexp_extract(tail, r"(?s).*startxref\s+(\d+)", 1).try_cast("int")
+    objects = F.split(F.col("_t"), "endobj")
+    trees = F.filter(objects, lambda o: o.rlike(r"/Type\s*/Pages\b"))
+    root = F.get(F.filter(trees, lambda o: ~o.contains("/Parent")), 0)
+    leaves = F.size(F.filter(objects, lambda o: o.rlike(r"/Type\s*/Page\b")))
+    count = F.coalesce(F.regexp_extract(root, r"/Count\s+(\d+)", 1).try_cast("bigint"), F.when(leaves > 0, leaves.cast("bigint")))
+    error = (
+        F.when(F.length("_t") == 0, F.lit("Cannot read an empty file"))
+        .when(~F.substring("_t", 1, 1024).contains("%PDF-"), F.lit("invalid pdf header"))
+        .when(~tail.contains("%%EOF"), F.lit("EOF marker not found"))
+        .when(offset.isNull(), F.lit("startxref not found"))
+        .when(~F.expr("substring(_t, _offset + 1, 32)").rlike(r"^\s*(xref|\d+\s+\d+\s+obj)"), F.lit("startxref points outside the cross-reference table"))
+    )
+    return text, offset, error, count
+
+
+def precheck_files(files: DataFrame, content_col: str = "content", out_of_reach: str | None = None) -> DataFrame:
+    """C4 on files: ``files(.., content)`` (null: the file isn't there) with ``precheck_error`` and ``page_count`` (0 on an error).
+    ``out_of_reach`` may name a boolean column of files that are there but couldn't be read."""
+    text, offset, error, count = pdf_structure(content_col)
+    parsed = files.withColumn("_t", text).withColumn("_offset", offset).withColumn("_error", error).withColumn("_count", count)
+    unread = F.coalesce(F.col(out_of_reach), F.lit(False)) if out_of_reach else F.lit(False)
+    wrong = F.when(unread, F.lit("the file can't be read")).otherwise(F.col("_error"))
+    checked = parsed.withColumn("precheck_error", precheck_error(F.col(content_col).isNotNull() | unread, wrong, ~unread))
+    pages = F.when(F.col("precheck_error").isNotNull(), F.lit(0).cast("bigint")).otherwise(F.col("_count"))
+    return checked.withColumn("page_count", pages).drop("_t", "_offset", "_error", "_count")
+
+
 def failed_placeholder(file_name, error) -> Column:
     """K4: markdown written for a failed pre-check (still counted as failed)."""
     head, rest = PLACEHOLDER_FAILED.split("{file}")

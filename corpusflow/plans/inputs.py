@@ -248,3 +248,26 @@ def ocr_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversation; an archive is one object, so its size is the conversation's."""
     c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return c.groupBy("conv_id").applyInPandas(_zip_conversation, "path string, content binary")
+
+
+# --- documents -> files -------------------------------------------------------------------------
+
+
+def pdf_files(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """``doc_id, path, content`` of a small PDF per document, its text in a stream: by doc_id % 6 good with 1 + n_chars % 700
+    pages (0), without its end mark (1), empty (2), without header (3), with 0 pages (4), not there (5: null)."""
+    d = ensure_parallelism(table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars"))
+    k = F.col("doc_id") % 6
+    pages = F.when(k == 4, F.lit(0)).otherwise(F.col("n_chars") % 700 + 1).cast("string")
+    head = F.concat(F.lit("%PDF-1.4\n1 0 obj\n<< /Type /Catalog /Pages 2 0 R >>\nendobj\n2 0 obj\n<< /Type /Pages /Kids [] /Count "), pages, F.lit(" >>\nendobj\n3 0 obj\n<< >>\nstream\n"))
+    body = F.concat(head, F.coalesce("text", F.lit("")), F.lit("\nendstream\nendobj\n"))
+    whole = F.concat(body, F.lit("xref\n0 4\ntrailer\n<< /Root 1 0 R >>\nstartxref\n"), F.octet_length(body).cast("string"), F.lit("\n%%EOF\n"))
+    made = d.select("doc_id", k.alias("k"), whole.alias("whole"))
+    content = (
+        F.when(F.col("k") == 1, F.expr("substring(whole, 1, length(whole) - 6)"))
+        .when(F.col("k") == 2, F.lit(""))
+        .when(F.col("k") == 3, F.expr("substring(whole, 10)"))
+        .when(F.col("k") == 5, F.lit(None).cast("string"))
+        .otherwise(F.col("whole"))
+    )
+    return made.select("doc_id", F.concat(F.lit(f"{folder}/"), F.col("doc_id").cast("string"), F.lit(".pdf")).alias("path"), content.alias("content"))

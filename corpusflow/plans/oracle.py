@@ -717,3 +717,18 @@ SELECT o.o_orderkey,
             WHEN b.best_name IS NOT NULL THEN 'https://archive.example.org/download/' || CAST(o.o_orderkey AS VARCHAR) || '/' || {quote('b.best_name')}
             ELSE 'https://archive.example.org/details/' || CAST(o.o_orderkey AS VARCHAR) END AS resolved_url
 FROM orders o LEFT JOIN best b ON o.o_orderkey = b.item_id LEFT JOIN (SELECT DISTINCT item_id FROM lst) l ON o.o_orderkey = l.item_id"""
+
+# --- files ---------------------------------------------------------------------------------------------
+
+ORACLE["streamed_file_digest"] = "SELECT doc_id, CASE WHEN doc_id % 9 <> 0 THEN sha256(text) END AS sha256 FROM documents"
+ORACLE["precheck_files"] = """
+SELECT doc_id,
+       CASE doc_id % 6 WHEN 1 THEN 'Corrupted PDF file: EOF marker not found' WHEN 2 THEN 'Corrupted PDF file: Cannot read an empty file'
+                       WHEN 3 THEN 'Corrupted PDF file: invalid pdf header' WHEN 5 THEN 'PDF file not found.' END AS precheck_error,
+       CASE WHEN doc_id % 6 = 0 THEN n_chars % 700 + 1 ELSE 0 END::BIGINT AS page_count
+FROM documents"""
+ORACLE["placeholder_files"] = """
+SELECT d.doc_id,
+       CASE WHEN l.quality IS NULL THEN '# OCR Failed for ' || d.doc_id || '.pdf' || chr(10) || chr(10) || 'Error: PDF file not found.' || chr(10) || 'This is a placeholder Markdown file due to PDF pre-check failure.'
+            ELSE '# OCR Skipped for ' || d.doc_id || '.pdf' || chr(10) || chr(10) || 'This is a placeholder Markdown file as hosted OCR was disabled for testing purposes.' END AS placeholder
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""

@@ -928,3 +928,54 @@ def q_ocr_rejects(spark, sf):
 
     _, rejects = ocr_tables(spark, *_awkward_archives(spark, sf))
     return rejects.select("archive_path", F.regexp_replace("reason", "(?s): .*", "").alias("reason"))
+
+
+# --- files: written one a row, digested by blocks, pre-checked --------------------------------------
+
+
+def _own_name():
+    return F.regexp_extract("path", r"(\d+)\.[a-z]+$", 1).cast("bigint")
+
+
+@query("streamed_file_digest")
+def q_streamed_file_digest(spark, sf):
+    """S5 by block reads: every document's text as a file (but for every ninth, which isn't there), digested from the
+    expected list."""
+    from corpusflow.session import scratch
+    from corpusflow.sources.filesystem import write_files
+
+    root = scratch(spark, "texts")
+    d = _docs(spark, sf, "text").select("doc_id", F.concat(F.lit(f"{root}/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("path"), F.col("text").alias("content"))
+    write_files(d.where("doc_id % 9 <> 0"))
+    expected = d.select("doc_id", "path", F.octet_length("content").cast("bigint").alias("length"))
+    return FS.streamed_digests(expected).select(_own_name().alias("doc_id"), "sha256")
+
+
+@query("precheck_files")
+def q_precheck_files(spark, sf):
+    """C4 on written files: good, cut, empty, without header, without pages, and not there."""
+    from corpusflow.session import scratch
+    from corpusflow.sources.filesystem import write_files
+
+    root = scratch(spark, "pdfs")
+    files = IN.pdf_files(spark, sf, root)
+    write_files(files.where("content is not null"))
+    found = FS.listed_files(spark, root, "*.pdf").select(_own_name().alias("_id"), "content")
+    expected = IN.table(spark, sf, "documents").select("doc_id")
+    return CH.precheck_files(expected.join(found, F.col("doc_id") == F.col("_id"), "left")).select("doc_id", "precheck_error", "page_count")
+
+
+@query("placeholder_files")
+def q_placeholder_files(spark, sf):
+    """K4's two templates as files: the error of a document without quality label, else that OCR was disabled."""
+    from corpusflow.session import scratch
+    from corpusflow.sinks.text import write_placeholders
+
+    root = scratch(spark, "placeholders")
+    d = _docs(spark, sf).join(IN.table(spark, sf, "labels").select("doc_id", "quality"), "doc_id", "left")
+    name = F.concat(F.col("doc_id").cast("string"), F.lit(".pdf"))
+    failed = CH.failed_placeholder(name, F.lit(CH.MSG_NOT_FOUND))
+    text = F.when(F.col("quality").isNull(), failed).otherwise(CH.skipped_placeholder(name, "hosted"))
+    write_placeholders(d.select(F.concat(F.lit(f"{root}/"), F.col("doc_id").cast("string"), F.lit(".md")).alias("path"), text.alias("text")), "path", "text")
+    files = FS.listed_files(spark, root, "*.md")
+    return files.select(_own_name().alias("doc_id"), F.decode("content", "UTF-8").alias("placeholder"))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.operators.chunks import CHUNK_SEPARATOR
+from corpusflow.sources.filesystem import write_files
 
 
 def write_merged(
@@ -35,7 +36,6 @@ def write_merged(
     )
 
 
-def write_placeholders(failed: DataFrame, doc_col: str, placeholder_col: str, out_dir: str) -> None:
-    """K4: the placeholder markdown of every failed pre-check, one file per document."""
-    rows = failed.select(F.col(doc_col), F.col(placeholder_col).alias("value"))
-    rows.repartition(doc_col).write.mode("errorifexists").option("lineSep", "\n").partitionBy(doc_col).text(out_dir)
+def write_placeholders(rows: DataFrame, path_col: str, placeholder_col: str) -> int:
+    """K4: the placeholder markdown of every row, exactly these bytes under its own path (a full URI)."""
+    return write_files(rows.select(F.col(path_col).alias("path"), F.col(placeholder_col).alias("content")))

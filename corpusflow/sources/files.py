@@ -2,22 +2,30 @@
 
 from __future__ import annotations
 
+import hashlib
 import io
+import re
 import zipfile
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusflow.functions.text import basename
+from corpusflow.operators.ranking import number_within
 from corpusflow.schemas import FILE_LISTING, PAGE_METADATA
+from corpusflow.sources.filesystem import file_system
 
 # --- fixed values --------------------------------------------------------------
 MARKDOWN_SUFFIX = ".md"
 METADATA_PREFIX = "metadata/"
 METADATA_SUFFIX = ".json"
 PAGE_FILE_PREFIX = "page_"
+#: Bytes of a file that becomes one cell, and of a block of larger ones.
+CELL_LIMIT = 64 << 20
+BLOCK = 4 << 20
 # the parser's column for documents that don't fit
 CORRUPT = "_malformed"
 # -------------------------------------------------------------------------------
@@ -63,11 +71,19 @@ def metadata_errors(items: DataFrame, json_col: str, keep: list[str]) -> DataFra
     return items.select(*keep, reason.alias("reason")).where(F.col("reason").isNotNull())
 
 
-def binary_digests(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """S5 scan: ``path, sha256`` of every readable file under ``path`` (binaryFile reader).
-    Unreadable or vanished files are skipped (Spark logs them), so the expected-list join
-    gives them a null digest instead of failing the job."""
-    raw = (
+def binary_digests(spark: SparkSession, path: str, glob: str = "*", cell_limit: int = CELL_LIMIT) -> DataFrame:
+    """S5 scan: ``path, length, sha256`` of every readable file under ``path``. Files up to ``cell_limit`` are read and
+    digested by Spark (the limit is pushed to the reader, so larger ones aren't opened), larger ones by
+    blocks. Unreadable or vanished files are skipped or get a null digest, so the expected-list join gives null for them."""
+    found = listed_files(spark, path, glob)
+    small = found.where(F.col("length") <= cell_limit).select("path", "length", F.sha2(F.col("content"), 256).alias("sha256"))
+    return small.unionByName(streamed_digests(found.where(F.col("length") > cell_limit)))
+
+
+def listed_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """``path, length, content`` of the files under ``path``; what isn't selected isn't read. Spark's reader
+    passes over empty files, so these are added from its file list."""
+    read = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")
@@ -75,7 +91,59 @@ def binary_digests(spark: SparkSession, path: str, glob: str = "*") -> DataFrame
         .option("ignoreMissingFiles", "true")
         .load(path)
     )
-    return raw.select("path", "length", F.sha2(F.col("content"), 256).alias("sha256"))
+    # the list that Spark's file index holds on the driver anyway; local paths as the reader writes them
+    names = [(re.sub("^file:/+", "file:/", f),) for f in read.inputFiles()]
+    seen = read.select(F.col("path").alias("_seen"))
+    unseen = spark.createDataFrame(names, "path string").join(seen, F.col("path") == F.col("_seen"), "left_anti")
+    empty = file_lengths(unseen).where("length = 0").select("path", "length", F.lit(b"").alias("content"))
+    return read.select("path", "length", "content").unionByName(empty)
+
+
+def file_lengths(files: DataFrame) -> DataFrame:
+    """``path, length`` of ``files(path)``; null for what isn't a file."""
+
+    def sizes(batches):
+        for batch in batches:
+            found = []
+            for path in batch.column("path").to_pylist():
+                fs, own = file_system(path)
+                info = fs.get_file_info(own)
+                found.append(info.size if info.is_file else None)
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(found, pa.int64())], names=["path", "length"])
+
+    return files.select("path").mapInArrow(sizes, "path string, length long")
+
+
+def balanced(files: DataFrame, tasks: int) -> DataFrame:
+    """``files(path, length)`` dealt to ``tasks`` partitions of about equal bytes: largest first, forth and back."""
+    order = [-F.col("length"), F.col("path")]
+    numbered = number_within(files.select("path", "length"), [], order, out="_n")
+    turn = (F.col("_n") - 1) % (2 * tasks)
+    task = F.when(turn < tasks, turn).otherwise(2 * tasks - 1 - turn)
+    return numbered.repartitionById(tasks, task.cast("int")).drop("_n")
+
+
+def streamed_digests(files: DataFrame, block: int = BLOCK, tasks: int | None = None) -> DataFrame:
+    """S5 by block reads: ``path, length, sha256`` of ``files(path, length)``, whatever their size; a task holds
+    one block. A file that is absent or can't be read gets a null digest."""
+
+    def digests(batches):
+        for batch in batches:
+            out = []
+            for path in batch.column("path").to_pylist():
+                try:
+                    fs, own = file_system(path)
+                    state = hashlib.sha256()
+                    with fs.open_input_stream(own, compression=None) as source:
+                        while data := source.read(block):
+                            state.update(data)
+                    out.append(state.hexdigest())
+                except OSError:
+                    out.append(None)
+            yield pa.RecordBatch.from_arrays([batch.column("path"), batch.column("length"), pa.array(out, pa.string())], names=["path", "length", "sha256"])
+
+    n = tasks or int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return balanced(files, n).mapInArrow(digests, "path string, length long, sha256 string")
 
 
 def expected_digests(expected: DataFrame, path_col: str, scan: DataFrame) -> DataFrame:
