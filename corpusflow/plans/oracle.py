@@ -732,3 +732,8 @@ SELECT d.doc_id,
        CASE WHEN l.quality IS NULL THEN '# OCR Failed for ' || d.doc_id || '.pdf' || chr(10) || chr(10) || 'Error: PDF file not found.' || chr(10) || 'This is a placeholder Markdown file due to PDF pre-check failure.'
             ELSE '# OCR Skipped for ' || d.doc_id || '.pdf' || chr(10) || chr(10) || 'This is a placeholder Markdown file as hosted OCR was disabled for testing purposes.' END AS placeholder
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
+
+# --- streams -----------------------------------------------------------------------------------------------
+
+ORACLE["incremental_batches"] = ORACLE["state_upsert"]
+ORACLE["streaming_state_fold"] = ORACLE["state_fold"]

@@ -979,3 +979,43 @@ def q_placeholder_files(spark, sf):
     write_placeholders(d.select(F.concat(F.lit(f"{root}/"), F.col("doc_id").cast("string"), F.lit(".md")).alias("path"), text.alias("text")), "path", "text")
     files = FS.listed_files(spark, root, "*.md")
     return files.select(_own_name().alias("doc_id"), F.decode("content", "UTF-8").alias("placeholder"))
+
+
+# --- streams ----------------------------------------------------------------------------------------
+
+
+@query("incremental_batches")
+def q_incremental_batches(spark, sf):
+    """R1 by micro-batches with a ledger: every key comes in an old and in a new drop, drained one after the
+    other; then the first drain's batch is replayed, which changes nothing."""
+    from corpusflow.session import scratch
+    from corpusflow.sources import state as SS
+    from corpusflow.streaming import incremental as INC
+
+    root = scratch(spark, "batches")
+    SS.save_state(IN.prior_state(spark, sf), f"{root}/state")
+    batch = IN.catalogue_batch(spark, sf).drop("drop_year")
+    old = batch.withColumn("pdf_url", F.concat("pdf_url", F.lit("?old")))
+    for name, drop in (("9", old), ("10", batch)):
+        drop.write.parquet(f"{root}/drops/drop={name}")
+        INC.apply_drops(spark, f"{root}/drops", batch.schema, f"{root}/state", f"{root}/checkpoint")
+    (stream, _), = SS.load_ledger(spark, f"{root}/state").items()
+    again = old.withColumn("_arrival", F.current_timestamp()).withColumn("_source", F.lit(""))
+    if INC.apply_batch(again, 0, f"{root}/state", stream) is not None:
+        raise RuntimeError("a replayed batch was folded again")
+    return SS.load_state(spark, f"{root}/state").select(*UPSERT_COLUMNS)
+
+
+@query("streaming_state_fold")
+def q_streaming_state_fold(spark, sf):
+    """R2 on a stream: events in four drops that aren't in order of time, one micro-batch each, through the keyed state;
+    the last change of each key is the batch fold's result."""
+    from corpusflow.session import scratch
+    from corpusflow.streaming.fold import drain_keyed_fold, state_fold
+
+    root = scratch(spark, "fold")
+    ev = IN.table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type")
+    ev.repartition(4, F.xxhash64("event_id") % 4).write.parquet(f"{root}/drops")
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/drops")
+    drain_keyed_fold(stream, ["user_id"], "event_type", ["ts", "event_id"], f"{root}/log", f"{root}/checkpoint")
+    return state_fold(spark.read.parquet(f"{root}/log"), ["user_id"], "event_type", ["ts", "event_id"], out="last_status")

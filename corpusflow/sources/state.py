@@ -66,19 +66,46 @@ def load_state_json(spark: SparkSession, path: str, page_slug: str | None = None
     return conform(rows)
 
 
-def save_state(df: DataFrame, root: str) -> int:
-    """K1: write a new committed version and return its number.
+def next_version(spark: SparkSession, root: str) -> int:
+    """A number past every folder, committed or not: a write that died midway leaves a folder
+    without _SUCCESS, which is never read and never reused."""
+    vs = _versions(spark, root, committed_only=False)
+    return (vs[-1] + 1) if vs else 1
+
+
+def save_state(df: DataFrame, root: str, version: int | None = None) -> int:
+    """K1: write a new committed version and return its number (``version``, or the next one).
 
     One layout whatever the number of pages: a table with ``page_slug`` as a data column
     (an empty slug stays an empty slug), range-clustered and sorted on (page_slug, id). Each
     task writes a few contiguous pages, a page with a third of all rows spans several tasks,
     and Parquet's min/max statistics on page_slug let page filters skip files and row groups."""
     spark = df.sparkSession
-    # number past every folder, committed or not: a write that died midway leaves a folder
-    # without _SUCCESS, which is never read and never reused
-    vs = _versions(spark, root, committed_only=False)
-    v = (vs[-1] + 1) if vs else 1
+    v = version or next_version(spark, root)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = conform(df).repartitionByRange(n, "page_slug", "id").sortWithinPartitions("page_slug", "id")
     rows.write.mode("errorifexists").parquet(f"{root}/v={v}")
     return v
+
+
+# --- the ledger of streams that write the state ------------------------------------------------
+
+LEDGER = "stream string, batch_id long"
+
+
+def save_ledger(spark: SparkSession, root: str, version: int, ledger: dict[str, int]) -> None:
+    """Write the last batch of every stream that ``version`` holds (a row a stream). It is written before the
+    version and counts only once the version is committed, so both take effect in one step."""
+    rows = spark.createDataFrame(sorted(ledger.items()), LEDGER)
+    rows.coalesce(1).write.mode("errorifexists").parquet(f"{root}/_ledger/v={version}")
+
+
+def load_ledger(spark: SparkSession, root: str) -> dict[str, int]:
+    """The last batch of every stream in the latest committed version; a version that a batch job wrote
+    passes on the ledger before it."""
+    fs, path, jvm = _fs(spark, root)
+    for v in reversed(committed_versions(spark, root)):
+        at = f"{root}/_ledger/v={v}"
+        if fs.exists(jvm.org.apache.hadoop.fs.Path(at, "_SUCCESS")):
+            return {r["stream"]: r["batch_id"] for r in spark.read.schema(LEDGER).parquet(at).collect()}
+    return {}

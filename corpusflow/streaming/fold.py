@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 
 def state_fold(log: DataFrame, keys: list[str], value: str, order: list[str], out: str | None = None) -> DataFrame:
@@ -26,3 +28,70 @@ def start_streaming_fold(
     if sink_format == "memory":
         w = w.queryName(options.get("queryName", "state_fold"))
     return w.start()
+
+
+# --- the fold as a stateful operator -----------------------------------------------------------
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class _LastWrite(StatefulProcessor):
+    """Per key the latest update by order, in a value state; a batch's updates in any order."""
+
+    def __init__(self, value: str, order: list[str], state: T.StructType, ttl_ms: int | None):
+        self.value, self.order, self.state, self.ttl_ms = value, order, state, ttl_ms
+
+    def init(self, handle) -> None:
+        self.last = handle.getValueState("last", self.state, self.ttl_ms)
+
+    def handleInputRows(self, key, rows, timers):
+        columns = [*self.order, self.value]
+        best = None
+        for pdf in rows:
+            top = pdf.sort_values(self.order, kind="stable").iloc[-1]
+            found = tuple(_plain(top[c]) for c in columns)
+            if best is None or found[:-1] > best[:-1]:
+                best = found
+        held = self.last.get() if self.last.exists() else None
+        if best is not None and (held is None or best[:-1] > tuple(held)[:-1]):
+            self.last.update(best)
+            yield pd.DataFrame([[*key, *best]])
+
+    def close(self) -> None:
+        pass
+
+
+def _plain(x):
+    """The state's value of a pandas cell."""
+    if x is None or x is pd.NaT or x is pd.NA:
+        return None
+    if isinstance(x, pd.Timestamp):
+        return x.to_pydatetime()
+    return x.item() if hasattr(x, "item") else x
+
+
+def keyed_fold(stream: DataFrame, keys: list[str], value: str, order: list[str], ttl_ms: int | None = None) -> DataFrame:
+    """R2 on a stream: a row (keys, order, value) whenever a key's last write changes, by ``transformWithState``. State
+    holds one row a key, whatever the order in which updates come; with ``ttl_ms`` a key that
+    hasn't changed for so long is forgotten. ``order`` columns aren't null."""
+    fields = {f.name: f for f in stream.schema.fields}
+    state = T.StructType([fields[c] for c in (*order, value)])
+    out = T.StructType([fields[c] for c in (*keys, *order, value)])
+    processor = _LastWrite(value, order, state, ttl_ms)
+    return stream.select(*out.names).groupBy(*keys).transformWithStateInPandas(processor, out, "Append", "ProcessingTime" if ttl_ms else "None")
+
+
+def drain_keyed_fold(stream: DataFrame, keys: list[str], value: str, order: list[str], log_dir: str, checkpoint: str) -> None:
+    """Append the changes of all that is there now to a Parquet log, exactly once. The operator needs the
+    RocksDB state store; the session's own setting is put back. Without a time to live: with one the operator asks
+    for batches for ever, so such a stream is started with a processing-time trigger, not drained."""
+    spark = stream.sparkSession
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, ROCKSDB)
+    try:
+        changes = keyed_fold(stream, keys, value, order)
+        q = changes.writeStream.format("parquet").option("path", log_dir).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+        q.awaitTermination()
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
