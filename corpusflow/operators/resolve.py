@@ -3,10 +3,13 @@ choice (W1) and the resolved URL with its fallbacks (J5)."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import importlib
+import uuid
+from collections.abc import Callable, Iterator
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.functions.text import WS
@@ -16,6 +19,9 @@ from corpusflow.functions.urls import item_identifier, url_authority, url_quote
 PDF_SUFFIX = ".pdf"
 TEXT_PDF_MARK = "_text.pdf"
 SIZE = "decimal(38,0)"
+RESOLVER_FUNCTION = "resolve_pdf_url"
+#: Handlers that still go into one CASE expression.
+MOST_CASES = 100
 # ----------------------------------------------------------------------------------
 
 
@@ -31,6 +37,50 @@ def match_handler(url, handlers: list[tuple[str, str]]) -> Column:
     return expr if expr is not None else F.lit(None).cast("string")
 
 
+def match_handler_many(spark: SparkSession, url, handlers: list[tuple[str, str]]) -> Column:
+    """J1 for long handler lists: the same answer as :func:`match_handler` from an automaton of all patterns with
+    failure links, which reads an authority once whatever their number. The list is broadcast (it is the
+    config's size) and the automaton made once a worker; the plan doesn't grow with the list."""
+    sent = spark.sparkContext.broadcast(list(handlers))
+    key = uuid.uuid4().hex
+
+    @F.pandas_udf("string")
+    def matched(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        find, always = _automaton(key, sent)
+        modules = [m for _, m in sent.value]
+        for part in parts:
+            out = []
+            for authority in part:
+                found = [] if authority is None else [i for _, i in find(authority)]
+                if authority is not None and always is not None:
+                    found.append(always)
+                out.append(modules[min(found)] if found else None)
+            yield pd.Series(out, dtype=object)
+
+    return matched(url_authority(url))
+
+
+_AUTOMATA: dict[str, tuple] = {}
+
+
+def _automaton(key: str, sent) -> tuple:
+    """(iterator over (end, place in the list), place of an empty pattern, which is in every text) of a worker."""
+    import ahocorasick
+
+    if key not in _AUTOMATA:
+        _AUTOMATA.clear()
+        made, always = ahocorasick.Automaton(), None
+        for i, (pattern, _) in enumerate(sent.value):
+            if pattern == "":
+                always = i if always is None else always
+            elif pattern not in made:
+                made.add_word(pattern, i)
+        if len(made):
+            made.make_automaton()
+        _AUTOMATA[key] = (made.iter if len(made) else lambda _: (), always)
+    return _AUTOMATA[key]
+
+
 def match_handler_col(url, handlers_col) -> Column:
     """J1 with the handler list as an array<struct<pattern,module>> column (from the config)."""
     auth = url_authority(url)
@@ -71,8 +121,13 @@ class HandlerRegistry:
 
     def dispatch(self, df: DataFrame, url_col: str, handlers: list[tuple[str, str]] | str) -> DataFrame:
         """``handlers``: the ordered list, or the name of a column that holds each row's own."""
-        match = match_handler_col if isinstance(handlers, str) else match_handler
-        tagged = df.withColumn("handler", match(url_col, handlers))
+        if isinstance(handlers, str):
+            match = match_handler_col(url_col, handlers)
+        elif len(handlers) > MOST_CASES:
+            match = match_handler_many(df.sparkSession, url_col, handlers)
+        else:
+            match = match_handler(url_col, handlers)
+        tagged = df.withColumn("handler", match)
         url = F.col(url_col)
         expr = None
         for name, fn in self._columns.items():
@@ -96,6 +151,47 @@ class HandlerRegistry:
         return out.withColumn("resolved_url", F.coalesce(F.col("resolved_url"), url))
 
 
+# --- X2 by module name ---------------------------------------------------------------
+
+
+class ModuleResolver:
+    """One row for each (module, URL): the module is imported by name and kept, a worker's own, and its
+    ``resolve_pdf_url`` called. Whatever goes wrong leaves the URL and says why."""
+
+    def __init__(self):
+        self.functions: dict[str, object] = {}
+
+    def _function(self, module: str):
+        if module not in self.functions:
+            try:
+                found = getattr(importlib.import_module(module), RESOLVER_FUNCTION, None)
+                self.functions[module] = found or f"module has no {RESOLVER_FUNCTION}"
+            except Exception as e:
+                self.functions[module] = f"module can't be loaded: {type(e).__name__}"
+        return self.functions[module]
+
+    def eval(self, module: str, url: str):
+        if module is None:
+            yield url, None
+            return
+        function = self._function(module)
+        if isinstance(function, str):
+            yield url, function
+            return
+        try:
+            yield function(url) or url, None
+        except Exception as e:
+            yield url, f"resolver failed: {type(e).__name__}"
+
+
+def resolve_by_module(df: DataFrame, url_col: str, handler_col: str = "handler") -> DataFrame:
+    """X2 from the config alone: ``df`` with ``resolved_url`` and ``resolve_error``. ``handler_col`` names a Python module (null: none) whose
+    ``resolve_pdf_url(url)`` gives the URL; modules must be importable on the workers. A missing module or
+    function, an exception, and an empty or null answer keep the original URL."""
+    resolver = F.udtf(ModuleResolver, returnType="resolved_url string, resolve_error string")
+    return df.lateralJoin(resolver(F.col(handler_col).outer(), F.col(url_col).outer()))
+
+
 # --- W1 / J5 -------------------------------------------------------------------------
 
 

@@ -737,3 +737,17 @@ FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
 
 ORACLE["incremental_batches"] = ORACLE["state_upsert"]
 ORACLE["streaming_state_fold"] = ORACLE["state_fold"]
+
+# --- handlers -------------------------------------------------------------------------------------------
+
+ORACLE["resolve_handler_many"] = """
+WITH hosts AS (SELECT DISTINCT o_custkey, 'www.c' || o_custkey || '.shelf.test' AS host FROM orders),
+hit AS (SELECT h.o_custkey, min(p.p_partkey) AS k FROM hosts h JOIN part p ON contains(h.host, p.p_partkey || '.') GROUP BY h.o_custkey)
+SELECT o.o_orderkey, 'module_' || hit.k AS handler FROM orders o LEFT JOIN hit ON o.o_custkey = hit.o_custkey"""
+ORACLE["resolve_by_module"] = """
+SELECT page_id,
+       CASE WHEN page_id % 5 = 0 AND length(url) % 2 = 1 THEN CASE WHEN contains(url, 'http:') THEN replace(url, 'http:', 'https:') ELSE url END || '#secure'
+            WHEN page_id % 5 = 1 AND length(url) % 2 = 0 THEN url || '#raising' ELSE url END AS resolved_url,
+       CASE WHEN page_id % 5 = 1 AND length(url) % 2 = 1 THEN 'resolver failed: ValueError' WHEN page_id % 5 = 2 THEN 'module has no resolve_pdf_url'
+            WHEN page_id % 5 = 3 THEN 'module can''t be loaded: ModuleNotFoundError' END AS resolve_error
+FROM pages"""

@@ -1019,3 +1019,23 @@ def q_streaming_state_fold(spark, sf):
     stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/drops")
     drain_keyed_fold(stream, ["user_id"], "event_type", ["ts", "event_id"], f"{root}/log", f"{root}/checkpoint")
     return state_fold(spark.read.parquet(f"{root}/log"), ["user_id"], "event_type", ["ts", "event_id"], out="last_status")
+
+
+# --- handlers: long lists, modules by name -------------------------------------------------------
+
+
+@query("resolve_handler_many")
+def q_resolve_handler_many(spark, sf):
+    """J1 with a handler for every part (pattern ``<key>.``, config order by key) over a URL for each order."""
+    keys = [r["p_partkey"] for r in IN.table(spark, sf, "part").select("p_partkey").orderBy("p_partkey").collect()]  # the config
+    handlers = [(f"{k}.", f"module_{k}") for k in keys]
+    o = IN.table(spark, sf, "orders").select("o_orderkey", F.concat(F.lit("https://www.c"), F.col("o_custkey").cast("string"), F.lit(".shelf.test/x")).alias("url"))
+    return o.select("o_orderkey", RS.match_handler_many(spark, "url", handlers).alias("handler"))
+
+
+@query("resolve_by_module")
+def q_resolve_by_module(spark, sf):
+    """X2 by module name over the pages: modules that answer, answer nothing, raise, have no function, aren't there."""
+    base = "corpusflow.plans.handlers."
+    module = F.element_at(F.array(*[F.lit(base + m) for m in ("secure", "raising", "silent", "absent")], F.lit(None).cast("string")), (F.col("page_id") % 5 + 1).cast("int"))
+    return RS.resolve_by_module(_pages(spark, sf, "url").withColumn("handler", module), "url").select("page_id", "resolved_url", "resolve_error")

@@ -143,14 +143,24 @@ def test_ocr_results_end_to_end(spark, tmp_path):
     (d / "d1__1.zip").write_bytes(zipped([("d1_part_1.md", "one"), ("metadata/page_1.json", page(1, [0.9, 0.5]))]))
     (d / "d1__2.zip").write_bytes(zipped([("d1_part_2.md", "two"), ("metadata/page_1.json", page(1, [0.8]))]))
     (d / "d2__1.zip").write_bytes(zipped([("d2_part_1.md", "x"), ("metadata/page_3.json", page(3, [0.1]))]))
-    (d / "d2__2.zip").write_bytes(zipped([("d2_part_2.md", "y")]))  # no metadata -> d2 fails
+    (d / "d2__2.zip").write_bytes(zipped([("d2_part_2.md", "y")]))  # no metadata: nothing to average
+    (d / "d5__0.zip").write_bytes(zipped([("d5.md", "z"), ("metadata/page_1.json", page(1, [0.4])), ("metadata/page_2.json", '{"page_num": 2, "blo')]))
+    (d / "d6__0.zip").write_bytes(zipped([("d6.md", "only text")]))
+    (d / "again").mkdir()
+    (d / "again" / "d6__0.zip").write_bytes(zipped([("d6.md", "first by path")]))
+    (d / "d7__0.zip").write_bytes(zipped([("notes.txt", ""), ("metadata/page_1.json", page(1, []))]))
     (d / "d3__0.zip").write_bytes(zipped([("d3.md", "whole"), ("metadata/page_2.json", page(2, [0.6]))]))
-    plan = spark.createDataFrame([("d1", 1), ("d1", 2), ("d2", 1), ("d2", 2), ("d3", None), ("d4", None)], "doc string, part int")
-    got = {r.doc: r for r in P.ocr_results(spark, str(d), plan).collect()}
+    plan = spark.createDataFrame([("d1", 1), ("d1", 2), ("d2", 1), ("d2", 2), ("d3", None), ("d4", None), ("d5", None), ("d6", None), ("d6", None), ("d7", None)], "doc string, part int")
+    documents, rejects = P.ocr_tables(spark, str(d), plan)
+    got = {r.doc: r for r in documents.collect()}
+    lost = sorted((r.archive_path.rsplit(f"{d}/", 1)[1], r.file_name, r.reason) for r in rejects.collect())
+    assert lost == [("d5__0.zip", "page_2.json", "page metadata is malformed"), ("d6__0.zip", None, "another archive of this chunk was taken"), ("d7__0.zip", None, "archive has no markdown")]
     sep = "\n\n---\n\n"
     assert got["d1"].ocr_ok and got["d1"].merged_text == "one" + sep + "two" + sep
     assert got["d1"].low_confidence_blocks_count == 1 and abs(got["d1"].avg_page_confidence - (0.9 + 0.5 + 0.8) / 3) < 1e-12
     assert got["d1"].pages_with_low_confidence_blocks == [1]  # both parts' page_1 counted (keyed by part)
-    assert not got["d2"].ocr_ok and got["d2"].merged_text is None
+    assert got["d2"].ocr_ok and got["d2"].merged_text == "x" + sep + "y" + sep and got["d2"].avg_page_confidence == 0.1
+    assert not got["d5"].ocr_ok and got["d5"].merged_text is None and not got["d7"].ocr_ok
+    assert got["d6"].ocr_ok and got["d6"].n_chunks == 1 and got["d6"].merged_text == "first by path" and got["d6"].avg_page_confidence is None
     assert got["d3"].ocr_ok and got["d3"].merged_text == "whole" and got["d3"].pages_with_low_confidence_blocks == [2]
     assert not got["d4"].ocr_ok
