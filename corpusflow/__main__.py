@@ -38,7 +38,9 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--list-pages", help="Parquet with page_url, html of the fetched list pages")
     run.add_argument("--outcomes", help="Parquet with stage outcomes (page_slug, id, download_ok, ...)")
     run.add_argument("--metadata", help="Parquet with item_id, metadata (JSON; null: not fetched) for the config's domain handlers")
-    run.add_argument("--download-base", default="https://archive.org/download", help="where resolved files are")
+    run.add_argument("--download-base", help="where resolved files are (needed with --metadata)")
+    run.add_argument("--modules", action="store_true", help="import the config's handler modules and let them resolve URLs")
+    run.add_argument("--cache", help="folder of the provider's answers, kept from run to run")
     run.add_argument("--enrich-languages", default="", help="language prefixes whose names go through --provider, comma-separated")
     run.add_argument("--provider", help="module:function, Series of texts -> Series of answers")
     rst = sub.add_parser("reset", help="failed / in-progress rows back to pending")
@@ -61,6 +63,8 @@ def main(argv: list[str] | None = None) -> int:
         lists = spark.read.parquet(args.list_pages) if args.list_pages else None
         outcomes = spark.read.parquet(args.outcomes) if args.outcomes else None
         registry = None
+        if args.metadata and not args.download_base:
+            ap.error("--metadata needs --download-base")
         if args.metadata:
             resolver = metadata_resolver(spark.read.parquet(args.metadata), args.download_base)
             registry = HandlerRegistry(default=resolver)
@@ -69,7 +73,7 @@ def main(argv: list[str] | None = None) -> int:
             module, _, name = args.provider.partition(":")
             provider = getattr(importlib.import_module(module), name)
         languages = set(filter(None, args.enrich_languages.split(",")))
-        result = P.run_once(spark, args.config, args.state, outcomes=outcomes, list_pages=lists, registry=registry, enrich_languages=languages, provider=provider)
+        result = P.run_once(spark, args.config, args.state, outcomes=outcomes, list_pages=lists, registry=registry, enrich_languages=languages, provider=provider, modules=args.modules, cache_dir=args.cache)
     elif args.cmd == "reset":
         result = P.reset(spark, args.state, args.page_slug)
     else:

@@ -751,3 +751,36 @@ SELECT page_id,
        CASE WHEN page_id % 5 = 1 AND length(url) % 2 = 1 THEN 'resolver failed: ValueError' WHEN page_id % 5 = 2 THEN 'module has no resolve_pdf_url'
             WHEN page_id % 5 = 3 THEN 'module can''t be loaded: ModuleNotFoundError' END AS resolve_error
 FROM pages"""
+
+# --- the full run -----------------------------------------------------------------------------------------
+
+_RUN = f"""{_NAV},
+cfg AS (
+  SELECT p.page_id, 'list_' || p.page_id AS url_slug,
+         concat_ws(' ', nullif({strip_ws(unescape("regexp_extract(p.html, '(?s)<h1(?:\\s[^>]*)?>([^<]*)</h1>', 1)"))}, ''), 'page', CAST(p.page_id AS VARCHAR)) AS page_name,
+         nullif(regexp_extract(p.html, '<html[^>]*\\slang="([^"]*)"', 1), '') AS raw_lang
+  FROM pages p
+),
+live AS (SELECT *, CASE WHEN page_id % 3 = 0 THEN url_slug ELSE {slug('page_name')} END AS page_slug, CASE WHEN raw_lang <> 'en' THEN 3 END AS lim FROM cfg WHERE coalesce(raw_lang, '') <> 'de'),
+listed AS (
+  SELECT c.page_slug, c.lim, i.item_pos,
+         CASE WHEN c.page_id % 3 = 0 THEN CAST(i.page_id * 100 + i.item_pos AS VARCHAR) WHEN NOT ends_with(i.raw_href, '7') THEN substr(i.raw_href, 2) END AS id,
+         CASE WHEN c.page_id % 3 = 0 THEN {_TXT} ELSE {unescape('i.raw_text')} END AS title_original
+  FROM live c JOIN items i ON c.page_id = i.page_id WHERE c.page_id % 9 <> 0
+),
+kept AS (SELECT * FROM listed WHERE id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY page_slug, id ORDER BY item_pos DESC) = 1)"""
+
+ORACLE["full_run_outcomes"] = f"""WITH {_RUN},
+planned AS (SELECT *, row_number() OVER (PARTITION BY page_slug ORDER BY {zfill('id')}, id) <= coalesce(lim, 2147483647) AS todo FROM kept),
+steps AS (SELECT *, todo AND length(id) % 2 = 0 AS dl, todo AND length(id) % 2 = 0 AND length(id) % 3 <> 0 AS ocr FROM planned)
+SELECT page_slug, id, title_original,
+       CASE WHEN NOT todo THEN 'pending' WHEN NOT ocr THEN 'failed' WHEN length(id) % 5 <> 0 THEN 'completed' ELSE 'pending' END AS status,
+       CASE WHEN dl THEN 'completed' END AS download_status, CASE WHEN todo AND length(id) % 3 <> 0 AND dl THEN 'completed' END AS ocr_status,
+       CASE WHEN ocr THEN 'completed' END AS docx_conversion_status
+FROM steps"""
+
+ORACLE["full_run_rejects"] = f"""WITH {_RUN}
+SELECT page_slug, id, item_pos::BIGINT AS item_pos, 'listed again later' AS reason FROM listed l
+WHERE id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM kept k WHERE k.page_slug = l.page_slug AND k.id = l.id AND k.item_pos = l.item_pos)
+UNION ALL SELECT page_slug, NULL, item_pos, 'book has no id' FROM listed WHERE id IS NULL
+UNION ALL SELECT page_slug, NULL, NULL, 'list page wasn''t fetched' FROM live WHERE page_id % 9 = 0"""

@@ -1039,3 +1039,49 @@ def q_resolve_by_module(spark, sf):
     base = "corpusflow.plans.handlers."
     module = F.element_at(F.array(*[F.lit(base + m) for m in ("secure", "raising", "silent", "absent")], F.lit(None).cast("string")), (F.col("page_id") % 5 + 1).cast("int"))
     return RS.resolve_by_module(_pages(spark, sf, "url").withColumn("handler", module), "url").select("page_id", "resolved_url", "resolve_error")
+
+
+# --- the full run with a prior state, outcomes, list pages and rejects ------------------------------
+
+
+def _run_inputs(spark, sf, root) -> DataFrame:
+    """Writes the config: all pages as JSON Lines; every third page has a URL instead of its books (its list page is
+    returned, but for every ninth page, whose list wasn't fetched), every eleventh book has no id."""
+    pages = IN.config_json(spark, sf, unique_names=True)
+    url = F.concat(F.lit("https://books.example.org/list_"), F.col("page_id").cast("string"), F.lit(".php"))
+    listed = F.concat(F.lit('[{"url":"'), url, F.lit('",'), F.substring("config", 3, 1 << 30))
+    unnamed = F.regexp_replace("config", r'"id":"[^"]*7",', "")
+    pages.select(F.when(F.col("page_id") % 3 == 0, listed).otherwise(unnamed).alias("value")).write.text(f"{root}/config")
+    lists = _list_pages(spark, sf).where("page_id % 3 = 0 and page_id % 9 <> 0")
+    return lists.select(url.alias("page_url"), "html")
+
+
+def _outcomes(state: DataFrame) -> DataFrame:
+    n = F.length("id")
+    return state.select("page_slug", "id", (n % 2 == 0).alias("download_ok"), (n % 3 != 0).alias("ocr_ok"), F.lit(True).alias("convert_ok"), F.lit(True).alias("md_copied"), (n % 5 != 0).alias("docx_copied"))
+
+
+@query("full_run_outcomes")
+def q_full_run_outcomes(spark, sf):
+    """E1 twice: the first pass fills the state from inline books and list pages; the second starts from that state
+    and applies the stage outcomes to the rows of its plan."""
+    from corpusflow.plans.workflow import run_once
+    from corpusflow.session import scratch
+    from corpusflow.sources import state as SS
+
+    root = scratch(spark, "run")
+    lists = _run_inputs(spark, sf, root)
+    run_once(spark, f"{root}/config", f"{root}/state", list_pages=lists, config_lines=True)
+    run_once(spark, f"{root}/config", f"{root}/state", outcomes=_outcomes(SS.load_state(spark, f"{root}/state")), list_pages=lists, config_lines=True)
+    return SS.load_state(spark, f"{root}/state").select("page_slug", "id", "title_original", "status", "download_status", "ocr_status", "docx_conversion_status")
+
+
+@query("full_run_rejects")
+def q_full_run_rejects(spark, sf):
+    """E1's rejects: books without id, listings that a later one replaced, lists that weren't fetched, with the reason."""
+    from corpusflow.plans.workflow import run_once, run_table
+    from corpusflow.session import scratch
+
+    root = scratch(spark, "run")
+    run_once(spark, f"{root}/config", f"{root}/state", list_pages=_run_inputs(spark, sf, root), config_lines=True)
+    return run_table(spark, f"{root}/state", "rejects").select("page_slug", "id", F.col("item_pos").cast("bigint").alias("item_pos"), "reason")

@@ -1,7 +1,7 @@
 """The reference's full run and reset, composed from the operators.
 
-A run is a handful of lazy DataFrames; the only writes are the new state version (and
-the enrichment cache when a provider is used):
+A run is a handful of DataFrames, each written once; what lasts are the new state version, its plan and
+rejects, and the enrichment cache when a provider is used:
 
     config -> enabled pages -> inline books (J1/X2 resolve, P6 paths)
                             -> list pages (S3 DOM items, S3c ids, F4, J3/X1 slugs, P6b)
@@ -11,7 +11,7 @@ the enrichment cache when a provider is used):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.functions.text import slugify
@@ -19,24 +19,39 @@ from corpusflow.functions.urls import url_join
 from corpusflow.operators import catalogue as CAT
 from corpusflow.operators import enrich as EN
 from corpusflow.operators import state as ST
-from corpusflow.operators.resolve import HandlerRegistry
-from corpusflow.schemas import STATE_COLUMNS
+from corpusflow.operators.resolve import HandlerRegistry, match_handler_col, resolve_by_module
+from corpusflow.schemas import BOOK_STATE, STATE_COLUMNS
 from corpusflow.session import scratch
 from corpusflow.sources import catalogue as SC
 from corpusflow.sources import config as CFG
 from corpusflow.sources import state as SS
 
 
-def inline_catalogue(pages: DataFrame, registry: HandlerRegistry | None) -> DataFrame:
+def inline_catalogue(pages: DataFrame, registry: HandlerRegistry | None, modules: bool = False) -> DataFrame:
     """State rows for inline books of enabled pages without a URL (URL resolution first, by the
-    handlers of the page's own config)."""
+    handlers of the page's own config: a registry's resolvers, or with ``modules`` the Python modules that
+    the config names). ``_reason`` says why a row can't be kept (null: it can)."""
     books = CFG.inline_books(pages.filter(F.col("page_url").isNull()))
     if registry is not None:
         books = registry.dispatch(books, "pdf_url", "handlers").withColumn("pdf_url", F.col("resolved_url")).drop("resolved_url", "handler")
+    elif modules:
+        books = resolve_by_module(books.withColumn("handler", match_handler_col("pdf_url", "handlers")), "pdf_url")
+        books = books.withColumn("pdf_url", F.col("resolved_url")).drop("resolved_url", "resolve_error", "handler")
     rows = CAT.inline_book_rows(books, "title_slug_in", "author_slug_in")
     # The book's own language when given, else the page's (OCR keeps the page language)
     lang = F.coalesce(F.col("book_language"), F.col("page_language"))
-    return rows.withColumn("language", lang).withColumn("_seq", F.struct("config_path", "page_pos", F.col("book_pos").alias("item_pos")))
+    return (
+        rows.withColumn("language", lang)
+        .withColumn("_seq", F.struct("config_path", "page_pos", F.col("book_pos").alias("item_pos")))
+        .withColumn("_reason", F.when(F.col("id").isNull(), F.lit("book has no id")))
+    )
+
+
+def _cache(spark: SparkSession, folder: str | None) -> DataFrame | None:
+    """The answers that earlier runs left in ``folder``; None where there are none yet."""
+    if folder is None or not SS.exists(spark, folder):
+        return None
+    return spark.read.schema("text string, slug string").option("recursiveFileLookup", "true").parquet(folder)
 
 
 def scraped_catalogue(
@@ -45,16 +60,21 @@ def scraped_catalogue(
     state: DataFrame | None = None,
     enrich_languages: set[str] | None = None,
     provider=None,
+    cache_dir: str | None = None,
 ) -> DataFrame:
     """State rows for enabled pages with a URL, from their fetched HTML (``page_url, html``).
 
     D1: pages whose language prefix (``kn`` of ``kn-IN``) is in ``enrich_languages`` get
     their slugs from the cached provider (X1), reusing both slugs of an existing state row
-    when both are non-empty (J3); every other page slugifies title and author directly."""
-    with_html = pages.filter(F.col("page_url").isNotNull()).join(list_pages, "page_url")
+    when both are non-empty (J3) and the answers in ``cache_dir``, where new ones are kept for later runs; every
+    other page slugifies title and author directly. Incomplete items (F4) and pages whose list wasn't
+    fetched come with a ``_reason``."""
+    spark = pages.sparkSession
+    listed = pages.filter(F.col("page_url").isNotNull())
+    with_html = listed.join(list_pages, "page_url")
     items = SC.dom_items(with_html.select("config_path", "page_pos", "page_slug", "page_url", "page_language", "html"), "html")
-    items = items.withColumn("id", SC.catalogue_id("title_href", "pdf_href"))
-    ok = items.filter(SC.complete_items(items)).withColumn("author_original", F.coalesce("author_original", F.lit("")))
+    items = items.withColumn("id", SC.catalogue_id("title_href", "pdf_href")).withColumn("_reason", SC.reject_reason())
+    ok = items.filter(F.col("_reason").isNull()).withColumn("author_original", F.coalesce("author_original", F.lit("")))
     langs = sorted(enrich_languages or [])
     prefix = F.substring_index(F.col("page_language"), "-", 1)
     enrich = prefix.isin(langs) if langs else F.lit(False)
@@ -71,15 +91,20 @@ def scraped_catalogue(
             use = F.lit(False)
         cached = todo.filter(use)
         fresh = todo.filter(~use).drop("title_english_slug", "author_english_slug")
-        fresh = EN.enrich_cached(fresh, "title_original", provider=provider, out="_t")
-        fresh = EN.enrich_cached(fresh, "author_original", provider=provider, out="_a")
+        for column, out in (("title_original", "_t"), ("author_original", "_a")):
+            fresh = EN.enrich_cached(fresh, column, provider=provider, cache=_cache(spark, cache_dir), cache_out=cache_dir).withColumnRenamed("slug", out)
         rows = rows.unionByName(CAT.scraped_book_rows(fresh, F.col("_t"), F.col("_a")).drop("_t", "_a"))
         rows = rows.unionByName(CAT.scraped_book_rows(cached, F.col("title_english_slug"), F.col("author_english_slug")))
-    return (
+    rows = (
         rows.withColumn("pdf_url", url_join("page_url", "pdf_href"))
         .withColumn("language", F.col("page_language"))
         .withColumn("_seq", F.struct("config_path", "page_pos", "item_pos"))
     )
+    place = F.struct("config_path", "page_pos", "item_pos").alias("_seq")
+    incomplete = items.filter(F.col("_reason").isNotNull()).select("page_slug", F.nullif("id", F.lit("")).alias("id"), "title_original", place, "_reason")
+    unfetched = listed.join(list_pages.select("page_url"), "page_url", "left_anti").withColumn("item_pos", F.lit(None).cast("int"))
+    unfetched = unfetched.select("page_slug", place, F.lit("list page wasn't fetched").alias("_reason"))
+    return rows.unionByName(incomplete, allowMissingColumns=True).unionByName(unfetched, allowMissingColumns=True)
 
 
 def run_once(
@@ -92,32 +117,53 @@ def run_once(
     enrich_languages: set[str] | None = None,
     provider=None,
     config_lines: bool = False,
+    modules: bool = False,
+    cache_dir: str | None = None,
 ) -> dict:
-    """One pass of the pipeline; returns the new state version and the plan size."""
+    """One pass of the pipeline. Beside the new state version (``v=<n>``) it leaves the rows that were
+    to be processed (``_plan/v=<n>``) and those that couldn't be kept, with the reason (``_rejects/v=<n>``); a read of either
+    goes by committed versions. Returns the version and the counts, which are observed while these tables are
+    written."""
     cfg = CFG.read_config(spark, config_path, lines=config_lines)
     pages = CFG.enabled_pages(CFG.config_pages(cfg, keep=["config_path", "handlers"]))
     state = SS.load_state(spark, state_root)
-    parts = [inline_catalogue(pages, registry)]
+    parts = [inline_catalogue(pages, registry, modules)]
     if list_pages is not None:
-        parts.append(scraped_catalogue(pages, list_pages, state, enrich_languages, provider))
+        parts.append(scraped_catalogue(pages, list_pages, state, enrich_languages, provider, cache_dir))
     catalogue = parts[0]
     for p in parts[1:]:
         catalogue = catalogue.unionByName(p, allowMissingColumns=True)
     cols = [c for c in STATE_COLUMNS if c in catalogue.columns]
-    # An id listed twice in one pass -> the later listing wins, the rest are rejects
-    batch, _rejects = ST.dedupe_batch(catalogue.select(*cols, "_seq"), ST.KEYS, "_seq")
-    # parsed and resolved once: the merge, the plan and the state's range bounds all read it
+    # parsed and resolved once: the merge, the plan and the rejects all read it
     path = scratch(spark, "catalogue")
-    batch.write.parquet(path)
-    batch = spark.read.schema(batch.schema).parquet(path)
-    merged = ST.state_upsert(state, batch.select(*cols))
+    catalogue.select(*cols, "_seq", "_reason").write.parquet(path)
+    catalogue = spark.read.parquet(path)
+    # An id listed twice in one pass -> the later listing wins, the rest are rejects
+    kept = catalogue.filter(F.col("_reason").isNull()).drop("_reason")
+    batch, earlier = ST.dedupe_batch(kept, ST.KEYS, "_seq")
+    why = earlier.withColumn("_reason", F.lit("listed again later"))
+    rejects = catalogue.filter(F.col("_reason").isNotNull()).unionByName(why)
+    path = scratch(spark, "merged")
+    ST.state_upsert(state, batch.select(*cols)).write.parquet(path)
+    merged = spark.read.schema(BOOK_STATE).parquet(path)
+    version = SS.next_version(spark, state_root)
+    seen, planned = Observation(), Observation()
+    rejects = rejects.select("page_slug", "id", "title_original", "pdf_url", F.col("_seq.config_path").alias("config_path"), F.col("_seq.page_pos").alias("page_pos"), F.col("_seq.item_pos").alias("item_pos"), F.col("_reason").alias("reason"))
+    rejects.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(f"{state_root}/_rejects/v={version}")
     limits = pages.select("page_slug", "config_path", "page_pos", F.col("page_limit").alias("limit"))
-    plan = ST.resume_plan(merged, limits, order=["config_path", "page_pos"])
+    plan = ST.resume_plan(merged, limits, order=["config_path", "page_pos"]).select("page_slug", "id", "ordinal", "total", "remaining")
+    plan.observe(planned, F.count(F.lit(1)).alias("n")).write.parquet(f"{state_root}/_plan/v={version}")
     if outcomes is not None:
-        planned = outcomes.join(plan.select("page_slug", "id"), ["page_slug", "id"], "left_semi")
-        merged = ST.stage_transition(merged, planned)
-    version = SS.save_state(merged, state_root)
-    return {"version": version, "planned": plan.count()}
+        todo = spark.read.schema(plan.schema).parquet(f"{state_root}/_plan/v={version}")
+        merged = ST.stage_transition(merged, outcomes.join(todo, ST.same_keys(outcomes, todo, ST.KEYS), "left_semi"))
+    SS.save_state(merged, state_root, version)
+    return {"version": version, "planned": planned.get["n"], "rejected": seen.get["n"]}
+
+
+def run_table(spark: SparkSession, state_root: str, name: str) -> DataFrame:
+    """What the last committed run left beside its state: ``plan`` or ``rejects``."""
+    version = SS.committed_versions(spark, state_root)[-1]
+    return spark.read.parquet(f"{state_root}/_{name}/v={version}")
 
 
 def reset(spark: SparkSession, state_root: str, target_page: str | None = None) -> dict:

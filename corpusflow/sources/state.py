@@ -19,6 +19,11 @@ def _fs(spark: SparkSession, root: str):
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path, jvm
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, at, _ = _fs(spark, path)
+    return fs.exists(at)
+
+
 def _versions(spark: SparkSession, root: str, committed_only: bool) -> list[int]:
     fs, path, jvm = _fs(spark, root)
     if not fs.exists(path):

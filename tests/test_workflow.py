@@ -164,3 +164,42 @@ def test_ocr_results_end_to_end(spark, tmp_path):
     assert got["d6"].ocr_ok and got["d6"].n_chunks == 1 and got["d6"].merged_text == "first by path" and got["d6"].avg_page_confidence is None
     assert got["d3"].ocr_ok and got["d3"].merged_text == "whole" and got["d3"].pages_with_low_confidence_blocks == [2]
     assert not got["d4"].ocr_ok
+
+
+def test_cache_from_run_to_run_modules_and_rejects(spark, tmp_path):
+    """Answers of one run serve the next, whatever its state; the config's modules resolve URLs; what can't be
+    kept is written with its reason."""
+    cfg = {
+        "domain_handlers": {"plain.test": "corpusflow.plans.handlers.secure", "gone.test": "no.such.module"},
+        "pages": [
+            {"name": "Kannada", "url": "https://books.example.org/php/hill_library.php", "language": "kn-IN", "process_flag": True},
+            {"name": "Unfetched", "url": "https://books.example.org/php/nowhere.php", "process_flag": True},
+            {"name": "Inline", "url": None, "language": "en-IN", "process_flag": True,
+             "books": [{"id": "A8", "title_original": "T", "pdf_url": "http://plain.test/ab"}, {"title_original": "No id", "pdf_url": "u"},
+                       {"id": "B", "title_original": "G", "pdf_url": "http://gone.test/b"}, {"id": "A8", "title_original": "T2", "pdf_url": "http://plain.test/abc"}]},
+        ],
+    }
+    path = tmp_path / "config.json"
+    path.write_text(json.dumps(cfg), encoding="utf-8")
+    lists = spark.createDataFrame([("https://books.example.org/php/hill_library.php", KN_HTML.replace("</ul>", '<li id="li_id3"><span class="titlespan">No Link</span></li></ul>'))], "page_url string, html string")
+
+    def run(root, provider):
+        return P.run_once(spark, str(path), f"{tmp_path}/{root}", list_pages=lists, enrich_languages={"kn"}, provider=provider, modules=True, cache_dir=f"{tmp_path}/cache")
+
+    def failing(texts):
+        raise RuntimeError("every answer is in the cache")
+
+    def spell(texts):
+        return texts.map(lambda t: f"spelt {len(t)}")
+
+    r = run("one", spell)
+    assert r["rejected"] == 4 and r["planned"] == 4
+    rejects = {(x["page_slug"], x["id"], x["reason"]) for x in P.run_table(spark, f"{tmp_path}/one", "rejects").collect()}
+    assert rejects == {("hill_library", None, "no pdf url, id"), ("nowhere", None, "list page wasn't fetched"), ("inline", None, "book has no id"), ("inline", "A8", "listed again later")}
+    assert P.run_table(spark, f"{tmp_path}/one", "plan").count() == 4
+    run("two", failing)
+    one, two = ({x.id: (x.title_english_slug, x.pdf_url) for x in SS.load_state(spark, f"{tmp_path}/{n}").collect()} for n in ("one", "two"))
+    assert one == two and one["202"][0] == "spelt-6"
+    assert one["A8"][1] == "https://plain.test/abc#secure" and one["B"][1] == "http://gone.test/b"
+    # again over its own state: matched, not inserted
+    assert run("two", failing)["version"] == 2 and SS.load_state(spark, f"{tmp_path}/two").count() == len(two)
