@@ -784,3 +784,11 @@ SELECT page_slug, id, item_pos::BIGINT AS item_pos, 'listed again later' AS reas
 WHERE id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM kept k WHERE k.page_slug = l.page_slug AND k.id = l.id AND k.item_pos = l.item_pos)
 UNION ALL SELECT page_slug, NULL, item_pos, 'book has no id' FROM listed WHERE id IS NULL
 UNION ALL SELECT page_slug, NULL, NULL, 'list page wasn''t fetched' FROM live WHERE page_id % 9 = 0"""
+
+# --- state by touched pages, texts in containers -----------------------------------------------------------
+
+ORACLE["state_touched_pages"] = f"""WITH {_STATE}
+SELECT 'page-' || CAST(o_orderkey % 400 AS VARCHAR) AS page_slug, id, status, pdf_url || CASE WHEN o_orderkey % 400 < 4 THEN '?again' ELSE '' END AS pdf_url FROM st"""
+ORACLE["packed_text_sink"] = """
+SELECT conv_id, count(*)::BIGINT AS n_parts, string_agg(text || chr(10) || chr(10) || '---' || chr(10) || chr(10), '' ORDER BY turn) AS merged_text
+FROM conversations GROUP BY conv_id"""

@@ -1085,3 +1085,31 @@ def q_full_run_rejects(spark, sf):
     root = scratch(spark, "run")
     run_once(spark, f"{root}/config", f"{root}/state", list_pages=_run_inputs(spark, sf, root), config_lines=True)
     return run_table(spark, f"{root}/state", "rejects").select("page_slug", "id", F.col("item_pos").cast("bigint").alias("item_pos"), "reason")
+
+
+# --- state by touched pages, texts in containers ------------------------------------------------------
+
+
+@query("state_touched_pages")
+def q_state_touched_pages(spark, sf):
+    """K1 + J2 by page buckets: hundreds of pages are stored, four re-scanned; only their buckets are written again."""
+    from corpusflow.session import scratch
+    from corpusflow.sources import buckets as SB
+
+    root = scratch(spark, "buckets")
+    wide = IN.book_state(spark, sf).withColumn("page_slug", F.concat_ws("-", F.lit("page"), (F.col("o_orderkey") % 400).cast("string")))
+    SB.save_buckets(wide, root)
+    again = wide.where(F.col("o_orderkey") % 400 < 4).select("page_slug", "id", F.concat("pdf_url", F.lit("?again")).alias("pdf_url"))
+    SB.upsert_pages(spark, root, again)
+    return SB.load_buckets(spark, root).select("page_slug", "id", "status", "pdf_url")
+
+
+@query("packed_text_sink")
+def q_packed_text_sink(spark, sf):
+    """K3 as a container: every conversation's merged text in a few files with an index, read back whole."""
+    from corpusflow.session import scratch
+    from corpusflow.sinks.container import read_container, write_container
+
+    out = scratch(spark, "container")
+    write_container(IN.table(spark, sf, "conversations").select("conv_id", "turn", "text"), "conv_id", "turn", "text", out)
+    return read_container(spark, out).select(F.col("doc").cast("bigint").alias("conv_id"), "n_parts", "merged_text")
