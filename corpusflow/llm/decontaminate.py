@@ -4,8 +4,9 @@ A benchmark item's windows (``WINDOW`` words, a shorter item is one window) must
 word, so one token of a window is necessary: its rarest shingle, by the count of the benchmark's
 shingles over all documents. Documents are joined on that prefix token only; the token's
 offset fixes where the window would lie (positional bound), it must lie within the document
-(length bound), and its words are compared exactly. A bit map of the wanted hashes thins out a
-document's positions before the join; the join on the hash itself decides.
+(length bound), and its words are compared exactly. Documents are read once: a bit map of the benchmark's
+hashes thins out their positions, a join on the hash itself keeps those that a shingle has, with the words
+around them, and both the counts and the prefix join work on these.
 
 Defined results: null and word-less texts have no words and no hits; items without words have no
 window; equal windows of several items count for each of them; items with a null id hit but
@@ -22,10 +23,9 @@ from .common import fixed, prepare, shingle_hash, stored, word_array, word_hashe
 
 WINDOW = 13
 SHINGLE = 5
-#: 64-bit words of the bit map; the plan carries it, so its size is fixed.
-MAP_WORDS = 16_384
-#: A benchmark of up to so many windows is broadcast (a few hundred bytes each), a larger one is shuffled.
-BROADCAST_WINDOWS = 100_000
+#: 64-bit words of the bit map: some 64 bits a shingle, at most MAP_MOST, as the plan carries it. A fuller map only lets
+#: more positions through to the join.
+MAP_LEAST, MAP_MOST = 16_384, 131_072
 
 
 def windows(benchmark: DataFrame) -> DataFrame:
@@ -47,21 +47,25 @@ def _shingles(wins: DataFrame, ks: list[int]) -> DataFrame:
     return parts
 
 
-def _bit_map(hashes: DataFrame) -> Column:
-    """A literal array of MAP_WORDS longs with a bit set for each hash."""
-    slot = F.shiftright("h", 6).bitwiseAND(F.lit(MAP_WORDS - 1)).cast("int")
+def _bit_map(hashes: DataFrame) -> tuple[Column, int]:
+    """A literal array of longs with a bit set for each hash, and its size."""
+    words = MAP_LEAST
+    n = hashes.count()
+    while words < min(n, MAP_MOST):
+        words *= 2
+    slot = F.shiftright("h", 6).bitwiseAND(F.lit(words - 1)).cast("int")
     rows = hashes.select(slot.alias("slot"), F.expr("shiftleft(1L, cast(h & 63 as int))").alias("bit")).groupBy("slot").agg(F.expr("bit_or(bit)").alias("bits"))
-    bits = [0] * MAP_WORDS
-    for r in rows.collect():  # at most MAP_WORDS rows
+    bits = [0] * words
+    for r in rows.collect():  # at most ``words`` rows
         bits[r["slot"]] = r["bits"]
-    return F.expr("cast(split('" + ",".join(map(str, bits)) + "', ',') as array<bigint>)")
+    return F.expr("cast(split('" + ",".join(map(str, bits)) + "', ',') as array<bigint>)"), words
 
 
-def _positions(hashes: Column, bits: Column, ks: list[int]) -> Column:
+def _positions(hashes: Column, bits: Column, words: int, ks: list[int]) -> Column:
     """Positions whose shingle hash (from the words' hashes) has its bit set: an array of (pos, h)."""
 
     def slot(x: Column) -> Column:
-        return F.shiftright(x["h"], 6).bitwiseAND(F.lit(MAP_WORDS - 1)).cast("int") + 1
+        return F.shiftright(x["h"], 6).bitwiseAND(F.lit(words - 1)).cast("int") + 1
 
     def found(k: int) -> Column:
         places = F.when(F.size(hashes) >= k, F.sequence(F.lit(0), F.size(hashes) - k)).otherwise(F.array().cast("array<int>"))
@@ -71,10 +75,6 @@ def _positions(hashes: Column, bits: Column, ks: list[int]) -> Column:
     return F.concat(*[found(k) for k in ks])
 
 
-def _small(df: DataFrame, few: bool) -> DataFrame:
-    return F.broadcast(df) if few else df
-
-
 def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs(doc_id, text, ..)`` to a row for each distinct (doc_id, text): doc_id, text_key,
     times (rows it stands for), n_words, spans (array of (at, len) of occurring windows), items."""
@@ -82,29 +82,31 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     base = fixed(docs.select("doc_id", "text"), words=word_array(word_string(F.col("text"))))
     base = fixed(base, hashes=word_hashes(F.col("words"))).select("doc_id", F.coalesce(F.xxhash64("text", F.length("text")), F.lit(0)).alias("text_key"), "words", "hashes")
     wins = stored(windows(benchmark), "windows")
-    lengths = wins.groupBy(F.least("len", F.lit(SHINGLE)).alias("k")).agg(F.count("*").alias("n")).collect()  # at most SHINGLE rows
-    ks, few = sorted(r["k"] for r in lengths), sum(r["n"] for r in lengths) <= BROADCAST_WINDOWS
+    ks = sorted(r["k"] for r in wins.select(F.least("len", F.lit(SHINGLE)).alias("k")).distinct().collect())  # at most SHINGLE rows
     if not ks:
         none = base.select("doc_id", "text_key", F.size("words").cast("long").alias("n_words"))
         return none.groupBy("doc_id", "text_key").agg(F.count("*").alias("times"), F.max("n_words").alias("n_words")).select(
             "*", F.expr("cast(array() as array<struct<at:int,len:int>>)").alias("spans"), F.expr("cast(array() as array<string>)").alias("items"))
     shingles = stored(_shingles(wins, ks), "shingles")
-    wanted = shingles.select("h").distinct()
-    seen = base.select(F.explode(_positions(F.col("hashes"), _bit_map(shingles), ks)).alias("x")).select("x.h")
-    counts = stored(seen.join(_small(wanted, few), "h").groupBy("h").agg(F.count("*").alias("n")), "counts")
+    wanted = stored(shingles.select("h").distinct(), "wanted")
+    bits, size = _bit_map(wanted)
+    context = lambda x: F.slice(F.col("words"), F.greatest(x["pos"] - (WINDOW - 1), F.lit(0)) + 1, 2 * WINDOW)
+    marked = F.transform(_positions(F.col("hashes"), bits, size, ks), lambda x: F.struct(x["pos"].alias("pos"), x["h"].alias("h"), context(x).alias("context")))
+    # a row for the document itself, its hash only spreads these rows in the join
+    whole = F.array(F.struct(F.lit(-1).alias("pos"), F.xxhash64("doc_id", "text_key").alias("h"), F.lit(None).cast("array<string>").alias("context")))
+    rows = base.select("doc_id", "text_key", F.size("words").cast("long").alias("n_words"), F.inline(F.concat(whole, marked)))
+    rows = rows.join(wanted.withColumn("wanted", F.lit(True)), "h", "left").where("pos = -1 or wanted").drop("wanted")
+    rows = stored(rows, "found")
     # the necessary prefix: each window's rarest shingle
+    counts = rows.where("pos >= 0").groupBy("h").agg(F.count("*").alias("n"))
     rarest = shingles.join(counts, "h").groupBy("window_id").agg(F.min(F.struct("n", "h", "off")).alias("one"))
     prefix = stored(rarest.select("window_id", "one.h", "one.off").join(wins, "window_id"), "prefix")
-    context = lambda x: F.slice(F.col("words"), F.greatest(x["pos"] - (WINDOW - 1), F.lit(0)) + 1, 2 * WINDOW)
-    marked = F.transform(_positions(F.col("hashes"), _bit_map(prefix), ks), lambda x: F.struct(x["pos"].alias("pos"), x["h"].alias("h"), context(x).alias("context")))
-    whole = F.array(F.struct(F.lit(-1).alias("pos"), F.lit(None).cast("long").alias("h"), F.lit(None).cast("array<string>").alias("context")))
-    rows = base.select("doc_id", "text_key", F.size("words").cast("long").alias("n_words"), F.inline(F.concat(whole, marked)))
-    met = rows.join(_small(prefix.withColumnsRenamed({"words": "window"}), few), "h", "left")
+    met = rows.where("pos >= 0").join(prefix.withColumnsRenamed({"words": "window"}), "h")
     at = F.col("pos") - F.col("off")
     begins = F.greatest(F.col("pos") - (WINDOW - 1), F.lit(0))
     inside = (at >= 0) & (at + F.col("len") <= F.col("n_words"))
     same = F.when(inside, F.slice("context", at - begins + 1, F.col("len")) == F.col("window")).otherwise(F.lit(False))
-    met = met.where((F.col("pos") == -1) | F.coalesce(same, F.lit(False)))
+    met = met.where(F.coalesce(same, F.lit(False))).unionByName(rows.where("pos = -1"), allowMissingColumns=True)
     span = F.when(F.col("pos") >= 0, F.struct(at.cast("int").alias("at"), F.col("len").cast("int").alias("len")))
     return met.groupBy("doc_id", "text_key").agg(
         F.count(F.when(F.col("pos") == -1, 1)).alias("times"), F.max("n_words").alias("n_words"),
