@@ -85,7 +85,7 @@ FROM d LEFT JOIN hit h ON d.rid = h.rid LEFT JOIN items t ON d.rid = t.rid"""
 # ---- 7: quality -------------------------------------------------------------------------------
 
 _CLASSES = (
-    "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", None, ".,;:''\"-", "!?()[]{}/\\+=~^`@_#*$%&|<>",
+    "bcdfghjklmnpqrstvwxyz", "aeiou", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", None, ".,;:''\"-", "!?()[]{}/\\+=~^`@_#*$%&|<>",
 )
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
@@ -121,7 +121,7 @@ base AS (
 ),
 listed AS (SELECT rid, lang, length(t) AS total, [{", ".join(_count(c) for c in _CLASSES)}] AS counts FROM d),
 classes AS (
-  SELECT rid, lang, k, CASE WHEN k <= 6 THEN counts[k] ELSE total - list_sum(counts) END AS n FROM listed, generate_series(1, 7) AS g(k)
+  SELECT rid, lang, k, CASE WHEN k <= 7 THEN counts[k] ELSE total - list_sum(counts) END AS n FROM listed, generate_series(1, 8) AS g(k)
 ),
 class_refs AS (SELECT lang, k, sum(n) / greatest(1, sum(sum(n)) OVER (PARTITION BY lang)) AS share FROM classes GROUP BY lang, k),
 char_distance AS (
@@ -131,9 +131,9 @@ char_distance AS (
   GROUP BY rid
 ),
 words AS (SELECT rid, lang, unnest(names) AS word FROM d),
-short AS (SELECT lang, CASE WHEN length(word) <= 4 THEN word ELSE '' END AS word, count(*) AS n FROM words GROUP BY ALL),
-totals AS (SELECT *, sum(n) OVER (PARTITION BY lang) AS total FROM short),
-common AS (SELECT lang, word, n / total AS share FROM totals WHERE word <> '' AND n >= 0.01::DOUBLE * total),
+counted AS (SELECT lang, word, count(*) AS n FROM words GROUP BY ALL),
+totals AS (SELECT *, sum(n) OVER (PARTITION BY lang) AS total FROM counted),
+common AS (SELECT lang, word, n / total AS share FROM totals WHERE n >= 0.01::DOUBLE * total),
 rest AS (SELECT lang, '' AS word, greatest(0, 1 - sum(share)) AS share FROM common GROUP BY lang),
 word_refs AS (SELECT * FROM common UNION ALL SELECT * FROM rest),
 own AS (SELECT w.rid, w.word, count(*) AS n FROM words w JOIN common c ON w.lang IS NOT DISTINCT FROM c.lang AND w.word = c.word GROUP BY w.rid, w.word),
@@ -144,7 +144,7 @@ word_distance AS (
 ),
 judged AS (
   SELECT b.*, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
-         (n_chars >= 200 AND c.x > 0.30::DOUBLE) OR (n_words >= 80 AND coalesce(w.x, 0) > 0.26::DOUBLE) AS far
+         (n_chars >= 200 AND c.x > 0.30::DOUBLE) OR (n_words >= 60 AND coalesce(w.x, 0) > 0.26::DOUBLE) AS far
   FROM base b JOIN char_distance c ON b.rid = c.rid LEFT JOIN word_distance w ON b.rid = w.rid
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT far AS kept FROM judged"""

@@ -1,8 +1,9 @@
 """Quality rules by distribution divergence.
 
 Each language's reference is what all its documents hold: how characters spread over classes and
-how words spread over the language's common words (those of at most ``COMMON_LENGTH`` letters that
-make at least ``COMMON_SHARE`` of its words, so at most 1 / COMMON_SHARE of them). A document is
+how words spread over the language's common words (those that make at least ``COMMON_SHARE`` of its
+words, so at most 1 / COMMON_SHARE of them). They are counted exactly: words up to ``SHORT`` letters each, longer ones by
+buckets of a hash first and then each in those buckets that reach the share. A document is
 dropped if its own histogram lies beyond a Jensen-Shannon distance of the reference, when it is long
 enough for the histogram to mean something, or if it fails the base rules (too short, too repetitive).
 
@@ -24,16 +25,14 @@ REPEAT_WINDOW = 8
 LEAST_WORDS = 20
 MOST_REPEATED = 30  # of 100 words
 
-COMMON_LENGTH = 4
 COMMON_SHARE = 0.01
+#: Words of more letters are counted by so many hash buckets first.
+SHORT, BUCKETS = 4, 4_096
 #: Beyond these distances (0 to 1) a document is dropped; shorter documents aren't judged.
 CHAR_DISTANCE, CHAR_LEAST = 0.30, 200
-WORD_DISTANCE, WORD_LEAST = 0.26, 80
-#: Up to so many languages the references are broadcast (each has at most 1 / COMMON_SHARE words).
-BROADCAST_LANGUAGES = 1_000
-
+WORD_DISTANCE, WORD_LEAST = 0.26, 60
 #: Character classes, in order, as sets; what none of them takes is the last class, "other".
-CLASSES = (("lower", "a-z"), ("upper", "A-Z"), ("digit", "0-9"), ("blank", r"\x20\x09-\x0D"), ("stop", ".,;:'\"-"), ("symbol", r"!?()\[\]{}/\\+=~^`@_#*$%&|<>"))
+CLASSES = (("consonant", "b-df-hj-np-tv-z"), ("vowel", "aeiou"), ("upper", "A-Z"), ("digit", "0-9"), ("blank", r"\x20\x09-\x0D"), ("stop", ".,;:'\"-"), ("symbol", r"!?()\[\]{}/\\+=~^`@_#*$%&|<>"))
 
 
 def class_counts(text: Column) -> Column:
@@ -106,11 +105,21 @@ def base_columns(docs: DataFrame) -> DataFrame:
 def _common_words(docs: DataFrame) -> DataFrame:
     """``(lang, word, n, total)`` of each language's common words, counted over all documents."""
     words = docs.select("lang", F.explode(F.split(word_string(F.col("text")), " ")).alias("word")).where("word != ''")
-    short = F.when(F.length("word") <= COMMON_LENGTH, F.col("word")).otherwise("")
-    counts = stored(words.groupBy("lang", short.alias("word")).agg(F.count("*").alias("n")), "counts")
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    both = counts.where("word != ''").alias("c").join(totals.alias("t"), F.col("c.lang").eqNullSafe(F.col("t.lang")))
-    return both.where(F.col("n") >= COMMON_SHARE * F.col("total")).select("c.lang", "word", "n", "total")
+    bucket = F.concat(F.lit("#"), F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).cast("string"))  # no word has this mark
+    key = F.when(F.length("word") <= SHORT, F.col("word")).otherwise(bucket)
+    counts = stored(words.groupBy("lang", key.alias("word")).agg(F.count("*").alias("n")), "counts")
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("total")).withColumnRenamed("lang", "_lang")
+    often = counts.join(totals, F.col("lang").eqNullSafe(F.col("_lang"))).drop("_lang").where(F.col("n") >= COMMON_SHARE * F.col("total"))
+    often = stored(often, "often")  # at most 1 / COMMON_SHARE rows a language
+    common = often.where("word not like '#%'")
+    full = often.where("word like '#%'")
+    if full.isEmpty():
+        return common
+    # a bucket that reaches the share may hold a common word: these words one by one
+    full = full.select(F.col("lang").alias("_lang"), F.col("word").alias("_bucket"), "total")
+    long = words.where(F.length("word") > SHORT).join(full, F.col("lang").eqNullSafe(F.col("_lang")) & (bucket == F.col("_bucket")))
+    long = long.groupBy("lang", "word", "total").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON_SHARE * F.col("total"))
+    return common.unionByName(long)
 
 
 def references(docs: DataFrame) -> DataFrame:
@@ -139,11 +148,12 @@ def quality(docs: DataFrame, char_distance: float = CHAR_DISTANCE, word_distance
     distances (null where the document is too short to be judged) for each row of ``docs``."""
     prepare(docs.sparkSession)
     refs = references(docs)
-    few = refs.limit(BROADCAST_LANGUAGES + 1).count() <= BROADCAST_LANGUAGES
-    refs = refs.withColumnRenamed("lang", "ref_lang")
+    # words longer than the language's longest common word can't be one
+    longest = F.aggregate("common", F.lit(0), lambda s, w: F.greatest(s, F.length(w)))
+    refs = refs.withColumnRenamed("lang", "ref_lang").withColumn("longer", F.concat(F.lit(" [^ ]{"), (longest + 1).cast("string"), F.lit(",} ")))
     rows = base_columns(docs)
-    rows = rows.join(F.broadcast(refs) if few else refs, rows["lang"].eqNullSafe(refs["ref_lang"]), "left")
-    rows = fixed(rows, short=F.regexp_replace("words", f" [^ ]{{{COMMON_LENGTH + 1},}} ", "")).drop("words")
+    rows = rows.join(refs, rows["lang"].eqNullSafe(refs["ref_lang"]), "left")
+    rows = fixed(rows, short=F.regexp_replace("words", F.col("longer"), F.lit(""))).drop("words")
     occurs = lambda c: (F.length("short") - F.length(F.replace("short", F.concat(F.lit(" "), c, F.lit(" ")), F.lit("")))) / (F.length(c) + 2)
     rows = fixed(rows, counts=F.transform("common", occurs))
     own = F.concat(F.col("counts"), F.array(F.greatest(F.lit(0.0), F.col("n_words") - F.aggregate("counts", F.lit(0.0), lambda s, x: s + x))))

@@ -342,7 +342,7 @@ def test_distance_and_references(spark):
     from corpusflow.llm.quality import class_counts, js_distance, references
 
     one = spark.createDataFrame([("ab Z9!\né,",)], "text string").select(class_counts(F.col("text"))).first()[0]
-    assert list(one) == [2, 1, 1, 2, 1, 1, 1]
+    assert list(one) == [1, 1, 1, 1, 2, 1, 1, 1]
     d = spark.createDataFrame([([0.5, 0.5, 0.0], [0.0, 0.5, 0.5]), ([1.0], [1.0]), ([1.0, 0.0], [0.0, 1.0])], "p array<double>, q array<double>").select(js_distance(F.col("p"), F.col("q"))).collect()
     assert [round(r[0], 9) for r in d] == [round(math.sqrt(0.5), 9), 0.0, 1.0]
     refs = references(spark.createDataFrame([("The cat the dog", "en"), ("der Hund", None), (None, "en"), ("", "xx")], "text string, lang string"))
@@ -350,6 +350,26 @@ def test_distance_and_references(spark):
     assert got == {"en": (["cat", "dog", "the"], [0.25, 0.25, 0.5, 0.0]), None: (["der", "hund"], [0.5, 0.5, 0.0]), "xx": ([], [1.0])}
 
 
+def test_gibberish_and_long_common_words(spark):
+    """Consonant gibberish of 60 to 80 words is dropped, prose of as many words stays; a language whose common words
+    are all long has its word check."""
+    import random
+
+    from corpusflow.llm.quality import quality, references
+
+    rng = random.Random(7)
+    long = ["zwischen", "beziehungsweise", "natürlich", "gegenüber", "miteinander"]
+    rare = lambda: "".join(rng.choice("aeioulnrst") for _ in range(9))
+    prose = lambda n: " ".join(rng.choice(long) if rng.random() < 0.4 else rare() for _ in range(n))
+    noise = lambda n: " ".join("".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in range(7)) for _ in range(n))
+    wordless = lambda n: " ".join(rare() for _ in range(n))
+    rows = [(i, prose(rng.randint(60, 400)), "xx") for i in range(400)] + [(1000 + n, noise(n), "xx") for n in (60, 70, 79, 80, 300)] + [(2000 + n, wordless(n), "xx") for n in (60, 79, 300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert set(references(docs).first()["common"]) == set(long)
+    kept = {r["doc_id"]: r["kept"] for r in quality(docs).collect()}
+    assert [i for i, k in kept.items() if k != (i < 1000)] == []
+
+
 # ---- 8: decontamination -------------------------------------------------------------------
 
 
