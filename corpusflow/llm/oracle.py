@@ -144,7 +144,7 @@ word_distance AS (
 ),
 judged AS (
   SELECT b.*, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
-         (n_chars >= 200 AND c.x > 0.30::DOUBLE) OR (n_words >= 60 AND coalesce(w.x, 0) > 0.26::DOUBLE) AS far
+         (n_chars >= 200 AND c.x > 0.31::DOUBLE) OR (n_words >= 60 AND coalesce(w.x, 0) > 0.28::DOUBLE) AS far
   FROM base b JOIN char_distance c ON b.rid = c.rid LEFT JOIN word_distance w ON b.rid = w.rid
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT far AS kept FROM judged"""
