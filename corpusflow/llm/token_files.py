@@ -12,7 +12,8 @@ equal ids in order of a hash of their text). Each task writes under a name of it
 reports it; a lost or repeated task's file isn't in the manifest and so isn't read.
 
 Defined results: a null text is empty and has the end id alone; repeated rows are repeated
-documents; a null ``doc_id`` stays null; an empty table gives no file. Other columns are ignored.
+documents; a null ``doc_id`` stays null; an id is a long, and one that can't be cast to it (a text) counts as
+null; an empty table gives no file. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -70,12 +71,17 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.whole = re.compile("|".join([r" \s", *special]))
+        self.special = re.compile("|".join(special) or "(?!)").search
+        self.blanks = re.compile(r" \s").search
         self.line = re.compile(r" \S+")
         self.feed = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
+    def whole(self, text: str) -> bool:
+        """Whether a text can't be cut at its blanks."""
+        return bool(self.blanks(text) or self.special(text))
+
     def _bytes(self, texts: list[str]) -> list[bytes]:
         # ids are little-endian 32-bit on every platform that runs this (checked on import)
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -101,10 +107,10 @@ class Encoder:
         known, older = self.known, self.older
         parts: dict[str, tuple[str, str]] = {}
         wanted: set[str] = set()
-        for p in new:
-            if (ids := older.get(p)) is not None:
-                known[p] = ids
-                continue
+        unknown = new.difference(older)
+        for p in new.difference(unknown):
+            known[p] = older[p]
+        for p in unknown:
             stem = p.rstrip(MARKS)
             if stem is not p and len(stem) < len(p) and stem[-1:].isalpha():
                 parts[p] = stem, p[len(stem) :]
@@ -118,29 +124,20 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         if len(self.known) > REMEMBERED:
             self.known, self.older = {}, self.known
-        look = self.known.get
         out: list[bytes | None] = []
-        open_: list[tuple[int, list[str], list]] = []
-        new: set[str] = set()
+        split: list[tuple[int, list[str]]] = []
         for t in texts:
             if not t:
                 out.append(b"")
-            elif "\0" in t or self.whole.search(t):
+            elif "\0" in t or self.whole(t):
                 out.append(self._bytes([t])[0])
             else:
-                own = t.replace(" ", "\0 ").split("\0")
-                got = list(map(look, own))
-                if None in got:
-                    new.update(p for p, x in zip(own, got) if x is None)
-                    open_.append((len(out), own, got))
-                    out.append(None)
-                else:
-                    out.append(b"".join(got))
-        if new:
-            self._learn(new)
-            known = self.known
-            for k, own, got in open_:
-                out[k] = b"".join([known[p] if x is None else x for p, x in zip(own, got)])
+                split.append((len(out), t.replace(" ", "\0 ").split("\0")))
+                out.append(None)
+        self._learn(set().union(*[own for _, own in split]).difference(self.known))
+        look = self.known.__getitem__
+        for k, own in split:
+            out[k] = b"".join(map(look, own))
         return out
 
 
@@ -241,32 +238,32 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str | None =
 
         writer = sink = None
         tokens = documents = 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            if writer is None:
-                encoder = once(key, lambda: Encoder(vocabulary.value))
-                gc.disable()  # its passes over the many live lists find nothing to free
-                fs, base = file_system(folder)
-                part = TaskContext.get().partitionId()
-                name = f"tokens-{part:06d}-{uuid.uuid4().hex}.zst"
-                fs.create_dir(base, recursive=True)
-                sink = fs.open_output_stream(f"{base}/{name}", compression=None)  # not by the name
-                writer = FileWriter(sink)
-            texts = batch.column("text").to_pylist()
-            for at in range(0, len(texts), 256):
-                for k, ids in enumerate(encoder.encode(texts[at : at + 256])):
+        gc.disable()  # its passes over the many live lists find nothing to free
+        try:
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                if writer is None:
+                    encoder = once(key, lambda: Encoder(vocabulary.value))
+                    fs, base = file_system(folder)
+                    part = TaskContext.get().partitionId()
+                    name = f"tokens-{part:06d}-{uuid.uuid4().hex}.zst"
+                    fs.create_dir(base, recursive=True)
+                    sink = fs.open_output_stream(f"{base}/{name}", compression=None)  # not by the name
+                    writer = FileWriter(sink)
+                for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text").to_pylist())):
                     ids += end
-                    writer.add(batch.column("doc_id")[at + k].as_py(), ids)
+                    writer.add(doc_id, ids)
                     tokens += len(ids) // 4
                     documents += 1
-        gc.enable()
+        finally:
+            gc.enable()
         if writer is not None:
             writer.close()
             sink.close()
             yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "path": [f"{folder}/{name}"], "documents": pa.array([documents], pa.int64()), "tokens": pa.array([tokens], pa.int64())})
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie"))
+    rows = docs.select(F.col("doc_id").try_cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie"))
     dealt = rows.repartitionByRange(F.col("doc_id").asc_nulls_first(), "tie").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "tie").select("doc_id", "text")
     return stored(dealt.mapInArrow(write, MANIFEST), "manifest")
 
