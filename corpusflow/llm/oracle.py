@@ -46,11 +46,24 @@ goals AS (SELECT source, source_size, least(cap::DOUBLE, (max(level) OVER ()) *
 whole AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::INTEGER ELSE 0 END AS copies FROM goals),
 rooms AS (SELECT *, target - copies * source_size AS room FROM whole),
 joined AS (
-  SELECT d.doc_id, d.source, d.size, d.u, r.source_size, r.target, r.copies, r.room,
-         sum(CASE WHEN d.size <= r.room THEN d.size END) OVER (PARTITION BY d.source) AS fitting
+  SELECT d.doc_id, d.source, d.size, d.u, r.source_size, r.target, r.copies, r.room
   FROM drawn d JOIN rooms r ON d.source IS NOT DISTINCT FROM r.source
 ),
-odds AS (SELECT *, CASE WHEN fitting > 0 THEN least(1.0::DOUBLE, room / fitting::DOUBLE) ELSE 0.0::DOUBLE END AS p FROM joined),
+by_size AS (
+  SELECT source, size, room, count(*) * size AS words, count(*)::HUGEINT * size * size AS squares
+  FROM joined WHERE size > 0 AND size <= room GROUP BY source, size, room
+),
+levels_of AS (
+  SELECT source, room, words,
+         (room - coalesce(sum(words) OVER (PARTITION BY source ORDER BY size DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+         / (sum(squares) OVER (PARTITION BY source ORDER BY size DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS scale
+  FROM by_size
+),
+scales AS (SELECT source, CASE WHEN sum(words)::DOUBLE <= max(room) THEN 1.0::DOUBLE ELSE max(scale) END AS scale FROM levels_of GROUP BY source),
+odds AS (
+  SELECT j.*, least(1.0::DOUBLE, coalesce(s.scale, 0.0::DOUBLE) * j.size::DOUBLE) AS p
+  FROM joined j LEFT JOIN scales s ON j.source IS NOT DISTINCT FROM s.source
+),
 r0 AS (
   SELECT doc_id, source, size, source_size, target, copies, p, false AS done, room,
          CASE WHEN p > 0 THEN u / (1 - u) * ((1 - p) / p) END AS rank

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import struct
 import zlib
@@ -190,6 +191,43 @@ def test_mixing(documents, rows, empty):
     assert mix(empty).count() == 0 and mixed_documents(empty).count() == 0
 
 
+def test_mixing_scale(spark):
+    """The scale of each source against bisection: expected words fill the room."""
+    from corpusflow.llm.mixing import scales
+
+    rng = random.Random(4)
+    rows = [(s, rng.choice((1, 2, 3, 10, 40, 900)), float(room)) for s, room in (("a", 300), ("b", 950), (None, 77), ("c", 10**9)) for _ in range(60)]
+    rows = [r for r in rows if r[1] <= r[2]]
+    got = {r["source"]: r["scale"] for r in scales(spark.createDataFrame(rows, "source string, size long, room double")).collect()}
+    for s in ("a", "b", None, "c"):
+        sizes, room = [r[1] for r in rows if r[0] == s], next(r[2] for r in rows if r[0] == s)
+        expected = sum(n * min(1, got[s] * n) for n in sizes)
+        assert abs(expected - min(room, sum(sizes))) < 1e-6 * expected, s
+
+
+def test_mixing_inclusion_frequencies(spark):
+    """Over many sources of equal make-up: how often documents are drawn follows their inclusion probability."""
+    from corpusflow.llm.mixing import mix
+
+    sizes, sources = [5] * 60 + [10] * 60 + [20] * 40 + [60] * 15 + [400], 60
+    docs = [(1000 * k + i, "w " * n, f"s{k:02}") for k in range(sources) for i, n in enumerate(sizes)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    got = mix(docs, seed=1, weights=(1,), share=0.3).collect()
+    room = 0.3 * sum(sizes)
+    by_source, share = Counter(), Counter()
+    for r in got:
+        assert r["copies"] in (0, 1) and abs(r["target"] - room) < 1e-6
+        by_source[r["doc_id"] // 1000] += r["taken"]
+        share[r["size"]] += r["copies"]
+    assert all(0 <= room - n < 10 for n in by_source.values())
+    scale = next(x / 1e6 for x in range(1, 10**6) if sum(n * min(1, x / 1e6 * n) for n in sizes) >= room)
+    drawn = {n: share[n] / sources / sizes.count(n) for n in set(sizes)}
+    for n, x in drawn.items():
+        p = min(1, scale * n)
+        assert abs(x - p) < 5 * (p * (1 - p) / sources / sizes.count(n)) ** 0.5 + 0.03, (n, x, p)
+    assert 0 < drawn[5] < drawn[10] < drawn[20] < drawn[60]
+
+
 # ---- 4: token counts ----------------------------------------------------------------------
 
 
