@@ -305,6 +305,21 @@ def test_licenses(documents, rows, empty):
         ("Permission is hereby granted, free of charge, to any person obtaining a copy of this", "mit"),
         ("Released into the public domain", "public-domain"),
         ("a licensed driver went under the bridge", ""),
+        ("GNU GPLv3", "gpl-3.0"),
+        ("GPL v3", "gpl-3.0"),
+        ("MPL 2.0", "mpl-2.0"),
+        ("GPL-2.0-or-later", "gpl-2.0"),
+        ("0BSD", "0bsd"),
+        ("SPDX-License-Identifier: 0BSD", "0bsd"),
+        ("Apache-2.0", "apache-2.0"),
+        ("CC BY-SA 4.0", "cc-by-sa"),
+        ("licensed under GPLv2", "gpl-2.0"),
+        ("LGPL-2.1-only", "lgpl-2.1"),
+        ("two lines, the first clause and mit in 2 0 apache mpl", ""),
+        ("Redistributions of source code must retain the above copyright notice", "bsd"),
+        ("either version 3 of the License, or (at your option) any later version.", "gpl-3.0"),
+        ("https://creativecommons.org/licenses/by-nc/4.0/", "cc-by-nc"),
+        ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "mpl-2.0"),
     ],
 )
 def test_license_rules(spark, text, labels):
@@ -313,6 +328,16 @@ def test_license_rules(spark, text, labels):
     assert license_scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()["labels"] == labels
 
 
+def test_license_prefilter():
+    """Every rule holds one of the gate's words, at a word's start, and keywords are no single letters."""
+    from corpusflow.llm.licenses import GATE, rules
+
+    assert len(set(rules())) >= 400
+    for label, form, keyword, also, _, _ in rules():
+        assert len(keyword) > 1, (label, form)
+        assert any(re.search(GATE, x.strip()) for x in (keyword, also, form)), (label, form, keyword)
+
+
 # ---- 6: personal data ---------------------------------------------------------------------
 
 
