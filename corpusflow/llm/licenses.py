@@ -114,7 +114,8 @@ IDENTIFIERS = (
     ("odbl-1.0", "odbl ?(?:version|v)? ?(?:1 0)?", "odbl"),
     ("pddl-1.0", "pddl ?(?:version|v)? ?(?:1 0)?", "pddl"),
     ("sspl-1.0", "sspl ?(?:version|v)? ?(?:1(?: 0)?)?", "sspl"),
-    ("busl-1.1", "(?:busl|bsl) ?(?:version|v)? ?1 1", "sl"),
+    ("busl-1.1", "busl ?(?:version|v)? ?1 1", "busl"),
+    ("busl-1.1", "bsl ?(?:version|v)? ?1 1", "bsl"),
     ("boost-1.0", "bsl ?(?:version|v)? ?1 0", "bsl"),
     ("apache-1.0", "apache ?(?:version|v)? ?1 0", "apache"),
     ("apache-1.1", "apache ?(?:version|v)? ?1 1", "apache"),
