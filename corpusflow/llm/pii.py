@@ -4,8 +4,9 @@ Generators propose spans with high recall, overlapping ones included; a boosted
 each by its format and its context; spans above a calibrated threshold of their kind are added to
 the base spans (an e-mail, IP, card or phone pattern that passes its check), which always stay.
 
-The ensemble is trained on a bounded sample of candidates (``TRAIN_CANDIDATES``, in hash order) that
-weak rules label; its trees become one SQL expression, so scoring stays within the row: no
+The ensemble is trained on one half of all candidates and calibrated on the other (by a hash of place and string);
+weak rules label them. Candidates of equal features are counted first and weigh as many, so training
+takes as many rows as there are different ones. Its trees become one SQL expression, so scoring stays within the row: no
 shuffle and no Python, whatever the number of spans.
 
 Defined results: a null text is empty; empty texts and texts without digits or ``@`` have no
@@ -15,14 +16,16 @@ nothing; an empty table gives an empty result. Other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import fixed, let, prepare, stored
 
 KINDS = ("email", "ip", "card", "phone", "secret", "id")
-#: Candidates that the ensemble is trained and calibrated on, half each.
-TRAIN_CANDIDATES = 20_000
+#: Rows of a task that trains the ensemble.
+POINTS = 50_000
 #: Precision that a kind's threshold must reach on the calibration half.
 PRECISION = 0.95
 TREES, DEPTH = 12, 4
@@ -156,22 +159,27 @@ def _weak_label(x: Column, f: Column) -> Column:
 
 
 def train(docs: DataFrame) -> tuple[list, dict[int, float]] | None:
-    """(trees with weights, threshold by kind) from a bounded sample of candidates."""
+    """(trees with weights, threshold by kind) from all candidates: those of equal features and label are one row with
+    its numbers in either half."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
 
     rows = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = fixed(rows, found=candidates(F.col("text")))
     found = rows.select("doc_id", F.explode(F.transform("found", lambda x: F.struct(x.alias("x"), features(F.col("text"), x).alias("f")))).alias("c"))
-    order = F.xxhash64("doc_id", "c.x.gen", "c.x.s", "c.x.m")
-    drawn = found.select(order.alias("o"), F.col("c.f").alias("f"), _weak_label(F.col("c.x"), F.col("c.f")).alias("label")).orderBy("o").limit(TRAIN_CANDIDATES)
-    sample = stored(drawn.select("o", "label", "f.*"), "candidates")
-    halves = sample.withColumn("fit", F.col("o") % 2 == 0)
-    labels = {r["label"]: r["n"] for r in halves.where("fit").groupBy("label").agg(F.count("*").alias("n")).collect()}  # two rows
-    if len(labels) < 2:
+    half = F.xxhash64("doc_id", "c.x.gen", "c.x.s", "c.x.m") % 2
+    each = found.select(half.alias("half"), _weak_label(F.col("c.x"), F.col("c.f")).alias("label"), "c.f.*")
+    counts = each.groupBy("label", *FEATURES).agg(F.count_if(F.col("half") == 0).cast("double").alias("fit"), F.count_if(F.col("half") != 0).cast("double").alias("held"))
+    kinds = stored(counts, "candidates")
+    seen = kinds.where("fit > 0").groupBy("label").agg(F.count("*").alias("n")).collect()  # two rows
+    if len(seen) < 2:
         return None
-    points = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(halves.where("fit"))
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=11, labelCol="label", cacheNodeIds=False).fit(points.coalesce(4))
+    n = sum(r["n"] for r in seen)
+    # in one order, so that sums of weights don't depend on how the rows came
+    points = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(kinds.where("fit > 0").repartitionByRange(4 + n // POINTS, *FEATURES, "label").sortWithinPartitions(*FEATURES, "label"))
+    # with so many bins, splits are sought among all rows and not among a sample of them
+    bins = max(32, math.isqrt(n) + 1)
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, maxBins=bins, stepSize=0.3, seed=11, labelCol="label", weightCol="fit", cacheNodeIds=False).fit(points)
 
     def tree(node) -> tuple | float:
         if node.subtreeDepth() == 0:
@@ -180,8 +188,8 @@ def train(docs: DataFrame) -> tuple[list, dict[int, float]] | None:
         return split.featureIndex(), split.threshold(), tree(node.leftChild()), tree(node.rightChild())
 
     trees = [(w, tree(t._call_java("rootNode"))) for w, t in zip(model.treeWeights, model.trees)]
-    scored = halves.where("not fit").select("kind", "label", F.round(probability(trees, F.struct(*FEATURES)), 2).alias("p"))
-    by_score = scored.groupBy("kind", "p").agg(F.sum("label").alias("good"), F.count("*").alias("n")).collect()  # kinds x 101 rows
+    scored = kinds.where("held > 0").select("kind", "label", "held", F.round(probability(trees, F.struct(*FEATURES)), 2).alias("p"))
+    by_score = scored.groupBy("kind", "p").agg(F.sum(F.col("label") * F.col("held")).alias("good"), F.sum("held").alias("n")).collect()  # kinds x 101 rows
     limits: dict[int, float] = {}
     for k in range(len(KINDS)):
         good = n = 0.0

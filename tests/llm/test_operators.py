@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from .conftest import same
 
@@ -376,6 +377,19 @@ def test_personal_data(documents, rows, empty):
     assert personal_data(empty).count() == 0
 
 
+def test_personal_data_learns_from_all_candidates(spark, monkeypatch):
+    """Every candidate is counted in one of the halves, however many there are."""
+    from corpusflow.llm import pii
+
+    kept = []
+    monkeypatch.setattr(pii, "stored", lambda df, name, write=pii.stored: kept.append(write(df, name)) or kept[-1])
+    texts = [(i, " ".join(f"mail u{i}x{j}@h{j}.org" if j % 9 else f"card {j}11111111111111{i % 10}" for j in range(90))) for i in range(300)]
+    trees, limits = pii.train(spark.createDataFrame(texts, "doc_id long, text string").repartition(4))
+    made = spark.createDataFrame(texts, "doc_id long, text string").select(F.explode(pii.candidates(F.col("text")))).count()
+    assert made > 24_000 and set(limits) == set(range(len(pii.KINDS))) and len(trees) == pii.TREES
+    assert sum(r["fit"] + r["held"] for r in kept[0].collect()) == made
+
+
 # ---- 7: quality ---------------------------------------------------------------------------
 
 
