@@ -4,11 +4,12 @@ choice (W1) and the resolved URL with its fallbacks (J5)."""
 from __future__ import annotations
 
 import importlib
-import uuid
 from collections.abc import Callable, Iterator
 from functools import reduce
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,47 +39,102 @@ def match_handler(url, handlers: list[tuple[str, str]]) -> Column:
 
 
 def match_handler_many(spark: SparkSession, url, handlers: list[tuple[str, str]]) -> Column:
-    """J1 for long handler lists: the same answer as :func:`match_handler` from an automaton of all patterns with
-    failure links, which reads an authority once whatever their number. The list is broadcast (it is the
-    config's size) and the automaton made once a worker; the plan doesn't grow with the list."""
-    sent = spark.sparkContext.broadcast(list(handlers))
-    key = uuid.uuid4().hex
+    """J1 for long handler lists: the same answer as :func:`match_handler`, from sorted hashes of all patterns, in which the
+    pieces of an authority that are as long as some pattern are looked up, then compared. The list is broadcast as arrays
+    (it is the config's size: about 40 bytes a handler beside its texts); the plan doesn't grow with it."""
+    sent = spark.sparkContext.broadcast(_pattern_table(handlers))
 
     @F.pandas_udf("string")
     def matched(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        find, always = _automaton(key, sent)
-        modules = [m for _, m in sent.value]
+        table = sent.value
         for part in parts:
-            out = []
-            for authority in part:
-                found = [] if authority is None else [i for _, i in find(authority)]
-                if authority is not None and always is not None:
-                    found.append(always)
-                out.append(modules[min(found)] if found else None)
-            yield pd.Series(out, dtype=object)
+            yield table["modules"].take(pa.array(_first_patterns(part, table), pa.int64())).to_pandas()
 
     return matched(url_authority(url))
 
 
-_AUTOMATA: dict[str, tuple] = {}
-
-
-def _automaton(key: str, sent) -> tuple:
-    """(iterator over (end, place in the list), place of an empty pattern, which is in every text) of a worker."""
-    import ahocorasick
-
-    if key not in _AUTOMATA:
-        _AUTOMATA.clear()
-        made, always = ahocorasick.Automaton(), None
-        for i, (pattern, _) in enumerate(sent.value):
-            if pattern == "":
-                always = i if always is None else always
-            elif pattern not in made:
-                made.add_word(pattern, i)
-        if len(made):
-            made.make_automaton()
-        _AUTOMATA[key] = (made.iter if len(made) else lambda _: (), always)
-    return _AUTOMATA[key]
+_BASE, _INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
+#: Bytes of authorities that are looked up at once.
+LOOKED_UP = 1 << 18
+
+
+def _piece_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums and inverse powers from which :func:`_piece_hash` takes the hash of any piece of the bytes."""
+    with np.errstate(over="ignore"):
+        powers = np.cumprod(np.r_[np.uint64(1), np.full(len(data), _BASE, dtype=np.uint64)])
+        inverse = np.cumprod(np.r_[np.uint64(1), np.full(len(data), _INVERSE, dtype=np.uint64)])
+        value = (data.astype(np.uint64) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
+        value = (value ^ (value >> np.uint64(29))) * powers[:-1]
+        return np.r_[np.uint64(0), np.cumsum(value)], inverse
+
+
+def _piece_hash(sums: np.ndarray, inverse: np.ndarray, start: np.ndarray, length) -> np.ndarray:
+    """A 64-bit hash of the pieces from ``start`` on; equal pieces have equal ones wherever they stand."""
+    with np.errstate(over="ignore"):
+        h = (sums[start + length] - sums[start]) * inverse[start] + np.asarray(length, dtype=np.uint64) * np.uint64(_BASE)
+        h = (h ^ (h >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+        return h ^ (h >> np.uint64(29))
+
+
+def _pattern_table(handlers: list[tuple[str, str]]) -> dict:
+    """Arrays of a handler list: each pattern's hash, sorted, its bytes and its first place; the modules."""
+    first: dict[str, int] = {}
+    for i, (pattern, _) in enumerate(handlers):
+        first.setdefault(pattern, i)
+    always = first.pop("", -1)
+    texts = [p.encode("utf-8", "surrogatepass") for p in first]
+    place = np.fromiter(first.values(), dtype=np.int64, count=len(texts))
+    length = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+    data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    start = np.cumsum(length) - length
+    hashes = _piece_hash(*_piece_hashes(data), start, length)
+    order = np.argsort(hashes, kind="stable")
+    known = np.zeros(1 << max(10, 3 + len(texts).bit_length()), dtype=bool)  # whether a hash may be among them
+    known[hashes & np.uint64(len(known) - 1)] = True
+    return {
+        "hashes": hashes[order], "place": place[order], "start": start[order], "length": length[order], "lengths": np.unique(length).tolist(),
+        "bytes": data, "known": known, "always": always, "modules": pa.array([m for _, m in handlers], pa.string()),
+    }
+
+
+def _first_patterns(authorities: pd.Series, table: dict) -> list[int | None]:
+    """The place of the first pattern in each authority, or None."""
+    texts = [None if a is None else a.encode("utf-8", "surrogatepass") for a in authorities]
+    out, at = [], 0
+    while at < len(texts):
+        end, size = at, 0
+        while end < len(texts) and (end == at or size + len(texts[end] or b"") <= LOOKED_UP):
+            size += len(texts[end] or b"")
+            end += 1
+        out += _looked_up(texts[at:end], table)
+        at = end
+    return out
+
+
+def _looked_up(texts: list[bytes | None], table: dict) -> list[int | None]:
+    data = np.frombuffer(b"".join(t or b"" for t in texts), dtype=np.uint8)
+    size = np.fromiter((len(t or b"") for t in texts), dtype=np.int64, count=len(texts))
+    row = np.repeat(np.arange(len(texts)), size)
+    ends = np.cumsum(size)[row]
+    none = len(table["modules"])
+    best = np.full(len(texts), none if table["always"] < 0 else table["always"], dtype=np.int64)
+    sums, inverse = _piece_hashes(data)
+    hashes, known = table["hashes"], table["known"]
+    for length in table["lengths"]:
+        start = np.flatnonzero(np.arange(len(data)) + length <= ends)
+        h = _piece_hash(sums, inverse, start, length)
+        may = known[h & np.uint64(len(known) - 1)]
+        start, h = start[may], h[may]
+        low, high = np.searchsorted(hashes, h, side="left"), np.searchsorted(hashes, h, side="right")
+        while len(start := start[low < high]):  # mostly one pattern a hash
+            low, high = (x[low < high] for x in (low, high))
+            same = table["length"][low] == length
+            for k in range(length):
+                own = np.flatnonzero(same)
+                same[own] = table["bytes"][table["start"][low[own]] + k] == data[start[own] + k]
+            np.minimum.at(best, row[start[same]], table["place"][low[same]])
+            low = low + 1
+    return [None if t is None or b == none else int(b) for t, b in zip(texts, best)]
 
 
 def match_handler_col(url, handlers_col) -> Column:

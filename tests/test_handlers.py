@@ -41,3 +41,16 @@ def test_modules_by_name(spark):
     assert answers[("u", base + "silent")] == ("u", "module has no resolve_pdf_url")
     assert answers[("u", "no.such.module")] == ("u", "module can't be loaded: ModuleNotFoundError")
     assert answers[("u", "")][1].startswith("module can't be loaded")
+
+
+def test_long_lists_as_arrays(spark):
+    """A handler takes tens of bytes beside its texts; patterns repeat, overlap, aren't ASCII, or are empty."""
+    table = RS._pattern_table([(f"h{i}.", f"m{i}") for i in range(50_000)])
+    kept = sum(getattr(v, "nbytes", 0) for v in table.values())
+    assert kept < 50_000 * 80
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choice("ab.é\U0001f600") for _ in range(n))
+    texts = [word(rng.randint(0, 30)) for _ in range(400)] + [None, "", "ab" * 300_000 + "é"]
+    for handlers in ([(word(rng.randint(1, 6)), str(i)) for i in range(300)], [("q", "0"), ("q", "1"), ("bé", "2")], [("b", "0"), ("", "1"), ("a", "2")], []):
+        got = RS._first_patterns(texts, RS._pattern_table(handlers))
+        assert got == [None if t is None else min((i for i, (p, _) in enumerate(handlers) if p in t), default=None) for t in texts]
