@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
@@ -38,36 +37,27 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 class _LastWrite(StatefulProcessor):
     """Per key the latest update by order, in a value state; a batch's updates in any order."""
 
-    def __init__(self, value: str, order: list[str], state: T.StructType, ttl_ms: int | None):
-        self.value, self.order, self.state, self.ttl_ms = value, order, state, ttl_ms
+    def __init__(self, keys: list[str], value: str, order: list[str], state: T.StructType, ttl_ms: int | None):
+        self.names, self.value, self.order, self.state, self.ttl_ms = [*keys, *order, value], value, order, state, ttl_ms
 
     def init(self, handle) -> None:
         self.last = handle.getValueState("last", self.state, self.ttl_ms)
 
     def handleInputRows(self, key, rows, timers):
         columns = [*self.order, self.value]
-        best = None
-        for pdf in rows:
-            top = pdf.sort_values(self.order, kind="stable").iloc[-1]
-            found = tuple(_plain(top[c]) for c in columns)
-            if best is None or found[:-1] > best[:-1]:
-                best = found
-        held = self.last.get() if self.last.exists() else None
-        if best is not None and (held is None or best[:-1] > tuple(held)[:-1]):
+        best = max((tuple(r[c] for c in columns) for r in rows), key=_rank, default=None)
+        held = self.last.get()  # None: no such state
+        if best is not None and (held is None or _rank(best) > _rank(held)):
             self.last.update(best)
-            yield pd.DataFrame([[*key, *best]])
+            yield Row(**dict(zip(self.names, (*key, *best))))
 
     def close(self) -> None:
         pass
 
 
-def _plain(x):
-    """The state's value of a pandas cell."""
-    if x is None or x is pd.NaT or x is pd.NA:
-        return None
-    if isinstance(x, pd.Timestamp):
-        return x.to_pydatetime()
-    return x.item() if hasattr(x, "item") else x
+def _rank(update: tuple) -> list[tuple]:
+    """An update's place in the order (all but its last field), nulls first as in ``max_by``."""
+    return [(x is not None, x) for x in tuple(update)[:-1]]
 
 
 def keyed_fold(stream: DataFrame, keys: list[str], value: str, order: list[str], ttl_ms: int | None = None) -> DataFrame:
@@ -77,8 +67,8 @@ def keyed_fold(stream: DataFrame, keys: list[str], value: str, order: list[str],
     fields = {f.name: f for f in stream.schema.fields}
     state = T.StructType([fields[c] for c in (*order, value)])
     out = T.StructType([fields[c] for c in (*keys, *order, value)])
-    processor = _LastWrite(value, order, state, ttl_ms)
-    return stream.select(*out.names).groupBy(*keys).transformWithStateInPandas(processor, out, "Append", "ProcessingTime" if ttl_ms else "None")
+    processor = _LastWrite(keys, value, order, state, ttl_ms)
+    return stream.select(*out.names).groupBy(*keys).transformWithState(processor, out, "Append", "ProcessingTime" if ttl_ms else "None")
 
 
 def drain_keyed_fold(stream: DataFrame, keys: list[str], value: str, order: list[str], log_dir: str, checkpoint: str) -> None:

@@ -72,3 +72,17 @@ def test_keyed_fold_in_any_order(spark, tmp_path):
     want = {k: max(((t, n, v) for kk, t, n, v in rows if kk == k), key=lambda r: r[:2]) for k in {r[0] for r in rows}}
     assert got == want
     assert log.count() < len(rows)  # only changes
+
+
+def test_keyed_fold_null_order(spark, tmp_path):
+    """Updates without a time come first, as in the batch fold."""
+    from corpusflow.streaming.fold import drain_keyed_fold, state_fold
+
+    schema = "k string, ts long, n long, v string"
+    drops = [[("a", None, 9, "x"), ("b", 1, 1, "y")], [("a", 3, 2, "z"), ("b", None, 5, "w"), ("c", None, 1, None), ("c", None, 2, "u")]]
+    for rows in drops:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    drain_keyed_fold(stream, ["k"], "v", ["ts", "n"], f"{tmp_path}/log", f"{tmp_path}/ckpt")
+    fold = lambda df: {tuple(r) for r in state_fold(df, ["k"], "v", ["ts", "n"]).collect()}
+    assert fold(spark.read.parquet(f"{tmp_path}/log")) == fold(spark.read.parquet(f"{tmp_path}/in")) == {("a", "z"), ("b", "y"), ("c", "u")}
