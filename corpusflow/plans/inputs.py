@@ -253,6 +253,14 @@ def ocr_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- documents -> files -------------------------------------------------------------------------
 
 
+FOLDERS = 1024
+
+
+def spread_path(folder: str, suffix: str):
+    """``<folder>/<n>/<doc_id><suffix>``: many files lie in many folders, which tasks can list apart."""
+    return F.concat(F.lit(f"{folder}/"), F.pmod(F.hash("doc_id"), F.lit(FOLDERS)).cast("string"), F.lit("/"), F.col("doc_id").cast("string"), F.lit(suffix))
+
+
 def pdf_files(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
     """``doc_id, path, content`` of a small PDF per document, its text in a stream: by doc_id % 6 good with 1 + n_chars % 700
     pages (0), without its end mark (1), empty (2), without header (3), with 0 pages (4), not there (5: null)."""
@@ -270,4 +278,4 @@ def pdf_files(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
         .when(F.col("k") == 5, F.lit(None).cast("string"))
         .otherwise(F.col("whole"))
     )
-    return made.select("doc_id", F.concat(F.lit(f"{folder}/"), F.col("doc_id").cast("string"), F.lit(".pdf")).alias("path"), content.alias("content"))
+    return made.select("doc_id", spread_path(folder, ".pdf").alias("path"), content.alias("content"))

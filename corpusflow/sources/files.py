@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import fnmatch
 import hashlib
 import io
+import os
 import re
 import zipfile
 
 import pandas as pd
 import pyarrow as pa
+from pyarrow.fs import FileSelector, FileType
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,6 +29,8 @@ PAGE_FILE_PREFIX = "page_"
 #: Bytes of a file that becomes one cell, and of a block of larger ones.
 CELL_LIMIT = 64 << 20
 BLOCK = 4 << 20
+#: Names of a folder that are handed on at once.
+LISTED = 10_000
 # the parser's column for documents that don't fit
 CORRUPT = "_malformed"
 # -------------------------------------------------------------------------------
@@ -72,46 +77,101 @@ def metadata_errors(items: DataFrame, json_col: str, keep: list[str]) -> DataFra
 
 
 def binary_digests(spark: SparkSession, path: str, glob: str = "*", cell_limit: int = CELL_LIMIT) -> DataFrame:
-    """S5 scan: ``path, length, sha256`` of every readable file under ``path``. Files up to ``cell_limit`` are read and
-    digested by Spark (the limit is pushed to the reader, so larger ones aren't opened), larger ones by
-    blocks. Unreadable or vanished files are skipped or get a null digest, so the expected-list join gives null for them."""
-    found = listed_files(spark, path, glob)
-    small = found.where(F.col("length") <= cell_limit).select("path", "length", F.sha2(F.col("content"), 256).alias("sha256"))
+    """S5 scan: ``path, length, sha256`` of every readable file under ``path``. Files up to ``cell_limit`` are read as
+    cells and digested by Spark, larger ones by blocks. Unreadable or vanished files are skipped or get a
+    null digest, so the expected-list join gives null for them."""
+    found = file_list(spark, path, glob)
+    small = with_content(found.where(F.col("length") <= cell_limit)).select("path", "length", F.sha2(F.col("content"), 256).alias("sha256"))
     return small.unionByName(streamed_digests(found.where(F.col("length") > cell_limit)))
 
 
 def listed_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """``path, length, content`` of the files under ``path``; what isn't selected isn't read. Spark's reader
-    passes over empty files, so these are added from its file list."""
-    read = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", "true")
-        .option("ignoreCorruptFiles", "true")
-        .option("ignoreMissingFiles", "true")
-        .load(path)
-    )
-    # the list that Spark's file index holds on the driver anyway; local paths as the reader writes them
-    names = [(re.sub("^file:/+", "file:/", f),) for f in read.inputFiles()]
-    seen = read.select(F.col("path").alias("_seen"))
-    unseen = spark.createDataFrame(names, "path string").join(seen, F.col("path") == F.col("_seen"), "left_anti")
-    empty = file_lengths(unseen).where("length = 0").select("path", "length", F.lit(b"").alias("content"))
-    return read.select("path", "length", "content").unionByName(empty)
+    """``path, length, content`` of the files under ``path`` that can be read, empty ones too."""
+    return with_content(file_list(spark, path, glob))
+
+
+def _names(glob: str) -> list[str]:
+    """A glob's alternatives: ``{a,b}`` spelled out."""
+    found = re.search(r"\{([^{}]*)\}", glob)
+    if not found:
+        return [glob.replace("[^", "[!")]
+    return [n for part in found[1].split(",") for n in _names(glob[: found.start()] + part + glob[found.end() :])]
+
 
+def _hidden(name: str) -> bool:
+    """Whether Spark's readers pass over a file or folder of this name."""
+    if name.startswith(("_metadata", "_common_metadata")):
+        return False
+    return name.startswith(".") or (name.startswith("_") and "=" not in name) or name.endswith("._COPYING_")
 
-def file_lengths(files: DataFrame) -> DataFrame:
-    """``path, length`` of ``files(path)``; null for what isn't a file."""
 
-    def sizes(batches):
+def file_list(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """``path, length`` of the files below the folder ``path`` whose names match, but for hidden ones, with their paths as
+    Spark's readers write them. Folders are listed by tasks, level by level, and the list is kept as a table: the
+    driver never holds it."""
+    from corpusflow.session import scratch
+
+    if not re.match("^[A-Za-z][A-Za-z0-9+.-]*:", path):
+        store = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:/"
+        path = "file:" + os.path.abspath(path) if store.startswith("file:") else store.rstrip("/") + path
+    names = _names(glob)
+
+    def level(batches):
         for batch in batches:
-            found = []
-            for path in batch.column("path").to_pylist():
-                fs, own = file_system(path)
-                info = fs.get_file_info(own)
-                found.append(info.size if info.is_file else None)
-            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(found, pa.int64())], names=["path", "length"])
+            for folder in batch.column("path").to_pylist():
+                fs, own = file_system(folder)
+                rows = []
+                for info in fs.get_file_info(FileSelector(own)):
+                    name = info.base_name
+                    inner = info.type == FileType.Directory
+                    if not _hidden(name) and (inner or any(fnmatch.fnmatchcase(name, n) for n in names)):
+                        rows.append((f"{folder}/{name}", info.size or 0, inner))
+                for k in range(0, len(rows), LISTED):
+                    paths, sizes, inner = zip(*rows[k : k + LISTED])
+                    yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(sizes, pa.int64()), pa.array(inner, pa.bool_())], names=["path", "length", "folder"])
+
+    root = scratch(spark, "listing")
+    todo = spark.createDataFrame([(re.sub("^file:/+", "file:/", path).rstrip("/"),)], "path string")
+    parts, depth = int(spark.conf.get("spark.sql.shuffle.partitions")), 0
+    listing = None
+    while depth == 0 or not todo.isEmpty():
+        todo.repartition(parts if depth else 1, "path").mapInArrow(level, "path string, length long, folder boolean").write.parquet(f"{root}/{depth}")
+        found = spark.read.schema("path string, length long, folder boolean").parquet(f"{root}/{depth}")
+        listing = found if listing is None else listing.union(found)
+        todo = found.where("folder").select("path")
+        depth += 1
+    return listing.where("not folder").select("path", "length")
+
+
+def with_content(files: DataFrame) -> DataFrame:
+    """``path, length, content`` of ``files(path, length)``; files that are gone or can't be read are left out. Files are
+    dealt by number, so that many small ones don't make as many tasks; a task holds a few at a time."""
+
+    def read(batches):
+        def batch_of(rows):
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.int64(), pa.binary()))], names=["path", "length", "content"])
 
-    return files.select("path").mapInArrow(sizes, "path string, length long")
+        for batch in batches:
+            rows, held = [], 0
+            for path, length in zip(batch.column("path").to_pylist(), batch.column("length").to_pylist()):
+                data = b""
+                if length:
+                    try:
+                        fs, own = file_system(path)
+                        with fs.open_input_stream(own, compression=None) as source:
+                            data = source.read()
+                    except OSError:
+                        continue
+                rows.append((path, length, data))
+                held += len(data)
+                if held >= BLOCK:
+                    yield batch_of(rows)
+                    rows, held = [], 0
+            if rows:
+                yield batch_of(rows)
+
+    n = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return files.select("path", "length").repartition(n, "path").mapInArrow(read, "path string, length long, content binary")
 
 
 def balanced(files: DataFrame, tasks: int) -> DataFrame:

@@ -20,11 +20,14 @@ def file_system(uri: str):
 
 
 def _write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    made = set()
     for batch in batches:
         for uri, content in zip(batch.column("path").to_pylist(), batch.column("content")):
             fs, path = file_system(uri)
             folder, _, name = path.rpartition("/")
-            fs.create_dir(folder, recursive=True)
+            if folder not in made:
+                fs.create_dir(folder, recursive=True)
+                made.add(folder)
             part = f"{folder}/.{name}.{uuid.uuid4().hex}"
             data = content.as_buffer()
             with fs.open_output_stream(part, compression=None) as sink:

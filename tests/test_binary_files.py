@@ -80,3 +80,24 @@ def test_placeholders_have_their_bytes(spark, tmp_path):
     assert write_placeholders(d, "path", "text") == 2
     assert (tmp_path / "a.md").read_text() == "# OCR Failed for a.pdf\n\nError: no such file\nThis is a placeholder Markdown file due to PDF pre-check failure."
     assert (tmp_path / "b.md").read_text() == "# OCR Skipped for b c.pdf\n\nThis is a placeholder Markdown file as hosted OCR was disabled for testing purposes."
+
+
+def test_many_small_files(spark, tmp_path):
+    """Tasks don't grow with the files; folders are listed at any depth, hidden names passed over, empty files kept."""
+    from corpusflow.sources import files as FS
+
+    want = {}
+    for i in range(600):
+        folder = tmp_path / str(i % 7) / ("deep" if i % 2 else ".")
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"{i}.{'md' if i % 3 else 'txt'}").write_bytes(b"x" * (i % 5))
+        want[f"{i}.{'md' if i % 3 else 'txt'}"] = i % 5
+    (tmp_path / "_hidden").mkdir()
+    for name in ("_hidden/1.md", ".2.md", "_3.md", "4.md._COPYING_"):
+        (tmp_path / name).write_bytes(b"no")
+    read = FS.listed_files(spark, str(tmp_path), "*.md")
+    assert read.rdd.getNumPartitions() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    got = {r["path"].rsplit("/", 1)[1]: (r["length"], len(r["content"])) for r in read.collect()}
+    assert got == {k: (n, n) for k, n in want.items() if k.endswith(".md")}
+    both = [r["path"] for r in FS.listed_files(spark, f"file://{tmp_path}", "*.{md,txt}").collect()]
+    assert len(both) == len(set(both)) == 600 and all(p.startswith("file:/") and not p.startswith("file://") for p in both)
