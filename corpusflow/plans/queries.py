@@ -976,7 +976,7 @@ def q_placeholder_files(spark, sf):
     name = F.concat(F.col("doc_id").cast("string"), F.lit(".pdf"))
     failed = CH.failed_placeholder(name, F.lit(CH.MSG_NOT_FOUND))
     text = F.when(F.col("quality").isNull(), failed).otherwise(CH.skipped_placeholder(name, "hosted"))
-    write_placeholders(d.select(F.concat(F.lit(f"{root}/"), F.col("doc_id").cast("string"), F.lit(".md")).alias("path"), text.alias("text")), "path", "text")
+    write_placeholders(d.select(IN.spread_path(root, ".md").alias("path"), text.alias("text")), "path", "text")
     files = FS.listed_files(spark, root, "*.md")
     return files.select(_own_name().alias("doc_id"), F.decode("content", "UTF-8").alias("placeholder"))
 

@@ -38,4 +38,6 @@ def write_merged(
 
 def write_placeholders(rows: DataFrame, path_col: str, placeholder_col: str) -> int:
     """K4: the placeholder markdown of every row, exactly these bytes under its own path (a full URI)."""
-    return write_files(rows.select(F.col(path_col).alias("path"), F.col(placeholder_col).alias("content")))
+    files = rows.select(F.col(path_col).alias("path"), F.col(placeholder_col).alias("content"))
+    # few bytes but many files: dealt by number, which no plan would do by size
+    return write_files(files.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "path"))
