@@ -276,23 +276,26 @@ def _size(listing: DataFrame) -> Column:
 def best_file(listing: DataFrame, item_col: str = "item_id") -> DataFrame:
     """One PDF per item. Prefer names without '_text.pdf'; among the ranked set the
     largest int(size) (missing -> 0), ties -> earliest in the listing. A size in the ranked
-    set that int() wouldn't read makes the item an error. One partial aggregation."""
+    set that int() wouldn't read makes the item an error, as does a ``reason`` (of
+    :func:`~corpusflow.sources.files.file_listing_with_errors`). One partial aggregation."""
     lname = F.lower(F.col("name"))
     is_pdf = lname.endswith(PDF_SUFFIX)
     is_text = lname.contains(TEXT_PDF_MARK)
     size = _size(listing)
     bad = size.isNull()
-    pdf = listing.filter(is_pdf).select(
-        item_col, "pos", "name", is_text.alias("_t"), F.coalesce(size, F.lit(0).cast(SIZE)).alias("_sz"), bad.alias("_bad")
+    lost = F.col("reason").isNotNull() if "reason" in listing.columns else F.lit(False)
+    pdf = listing.filter(is_pdf | lost).select(
+        item_col, "pos", "name", is_text.alias("_t"), F.coalesce(size, F.lit(0).cast(SIZE)).alias("_sz"), bad.alias("_bad"), lost.alias("_lost")
     )
     agg = pdf.groupBy(item_col).agg(
-        F.count(F.lit(1)).cast("bigint").alias("n_pdf"),
+        F.count_if(~F.col("_lost")).cast("bigint").alias("n_pdf"),
+        F.max("_lost").alias("_lost"),
         F.count_if(~F.col("_t")).alias("_n_main"),
         F.count_if(~F.col("_t") & F.col("_bad")).alias("_bad_main"),
         F.count_if(F.col("_t") & F.col("_bad")).alias("_bad_text"),
         F.min_by(F.col("name"), F.struct(F.col("_t"), -F.col("_sz"), F.col("pos"))).alias("_best"),
     )
-    err = F.when(F.col("_n_main") > 0, F.col("_bad_main") > 0).otherwise(F.col("_bad_text") > 0)
+    err = F.col("_lost") | F.when(F.col("_n_main") > 0, F.col("_bad_main") > 0).otherwise(F.col("_bad_text") > 0)
     return agg.select(
         item_col,
         "n_pdf",
@@ -336,8 +339,7 @@ def resolved_urls(
 def metadata_resolver(items: DataFrame, download_base: str, segment: str = "details") -> Resolver:
     """A resolver over fetched item metadata (``item_id, metadata``: JSON text, null where the
     fetch failed): S4 listing -> W1 best file -> J5 URL, with J5's fallback for failed items."""
-    from corpusflow.sources.files import file_listing, metadata_errors
+    from corpusflow.sources.files import file_listing_with_errors
 
-    best = best_file(file_listing(items, "metadata", ["item_id"]))
-    errors = metadata_errors(items, "metadata", ["item_id"])
-    return lambda df, url_col: resolved_urls(df, url_col, best, "item_id", download_base, segment, errors)
+    best = best_file(file_listing_with_errors(items, "metadata", ["item_id"]))
+    return lambda df, url_col: resolved_urls(df, url_col, best, "item_id", download_base, segment)

@@ -45,35 +45,50 @@ def _parse(text: Column, schema: T.StructType) -> Column:
     return F.from_json(text, T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]), {"columnNameOfCorruptRecord": CORRUPT})
 
 
+def _file_columns() -> list[Column]:
+    size = F.col("_f.size")
+    return [F.col("pos"), F.coalesce(F.col("_f.name"), F.lit("")).alias("name"), F.try_variant_get(size, "$", "string").alias("size"), F.to_json(size).alias("size_json")]
+
+
 def file_listing(items: DataFrame, json_col: str, keep: list[str]) -> DataFrame:
     """Item metadata JSON -> one row per file (``pos`` 0-based, listing order): name,
     size as text, and ``size_json``, the size as it stands in the document (null: no such
     key). Items without ``files`` and malformed metadata give no rows (see
     :func:`metadata_errors`); a file without ``name`` gets ''."""
     parsed = items.select(*keep, _parse(F.col(json_col), FILE_LISTING).getField("files").alias("_files"))
-    ex = parsed.select(*keep, F.posexplode("_files").alias("pos", "_f"))
-    size = F.col("_f.size")
-    return ex.select(
-        *keep, "pos", F.coalesce(F.col("_f.name"), F.lit("")).alias("name"),
-        F.try_variant_get(size, "$", "string").alias("size"), F.to_json(size).alias("size_json"),
-    )
+    return parsed.select(*keep, F.posexplode("_files").alias("pos", "_f")).select(*keep, *_file_columns())
 
 
 def metadata_errors(items: DataFrame, json_col: str, keep: list[str]) -> DataFrame:
     """Items whose metadata couldn't be fetched (null), isn't such a document, or has a null where the
     listing or a file's name should be, with a reason."""
-    c = F.col(json_col)
+    parsed = items.select(*keep, F.col(json_col).alias("_text"), _parse(F.col(json_col), FILE_LISTING).alias("_parsed"))
+    return parsed.select(*keep, _reason(F.col("_text"), F.col("_parsed")).alias("reason")).where(F.col("reason").isNotNull())
+
+
+def file_listing_with_errors(items: DataFrame, json_col: str, keep: list[str]) -> DataFrame:
+    """:func:`file_listing` and :func:`metadata_errors` in one pass, each document parsed once: rows have a ``reason`` too, an item
+    that has one gives one row without ``pos`` instead of its files."""
+    parsed = items.select(*keep, F.col(json_col).alias("_text"), _parse(F.col(json_col), FILE_LISTING).alias("_parsed"))
+    known = parsed.select(*keep, F.col("_parsed.files").alias("_files"), _reason(F.col("_text"), F.col("_parsed")).alias("reason"))
+    files = known.select(*keep, "reason", F.posexplode_outer(F.when(F.col("reason").isNull(), F.col("_files"))).alias("pos", "_f"))
+    return files.where("pos is not null or reason is not null").select(*keep, *_file_columns(), "reason")
+
+
+def _reason(c: Column, parsed: Column) -> Column:
+    """Why a document (``c``, parsed by :func:`_parse`) has no listing, or null. Only one whose listing or a name of it is null
+    after parsing is looked at as a variant, to tell a null from a key that isn't there."""
     doc = F.try_parse_json(c)
     files = F.try_variant_get(doc, "$.files", "variant")
     is_null = lambda v: F.coalesce(F.to_json(v) == "null", F.lit(False))
     nameless = F.exists(F.try_variant_get(doc, "$.files", "array<variant>"), lambda f: is_null(F.try_variant_get(f, "$.name", "variant")))
-    reason = (
+    unnamed = F.coalesce(F.exists(parsed["files"], lambda f: f["name"].isNull()), F.lit(False))
+    return (
         F.when(c.isNull(), F.lit("metadata is missing"))
-        .when(_malformed(_parse(c, FILE_LISTING)), F.lit("metadata is malformed"))
-        .when(is_null(files), F.lit("file listing is null"))
-        .when(F.coalesce(nameless, F.lit(False)), F.lit("file name is null"))
+        .when(_malformed(parsed), F.lit("metadata is malformed"))
+        .when(parsed["files"].isNull(), F.when(is_null(files), F.lit("file listing is null")))
+        .when(unnamed, F.when(F.coalesce(nameless, F.lit(False)), F.lit("file name is null")))
     )
-    return items.select(*keep, reason.alias("reason")).where(F.col("reason").isNotNull())
 
 
 def binary_digests(spark: SparkSession, path: str, glob: str = "*", cell_limit: int = CELL_LIMIT) -> DataFrame:

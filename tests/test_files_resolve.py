@@ -152,6 +152,25 @@ def test_metadata_errors_fall_back(spark):
                    "good": "https://h.test/download/good/g.pdf", "unknown": "https://h.test/details/unknown"}
 
 
+def test_metadata_is_parsed_once(spark):
+    """One pass over the items gives listing and errors; what it says is what the two passes say."""
+    from corpusflow.sources.files import file_listing, file_listing_with_errors, metadata_errors
+
+    texts = ['{"files": [{"name": "a.pdf", ', None, "{}", '{"files": null}', '{"files": [{"name": null}]}', '{"files": [{"size": 3}, {"name": "g.pdf", "size": "4"}]}', '{"files": []}', "[1]", '{"files": [null]}']
+    items = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "item_id string, metadata string")
+    got = file_listing_with_errors(items, "metadata", ["item_id"]).collect()
+    bad = {r.item_id: r.reason for r in got if r.reason}
+    assert bad == {r.item_id: r.reason for r in metadata_errors(items, "metadata", ["item_id"]).collect()} and len(bad) == 5
+    assert all(r.pos is None for r in got if r.reason)
+    want = [tuple(r) for r in file_listing(items, "metadata", ["item_id"]).collect() if r.item_id not in bad]
+    assert sorted(tuple(r)[:-1] for r in got if not r.reason) == sorted(want)
+    cat = spark.createDataFrame([("https://h.test/details/5",)], "url string")
+    out = RS.metadata_resolver(items, "https://h.test/download")(cat, "url")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1 and plan.count("Join") == 1
+    assert out.first().resolved_url == "https://h.test/download/5/g.pdf"
+
+
 def test_page_numbers_and_malformed_pages(spark):
     rows = [("a", "page_3.json", '{"page_num": "12", "blocks": [{"block_id": "x", "confidence": 0.5}]}'), ("b", "page_3.json", '{"page_num": 7, "blocks": [{"block_id": "y", "confidence": 0.5}]}'),
             ("c", "page_3.json", '{"blocks": [{"block_id": "z", "confidence": 0.5}]}'), ("d", "page_4.json", '{"blocks": [{'), ("e", "page_5.json", None)]
