@@ -24,10 +24,11 @@ import struct
 import sys
 import uuid
 import zlib
-from array import array
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,13 +37,20 @@ from .common import new_key, once, prepare, shared_path, stored
 # Fixed values of the zstandard seekable format.
 SKIPPABLE_IDS, SKIPPABLE_SEEK, SEEK_FOOTER = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 HAS_CHECKSUMS = 0x80
-#: Pieces whose ids a worker remembers, twice: when the newer half is full it becomes the older
+#: Pieces that aren't words whose ids a worker remembers, twice: when the newer half is full it becomes the older
 #: one, whose pieces come back when they are met again. So frequent pieces stay known.
 REMEMBERED = 600_000
-if sys.byteorder != "little" or array("I").itemsize != 4:
+if sys.byteorder != "little":
     raise ImportError("token files are written on little-endian machines")
 #: Marks that may end a piece.
 MARKS = ".,!?;:%$#*&|<>"
+#: Characters of texts that are cut at once.
+CUT_CHARACTERS = 1 << 23
+#: Words that are encoded at once.
+WORDS_AT_ONCE = 1 << 17
+#: The characters that the byte-level tokenizers write bytes as: printable ones of Latin-1 as they are, others from 256 on.
+_PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_CHARACTERS = {chr(b): chr(256 + i) for i, b in enumerate(sorted({*range(256)} - _PRINTED))}
 MANIFEST = "part int, path string, documents long, tokens long"
 ENTRIES = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
@@ -56,10 +64,25 @@ def file_system(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
+def _joined(pieces: pa.Array) -> str:
+    return pc.binary_join(pa.ListArray.from_arrays([0, len(pieces)], pieces), pa.scalar("\n", pa.large_string()))[0].as_py()
+
+
+def _taken(ids: np.ndarray, sizes: np.ndarray, used: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the pieces ``used``, of which the ids of all lie end to end in ``ids``, and how many each has."""
+    n = sizes.astype(np.int32)[used]
+    kind = np.int32 if max(len(ids), n.sum(dtype=np.int64)) < 1 << 31 else np.int64
+    shift = (np.cumsum(sizes) - sizes).astype(kind)[used]
+    shift -= np.cumsum(n, dtype=kind) - n
+    at = np.repeat(shift, n)
+    at += np.arange(len(at), dtype=kind)
+    return ids[at], n
+
+
 class Encoder:
     """A text's ids as bytes. The byte-level pre-tokenizer always cuts before a single blank
-    between two other characters, so the pieces between such blanks encode on their own and
-    their ids are remembered; other texts (white space after a blank, special tokens' strings)
+    between two other characters, so the pieces between such blanks encode on their own, the
+    different ones of many texts once; other texts (white space after a blank, special tokens' strings)
     go to the tokenizer whole. Either way the ids are the tokenizer's."""
 
     def __init__(self, tokenizer_json: str):
@@ -67,7 +90,7 @@ class Encoder:
         import re
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -75,69 +98,114 @@ class Encoder:
         self.blanks = re.compile(r" \s").search
         self.line = re.compile(r" \S+")
         self.feed = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        # the same model for words that the pre-tokenizer leaves whole: only line feeds part them
+        self.words = Tokenizer.from_str(tokenizer_json)
+        self.words.pre_tokenizer = pre_tokenizers.Split(BYTE_CHARACTERS["\n"], "isolated")
+        self.checked, self.odd = set("\n"), set()
+        self.known: dict[str, np.ndarray] = {}
+        self.older: dict[str, np.ndarray] = {}
 
     def whole(self, text: str) -> bool:
         """Whether a text can't be cut at its blanks."""
         return bool(self.blanks(text) or self.special(text))
 
-    def _bytes(self, texts: list[str]) -> list[bytes]:
-        # ids are little-endian 32-bit on every platform that runs this (checked on import)
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _lines(self, pieces: list[str]) -> dict[str, bytes]:
+    def _lines(self, pieces: list[str]) -> dict[str, np.ndarray]:
         """The ids of pieces. Those that are a blank and then no white space go as the lines of one
         text: a line feed before a blank is a token of its own, so its id parts the lines."""
         lines = [p for p in pieces if self.line.fullmatch(p)]
-        made: dict[str, bytes] = {}
+        made: dict[str, np.ndarray] = {}
         if lines:
-            ids = array("I", self.tokenizer.encode_batch_fast(["\n".join(lines)], add_special_tokens=False)[0].ids)
-            cuts = [i for i, x in enumerate(ids) if x == self.feed]
+            (ids,) = self._ids(["\n".join(lines)])
+            cuts = np.flatnonzero(ids == self.feed)
             if len(cuts) == len(lines) - 1:
-                data = ids.tobytes()
-                made = {p: data[4 * a : 4 * b] for p, a, b in zip(lines, [0, *(i + 1 for i in cuts)], [*cuts, len(ids)])}
+                made = {p: ids[a:b].copy() for p, a, b in zip(lines, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)])}
         rest = [p for p in pieces if p not in made]
-        made.update(zip(rest, self._bytes(rest)))
+        made.update(zip(rest, self._ids(rest)))
         return made
 
-    def _learn(self, new: set[str]) -> None:
-        """Make the ids of pieces known. Marks after a letter are a token run of their own, so a
-        piece that ends in them is its stem's ids and theirs."""
+    def _others(self, pieces: list[str]) -> list[np.ndarray]:
+        """The ids of pieces that aren't words, remembered."""
+        if len(self.known) > REMEMBERED:
+            self.known, self.older = {}, self.known
         known, older = self.known, self.older
-        parts: dict[str, tuple[str, str]] = {}
-        wanted: set[str] = set()
-        unknown = new.difference(older)
-        for p in new.difference(unknown):
-            known[p] = older[p]
-        for p in unknown:
-            stem = p.rstrip(MARKS)
-            if stem is not p and len(stem) < len(p) and stem[-1:].isalpha():
-                parts[p] = stem, p[len(stem) :]
-                wanted.update(parts[p])
+        known.update((p, older[p]) for p in set(pieces).difference(known).intersection(older))
+        known.update(self._lines(list(set(pieces).difference(known))))
+        return [known[p] for p in pieces]
+
+    def _words(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, size of each piece) of words, which start with a NUL where no blank is before them."""
+        ids, sizes = [np.zeros(0, dtype=np.uint32)], [np.zeros(0, dtype=np.int64)]
+        for i in range(0, len(pieces), WORDS_AT_ONCE):  # the tokenizer's own records of a text take many times its size
+            text = ("\n" + _joined(pieces[i : i + WORDS_AT_ONCE])).replace("\n", "\n ").replace("\n \0", "\n")[1:]
+            if text.isascii():
+                text = text.replace(" ", BYTE_CHARACTERS[" "]).replace("\n", BYTE_CHARACTERS["\n"])
             else:
-                wanted.add(p)
-        known.update(self._lines([p for p in wanted if p not in known]))
-        for p, (stem, marks) in parts.items():
-            known[p] = known[stem] + known[marks]
+                text = text.encode().decode("latin-1")
+                for c, written in BYTE_CHARACTERS.items():
+                    text = text.replace(c, written)
+            made = np.array(self.words.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.uint32)
+            feeds = made == self.feed
+            ids.append(made[~feeds])
+            sizes.append(np.diff(np.r_[-1, np.flatnonzero(feeds), len(made)]) - 1)
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def _letters(self, pieces: pa.Array) -> str:
+        """The class of letters that words are made of: the pre-tokenizer is asked about each other character once, as its
+        Unicode may be another than Arrow's."""
+        foreign = pieces.filter(pc.invert(pc.string_is_ascii(pieces)))
+        new = set(_joined(foreign)) - self.checked
+        self.checked |= new
+        self.odd |= {c for c in new if c.isalpha() != (len(self.tokenizer.pre_tokenizer.pre_tokenize_str(f" a{c}a")) == 1)}
+        return "A-Za-z" if self.odd else r"\pL"
+
+    def _cut(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts that can be cut at their blanks, from those of their different pieces. A NUL marks a piece that has
+        no blank before it: a text's first, and a line feed beside no other white space, a token of its own, and what follows it.
+        Marks after letters are a token run of their own."""
+        parted = []
+        for t in texts:
+            lines = t.split("\n")
+            apart = all(x and not x[0].isspace() and not x[-1].isspace() for x in lines)
+            parted.append("\0" + (" \0\n \0".join(lines) if apart else t))
+        split = pc.split_pattern(pa.array(parted, pa.large_string()), " ")
+        begin = split.offsets.to_numpy()
+        coded = split.values.dictionary_encode()
+        pieces, number = coded.dictionary, coded.indices.to_numpy()
+        found = pc.extract_regex(pieces, rf"^(?P<word>\x00?[{self._letters(pieces)}]+)(?P<marks>[{MARKS}]*)$")
+        word = found.field("word").filter(found.is_valid()).dictionary_encode()
+        marks = found.field("marks").filter(found.is_valid()).dictionary_encode()
+        other = pieces.filter(found.is_null()).to_pylist()
+        ids, sizes = self._words(word.dictionary)
+        more = self._others([*marks.dictionary.to_pylist(), *(p[1:] if p[:1] == "\0" else f" {p}" for p in other)])
+        # each piece is a word and its marks, or another piece and nothing
+        own = np.full((len(pieces), 2), len(sizes) + len(more))
+        matched = found.is_valid().to_numpy(zero_copy_only=False)
+        own[matched, 0] = word.indices.to_numpy()
+        own[matched, 1] = marks.indices.to_numpy() + len(sizes)
+        own[~matched, 0] = np.arange(len(other)) + len(sizes) + len(marks.dictionary)
+        ids, n = _taken(np.concatenate([ids, *more]), np.r_[sizes, [len(x) for x in more], 0], own.ravel())
+        ids, n = _taken(ids, n.reshape(-1, 2).sum(axis=1), number)
+        at = (np.r_[0, np.cumsum(n, dtype=np.int64)][begin] * 4).tolist()
+        data = ids.tobytes()
+        return [data[a:b] for a, b in zip(at, at[1:])]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        if len(self.known) > REMEMBERED:
-            self.known, self.older = {}, self.known
-        out: list[bytes | None] = []
-        split: list[tuple[int, list[str]]] = []
-        for t in texts:
-            if not t:
-                out.append(b"")
-            elif "\0" in t or self.whole(t):
-                out.append(self._bytes([t])[0])
-            else:
-                split.append((len(out), t.replace(" ", "\0 ").split("\0")))
-                out.append(None)
-        self._learn(set().union(*[own for _, own in split]).difference(self.known))
-        look = self.known.__getitem__
-        for k, own in split:
-            out[k] = b"".join(map(look, own))
+        out = [b""] * len(texts)
+        run: list[int] = []
+        held = 0
+        for k, t in enumerate(texts):
+            if t and ("\0" in t or self.whole(t)):
+                out[k] = self._ids([t])[0].tobytes()
+            elif t:
+                run.append(k)
+                held += len(t)
+            if run and (held >= CUT_CHARACTERS or k == len(texts) - 1):
+                for i, ids in zip(run, self._cut([texts[i] for i in run])):
+                    out[i] = ids
+                run, held = [], 0
         return out
 
 
@@ -237,7 +305,21 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str | None =
         from pyspark import TaskContext
 
         writer = sink = None
-        tokens = documents = 0
+        tokens = documents = waiting = 0
+        held: list[pa.RecordBatch] = []
+
+        def add() -> None:
+            nonlocal tokens, documents, waiting
+            if held:
+                doc_ids, texts = ([x for batch in held for x in batch.column(k).to_pylist()] for k in ("doc_id", "text"))
+                for doc_id, ids in zip(doc_ids, encoder.encode(texts)):
+                    ids += end
+                    writer.add(doc_id, ids)
+                    tokens += len(ids) // 4
+                    documents += 1
+            held.clear()
+            waiting = 0
+
         gc.disable()  # its passes over the many live lists find nothing to free
         try:
             for batch in batches:
@@ -251,11 +333,11 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str | None =
                     fs.create_dir(base, recursive=True)
                     sink = fs.open_output_stream(f"{base}/{name}", compression=None)  # not by the name
                     writer = FileWriter(sink)
-                for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text").to_pylist())):
-                    ids += end
-                    writer.add(doc_id, ids)
-                    tokens += len(ids) // 4
-                    documents += 1
+                held.append(batch)
+                waiting += batch.nbytes
+                if waiting >= CUT_CHARACTERS:
+                    add()
+            add()
         finally:
             gc.enable()
         if writer is not None:

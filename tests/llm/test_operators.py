@@ -6,6 +6,7 @@ import random
 import re
 import struct
 import zlib
+from array import array
 from collections import Counter, defaultdict
 
 import pytest
@@ -484,6 +485,35 @@ def test_contamination(documents, rows, benchmark, empty):
 # ---- 10: token files ----------------------------------------------------------------------
 
 
+def test_words_are_encoded_once_and_as_the_tokenizer_does():
+    from corpusflow.llm.token_files import Encoder, tokenizer_json
+
+    rng = random.Random(12)
+    encoder = Encoder(tokenizer_json())
+    tokenizer, sent = encoder.tokenizer, []
+
+    class Counted:
+        pre_tokenizer = tokenizer.pre_tokenizer
+
+        def encode_batch_fast(self, texts, **how):
+            sent.extend(texts)
+            return tokenizer.encode_batch_fast(texts, **how)
+
+    encoder.tokenizer = Counted()
+
+    def same(texts):
+        made = [array("I", tokenizer.encode(t or "", add_special_tokens=False).ids).tobytes() for t in texts]
+        return encoder.encode(texts) == made
+
+    # lines of different words with marks: the tokenizer, whose pre-tokenizer takes most of the time, sees the marks only
+    lines = [" ".join("".join(rng.choices("abcdefé", k=9)) for _ in range(7)) + rng.choice((".", "?!", "")) for _ in range(300)]
+    assert same(["\n".join(lines[i : i + 50]) for i in range(0, 300, 50)]) and sum(map(len, sent)) < 100
+    parts = [*"ab 's\n.,!é\u0301ßЖ中ा१2_\t\r<|\0\x1cĊĠ'", "<|endoftext|>", "the", " ", "\n", "\U0001f600", "\ua7da", "\u180e"]
+    assert same([None, "", *("".join(rng.choices(parts, k=rng.randrange(40))) for _ in range(3000))])
+    encoder.known, encoder.older = {}, {}
+    assert same(["a1 b2, a1", "b2", None])
+
+
 def test_token_files(spark, documents, rows, empty):
     import public_tokenizers
     from tokenizers import Tokenizer
