@@ -84,7 +84,7 @@ def _repeat_lines(text: Column) -> Column:
 
 
 def base_columns(docs: DataFrame) -> DataFrame:
-    """``docs(doc_id, text, lang, ..)`` to doc_id, lang, words (word string, padded), and the base columns."""
+    """``docs(doc_id, text, lang, ..)`` to doc_id, lang, words (a word string), and the base columns."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "lang")
     rows = fixed(rows, flat=flat_words(F.col("text")))
     rows = fixed(rows, tokens=F.when(F.col("flat") == "", F.expr("cast(array() as array<string>)")).otherwise(F.split("flat", " ")))
@@ -97,15 +97,15 @@ def base_columns(docs: DataFrame) -> DataFrame:
         n_repeat_words=repeated_words(F.col("tokens")).cast("long"),
         classes=class_counts(F.col("text")),
         n_chars=F.length("text"),
-        words=F.concat(F.lit(" "), F.replace(word_string(F.col("text")), F.lit(" "), F.lit("  ")), F.lit(" ")),
+        words=word_string(F.col("text")),
     )
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     return rows.drop("text", "flat", "tokens").withColumn("base_failed", failed)
 
 
-def _common_words(docs: DataFrame) -> DataFrame:
-    """``(lang, word, n, total)`` of each language's common words, counted over all documents."""
-    words = docs.select("lang", F.explode(F.split(word_string(F.col("text")), " ")).alias("word")).where("word != ''")
+def _common_words(rows: DataFrame) -> DataFrame:
+    """``(lang, word, n, total)`` of each language's common words, counted over all documents ``rows(lang, words)``."""
+    words = rows.select("lang", F.explode(F.split("words", " ")).alias("word")).where("word != ''")
     bucket = F.concat(F.lit("#"), F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).cast("string"))  # no word has this mark
     key = F.when(F.length("word") <= SHORT, F.col("word")).otherwise(bucket)
     counts = stored(words.groupBy("lang", key.alias("word")).agg(F.count("*").alias("n")), "counts")
@@ -124,13 +124,18 @@ def _common_words(docs: DataFrame) -> DataFrame:
 
 
 def references(docs: DataFrame) -> DataFrame:
-    """A row a language: lang, classes (shares), common (words), shares (theirs, and the rest's last)."""
+    """A row a language of ``docs(text, lang, ..)``: lang, class_shares, common (words), word_shares (theirs, and the rest's last)."""
     prepare(docs.sparkSession)
-    sums = docs.select("lang", F.posexplode(class_counts(F.coalesce("text", F.lit("")))).alias("k", "n")).groupBy("lang", "k").agg(F.sum("n").alias("n"))
+    return _references(docs.select("lang", class_counts(F.coalesce("text", F.lit(""))).alias("classes"), word_string(F.col("text")).alias("words")))
+
+
+def _references(rows: DataFrame) -> DataFrame:
+    """:func:`references` of ``rows(lang, classes, words)``."""
+    sums = rows.select("lang", F.posexplode("classes").alias("k", "n")).groupBy("lang", "k").agg(F.sum("n").alias("n"))
     by_class = sums.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("k", "n"))).alias("c"))
     total = F.greatest(F.lit(1).cast("long"), F.aggregate("c", F.lit(0).cast("long"), lambda s, y: s + y["n"]))  # empty texts only: all shares 0
     chars = by_class.select("lang", F.transform("c", lambda x: x["n"] / total).alias("class_shares"))
-    words = _common_words(docs).groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("word", (F.col("n") / F.col("total")).alias("share")))).alias("w"))
+    words = _common_words(rows).groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("word", (F.col("n") / F.col("total")).alias("share")))).alias("w"))
     rest = F.greatest(F.lit(0.0), 1 - F.aggregate("w", F.lit(0.0), lambda s, x: s + x["share"]))
     words = words.select("lang", F.transform("w", lambda x: x["word"]).alias("common"), F.concat(F.transform("w", lambda x: x["share"]), F.array(rest)).alias("word_shares"))
     met = chars.alias("c").join(words.alias("w"), F.col("c.lang").eqNullSafe(F.col("w.lang")), "left")
@@ -148,13 +153,14 @@ def quality(docs: DataFrame, char_distance: float = CHAR_DISTANCE, word_distance
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept and both
     distances (null where the document is too short to be judged) for each row of ``docs``."""
     prepare(docs.sparkSession)
-    refs = references(docs)
+    rows = stored(base_columns(docs), "base")  # each text's classes and words are made once, for the references and for its distances
+    refs = _references(rows)
     # words longer than the language's longest common word can't be one
     longest = F.aggregate("common", F.lit(0), lambda s, w: F.greatest(s, F.length(w)))
     refs = refs.withColumnRenamed("lang", "ref_lang").withColumn("longer", F.concat(F.lit(" [^ ]{"), (longest + 1).cast("string"), F.lit(",} ")))
-    rows = base_columns(docs)
     rows = rows.join(refs, rows["lang"].eqNullSafe(refs["ref_lang"]), "left")
-    rows = fixed(rows, short=F.regexp_replace("words", F.col("longer"), F.lit(""))).drop("words")
+    padded = F.concat(F.lit(" "), F.replace("words", F.lit(" "), F.lit("  ")), F.lit(" "))
+    rows = fixed(rows, short=F.regexp_replace(padded, F.col("longer"), F.lit(""))).drop("words")
     occurs = lambda c: (F.length("short") - F.length(F.replace("short", F.concat(F.lit(" "), c, F.lit(" ")), F.lit("")))) / (F.length(c) + 2)
     rows = fixed(rows, counts=F.transform("common", occurs))
     own = F.concat(F.col("counts"), F.array(F.greatest(F.lit(0.0), F.col("n_words") - F.aggregate("counts", F.lit(0.0), lambda s, x: s + x))))

@@ -448,6 +448,17 @@ def test_gibberish_and_long_common_words(spark):
     assert [i for i, k in kept.items() if k != (i < 1000)] == []
 
 
+def test_quality_reads_texts_once(spark, tmp_path):
+    """Classes and words are made once a text: what follows reads them, not the texts."""
+    from corpusflow.llm.quality import quality
+
+    rows = [(i, f"some words of text {i} " * 20, "en" if i % 3 else None) for i in range(30)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "docs"))
+    got = quality(spark.read.parquet(str(tmp_path / "docs")))
+    assert [f for f in got.inputFiles() if str(tmp_path) in f] == []
+    assert {(r["doc_id"], r["n_words"]) for r in got.collect()} == {(i, 100) for i in range(30)}
+
+
 # ---- 8: decontamination -------------------------------------------------------------------
 
 
