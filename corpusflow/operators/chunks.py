@@ -104,6 +104,18 @@ def precheck_files(files: DataFrame, content_col: str = "content", out_of_reach:
     return checked.withColumn("page_count", pages).drop("_t", "_offset", "_error", "_count")
 
 
+def precheck_expected(expected: DataFrame, checked: DataFrame, key: str) -> DataFrame:
+    """C4 against a list: rows of ``expected`` with the ``precheck_error`` and ``page_count`` that ``checked(key, ..)``, from
+    :func:`precheck_files`, has of their file; a file that isn't there fails. Files are checked where they are read, so that no
+    content is joined. The join is sorted whatever sizes are expected: a listing of files says little of what is read from them."""
+    c = checked.select(F.col(key).alias("_key"), F.col("precheck_error").alias("_error"), F.col("page_count").alias("_count"))
+    there = F.col("_key").isNotNull()
+    j = expected.join(c.hint("merge"), expected[key] == c["_key"], "left")
+    error = F.when(there, F.col("_error")).otherwise(F.lit(MSG_NOT_FOUND))
+    pages = F.when(there, F.col("_count")).otherwise(F.lit(0).cast("bigint"))
+    return j.withColumn("precheck_error", error).withColumn("page_count", pages).drop("_key", "_error", "_count")
+
+
 def failed_placeholder(file_name, error) -> Column:
     """K4: markdown written for a failed pre-check (still counted as failed)."""
     head, rest = PLACEHOLDER_FAILED.split("{file}")

@@ -960,9 +960,9 @@ def q_precheck_files(spark, sf):
     root = scratch(spark, "pdfs")
     files = IN.pdf_files(spark, sf, root)
     write_files(files.where("content is not null"))
-    found = FS.listed_files(spark, root, "*.pdf").select(_own_name().alias("_id"), "content")
+    found = FS.listed_files(spark, root, "*.pdf").select(_own_name().alias("doc_id"), "content")
     expected = IN.table(spark, sf, "documents").select("doc_id")
-    return CH.precheck_files(expected.join(found, F.col("doc_id") == F.col("_id"), "left")).select("doc_id", "precheck_error", "page_count")
+    return CH.precheck_expected(expected, CH.precheck_files(found), "doc_id").select("doc_id", "precheck_error", "page_count")
 
 
 @query("placeholder_files")

@@ -71,6 +71,23 @@ def test_pdf_structure(spark):
     assert got == {i: (e, n) for i, (_, e, n) in enumerate(cases)}
 
 
+def test_precheck_moves_no_contents(spark, tmp_path):
+    """Only outcomes are joined to the expected files: contents go neither to the driver nor through an exchange."""
+    import re
+
+    import __spark_entry__ as E
+
+    rows = [(i, f"text {i} " * 50, 100 * i) for i in range(12)] + [(0, "text 0 " * 50, 0)]
+    spark.createDataFrame(rows, "doc_id long, text string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    df = E.queries()["precheck_files"](spark, str(tmp_path))
+    errors = [None, "Corrupted PDF file: EOF marker not found", "Corrupted PDF file: Cannot read an empty file", "Corrupted PDF file: invalid pdf header", None, "PDF file not found."]
+    want = [(i, errors[i % 6], n % 700 + 1 if i % 6 == 0 else 0) for i, _, n in rows]
+    assert sorted(map(tuple, df.collect()), key=str) == sorted(want, key=str)
+    plan = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(df.select("*")._jdf.queryExecution(), "formatted")
+    moved = re.findall(r"^\(\d+\) \w*Exchange\n(?:Input|Output)[^\n]*", plan, re.M)
+    assert moved and not any("content" in m for m in moved) and "Broadcast" not in plan
+
+
 def test_placeholders_have_their_bytes(spark, tmp_path):
     from corpusflow.operators.chunks import failed_placeholder, skipped_placeholder
     from corpusflow.sinks.text import write_placeholders
